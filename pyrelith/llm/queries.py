@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
-from pyrelith.llm import exact_dedup, mixing
+from pyrelith.llm import exact_dedup, language_id, mixing, toxicity
+
+
+def _read(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op2_toxicity(spark, sf_dir):
+    return toxicity.detect(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
 def op4_exact_dedup(spark, sf_dir):
-    return exact_dedup.exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents"))
 
 
 def op6_mixing(spark, sf_dir):
-    return mixing.mix_plan(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix_plan(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_language_id(spark, sf_dir):
+    return language_id.identify(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op6_mixing)}
+QUERIES = {f.__name__: f for f in (op2_toxicity, op4_exact_dedup, op6_mixing, op8_language_id)}
 ORACLE_SQL = {"op4_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing.ORACLE}
