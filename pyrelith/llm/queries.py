@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyrelith.llm import exact_dedup, language_id, mixing, toxicity
+from pyrelith.llm import chat_format, exact_dedup, html_extraction, language_id, mixing, topk_search, toxicity
 
 
 def _read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark, sf_dir):
+    return html_extraction.extract_main_text(_read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op2_toxicity(spark, sf_dir):
     return toxicity.detect(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -25,5 +29,14 @@ def op8_language_id(spark, sf_dir):
     return language_id.identify(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op4_exact_dedup, op6_mixing, op8_language_id)}
-ORACLE_SQL = {"op4_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing.ORACLE}
+def op9_chat_preference(spark, sf_dir):
+    return chat_format.neighbouring_pairs(_read(spark, sf_dir, "conversations"))
+
+
+def op10_exact_topk(spark, sf_dir):
+    vectors = _read(spark, sf_dir, "embeddings")
+    return topk_search.exact_topk(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_toxicity, op4_exact_dedup, op6_mixing, op8_language_id, op9_chat_preference, op10_exact_topk)}
+ORACLE_SQL = {"op4_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing.ORACLE, "op9_chat_preference": chat_format.ORACLE, "op10_exact_topk": topk_search.ORACLE}
