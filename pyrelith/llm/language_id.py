@@ -180,6 +180,29 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(score, f"doc_id {kind}, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, least_score: float = 0.25, **options) -> DataFrame:
+    """The rows of ``docs`` whose language is known, all columns as they were.
+
+    Rejected are rows that get ``und`` (null or letterless texts) and those for which no learned language's
+    regression comes above 2 * ``least_score`` - 1. Rows pass as Arrow batches, so no value changes.
+    """
+    import pyarrow as pa
+
+    model = fit(docs.where(~F.coalesce(held_out(), F.lit(True))).select("doc_id", "text", "lang"), **options)
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(at).to_pylist()
+            keep = []
+            for k in range(0, len(texts), BATCH):
+                keep += [lang != UNKNOWN and score >= least_score for lang, score in held.value.predict(texts[k : k + BATCH])]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id"):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
 
