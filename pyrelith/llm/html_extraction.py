@@ -278,7 +278,12 @@ def induce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def dump(found: dict[str, list], part: int) -> pd.DataFrame:
-    return pd.DataFrame({"host": list(found), "part": part, "wrapper": [json.dumps(w, separators=(",", ":")) for w in found.values()]})
+    return frame([(host, part, json.dumps(w, separators=(",", ":"))) for host, w in found.items()])
+
+
+def frame(rows: list[tuple]) -> pd.DataFrame:
+    """Text columns that stay text without rows."""
+    return pd.DataFrame(rows, columns=["host", "part", "wrapper"]).astype({"host": object, "part": "int32", "wrapper": object})
 
 
 def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -294,9 +299,9 @@ def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if host is not None:
                     out.append((host, part, json.dumps(held, separators=(",", ":"))))
                 host, part, held = h, p, w
-        yield pd.DataFrame(out, columns=["host", "part", "wrapper"])
+        yield frame(out)
     if host is not None:
-        yield pd.DataFrame([(host, part, json.dumps(held, separators=(",", ":")))], columns=["host", "part", "wrapper"])
+        yield frame([(host, part, json.dumps(held, separators=(",", ":")))])
 
 
 def host_of(url: str = "url"):
