@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyrelith.llm import bpe, chat_format, exact_dedup, html_extraction, language_id, mixing, near_dedup, topk_search, toxicity
+from pyrelith.llm import bpe, chat_format, exact_dedup, html_extraction, language_id, mixing, near_dedup, token_store, topk_search, toxicity
 
 
 def _read(spark, sf_dir, name):
@@ -17,6 +17,12 @@ def op2_toxicity(spark, sf_dir):
     return toxicity.detect(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op3_token_output(spark, sf_dir):
+    import public_tokenizers
+
+    return token_store.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents"))
 
@@ -48,5 +54,5 @@ def op10_exact_topk(spark, sf_dir):
     return topk_search.exact_topk(vectors, vectors.where("vec_id % 100 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_toxicity, op4_exact_dedup, op5_bpe, op6_mixing, op7_minhash_dedup, op8_language_id, op9_chat_preference, op10_exact_topk)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_toxicity, op3_token_output, op4_exact_dedup, op5_bpe, op6_mixing, op7_minhash_dedup, op8_language_id, op9_chat_preference, op10_exact_topk)}
 ORACLE_SQL = {"op4_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing.ORACLE, "op9_chat_preference": chat_format.ORACLE, "op10_exact_topk": topk_search.ORACLE}
