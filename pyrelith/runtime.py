@@ -64,3 +64,27 @@ class Scratch:
 
     def _fs(self, name: str):
         return self._hadoop_path(name).getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
+
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows that go to a Python worker at once, for tables of long texts; a smaller setting of the session stays."""
+    if int(spark.conf.get(BATCH_KEY, "10000")) > rows:
+        spark.conf.set(BATCH_KEY, str(rows))
+
+
+def release_memory() -> None:
+    """Give what a Python worker has freed back to the system, as idle workers stay alive for the next stage."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
