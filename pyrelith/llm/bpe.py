@@ -1,25 +1,28 @@
 """BPE encoding and decoding with a distinct-word table and an id-to-piece table.
 
-Texts are split into words once. Only distinct words meet the tokenizer; their ids are joined back to
-where each word stood. A byte-level BPE never merges across words, so this equals encoding whole texts.
+Texts are split into words once. Only distinct words meet the tokenizer, each of them once; their ids are
+joined back to where each word stood. A byte-level BPE never merges across words, so this equals encoding
+whole texts.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import os
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyrelith.runtime import Scratch
+from pyrelith.runtime import release_memory, text_batches
 
 #: Fixed value: the split of byte-level BPE as published with GPT-2.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -27,6 +30,7 @@ SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 
 @lru_cache(4)
 def tokenizer(path: str):
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
@@ -119,150 +123,169 @@ def from_varints(data: np.ndarray) -> np.ndarray:
     return x
 
 
-WORDS = pa.schema([("block", pa.int64()), ("word", pa.string()), ("places", pa.binary())])
-BLOCK_CHARS = 12 << 20
+#: A block is whole documents of about so many characters.
+BLOCK_CHARS = 32 << 20
+LISTS = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("lengths", pa.binary()), ("places", pa.binary())])
 
 
-def block_rows(block: int, docs: list[tuple], words: list[str]) -> pa.RecordBatch:
-    """One block: a row for each different word with the places where it stands (as steps), and one, without word, for its documents."""
-    numbers: dict[str, int] = {}
-    which = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), dtype=np.uint32, count=len(words))
-    order = np.argsort(which, kind="stable")
-    counts = np.bincount(which, minlength=len(numbers))
-    steps = np.diff(order, prepend=0)
-    firsts = np.cumsum(counts) - counts
-    if len(order):
-        steps[firsts] = order[firsts]
-    data, size = varints(steps)
-    ends = np.concatenate([[0], np.cumsum(np.add.reduceat(size, firsts))]) if len(numbers) else np.zeros(1, dtype=np.int64)
-    head = json.dumps(docs).encode()
-    buffer = np.concatenate([data, np.frombuffer(head, dtype=np.uint8)])
-    offsets = np.concatenate([ends, [ends[-1] + len(head)]]).astype(np.int32)
-    places = pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(buffer.tobytes())])
-    n = len(numbers) + 1
-    return pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.array([*numbers, None], pa.string()), places], schema=WORDS)
+def pack(raw: bytes) -> bytes:
+    """What rows carry is packed by Zstandard before it is written or shuffled."""
+    return zstandard.ZstdCompressor(level=3).compress(raw)
 
 
-def to_blocks(path: str):
-    """Cut a partition into blocks of about BLOCK_CHARS characters (whole documents) and list the words of each."""
+def unpack(raw: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(raw)
+
+
+def numbers_of(packed: bytes) -> np.ndarray:
+    return from_varints(np.frombuffer(unpack(packed), dtype=np.uint8))
+
+
+def block_rows(block: int, docs: list[tuple], numbers: dict[str, int], places: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """A block's rows: one for each bucket of its distinct words, and one (bucket -1) with what puts them back.
+
+    The latter has the documents and their word counts, the bucket of each word in order of appearance,
+    and for each place the number of its word, small for words that came early.
+    """
+    words = list(numbers)
+    of = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % buckets for w in words), dtype=np.uint16, count=len(words))
+    order = np.argsort(of, kind="stable")
+    cuts = np.flatnonzero(np.diff(of[order])) + 1
+    rows: list[tuple] = []
+    for part in np.split(order, cuts) if len(words) else []:
+        mine = [words[k] for k in part.tolist()]
+        lengths, _ = varints(np.fromiter(map(len, mine), dtype=np.int64, count=len(mine)))
+        rows.append((block, int(of[part[0]]), pack("".join(mine).encode("utf-8", "surrogatepass")), pack(lengths.tobytes()), None))
+    steps, _ = varints(np.concatenate(places).astype(np.int64)) if places else (np.zeros(0, dtype=np.uint8), None)
+    rows.append((block, -1, pack(json.dumps(docs).encode()), pack(of.tobytes()), pack(steps.tobytes())))
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), LISTS, strict=True)], schema=LISTS)
+
+
+def to_blocks(path: str, buckets: int):
+    """Cut a partition into blocks of whole documents and list the words of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, added = added_tokens(path)
         part = TaskContext.get().partitionId()
-        n, chars, docs, words = 0, 0, [], []
+        n, chars, docs, places, numbers = 0, 0, [], [], {}
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                w = split_words(text, added)
-                words += w
-                docs.append((doc, len(w)))
+                words = split_words(text, added)
+                places.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), dtype=np.uint32, count=len(words)))
+                docs.append((doc, len(words)))
                 chars += len(text or "") + 64
                 if chars >= BLOCK_CHARS:
-                    yield block_rows((part << 24) + n, docs, words)
-                    n, chars, docs, words = n + 1, 0, [], []
+                    yield block_rows((part << 24) + n, docs, numbers, places, buckets)
+                    n, chars, docs, places, numbers = n + 1, 0, [], [], {}
         if docs:
-            yield block_rows((part << 24) + n, docs, words)
+            yield block_rows((part << 24) + n, docs, numbers, places, buckets)
+        docs, places, numbers = [], [], {}
+        release_memory()
 
     return run
 
 
+IDS = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("ids", pa.binary())])
+
+
 def encoder(path: str):
-    """Distinct words to their ids, four bytes each."""
+    """Encode the words of a bucket, which come from all blocks one list after another, each distinct word once; other rows pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current: int | None = None
+        known: dict[str, bytes] = {}
         for b in batches:
-            words = b.column(0).to_pylist()
-            ids = encode_words(words, path)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.array(i, dtype="<u4").tobytes() for i in ids], pa.binary())], names=["word", "ids"])
+            bucket, text, lengths, places = (b.column(k).to_pylist() for k in range(1, 5))
+            docs, counts, ids = [], [], []
+            for k, joined, raw, rest in zip(bucket, text, lengths, places, strict=True):
+                if k < 0:  # not for this stage
+                    docs.append(joined)
+                    counts.append(raw)
+                    ids.append(rest)
+                    continue
+                if k != current:
+                    current, known = k, {}
+                joined = unpack(joined).decode("utf-8", "surrogatepass")
+                ends = np.cumsum(numbers_of(raw)).tolist()
+                words = [joined[lo:hi] for lo, hi in zip([0, *ends], ends, strict=False)]
+                new = [w for w in words if w not in known]
+                for w, found in zip(new, encode_words(new, path), strict=True):
+                    known[w] = np.array(found, dtype="<u4").tobytes()
+                got = [known[w] for w in words]
+                docs.append(None)
+                counts.append(pack(varints(np.fromiter(map(len, got), dtype=np.int64, count=len(got)) // 4)[0].tobytes()))
+                ids.append(pack(varints(np.frombuffer(b"".join(got), dtype="<u4").astype(np.int64))[0].tobytes()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(docs, pa.binary()), pa.array(counts, pa.binary()), pa.array(ids, pa.binary())], schema=IDS)
 
     return run
 
 
-def joined_buffers(arrays: list[pa.BinaryArray]) -> tuple[np.ndarray, np.ndarray]:
-    """The values of binary arrays one after another, and where each begins (with the end as the last)."""
-    data, sizes = [], [np.zeros(1, dtype=np.int64)]
-    for a in arrays:
-        offsets = np.frombuffer(a.buffers()[1], dtype=np.int32)[a.offset : a.offset + len(a) + 1]
-        if a.buffers()[2] is not None:
-            data.append(np.frombuffer(a.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]])
-        sizes.append(np.diff(offsets).astype(np.int64))
-    return np.concatenate(data) if data else np.zeros(0, dtype=np.uint8), np.cumsum(np.concatenate(sizes))
-
-
-def placed(places: list[pa.BinaryArray], ids: list[pa.BinaryArray], total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pool of all words' ids, and for each of ``total`` places where its word's ids begin in it and how many they are."""
-    raw, at = joined_buffers(places)
-    pool, id_at = joined_buffers(ids)
-    steps = from_varints(raw)
-    done = np.concatenate([[0], np.cumsum((raw & 128) == 0)])[at]  # numbers before each word
-    uses = np.diff(done)
-    sums = np.concatenate([[0], np.cumsum(steps)])
-    where = sums[1:] - np.repeat(sums[done[:-1]], uses)
-    first, length = np.zeros(total, dtype=np.int64), np.zeros(total, dtype=np.int64)
-    first[where] = np.repeat(id_at[:-1] // 4, uses)
-    length[where] = np.repeat(np.diff(id_at) // 4, uses)
-    return pool.view("<u4"), first, length
-
-
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
 def assembler(table):
     """Put the ids of each block's words where the words stood; a block's rows come together, and only one block is held."""
 
-    def finish(places: list, ids: list, docs: list) -> pa.RecordBatch:
-        counts = np.array([n for _, n in docs], dtype=np.int64)
-        pool, first, length = placed(places, ids, int(counts.sum()))
-        ends = np.cumsum(counts)
+    def finish(head: tuple, lists: list[tuple]) -> pa.RecordBatch:
+        docs, of, words = json.loads(unpack(head[0])), np.frombuffer(unpack(head[1]), dtype=np.uint16), numbers_of(head[2])
+        lists.sort(key=lambda x: x[0])
+        place = np.empty(of.size, dtype=np.int64)  # of each word in the order of buckets, as it was sent
+        place[np.argsort(of, kind="stable")] = np.arange(of.size)
+        uses = np.concatenate([np.zeros(0, dtype=np.int64), *(numbers_of(x[1]) for x in lists)])
+        pool = np.concatenate([np.zeros(0, dtype=np.int64), *(numbers_of(x[2]) for x in lists)]).astype("<u4")
+        starts = (np.cumsum(uses) - uses)[place]
+        uses = uses[place]
         out: list[tuple] = []
-        for (doc, _), lo, hi in zip(docs, ends - counts, ends, strict=True):
-            mine = pool[ranges(first[lo:hi], length[lo:hi])]
-            text = pieces_of(mine.astype(np.int64), table.value).decode("utf-8", "replace").encode("utf-8")
-            out.append((doc, len(mine), hashlib.sha256(mine.tobytes()).hexdigest(), hashlib.sha256(text).hexdigest()))
+        lo = 0
+        for doc, n in docs:
+            mine = words[lo : lo + n]
+            lo += n
+            ids = pool[ranges(starts[mine], uses[mine])]
+            text = pieces_of(ids.astype(np.int64), table.value).decode("utf-8", "replace").encode("utf-8")
+            out.append((doc, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text).hexdigest()))
         return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out, strict=True), RESULT, strict=True)], schema=RESULT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, places, ids, docs = None, [], [], []
+        current, head, lists = None, None, []
         for b in batches:
-            blocks = b.column(0).to_numpy()
-            if not len(blocks):
-                continue
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(blocks)) + 1, [len(blocks)]]).tolist()
-            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                if blocks[lo] != current:
+            for block, bucket, docs, counts, ids in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if block != current:
                     if current is not None:
-                        yield finish(places, ids, docs)
-                    current, places, ids, docs = blocks[lo], [], [], []
-                part = b.slice(lo, hi - lo)
-                word = part.column(1).is_valid()
-                for raw in part.column(2).filter(pc.invert(word)).to_pylist():
-                    docs = json.loads(raw)
-                places.append(part.column(2).filter(word))
-                ids.append(part.column(3).filter(word))
+                        yield finish(head, lists)
+                    current, head, lists = block, None, []
+                if bucket < 0:
+                    head = (docs, counts, ids)
+                else:
+                    lists.append((bucket, counts, ids))
         if current is not None:
-            yield finish(places, ids, docs)
+            yield finish(head, lists)
+        head, lists = None, []
+        release_memory()
 
     return run
 
 
-def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` for each row of ``docs``.
 
-    A partition is cut into blocks of whole documents; a block lists each of its words once, with its places. Distinct words of
-    all blocks are encoded once, and the table of words and ids is joined to the blocks' lists: a very
-    frequent word has one row a block, and Spark splits its join if it is large. What moves is words and
-    places, never texts. Ids come back to their block, which puts them in order, and are decoded through the
-    vocabulary's pieces (a table of the vocabulary's size).
+    A partition is cut into blocks of whole documents. A block deals its distinct words by their hash into
+    buckets; a bucket meets the lists of all blocks, so it encodes each distinct word once, and answers
+    each list with the ids of its words in the same order. The block joins them back by position and
+    decodes through the vocabulary's pieces (a table of the vocabulary's size). A word that stands everywhere is one
+    entry a block, so no bucket gets more than its share; what moves is distinct words, ids and
+    the numbers of words, never texts. There are four buckets for each input partition, 64 to 16,384.
 
     Null and empty texts have no ids. Rows that repeat are encoded each; a null id is kept; a text longer
     than a block is a block; an empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    scratch = Scratch(spark, "bpe")
+    text_batches(spark)
     table = spark.sparkContext.broadcast(piece_table(path))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    blocks = scratch.table(rows.mapInArrow(to_blocks(path), "block long, word string, places binary"), "blocks")
-    words = blocks.where("word is not null").select("word").distinct().mapInArrow(encoder(path), "word string, ids binary")
-    joined = blocks.where("word is not null").join(words, "word").select("block", "word", "places", "ids")
-    heads = blocks.where("word is null").select("block", "word", "places", F.lit(None).cast("binary").alias("ids"))
-    together = joined.unionByName(heads).repartition("block").sortWithinPartitions("block")
+    buckets = buckets or min(16_384, max(64, 4 * rows.rdd.getNumPartitions()))
+    lists = rows.mapInArrow(to_blocks(path, buckets), "block long, bucket int, words binary, lengths binary, places binary")
+    # what isn't for a bucket is dealt by its block
+    asked = lists.repartition("bucket", F.when(F.col("bucket") < 0, F.col("block"))).sortWithinPartitions("bucket")
+    answers = asked.mapInArrow(encoder(path), "block long, bucket int, docs binary, counts binary, ids binary")
+    together = answers.repartition("block").sortWithinPartitions("block")
     return together.mapInArrow(assembler(table), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
