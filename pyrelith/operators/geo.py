@@ -93,6 +93,24 @@ def space_time_pairs(points: DataFrame, eps_m: float, eps_s: int, key: str = "de
     return probe.join(q, ["bx", "by", "bt"]).where(near).select("a", "b", F.sqrt(d2).alias("metres"), F.abs(F.col("ta") - F.col("tb")).alias("seconds"))
 
 
+def within_circles(everything: DataFrame, points: DataFrame, centres: DataFrame, radius_m: float, key: str = "detection_id") -> DataFrame:
+    """The rows of ``points`` inside any circle around ``centres``, the edge included, on the plane of ``everything``.
+
+    Centres are dealt to the 9 cells around their own, points to one; what is left is a semi join by cell with an exact test.
+    """
+    mean = everything.agg(F.avg("latitude").alias("mean_lat"))
+
+    def on_plane(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(mean)).select(key, (F.col("longitude") * (F.cos(F.radians("mean_lat")) * M_PER_DEG)).alias("x"), (F.col("latitude") * M_PER_DEG).alias("y"))
+
+    around = F.array(*[F.lit(k) for k in (-1, 0, 1)])
+    c = on_plane(centres).select(F.col("x").alias("xc"), F.col("y").alias("yc")).distinct().withColumn("i", F.explode(around)).withColumn("j", F.explode(around))
+    c = c.select("xc", "yc", (F.floor(F.col("xc") / radius_m) + F.col("i")).alias("cx"), (F.floor(F.col("yc") / radius_m) + F.col("j")).alias("cy"))
+    p = on_plane(points).withColumns({"cx": F.floor(F.col("x") / radius_m), "cy": F.floor(F.col("y") / radius_m)})
+    near = (p["cx"] == c["cx"]) & (p["cy"] == c["cy"]) & (F.pow(F.col("x") - F.col("xc"), 2) + F.pow(F.col("y") - F.col("yc"), 2) <= radius_m * radius_m)
+    return p.join(c, near, "left_semi").select(key)
+
+
 def segment_distance(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """Distance of a point from a segment, which may be a point."""
     dx, dy = x2 - x1, y2 - y1

@@ -1,6 +1,6 @@
 """Queries composed from the operators; importing this registers all of them."""
 
-from pyrelith.plans import ingest  # noqa: F401
+from pyrelith.plans import events, ingest, scalars  # noqa: F401
 from pyrelith.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
