@@ -12,7 +12,8 @@ Z = 1.96
 
 def wilson(k: Column, n: Column, z: float = Z) -> tuple[Column, Column]:
     """Score interval of a proportion, cut to 0 and 1; (0, 0) without trials."""
-    p = F.try_divide(k, n)
+    n = F.nullif(n, F.lit(0).cast("double"))
+    p = k / n
     mid = (p + z * z / (2 * n)) / (1 + z * z / n)
     half = z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n)) / (1 + z * z / n)
     return F.coalesce(F.greatest(mid - half, F.lit(0.0)), F.lit(0.0)), F.coalesce(F.least(mid + half, F.lit(1.0)), F.lit(0.0))
