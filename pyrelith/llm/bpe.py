@@ -111,16 +111,23 @@ def varints(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, size
 
 
-def from_varints(data: np.ndarray) -> np.ndarray:
-    last = (data & 128) == 0
-    ends = np.flatnonzero(last)
-    starts = np.concatenate([[0], ends[:-1] + 1]) if ends.size else ends
-    x = np.zeros(ends.size, dtype=np.int64)
-    for k in range(4):
-        at = starts + k
-        has = at <= ends
-        x[has] |= (data[at[has]].astype(np.int64) & 127) << (7 * k)
-    return x
+def from_varints(data: np.ndarray, kind=np.int64, piece: int = 1 << 18) -> np.ndarray:
+    """The numbers of a run of varints, decoded piece by piece so that little more than the result is held."""
+    out, lo = [np.zeros(0, dtype=kind)], 0
+    while lo < data.size:
+        hi = min(lo + piece, data.size)
+        while hi < data.size and data[hi - 1] & 128:
+            hi += 1
+        part = data[lo:hi]
+        ends = np.flatnonzero((part & 128) == 0)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        x = np.zeros(ends.size, dtype=kind)
+        for k in range(4):
+            has = starts + k <= ends
+            x[has] |= (part[starts[has] + k].astype(kind) & 127) << (7 * k)
+        out.append(x)
+        lo = hi
+    return np.concatenate(out)
 
 
 #: A block is whole documents of about so many characters.
@@ -137,8 +144,8 @@ def unpack(raw: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(raw)
 
 
-def numbers_of(packed: bytes) -> np.ndarray:
-    return from_varints(np.frombuffer(unpack(packed), dtype=np.uint8))
+def numbers_of(packed: bytes, kind=np.int64) -> np.ndarray:
+    return from_varints(np.frombuffer(unpack(packed), dtype=np.uint8), kind)
 
 
 def block_rows(block: int, docs: list[tuple], numbers: dict[str, int], places: list[np.ndarray], buckets: int) -> pa.RecordBatch:
@@ -156,8 +163,8 @@ def block_rows(block: int, docs: list[tuple], numbers: dict[str, int], places: l
         mine = [words[k] for k in part.tolist()]
         lengths, _ = varints(np.fromiter(map(len, mine), dtype=np.int64, count=len(mine)))
         rows.append((block, int(of[part[0]]), pack("".join(mine).encode("utf-8", "surrogatepass")), pack(lengths.tobytes()), None))
-    steps, _ = varints(np.concatenate(places).astype(np.int64)) if places else (np.zeros(0, dtype=np.uint8), None)
-    rows.append((block, -1, pack(json.dumps(docs).encode()), pack(of.tobytes()), pack(steps.tobytes())))
+    steps = b"".join(varints(p.astype(np.int64))[0].tobytes() for p in places)
+    rows.append((block, -1, pack(json.dumps(docs).encode()), pack(of.tobytes()), pack(steps)))
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), LISTS, strict=True)], schema=LISTS)
 
 
@@ -227,12 +234,12 @@ def assembler(table):
     """Put the ids of each block's words where the words stood; a block's rows come together, and only one block is held."""
 
     def finish(head: tuple, lists: list[tuple]) -> pa.RecordBatch:
-        docs, of, words = json.loads(unpack(head[0])), np.frombuffer(unpack(head[1]), dtype=np.uint16), numbers_of(head[2])
+        docs, of, words = json.loads(unpack(head[0])), np.frombuffer(unpack(head[1]), dtype=np.uint16), numbers_of(head[2], np.uint32)
         lists.sort(key=lambda x: x[0])
         place = np.empty(of.size, dtype=np.int64)  # of each word in the order of buckets, as it was sent
         place[np.argsort(of, kind="stable")] = np.arange(of.size)
         uses = np.concatenate([np.zeros(0, dtype=np.int64), *(numbers_of(x[1]) for x in lists)])
-        pool = np.concatenate([np.zeros(0, dtype=np.int64), *(numbers_of(x[2]) for x in lists)]).astype("<u4")
+        pool = np.concatenate([np.zeros(0, dtype="<u4"), *(numbers_of(x[2], np.uint32) for x in lists)])
         starts = (np.cumsum(uses) - uses)[place]
         uses = uses[place]
         out: list[tuple] = []

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyrelith.runtime import release_memory, text_batches
+
 SYMBOLS = 64
 DIMS = SYMBOLS + SYMBOLS**2 + SYMBOLS**3
 UNKNOWN = "und"
@@ -188,6 +190,7 @@ def keep_identified(docs: DataFrame, least_score: float = 0.25, **options) -> Da
     """
     import pyarrow as pa
 
+    text_batches(docs.sparkSession)
     model = fit(docs.where(~F.coalesce(held_out(), F.lit(True))).select("doc_id", "text", "lang"), **options)
     held = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
@@ -199,6 +202,7 @@ def keep_identified(docs: DataFrame, least_score: float = 0.25, **options) -> Da
             for k in range(0, len(texts), BATCH):
                 keep += [lang != UNKNOWN and score >= least_score for lang, score in held.value.predict(texts[k : k + BATCH])]
             yield b.filter(pa.array(keep, pa.bool_()))
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)
 

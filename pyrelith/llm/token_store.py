@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyrelith.llm.bpe import added_tokens, encode_words, split_words
-from pyrelith.runtime import Scratch
+from pyrelith.runtime import Scratch, release_memory, text_batches
 
 MAGIC = b"PTS1"
 #: Ids of one block, and blocks coded side by side; a task holds lanes * block ids.
@@ -346,6 +346,8 @@ def to_stripes(path: str, end_id: int):
                 before += n
         if size:
             yield stripe_row(part, docs, np.concatenate(held))
+        docs, held = [], []
+        release_memory()
 
     return run
 
@@ -357,6 +359,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int = 2, id_co
     than a stripe of ids. Null texts have the end id only; null ids come first; rows that repeat an id are
     written each, in order of their texts; an empty table gives a folder without rows.
     """
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = rows.repartitionByRange(max(1, rows.rdd.getNumPartitions()), "doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(to_stripes(path, end_id), "part long, docs string, ids long, payload binary").write.mode("overwrite").parquet(folder)
