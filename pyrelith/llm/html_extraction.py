@@ -249,17 +249,13 @@ def extract(page: str | None, wrapper: list | None) -> str:
         s = slots([root], "")
         template_nodes(wrapper, s, as_wrapper(s), template, wrapper[1])
     out: list[str] = []
+    line: list[str] = []
     for top in within or [root]:
-        blocks(top, template, not within, out, [])
-        flush(out, line := [])
-    if not within:
-        out.clear()
-        line: list[str] = []
-        blocks(root, template, True, out, line)
+        blocks(top, template, not within, out, line)
+        flush(out, line)
+    if not out and not within:
+        blocks(root, set(), False, out, line)
         flush(out, line)
-        if not out:
-            blocks(root, set(), False, out, line)
-            flush(out, line)
     return " ".join(out)
 
 
