@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pyrelith.operators.components import connected_components
-from pyrelith.runtime import Scratch
+from pyrelith.runtime import Scratch, release_memory, text_batches
 
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15
 #: Words remembered by one worker before its memory is emptied.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
+#: Texts whose sets are held at once.
+PIECE = 256
 #: Coordinates of the signature that pairs across components must agree in as well.
 FINE = 512
 SIGS = "doc_id long, n_shingles long, digest binary, sig array<int>"
@@ -75,7 +77,7 @@ def sign(sets: list[np.ndarray], coords: int) -> np.ndarray:
 
 
 def matches_needed(coords: int, least: float) -> int:
-    """Coordinates that a pair at the similarity ``least`` shares but for one in about 100,000 such pairs (4.3 deviations)."""
+    """Coordinates that a pair at the similarity ``least`` shares but for about two in 100,000 such pairs (4.3 deviations)."""
     return max(1, math.floor(coords * least - 4.3 * math.sqrt(coords * least * (1 - least))))
 
 
@@ -113,12 +115,18 @@ def confirm(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "set_a", "set_b").mapInPandas(run, "a long, b long")
 
 
+def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        for k in range(0, len(b), PIECE):
+            yield b.iloc[k : k + PIECE]
+
+
 def signatures(docs: DataFrame, coords: int, width: int) -> DataFrame:
     """``(doc_id, n_shingles, digest, sig)``; the digest (128 bits over the whole set) names texts with equal sets."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for b in batches:
+        for b in pieces(batches):
             sets = [shingle_set(t, hashes, width) for t in b["text"]]
             full = [i for i, s in enumerate(sets) if s.size]
             sigs: list = [None] * len(sets)
@@ -126,6 +134,8 @@ def signatures(docs: DataFrame, coords: int, width: int) -> DataFrame:
                 for i, row in zip(full, sign([sets[i] for i in full], coords), strict=True):
                     sigs[i] = row
             yield pd.DataFrame({"doc_id": b["doc_id"], "n_shingles": [s.size for s in sets], "digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "sig": sigs})
+        hashes = None
+        release_memory()
 
     return docs.mapInPandas(run, SIGS)
 
@@ -149,7 +159,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     agree in t coordinates, counted whole, are confirmed too; lists are dealt in blocks of ``block_rows``, so no task gets
     a long one. A pair inside a component isn't made: it can't change the result. Sets move only for
     classes that are posted. Every link between different texts that the signatures find is thus kept; t is so low that they miss
-    about one pair in 100,000 at the very threshold, fewer above it.
+    about two pairs in 100,000 at the very threshold, fewer above it.
 
     Null and wordless texts have no shingles and are alone. Rows that share an id are one document with
     several texts; a null id is linked with nothing and has a null component. Repeated rows are one
@@ -157,6 +167,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near-dedup")
+    text_batches(spark)
     least = matches_needed(coords, percent / 100)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sigs = scratch.table(signatures(texts, coords, width), "signatures")
@@ -174,8 +185,17 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = posts.join(leaders, "token").where("rep <> -lead.minus").groupBy("rep").agg(F.max("lead").alias("lead")).select(F.col("rep").alias("a"), (-F.col("lead.minus")).alias("b"))
     star = scratch.table(star, "star")
     if star.isEmpty():
-        return sigs.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+        label = spark.createDataFrame([], "node long, component long")
+    else:
+        label = linked_components(spark, scratch, texts, classes, posted, posts, star, percent, width, least, broadcast_bytes, block_rows)
+    members = classes.join(label, classes["rep"] == label["node"], "left").select("digest", "n_shingles", F.coalesce("component", "rep").alias("component"))
+    out = sigs.join(members, ["digest", "n_shingles"], "left")
+    out = out.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
+
+def linked_components(spark, scratch: Scratch, texts: DataFrame, classes: DataFrame, posted: DataFrame, posts: DataFrame, star: DataFrame, percent: int, width: int, least: int, broadcast_bytes: int, block_rows: int) -> DataFrame:
+    """``(node, component)`` of the classes that have a confirmed link: to leaders first, then across components."""
     # sets of the classes that may have a link: one pass over the texts they stand for
     wanted = star.select(F.col("a").alias("rep"), F.col("b").alias("lead"), F.lit(False).alias("leads")).unionByName(star.select(F.col("b").alias("rep"), F.lit(None).cast("long").alias("lead"), F.lit(True).alias("leads")).distinct())
     wanted = wanted.groupBy("rep").agg(F.max("lead").alias("lead"), F.max("leads").alias("leads"))
@@ -183,9 +203,11 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for t in batches:
+        for t in pieces(batches):
             sets = [shingle_set(x, hashes, width) for x in t["text"]]
             yield pd.DataFrame({"id": t["doc_id"], "lead": t["lead"].astype("Int64"), "leads": t["leads"], "set": [s.tobytes() for s in sets], "fine": [fine_sign(s) if s.size else b"" for s in sets]})
+        hashes = None
+        release_memory()
 
     near = texts.join(wanted, texts["doc_id"] == wanted["rep"]).select("doc_id", "lead", "leads", "text")
     sets = scratch.table(near.mapInPandas(shingled, "id long, lead long, leads boolean, set binary, fine binary"), "sets")
@@ -212,10 +234,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         over = scratch.table(connected_components(more, Scratch(spark, "near-dedup-2")).withColumnRenamed("component", "top"), "components2")
         old = label.join(over.withColumnRenamed("node", "component"), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
         label = scratch.table(old.unionByName(over.join(label, over["node"] == label["node"], "left_anti").select("node", F.col("top").alias("component"))), "components")
-    members = classes.join(label, classes["rep"] == label["node"], "left").select("digest", "n_shingles", F.coalesce("component", "rep").alias("component"))
-    out = sigs.join(members, ["digest", "n_shingles"], "left")
-    out = out.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return label
 
 
 def cross_pairs(posts: DataFrame, marks: DataFrame, least: int, fine_least: int) -> DataFrame:
