@@ -16,7 +16,8 @@ def wilson(k: Column, n: Column, z: float = Z) -> tuple[Column, Column]:
     p = k / n
     mid = (p + z * z / (2 * n)) / (1 + z * z / n)
     half = z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n)) / (1 + z * z / n)
-    return F.coalesce(F.greatest(mid - half, F.lit(0.0)), F.lit(0.0)), F.coalesce(F.least(mid + half, F.lit(1.0)), F.lit(0.0))
+    low, high = F.greatest(mid - half, F.lit(0.0)), F.least(mid + half, F.lit(1.0))
+    return F.when(n.isNull(), 0.0).otherwise(low), F.when(n.isNull(), 0.0).otherwise(high)
 
 
 def stratified_area(strata: DataFrame) -> DataFrame:

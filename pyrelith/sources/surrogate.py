@@ -74,6 +74,8 @@ def oracle(sql: str, *names: str) -> str:
     chain = dict.fromkeys(n for name in names for n in [*NEEDS.get(name, []), name])
     head = ", ".join(f"{n} AS ({VIEWS[n]})" for n in chain).replace("{NTZ}", "TIMESTAMP")
     sql = sql.strip()
+    if not head:
+        return sql
     if sql.upper().startswith("WITH RECURSIVE "):
         return f"WITH RECURSIVE {head}, {sql[15:]}"
     return f"WITH {head}, {sql[5:]}" if sql.upper().startswith("WITH ") else f"WITH {head} {sql}"
