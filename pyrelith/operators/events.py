@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pyrelith.operators.components import connected_components
 from pyrelith.operators.geo import space_time_pairs
+from pyrelith.operators.ordering import numbered
 from pyrelith.runtime import Scratch
 
 
@@ -58,8 +59,7 @@ def event_records(members: DataFrame) -> DataFrame:
 
 def number_events(records: DataFrame, prefix: str = "E", digits: int = 4) -> DataFrame:
     """Events in order of (first time, name) get running numbers."""
-    n = F.row_number().over(Window.orderBy("first_seen", "event"))
-    return records.withColumn("event_id", F.format_string(f"{prefix}%0{digits}d", n))
+    return numbered(records, ["first_seen", "event"]).withColumn("event_id", F.format_string(f"{prefix}%0{digits}d", "number")).drop("number")
 
 
 def stable_ids(members: DataFrame, prior: DataFrame, next_number: int, prefix: str = "E") -> DataFrame:

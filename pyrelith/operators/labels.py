@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pyrelith.functions.scalar import scores
+from pyrelith.operators.ordering import numbered
 
 FEATURES = ("b2", "b3", "b4", "b6", "b7", "b8a", "b11", "b12")
 
@@ -50,8 +51,8 @@ def leave_one_out(df: DataFrame, event: str, label: str, features: tuple[str, ..
 
 def shuffled(df: DataFrame, col: str, seed: int, key: str) -> DataFrame:
     """One column dealt anew among the rows: ranks by two different hashes are joined."""
-    a = df.withColumn("__r", F.row_number().over(Window.orderBy(F.xxhash64(key, F.lit(seed)), key)))
-    b = df.select(F.col(col).alias("__v"), F.row_number().over(Window.orderBy(F.xxhash64(key, F.lit(seed + 1)), key)).alias("__r"))
+    a = numbered(df.withColumn("__h", F.xxhash64(key, F.lit(seed))), ["__h", key], "__r").drop("__h")
+    b = numbered(df.select(F.col(col).alias("__v"), key, F.xxhash64(key, F.lit(seed + 1)).alias("__h")), ["__h", key], "__r").select("__v", "__r")
     return a.drop(col).join(b, "__r").withColumnRenamed("__v", col).drop("__r")
 
 

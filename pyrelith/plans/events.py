@@ -218,14 +218,16 @@ def d15_latest_prior(det):
     return a.select(F.round("longitude", 4).alias("lon"), F.round("latitude", 4).alias("lat"), "date_wit", F.lag("date_wit").over(w).alias("prior_day"), F.lag("frp").over(w).alias("prior_frp"), F.coalesce(F.lag("n").over(w), F.lit(0)).alias("prior_n"))
 
 
-@query("v_lab", "v_det", sql="WITH b AS (SELECT DISTINCT stratum, 134.25e0 + (length(stratum) * 7 + ascii(substr(stratum, length(stratum), 1))) % 50 * 0.05e0 AS x FROM v_lab) SELECT stratum, round(min(greatest(abs(longitude - x) - 0.0005e0, 0)) * 111320, 3) AS metres, count(*) AS late FROM b JOIN v_det ON date_wit > DATE '2024-01-20' GROUP BY stratum")
+@query("v_lab", "v_det", sql="WITH b AS (SELECT DISTINCT stratum, 134.25e0 + (length(stratum) * 7 + ascii(substr(stratum, length(stratum), 1))) % 50 * 0.05e0 + 0.0123e0 AS x FROM v_lab) SELECT stratum, round(min(greatest(abs(longitude - x) - 0.0005e0, 0)) * 111320, 3) AS metres, count(detection_id) AS late FROM b LEFT JOIN v_det ON date_wit > DATE '2024-01-20' AND abs(longitude - x) <= 0.03 GROUP BY stratum")
 def d16_box_distance(lab, det):
-    """Distance of the nearest later detection from the side of each box (few boxes, so they are broadcast)."""
-    s = F.col("stratum")
-    boxes = lab.select("stratum", (134.25 + (F.length(s) * 7 + F.ascii(F.substring(s, -1, 1))) % 50 * 0.05).alias("x")).distinct()
-    d = det.where("date_wit > DATE'2024-01-20'").groupBy("longitude").agg(F.count(F.lit(1)).alias("n"))
-    j = d.join(F.broadcast(boxes.limit(1000)))
-    return j.groupBy("stratum").agg(F.round(F.min(F.greatest(F.abs(F.col("longitude") - F.col("x")) - 0.0005, F.lit(0.0))) * 111320, 3).alias("metres"), F.sum("n").alias("late"))
+    """Nearest later detection from the side of each box and how many are in reach, by cells as wide as the reach; null beyond."""
+    s, reach = F.col("stratum"), 0.03
+    x = 134.25 + (F.length(s) * 7 + F.ascii(F.substring(s, -1, 1))) % 50 * 0.05 + 0.0123
+    boxes = lab.select("stratum", x.alias("x")).distinct().withColumn("k", F.explode(F.array(*[F.lit(k) for k in (-1, 0, 1)]))).withColumn("cell", F.floor(F.col("x") / reach) + F.col("k"))
+    d = det.where("date_wit > DATE'2024-01-20'").groupBy("longitude").agg(F.count(F.lit(1)).alias("n")).withColumn("cell", F.floor(F.col("longitude") / reach))
+    j = boxes.join(d, "cell", "left").withColumn("m", F.abs(F.col("longitude") - F.col("x")))
+    near = F.col("m") <= reach
+    return j.groupBy("stratum").agg(F.round(F.min(F.when(near, F.greatest(F.col("m") - 0.0005, F.lit(0.0)))) * 111320, 3).alias("metres"), F.coalesce(F.sum(F.when(near, F.col("n"))), F.lit(0)).alias("late"))
 
 
 @query("v_det", sql="SELECT detection_id FROM v_det WHERE longitude BETWEEN 134.5 AND 135.0 AND datetime_utc BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 00:00:00'")
