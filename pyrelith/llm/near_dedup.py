@@ -248,23 +248,48 @@ def cross_pairs(posts: DataFrame, marks: DataFrame, least: int, fine_least: int)
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))
     dealt = sized.withColumn("cell", F.explode(pairs)).select("token", "cell", "block", "rep", "comp", "sig", "fine", "tokens")
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("rep", kind="stable")
-        sig = np.stack(g["sig"].to_numpy())
-        fine = np.stack([np.frombuffer(f, dtype=np.uint8) for f in g["fine"]])
-        rep, comp, block, tokens = g["rep"].to_numpy(), g["comp"].to_numpy(), g["block"].to_numpy(), [frozenset(t.tolist()) for t in g["tokens"]]
-        token, i, j = int(g["token"].iloc[0]), int(g["cell"].iloc[0]["i"]), int(g["cell"].iloc[0]["j"])
-        one, two = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        out = []
-        for k in one:
-            rest = two[two > k] if i == j else two
-            rest = rest[comp[rest] != comp[k]]
-            rest = rest[(sig[rest] == sig[k]).sum(axis=1) >= least]
-            rest = rest[(fine[rest] == fine[k]).sum(axis=1) >= fine_least]
-            out += [(min(rep[x], rep[k]), max(rep[x], rep[k])) for x in rest.tolist() if min(tokens[x] & tokens[k]) == token]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-    return dealt.groupBy("token", "cell").applyInPandas(run, "a long, b long").where("a <> b").distinct()
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in whole_groups(batches, ["token", "i", "j"]):
+            sig = np.stack(g["sig"].to_numpy())
+            fine = np.stack([np.frombuffer(f, dtype=np.uint8) for f in g["fine"]])
+            rep, comp, block, token, i, j = (g[c].to_numpy() for c in ("rep", "comp", "block", "token", "i", "j"))
+            tokens = [frozenset(t.tolist()) for t in g["tokens"]]
+            cuts = np.flatnonzero((np.diff(token) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+            out: list[tuple] = []
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(g)], strict=True):
+                rows = np.arange(lo, hi)
+                one, two = rows[block[lo:hi] == i[lo]], rows[block[lo:hi] == j[lo]]
+                for k in one.tolist():
+                    rest = two[two > k] if i[lo] == j[lo] else two
+                    rest = rest[comp[rest] != comp[k]]
+                    if rest.size:
+                        rest = rest[(sig[rest] == sig[k]).sum(axis=1) >= least]
+                    if rest.size:
+                        rest = rest[(fine[rest] == fine[k]).sum(axis=1) >= fine_least]
+                        out += [(min(rep[x], rep[k]), max(rep[x], rep[k])) for x in rest.tolist() if min(tokens[x] & tokens[k]) == token[lo]]
+            yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    together = dealt.select("token", "cell.i", "cell.j", "block", "rep", "comp", "sig", "fine", "tokens").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "rep")
+    return together.mapInPandas(run, "a long, b long").where("a <> b").distinct()
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Sorted batches, cut again so that no group of equal keys is in two of them."""
+    held: list[pd.DataFrame] = []
+    for b in batches:
+        if not len(b):
+            continue
+        changed = np.flatnonzero((b[keys].to_numpy()[1:] != b[keys].to_numpy()[:-1]).any(axis=1)) + 1
+        if held and (held[-1][keys].iloc[-1].to_numpy() != b[keys].iloc[0].to_numpy()).any():
+            yield pd.concat(held)
+            held = []
+        if changed.size:
+            yield pd.concat([*held, b.iloc[: changed[-1]]])
+            held = []
+            b = b.iloc[changed[-1] :]
+        held.append(b)
+    if held:
+        yield pd.concat(held)
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, **options) -> DataFrame:
