@@ -227,6 +227,17 @@ def test_coder_round_trip_and_damage():
             token_store.decode_blocks(raw[:at] + bytes([raw[at] ^ 85]) + raw[at + 1 :])
 
 
+def test_pieces_between_spaces_equal_the_library():
+    rng = random.Random(9)
+    known = token_store.PieceIds(PATH, most=50)
+    marks = ["a", "bc", "1", "!", "'s", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "\x1c", "\x85", "é", "世", "<|endoftext|>", "\u200b", "-"]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randrange(1, 14))) for _ in range(3000)] + ["a b", " a b", "a b ", "", None]
+    whole = bpe.tokenizer(PATH).encode_batch([t or "" for t in texts], add_special_tokens=False)
+    for lo in range(0, len(texts), 100):
+        for raw, e in zip(known.texts(texts[lo : lo + 100]), whole[lo : lo + 100]):
+            assert np.frombuffer(raw, dtype="<u2").tolist() == e.ids
+
+
 def test_token_files_equal_the_library(spark, sf, monkeypatch):
     monkeypatch.setattr(token_store, "LANES", 3)  # documents cut over stripes
     d = token_documents(spark, sf)
