@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyrelith.functions.scalar import circle_day
@@ -14,17 +14,25 @@ def season_window(days: DataFrame, half: int, col: str = "doy") -> DataFrame:
     return days.withColumn("target", F.explode(F.transform(around, lambda k: F.pmod(F.col(col) - 1 + k, F.lit(365)) + 1)))
 
 
-def climatology(positives: DataFrame, observed: DataFrame, half: int, fold: Column | None = None) -> DataFrame:
+def climatology(positives: DataFrame, observed: DataFrame, half: int) -> DataFrame:
     """K5, K6: ``(cell, fold, doy, num, den, p)``: of the observed days in the window, the share with a positive in the cell.
 
     ``positives`` has ``(cell, date)``, ``observed`` has ``(date)``; a fold is a year that is left out. Without
     observed days p is 0. Cells and seasons without positives aren't listed: their p is 0.
     """
-    years = observed.select(F.year("date").alias("fold")).distinct()
-    d = season_window(observed.select("date", circle_day("date").alias("doy")), half).join(F.broadcast(years), F.year("date") != F.col("fold"))
-    den = d.groupBy("fold", "target").agg(F.count(F.lit(1)).alias("den"))
-    p = season_window(positives.join(observed, "date", "left_semi").select("cell", "date", circle_day("date").alias("doy")).distinct(), half).join(F.broadcast(years), F.year("date") != F.col("fold"))
-    num = p.groupBy("cell", "fold", "target").agg(F.count(F.lit(1)).alias("num"))
+    years = observed.agg(F.array_sort(F.collect_set(F.year("date"))).alias("folds"))
+
+    def without_own_year(rows: DataFrame, by: list[str], name: str) -> DataFrame:
+        """Counts by season, and of each fold what is left of them without its own year; one row a season, not a row a day and year."""
+        n = rows.groupBy(*by, "target", F.year("date").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+        n = n.groupBy(*by, "target").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("y", "n"))).alias("own"))
+        n = n.join(F.broadcast(years)).withColumn("fold", F.explode("folds"))
+        left = F.col("all") - F.coalesce(F.col("own")[F.col("fold")], F.lit(0))
+        return n.select(*by, "fold", "target", left.alias(name)).where(F.col(name) > 0)
+
+    den = without_own_year(season_window(observed.select("date", circle_day("date").alias("doy")).distinct(), half), [], "den")
+    seen = positives.join(observed, "date", "left_semi").select("cell", "date", circle_day("date").alias("doy")).distinct()
+    num = without_own_year(season_window(seen, half), ["cell"], "num")
     return num.join(den, ["fold", "target"]).select("cell", "fold", F.col("target").alias("doy"), "num", "den", (F.col("num") / F.col("den")).alias("p"))
 
 

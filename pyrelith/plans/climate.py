@@ -52,8 +52,8 @@ def scored(hist):
     grid = obs.join(F.broadcast(cell)).join(pos.withColumn("positive", F.lit(True)), ["cell", "date"], "left").withColumn("positive", F.coalesce("positive", F.lit(False)))
     grid = grid.withColumn("fold", F.year("date")).withColumn("doy", S.circle_day("date"))
     days = obs.groupBy(F.year("date").alias("y")).agg(F.count(F.lit(1)).alias("d")).join(pos.groupBy(F.year("date").alias("y")).agg(F.count(F.lit(1)).alias("k")), "y", "left")
-    years = days.select(F.col("y").alias("fold"))
-    base = years.join(F.broadcast(days), F.col("y") != F.col("fold")).groupBy("fold").agg((F.sum(F.coalesce("k", F.lit(0))) / F.sum("d")).alias("rate"))
+    total = days.agg(F.sum("d").alias("all_d"), F.sum("k").alias("all_k"))
+    base = days.join(F.broadcast(total)).select(F.col("y").alias("fold"), ((F.col("all_k") - F.coalesce("k", F.lit(0))) / (F.col("all_d") - F.col("d"))).alias("rate"))
     base = base.join(F.broadcast(cell.agg(F.count(F.lit(1)).alias("cells")))).select("fold", (F.col("rate") / F.col("cells")).alias("base"))
     out = grid.join(climate(hist).select("cell", "fold", "doy", "p"), ["cell", "fold", "doy"], "left").join(F.broadcast(base), "fold")
     return out.withColumn("p", F.coalesce("p", F.lit(0.0)))

@@ -10,6 +10,7 @@ from pyrelith.operators import events as E
 from pyrelith.operators import geo, recurrence, stations
 from pyrelith.plans.ingest import with_ring
 from pyrelith.plans.registry import query
+from pyrelith.runtime import Scratch
 
 EPS_M, EPS_S = 375.0, 6 * 3600
 PLANE = "p AS (SELECT detection_id AS id, datetime_utc, frp, satellite, latitude, longitude, longitude * (cos(radians((SELECT avg(latitude) FROM v_det))) * 111320) AS x, latitude * 111320 AS y, CAST(floor(epoch(datetime_utc)) AS BIGINT) AS t FROM v_det)"
@@ -34,7 +35,7 @@ def j1_st_dbscan(det):
   SELECT (SELECT count(*) FROM c) AS core, (SELECT count(DISTINCT e.a) FROM e JOIN c ON c.id = e.b WHERE e.a NOT IN (SELECT id FROM c)) AS border, (SELECT count(*) FROM p) AS points""")
 def j1_core_border(det):
     """J1 with four samples: how many points are core and how many are taken in by one."""
-    pairs = geo.space_time_pairs(det, EPS_M, EPS_S).select("a", "b")
+    pairs = Scratch(det.sparkSession, "pairs").table(geo.space_time_pairs(det, EPS_M, EPS_S).select("a", "b"), "pairs")
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     core = both.groupBy("a").count().where("count + 1 >= 4").select(F.col("a").alias("id"))
     border = both.join(core, both["b"] == core["id"], "left_semi").join(core, both["a"] == core["id"], "left_anti").agg(F.countDistinct("a").alias("border"))
