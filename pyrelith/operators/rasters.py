@@ -50,12 +50,12 @@ def window_median(grid: DataFrame, value: str, half: int, size: int, tile: int =
 
 
 def patches(pixels: DataFrame, width: int) -> DataFrame:
-    """Patches of pixels ``(x, y)`` that touch by a side or a corner: the smallest number (x * width + y) and the size."""
+    """Patches of pixels ``(scene, x, y)`` that touch by a side or a corner: the smallest number (scene * width^2 + x * width + y) and the size."""
     scratch = Scratch(pixels.sparkSession, "patches")
-    p = scratch.table(pixels.select((F.col("x") * width + F.col("y")).alias("id"), "x", "y"), "pixels")
+    p = scratch.table(pixels.select((F.col("scene") * width * width + F.col("x") * width + F.col("y")).cast("long").alias("id"), "scene", "x", "y"), "pixels")
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 1), (1, -1), (1, 0), (1, 1))])
-    q = p.withColumn("s", F.explode(steps)).select(F.col("id").alias("a"), (F.col("x") + F.col("s.i")).alias("x"), (F.col("y") + F.col("s.j")).alias("y"))
-    comp = connected_components(q.join(p, ["x", "y"]).select("a", F.col("id").alias("b")), scratch)
+    q = p.withColumn("s", F.explode(steps)).select(F.col("id").alias("a"), "scene", (F.col("x") + F.col("s.i")).alias("x"), (F.col("y") + F.col("s.j")).alias("y"))
+    comp = connected_components(q.join(p, ["scene", "x", "y"]).select("a", F.col("id").alias("b")), scratch)
     return p.join(comp, p["id"] == comp["node"], "left").groupBy(F.coalesce("component", "id").alias("patch")).agg(F.count(F.lit(1)).alias("pixels"))
 
 

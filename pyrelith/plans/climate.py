@@ -14,7 +14,7 @@ from pyrelith.operators import statistics as T
 from pyrelith.plans.registry import query
 
 DOY = "extract(doy FROM {d})::INTEGER - CASE WHEN ((year({d}) % 4 = 0 AND year({d}) % 100 <> 0) OR year({d}) % 400 = 0) AND extract(doy FROM {d}) >= 60 THEN 1 ELSE 0 END"
-POS = f"""o AS (SELECT DISTINCT date_wit AS date, year(date_wit)::INTEGER AS y, {DOY.format(d='date_wit')} AS doy FROM v_hist WHERE detection_id % 5 <> 0), po AS (SELECT DISTINCT CAST(floor((longitude - 134.25) / 0.5) AS BIGINT) AS cell, date_wit AS date, year(date_wit)::INTEGER AS y, {DOY.format(d='date_wit')} AS doy FROM v_hist WHERE detection_id % 3 = 0 AND date_wit IN (SELECT date FROM o)),
+POS = f"""o AS (SELECT DISTINCT date_wit AS date, year(date_wit)::INTEGER AS y, {DOY.format(d='date_wit')} AS doy FROM v_hist WHERE satellite <> 'N21'), po AS (SELECT DISTINCT CAST(floor((longitude - 134.25) / 0.5) AS BIGINT) AS cell, date_wit AS date, year(date_wit)::INTEGER AS y, {DOY.format(d='date_wit')} AS doy FROM v_hist WHERE satellite = 'Terra' AND date_wit IN (SELECT date FROM o)),
   ys AS (SELECT DISTINCT y AS fold FROM o), den AS (SELECT fold, t AS doy, count(*) AS den FROM o JOIN ys ON y <> fold JOIN range(1, 366) AS r(t) ON least(abs(doy - t), 365 - abs(doy - t)) <= 15 GROUP BY ALL),
   num AS (SELECT cell, fold, t AS doy, count(*) AS num FROM po JOIN ys ON y <> fold JOIN range(1, 366) AS r(t) ON least(abs(doy - t), 365 - abs(doy - t)) <= 15 GROUP BY ALL),
   cl AS (SELECT cell, fold, doy, num, den, num / den AS p FROM num JOIN den USING (fold, doy))"""
@@ -25,11 +25,11 @@ def cells(hist):
 
 
 def observed(hist):
-    return hist.where("detection_id % 5 <> 0").select(F.col("date_wit").alias("date")).distinct()
+    return hist.where("satellite <> 'N21'").select(F.col("date_wit").alias("date")).distinct()
 
 
 def positives(hist):
-    return cells(hist.where("detection_id % 3 = 0")).select("cell", "date").distinct()
+    return cells(hist.where("satellite = 'Terra'")).select("cell", "date").distinct()
 
 
 def climate(hist):
@@ -169,10 +169,10 @@ def k2_kbdi_series(wx):
 
 @query("v_wx", "v_hist", sql="""WITH d AS (SELECT DISTINCT date_wit AS date FROM v_hist WHERE o_mark), x AS (SELECT year(w.date)::INTEGER AS fold, w.*, d.date IS NOT NULL AS positive FROM v_wx w LEFT JOIN d USING (date)),
   l AS (SELECT fold, positive, unnest(['t_noon', 'rh', 'wind']) AS index_name, unnest([t_noon, 100 - rh, wind]) AS score FROM x), t AS (SELECT fold, index_name, score, count(*) AS n, sum(positive::INT) AS tp FROM l GROUP BY ALL), c AS (SELECT *, sum(n) OVER w AS above, sum(tp) OVER w AS hits FROM t WINDOW w AS (PARTITION BY fold, index_name ORDER BY score DESC))
-  SELECT fold, index_name, CAST(sum(n) AS BIGINT) AS n, CAST(sum(tp) AS BIGINT) AS positives, round(sum(tp * hits / above) / nullif(sum(tp), 0), 7) AS ap FROM c GROUP BY ALL""".replace("o_mark", "detection_id % 6 = 0"))
+  SELECT fold, index_name, CAST(sum(n) AS BIGINT) AS n, CAST(sum(tp) AS BIGINT) AS positives, round(sum(tp * hits / above) / nullif(sum(tp), 0), 7) AS ap FROM c GROUP BY ALL""".replace("o_mark", "satellite = 'N20' AND frp > 300"))
 def k9_index_scores(wx, hist):
     """Average precision of several indices at once, by year."""
-    pos = hist.where("detection_id % 6 = 0").select(F.col("date_wit").alias("date")).distinct().withColumn("positive", F.lit(True))
+    pos = hist.where("satellite = 'N20' and frp > 300").select(F.col("date_wit").alias("date")).distinct().withColumn("positive", F.lit(True))
     x = wx.join(pos, "date", "left").withColumn("positive", F.coalesce("positive", F.lit(False))).withColumn("fold", F.year("date"))
     long = x.select("fold", "positive", F.explode(F.array(*[F.struct(F.lit(n).alias("index_name"), v.alias("score")) for n, v in (("t_noon", F.col("t_noon")), ("rh", 100 - F.col("rh")), ("wind", F.col("wind")))])).alias("s")).select("fold", "positive", "s.*")
     return C.average_precision(long, ["fold", "index_name"]).withColumn("ap", F.round("ap", 7))

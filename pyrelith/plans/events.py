@@ -72,11 +72,11 @@ def j3_stable_ids(det):
     return E.stable_ids(E.st_dbscan(det, EPS_M, EPS_S), prior, 9000)
 
 
-@query("v_det", sql="""WITH g AS (SELECT 250.0e0 AS m, 10800 AS s UNION ALL SELECT 375.0e0, 21600), p AS (SELECT detection_id AS id, longitude * (cos(radians((SELECT avg(latitude) FROM v_det))) * 111320) AS x, latitude * 111320 AS y, CAST(floor(epoch(datetime_utc)) AS BIGINT) AS t FROM v_det WHERE instrument = 'MODIS')
-  SELECT CAST(m AS DOUBLE) AS eps_m, CAST(s AS BIGINT) AS eps_s, count(*) AS pairs FROM g JOIN p a ON true JOIN p b ON a.id < b.id AND abs(a.t - b.t) <= s AND pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= m * m AND abs(a.x - b.x) <= m GROUP BY ALL""".replace("(SELECT avg(latitude) FROM v_det)", "(SELECT avg(latitude) FROM v_det WHERE instrument = 'MODIS')"))
+@query("v_det", sql="""WITH g AS (SELECT 250.0e0 AS m, 10800 AS s UNION ALL SELECT 375.0e0, 21600), p AS (SELECT detection_id AS id, longitude * (cos(radians((SELECT avg(latitude) FROM v_det))) * 111320) AS x, latitude * 111320 AS y, CAST(floor(epoch(datetime_utc)) AS BIGINT) AS t FROM v_det)
+  SELECT CAST(m AS DOUBLE) AS eps_m, CAST(s AS BIGINT) AS eps_s, count(*) AS pairs FROM g JOIN p a ON true JOIN p b ON a.id < b.id AND abs(a.t - b.t) <= s AND pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= m * m AND abs(a.x - b.x) <= m GROUP BY ALL""")
 def j17_parameter_grid(det):
     """Neighbours under several settings from one join at the widest."""
-    pairs = geo.space_time_pairs(det.where("instrument = 'MODIS'"), 375.0, 21_600)
+    pairs = geo.space_time_pairs(det, 375.0, 21_600)
     grid = F.array(*[F.struct(F.lit(m).alias("eps_m"), F.lit(s).cast("long").alias("eps_s")) for m, s in ((250.0, 10_800), (375.0, 21_600))])
     hit = pairs.withColumn("g", F.explode(F.filter(grid, lambda g: (F.col("metres") <= g["eps_m"]) & (F.col("seconds") <= g["eps_s"]))))
     return hit.groupBy("g.eps_m", "g.eps_s").agg(F.count(F.lit(1)).alias("pairs"))
@@ -115,26 +115,26 @@ def e6_recurrent_today(hist):
 @query("v_hist")
 def j4_leader_clusters(hist):
     """Clusters around running centroids, in order of day and place."""
-    return recurrence.leader_clusters(hist.where("date_wit >= DATE'2001-01-01'"), 750.0)
+    return recurrence.leader_clusters(hist, 750.0)
 
 
 @query("v_det")
 def j7_seed_clusters(det):
     """Clusters around the strongest detection within reach."""
-    return recurrence.seed_clusters(det.where("date_wit = DATE'2024-01-10'"), 375.0)
+    return recurrence.seed_clusters(det, 375.0)
 
 
 ROADS = "r AS (SELECT s_suppkey AS road, s_nationkey, 134.25e0 + (s_suppkey % 50) * 0.05e0 AS x1, -1.39e0 + (s_nationkey % 5) * 0.01e0 AS y1, 134.25e0 + (s_suppkey % 50) * 0.05e0 + 0.02e0 AS x2, -1.385e0 + (s_nationkey % 7) * 0.01e0 AS y2, CASE s_suppkey % 3 WHEN 0 THEN 'main' WHEN 1 THEN 'track' ELSE 'path' END AS cls FROM supplier)"
 
 
-@query("v_det", "supplier", sql=f"""WITH {ROADS}, d AS (SELECT detection_id AS id, longitude AS x, latitude AS y FROM v_det WHERE detection_id % 5 = 0),
+@query("v_det", "supplier", sql=f"""WITH {ROADS}, d AS (SELECT detection_id AS id, longitude AS x, latitude AS y FROM v_det),
   t AS (SELECT id, cls, x, y, x1, y1, x2 - x1 AS dx, y2 - y1 AS dy, least(greatest(((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / (pow(x2 - x1, 2) + pow(y2 - y1, 2)), 0), 1) AS k FROM d CROSS JOIN r),
   m AS (SELECT id, cls, sqrt(pow(x - x1 - k * dx, 2) + pow(y - y1 - k * dy, 2)) AS m FROM t)
   SELECT d.id, round(min(m), 6) AS metres, min_by(cls, (m, cls)) AS cls FROM d LEFT JOIN m ON m.id = d.id AND m.m <= 0.05e0 GROUP BY d.id""")
 def d5_nearest_road(det, supplier):
     """Nearest segment in reach, its class; null beyond."""
     roads = supplier.select((134.25 + (F.col("s_suppkey") % 50) * 0.05).alias("x1"), (-1.39 + (F.col("s_nationkey") % 5) * 0.01).alias("y1"), (134.25 + (F.col("s_suppkey") % 50) * 0.05 + 0.02).alias("x2"), (-1.385 + (F.col("s_nationkey") % 7) * 0.01).alias("y2"), F.when(F.col("s_suppkey") % 3 == 0, "main").when(F.col("s_suppkey") % 3 == 1, "track").otherwise("path").alias("cls"))
-    pts = det.where("detection_id % 5 = 0").select(F.col("detection_id").alias("id"), F.col("longitude").alias("x"), F.col("latitude").alias("y"))
+    pts = det.select(F.col("detection_id").alias("id"), F.col("longitude").alias("x"), F.col("latitude").alias("y"))
     return geo.nearest_segment(pts, roads, 0.05).select("id", F.round("metres", 6).alias("metres"), "cls")
 
 

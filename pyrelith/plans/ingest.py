@@ -193,11 +193,11 @@ def e2_d13_district_rollup(det, adm):
     return ingest.district_rollup(inside, adm)
 
 
-@query("v_det", sql="WITH u AS (SELECT *, 0 AS prio, detection_id AS o FROM v_det WHERE detection_id % 3 <> 0 UNION ALL BY NAME SELECT detection_id - detection_id % 2 AS detection_id, satellite, frp, 1 AS prio, detection_id AS o FROM v_det WHERE detection_id % 2 = 0 OR detection_id % 3 = 0) SELECT detection_id, satellite, frp, prio FROM u QUALIFY row_number() OVER (PARTITION BY detection_id ORDER BY prio, o) = 1")
+@query("v_det", sql="WITH u AS (SELECT *, 0 AS prio, detection_id AS o FROM v_det WHERE satellite IN ('N', 'N20', 'Terra') UNION ALL BY NAME SELECT detection_id - detection_id % 2 AS detection_id, satellite, frp, 1 AS prio, detection_id AS o FROM v_det WHERE satellite <> 'N') SELECT detection_id, satellite, frp, prio FROM u QUALIFY row_number() OVER (PARTITION BY detection_id ORDER BY prio, o) = 1")
 def g1_g2_merge_keep_first(det):
     """New rows, some columns short, are added to a store; a row that is there stays."""
-    new = det.where("detection_id % 2 = 0 or detection_id % 3 = 0").select((F.col("detection_id") - F.col("detection_id") % 2).alias("detection_id"), "satellite", "frp", F.col("detection_id").alias("o"))
-    return ingest.merge_keep_first(det.where("detection_id % 3 <> 0").withColumn("o", F.col("detection_id")), new, "detection_id", "o").select("detection_id", "satellite", "frp", "prio")
+    new = det.where("satellite <> 'N'").select((F.col("detection_id") - F.col("detection_id") % 2).alias("detection_id"), "satellite", "frp", F.col("detection_id").alias("o"))
+    return ingest.merge_keep_first(det.where(F.col("satellite").isin("N", "N20", "Terra")).withColumn("o", F.col("detection_id")), new, "detection_id", "o").select("detection_id", "satellite", "frp", "prio")
 
 
 @query("v_det", sql="SELECT count(DISTINCT satellite) AS satellites, count(DISTINCT datetime_utc) AS overpasses, (SELECT count(*) FROM (SELECT detection_id FROM v_det WHERE frp > 50 INTERSECT SELECT detection_id FROM v_det WHERE instrument = 'MODIS')) AS both_sets FROM v_det")
@@ -219,10 +219,10 @@ def g9_stride_sample(det):
     return ingest.stride(det.where("instrument = 'MODIS'"), ["datetime_utc", "detection_id"], 25, 40).select("detection_id")
 
 
-@query("v_det", sql="""SELECT detection_id, '{"geometry":{"coordinates":[' || printf('%.5f', longitude) || ',' || printf('%.5f', latitude) || '],"type":"Point"},"properties":{"day":"' || strftime(date_wit, '%Y-%m-%d') || '"' || CASE WHEN frp IS NULL THEN '' ELSE ',"frp":"' || printf('%.2f', frp) || '"' END || ',"satellite":"' || satellite || '"},"type":"Feature"}' AS feature FROM v_det WHERE detection_id % 50 = 0 OR frp IS NULL""")
+@query("v_det", sql="""SELECT detection_id, '{"geometry":{"coordinates":[' || printf('%.5f', longitude) || ',' || printf('%.5f', latitude) || '],"type":"Point"},"properties":{"day":"' || strftime(date_wit, '%Y-%m-%d') || '"' || CASE WHEN frp IS NULL THEN '' ELSE ',"frp":"' || printf('%.2f', frp) || '"' END || ',"satellite":"' || satellite || '"},"type":"Feature"}' AS feature FROM v_det""")
 def b3_b4_geojson(det):
     """Features with sorted keys, rounded coordinates, ISO days, and nulls left out."""
-    return ingest.point_features(det.where("detection_id % 50 = 0 or frp is null"))
+    return ingest.point_features(det)
 
 
 @query("v_det", sql="WITH d AS (SELECT date_wit, count(*) AS n, round(coalesce(sum(frp), 0), 1) AS f, string_agg(DISTINCT satellite, '+' ORDER BY satellite) AS s FROM v_det GROUP BY date_wit) SELECT date_wit, '- **' || strftime(date_wit, '%Y-%m-%d') || '**: ' || n || ' detections, ' || printf('%.1f', f) || ' MW (' || s || ')' AS line FROM d")

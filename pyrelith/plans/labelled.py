@@ -97,7 +97,7 @@ def f11_next_id(lab):
 
 
 def modelled(pix):
-    p = pix.where("valid and scene <= 3").withColumn("label", (F.col("dn") + F.col("b12") * 1500 > 1600).cast("int"))
+    p = pix.where("valid").withColumn("label", (F.col("dn") + F.col("b12") * 1500 > 1600).cast("int"))
     return p.select("pixel_row", F.col("scene").alias("event"), "label", *L.FEATURES)
 
 

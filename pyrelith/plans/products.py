@@ -39,12 +39,12 @@ def a9_year_chunks(hist):
     return r.select(F.explode(files.year_chunks(F.col("a"), F.col("b"))).alias("c")).select("c.*")
 
 
-@query("v_wx", sql="SELECT cell, date, round(least(100 * exp(17.625 * (t_noon - 4) / (243.04 + t_noon - 4)) / exp(17.625 * t_noon / (243.04 + t_noon)), 100), 6) AS rh, rain >= 0 AND day(date) % 5 <> 0 AS valid FROM v_wx WHERE month(date) = 3")
+@query("v_wx", sql="SELECT cell, date, round(least(100 * exp(17.625 * (t_noon - 4) / (243.04 + t_noon - 4)) / exp(17.625 * t_noon / (243.04 + t_noon)), 100), 6) AS rh, rain >= 0 AND day(date) % 5 <> 0 AS valid FROM v_wx")
 def a10_weather_scan(wx):
     """A10: monthly JSON documents to days with validity and humidity."""
     n = F.when(F.dayofmonth("date") % 5 == 0, 23).otherwise(24)
     row = F.struct(F.col("cell").cast("string").alias("cell"), F.date_format("date", "yyyy-MM-dd").alias("date"), F.col("t_noon").alias("t"), (F.col("t_noon") - 4).alias("dew"), "rain", n.alias("rain_n"), F.col("t_max").alias("tmax"), F.lit(24).alias("tmax_n"))
-    docs = wx.where("month(date) = 3").groupBy("cell", F.year("date")).agg(F.to_json(F.struct(F.collect_list(row).alias("rows"))).alias("value"))
+    docs = wx.groupBy("cell", F.year("date"), F.month("date")).agg(F.to_json(F.struct(F.collect_list(row).alias("rows"))).alias("value"))
     return files.weather_archive(docs).select(F.col("cell").cast("long").alias("cell"), "date", F.round("rh", 6).alias("rh"), "valid")
 
 
@@ -64,10 +64,10 @@ def a17_collection_scan(pix):
     return pix.where("x between 10 and 30 and y between 10 and 30 and look_date >= DATE'1997-01-01' and look_date < DATE'1998-01-01' and scl in (4, 5, 6, 7)").groupBy("scene").agg(F.count(F.lit(1)).alias("looks"), F.min("look_date").alias("first_look"))
 
 
-@query("v_det", sql="SELECT detection_id || ',' || printf('%.5f', latitude) || ',' || printf('%.5f', longitude) || ',' || coalesce(satellite, '') AS line, '<Placemark><name>' || detection_id || '</name><Point><coordinates>' || printf('%.5f,%.5f', longitude, latitude) || '</coordinates></Point></Placemark>' AS kml FROM v_det WHERE detection_id % 100 = 0")
+@query("v_det", sql="SELECT detection_id || ',' || printf('%.5f', latitude) || ',' || printf('%.5f', longitude) || ',' || coalesce(satellite, '') AS line, '<Placemark><name>' || detection_id || '</name><Point><coordinates>' || printf('%.5f,%.5f', longitude, latitude) || '</coordinates></Point></Placemark>' AS kml FROM v_det")
 def b10_waypoints(det):
     """Waypoints as CSV lines and placemarks."""
-    d = det.where("detection_id % 100 = 0")
+    d = det
     xy = F.format_string("%.5f,%.5f", "longitude", "latitude")
     return d.select(F.concat_ws(",", F.col("detection_id").cast("string"), F.format_string("%.5f", "latitude"), F.format_string("%.5f", "longitude"), "satellite").alias("line"), F.concat(F.lit("<Placemark><name>"), F.col("detection_id").cast("string"), F.lit("</name><Point><coordinates>"), xy, F.lit("</coordinates></Point></Placemark>")).alias("kml"))
 
@@ -90,10 +90,10 @@ def d10_membership_join(det):
     return det.join(E.st_dbscan(det, EPS_M, EPS_S), "detection_id").groupBy("event").agg(F.count(F.lit(1)).alias("n"), F.max("frp").alias("frp")).where("n >= 5")
 
 
-@query("v_det", sql="WITH g AS (SELECT x::INTEGER AS px, y::INTEGER AS py, 134.25e0 + x * 0.0207e0 AS lon, -1.39e0 + y * 0.0207e0 AS lat FROM range(0, 130) AS a(x) CROSS JOIN range(0, 20) AS b(y)) SELECT detection_id, min_by(px, (pow(lon - longitude, 2) + pow(lat - latitude, 2), px, py)) AS px, min_by(py, (pow(lon - longitude, 2) + pow(lat - latitude, 2), px, py)) AS py FROM v_det CROSS JOIN g WHERE detection_id % 20 = 0 AND detection_id % 7 <> 3 AND detection_id % 5 <> 3 GROUP BY detection_id")
+@query("v_det", sql="WITH g AS (SELECT x::INTEGER AS px, y::INTEGER AS py, 134.25e0 + x * 0.0207e0 AS lon, -1.39e0 + y * 0.0207e0 AS lat FROM range(0, 130) AS a(x) CROSS JOIN range(0, 20) AS b(y)) SELECT detection_id, min_by(px, (pow(lon - longitude, 2) + pow(lat - latitude, 2), px, py)) AS px, min_by(py, (pow(lon - longitude, 2) + pow(lat - latitude, 2), px, py)) AS py FROM v_det CROSS JOIN g GROUP BY detection_id")
 def d6_nearest_pixel(det):
     """The nearest centre of a regular pixel grid, found by arithmetic and not by search."""
-    d = det.where("detection_id % 20 = 0 and detection_id % 7 <> 3 and detection_id % 5 <> 3")
+    d = det
     near = lambda v, o, n: F.least(F.greatest(F.ceil((F.col(v) - o) / 0.0207 - 0.5), F.lit(0)), F.lit(n - 1)).cast("int")
     return d.select("detection_id", near("longitude", 134.25, 130).alias("px"), near("latitude", -1.39, 20).alias("py"))
 
@@ -157,13 +157,13 @@ def k21_brightest_slot(det):
     return b.select("date_wit", (-F.col("t.m")).alias("brightest"), (s - s % 600).alias("slot"))
 
 
-@query("v_man", sql="SELECT source, CAST(chunk_start + CAST(o AS INTEGER) AS DATE) AS tile, CAST(least(5, 14 - o) AS INTEGER) AS days FROM v_man, range(0, 14, 5) AS t(o) WHERE chunk_start = DATE '2024-01-10'")
+@query("v_man", sql="SELECT source, CAST(chunk_start + CAST(o AS INTEGER) AS DATE) AS tile, CAST(least(5, 14 - o) AS INTEGER) AS days FROM v_man, range(0, 14, 5) AS t(o)")
 def m1_tile_range(man):
     """L4, M: tiles of five days, forward from a start, by a table function."""
     from pyrelith.functions.tables import register
 
     register(man.sparkSession)
-    starts = man.where("chunk_start = DATE'2024-01-10'").select("source", "chunk_start")
+    starts = man.select("source", "chunk_start")
     return man.sparkSession.sql("SELECT source, t.tile, t.days FROM {s}, LATERAL tile_range(chunk_start, 14, 5) AS t", s=starts)
 
 
@@ -177,10 +177,10 @@ def n1_n2_daily_brief(det, adm, man, day):
     return out.select("day", F.to_json(F.struct("districts", "refusal", F.coalesce("total", F.lit(0)).alias("total"))).alias("document"))
 
 
-@query("v_det", sql="SELECT satellite, count(*) AS n FROM (SELECT DISTINCT detection_id, satellite FROM v_det WHERE date_wit >= DATE '2024-01-05') GROUP BY satellite")
+@query("v_det", sql="SELECT satellite, count(*) AS n FROM (SELECT DISTINCT detection_id, satellite FROM v_det) GROUP BY satellite")
 def b1_b2_store_round_trip(det):
     """B1, B2: a store written by year and an append ledger, read back with the partition pruned."""
-    return sites.store_round_trip(det.where("date_wit >= DATE'2024-01-05'")).groupBy("satellite").agg(F.count(F.lit(1)).alias("n"))
+    return sites.store_round_trip(det).groupBy("satellite").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("v_hist", sql=f"SELECT date_wit, round({math.pi!r} * count(*) * 0.375 * 0.375, 6) AS km2_upper FROM v_hist GROUP BY date_wit HAVING count(*) > 3")

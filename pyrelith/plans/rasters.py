@@ -59,11 +59,11 @@ def i3_window(pix):
     return w.select("scene", (F.col("a") - 8).alias("line0"), (F.col("b") + 8).alias("line1"), (F.col("c") - 8).alias("col0"), (F.col("d") + 8).alias("col1"), seg("a").alias("seg0"), seg("b").alias("seg1"))
 
 
-GRID = "g AS (SELECT scene, x, y, max(dn) AS dn FROM v_pix WHERE scene <= 2 GROUP BY ALL)"
+GRID = "g AS (SELECT scene, x, y, max(dn) AS dn FROM v_pix GROUP BY ALL)"
 
 
 def grid(pix):
-    return pix.where("scene <= 2").groupBy("scene", "x", "y").agg(F.max("dn").alias("dn"))
+    return pix.groupBy("scene", "x", "y").agg(F.max("dn").alias("dn"))
 
 
 @query("v_pix", sql=f"WITH {GRID} SELECT a.scene, a.x, a.y, median(b.dn) AS background, count(*) AS n, a.dn - median(b.dn) > 400 AND a.dn > 900 AS flagged FROM g a JOIN g b ON b.scene = a.scene AND abs(b.x - a.x) <= 3 AND abs(b.y - a.y) <= 3 AND (a.x <> b.x OR a.y <> b.y) WHERE a.x BETWEEN 3 AND 96 AND a.y BETWEEN 3 AND 96 GROUP BY a.scene, a.x, a.y, a.dn")
@@ -227,20 +227,20 @@ def i19_raster_compare(pix):
     return one.join(two, ["x", "y"]).agg(F.count(F.lit(1)).alias("n"), F.round(F.corr("a2", "b2"), 6).alias("r22"), F.round(F.corr("a1", "b1"), 6).alias("r11"), F.round(F.sqrt(F.avg(d * d)), 8).alias("rmse"), F.round(F.median(d), 8).alias("middle"), F.round(F.avg((d == 0).cast("int")), 8).alias("identical"))
 
 
-RECURSIVE_PATCH = "WITH RECURSIVE g AS (SELECT DISTINCT x, y FROM v_pix WHERE scene = 1 AND dn > 1500), e AS (SELECT a.x * 100 + a.y AS a, b.x * 100 + b.y AS b FROM g a JOIN g b ON abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1), w AS (SELECT x * 100 + y AS node, x * 100 + y AS root FROM g UNION SELECT e.b, w.root FROM w JOIN e ON e.a = w.node AND e.b > w.root), l AS (SELECT node, min(root) AS patch FROM w GROUP BY node) SELECT patch, count(*) AS pixels FROM l GROUP BY patch"
+PATCHES = "WITH RECURSIVE g AS (SELECT DISTINCT scene, x, y, scene * 10000 + x * 100 + y AS id FROM v_pix WHERE dn > 1500), e AS (SELECT a.id AS a, b.id AS b FROM g a JOIN g b ON a.scene = b.scene AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1), w AS (SELECT id AS node, id AS root FROM g UNION SELECT e.b, w.root FROM w JOIN e ON e.a = w.node AND e.b > w.root), l AS (SELECT node, min(root) AS patch FROM w GROUP BY node) SELECT patch, count(*) AS pixels FROM l GROUP BY patch"
 
 
-@query("v_pix", sql=RECURSIVE_PATCH)
+@query("v_pix", sql=PATCHES)
 def i17_patches(pix):
-    """Patches of changed pixels that touch by side or corner."""
-    return X.patches(pix.where("scene = 1 and dn > 1500").select("x", "y").distinct(), 100)
+    """Patches of changed pixels of each scene that touch by side or corner."""
+    return X.patches(pix.where("dn > 1500").select("scene", "x", "y").distinct(), 100)
 
 
-SLOT = "s AS (SELECT scene AS event, CAST(row_number() OVER (PARTITION BY scene ORDER BY look_date) - 1 AS INTEGER) AS slot, CASE WHEN n < 2 THEN 'missing' WHEN top < 800 THEN 'obscured' WHEN top > 1900 THEN 'flagged' ELSE 'quiet' END AS state FROM (SELECT scene, look_date, count(*) AS n, max(dn) AS top FROM v_pix WHERE look_date BETWEEN DATE '1998-01-01' AND DATE '1998-02-15' GROUP BY ALL))"
+SLOT = "s AS (SELECT scene AS event, CAST(row_number() OVER (PARTITION BY scene ORDER BY look_date) - 1 AS INTEGER) AS slot, CASE WHEN n < 2 THEN 'missing' WHEN top < 800 THEN 'obscured' WHEN top > 1900 THEN 'flagged' ELSE 'quiet' END AS state FROM (SELECT scene, look_date, count(*) AS n, max(dn) AS top FROM v_pix GROUP BY ALL))"
 
 
 def slots(pix):
-    d = pix.where("look_date between DATE'1998-01-01' and DATE'1998-02-15'").groupBy("scene", "look_date").agg(F.count(F.lit(1)).alias("n"), F.max("dn").alias("top"))
+    d = pix.groupBy("scene", "look_date").agg(F.count(F.lit(1)).alias("n"), F.max("dn").alias("top"))
     state = F.when(F.col("n") < 2, "missing").when(F.col("top") < 800, "obscured").when(F.col("top") > 1900, "flagged").otherwise("quiet")
     return d.select(F.col("scene").alias("event"), (F.row_number().over(Window.partitionBy("scene").orderBy("look_date")) - 1).alias("slot"), state.alias("state"))
 
@@ -273,7 +273,7 @@ def c17_night(pix):
     return pix.groupBy("scene").agg(F.count_if((m >= 1095) | (m <= 300)).alias("night"))
 
 
-@query("v_pix", sql="SELECT scene, pixel_row FROM v_pix WHERE scene = 3 AND (worldcover <> 80 AND dn > 1800 OR worldcover = 80 AND pixel_row % 97 = 0)")
+@query("v_pix", sql="SELECT scene, pixel_row FROM v_pix WHERE (worldcover <> 80 AND dn > 1800 OR worldcover = 80 AND pixel_row % 97 = 0)")
 def i5_slot_rows(pix):
     """What a slot keeps: flagged land, and a fixed sample of the sea (the sample is the product)."""
-    return pix.where("scene = 3 and ((worldcover <> 80 and dn > 1800) or (worldcover = 80 and pixel_row % 97 = 0))").select("scene", "pixel_row")
+    return pix.where("((worldcover <> 80 and dn > 1800) or (worldcover = 80 and pixel_row % 97 = 0))").select("scene", "pixel_row")

@@ -27,11 +27,11 @@ def h6_months(hist):
     return hist.select(S.month_start("date_wit").alias("first"), S.next_month("date_wit").alias("next"), S.previous_month("date_wit").alias("previous"), S.month_end("date_wit").alias("last")).distinct()
 
 
-@query("v_det", sql="WITH s AS (SELECT detection_id, (CAST(floor(epoch(datetime_utc)) AS BIGINT) // 600) * 600 AS slot FROM v_det) SELECT detection_id, slot, unnest(range(slot - 3600, slot + 1801, 600)) AS window_slot FROM s WHERE detection_id % 40 = 0")
+@query("v_det", sql="WITH s AS (SELECT detection_id, (CAST(floor(epoch(datetime_utc)) AS BIGINT) // 600) * 600 AS slot FROM v_det) SELECT detection_id, slot, unnest(range(slot - 3600, slot + 1801, 600)) AS window_slot FROM s")
 def h7_slots(det):
     """The slot of each detection and those from an hour before to half an hour after."""
     slot = S.floor_slot("datetime_utc")
-    return det.where("detection_id % 40 = 0").select("detection_id", slot.alias("slot"), F.explode(S.slot_range(slot - 3600, slot + 1800, 10)).alias("window_slot"))
+    return det.select("detection_id", slot.alias("slot"), F.explode(S.slot_range(slot - 3600, slot + 1800, 10)).alias("window_slot"))
 
 
 @query("v_day", sql="SELECT day, CAST(epoch(CAST(day AS TIMESTAMP)) AS BIGINT) - 32400 AS first_slot, CAST(epoch(CAST(day AS TIMESTAMP)) AS BIGINT) - 32400 + 86400 - 600 AS last_slot, 144 AS slots FROM v_day")
@@ -40,11 +40,11 @@ def h8_local_day_slots(day):
     return day.select("day", F.element_at(s, 1).alias("first_slot"), F.element_at(s, -1).alias("last_slot"), F.size(s).alias("slots"))
 
 
-@query("v_hist", sql="SELECT DISTINCT date_wit, CAST(date_wit - 60 AS DATE) AS pre_from, date_wit AS pre_to, CAST(date_wit + 4 AS DATE) AS post_from, CAST(date_wit + 34 AS DATE) AS post_to, CAST(epoch(CAST(date_wit AS TIMESTAMP)) AS BIGINT) + 10800 - 82800 AS rain_from, CAST(epoch(CAST(date_wit AS TIMESTAMP)) AS BIGINT) + 10800 AS rain_to FROM v_hist WHERE detection_id % 7 = 0")
+@query("v_hist", sql="SELECT DISTINCT date_wit, CAST(date_wit - 60 AS DATE) AS pre_from, date_wit AS pre_to, CAST(date_wit + 4 AS DATE) AS post_from, CAST(date_wit + 34 AS DATE) AS post_to, CAST(epoch(CAST(date_wit AS TIMESTAMP)) AS BIGINT) + 10800 - 82800 AS rain_from, CAST(epoch(CAST(date_wit AS TIMESTAMP)) AS BIGINT) + 10800 AS rain_to FROM v_hist")
 def h9_h10_windows(hist):
     a, b, c, d = S.look_windows("date_wit", F.date_add("date_wit", 3), 60, 30)
     lo, hi = S.rain_window("date_wit")
-    return hist.where("detection_id % 7 = 0").select("date_wit", a.alias("pre_from"), b.alias("pre_to"), c.alias("post_from"), d.alias("post_to"), lo.alias("rain_from"), hi.alias("rain_to")).distinct()
+    return hist.select("date_wit", a.alias("pre_from"), b.alias("pre_to"), c.alias("post_from"), d.alias("post_to"), lo.alias("rain_from"), hi.alias("rain_to")).distinct()
 
 
 @query("v_hist", sql="SELECT DISTINCT year(date_wit)::INTEGER AS year, year(date_wit)::INTEGER - 1 AS cover, least(year(date_wit)::INTEGER - 1, 1998) AS tmf, year(date_wit)::INTEGER - 2001 AS loss FROM v_hist")
@@ -59,11 +59,11 @@ def h12_lagged_dates(det):
     return det.select("detection_id", u.alias("utc_day"), w.alias("wit_day"))
 
 
-@query("v_pix", sql="WITH s AS (SELECT DISTINCT scene, look_date FROM v_pix), t AS (SELECT DISTINCT scene, CAST(look_date + 40 AS DATE) AS asked FROM v_pix WHERE x < 3) SELECT t.scene, t.asked, max(s.look_date) AS resolved FROM t LEFT JOIN s ON s.scene = t.scene AND s.look_date BETWEEN t.asked - 180 AND t.asked + 3 GROUP BY ALL")
+@query("v_pix", sql="WITH s AS (SELECT DISTINCT scene, look_date FROM v_pix), t AS (SELECT DISTINCT scene, CAST(look_date + 40 AS DATE) AS asked FROM v_pix) SELECT t.scene, t.asked, max(s.look_date) AS resolved FROM t LEFT JOIN s ON s.scene = t.scene AND s.look_date BETWEEN t.asked - 180 AND t.asked + 3 GROUP BY ALL")
 def h13_scene_resolve(pix):
     """The latest scene from 180 days before to 3 after the day asked for: listed by day, joined by equality."""
     scenes = pix.select("scene", "look_date").distinct().withColumn("asked", F.explode(F.sequence(F.date_sub("look_date", 3), F.date_add("look_date", 180)))).groupBy("scene", "asked").agg(F.max("look_date").alias("resolved"))
-    return pix.where("x < 3").select("scene", F.date_add("look_date", 40).alias("asked")).distinct().join(scenes, ["scene", "asked"], "left")
+    return pix.select("scene", F.date_add("look_date", 40).alias("asked")).distinct().join(scenes, ["scene", "asked"], "left")
 
 
 @query("v_obs", sql="SELECT obs_id, list_contains(string_split_regex(coalesce(wxcodes, 'M'), ' +'), 'FU') AS fu, list_contains(string_split_regex(coalesce(wxcodes, 'M'), ' +'), 'HZ') AS hz, TRY_CAST(vsby AS DOUBLE) AS vsby, abs(TRY_CAST(vsby AS DOUBLE) - 6.21) < 1e-6 AS ceiling, CASE WHEN TRY_CAST(sknt AS DOUBLE) > 0 THEN TRY_CAST(drct AS DOUBLE) END AS dir FROM v_obs")

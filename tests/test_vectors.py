@@ -182,5 +182,5 @@ def test_window_median_and_patches(spark):
         around = [have[i, j] for i in range(x - 2, x + 3) for j in range(y - 2, y + 3) if (i, j) in have and (i, j) != (x, y)]
         assert v == np.median(around)
     assert set(got) == {(x, y) for x, y in have if 2 <= x < 18 and 2 <= y < 18}
-    p = spark.createDataFrame([(0, 0), (1, 1), (5, 5)], "x long, y long")
-    assert sorted(tuple(r) for r in patches(p, 100).collect()) == [(0, 2), (505, 1)]
+    p = spark.createDataFrame([(0, 0, 0), (0, 1, 1), (0, 5, 5), (1, 0, 0)], "scene int, x long, y long")
+    assert sorted(tuple(r) for r in patches(p, 100).collect()) == [(0, 2), (505, 1), (10000, 1)]
