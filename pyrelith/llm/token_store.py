@@ -23,9 +23,10 @@ All arithmetic is on integers, so every machine decodes the same ids.
 from __future__ import annotations
 
 import json
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -279,61 +280,43 @@ def decode_blocks(payload: bytes) -> list[np.ndarray]:
     return out
 
 
-#: White space beside which a space isn't the start of a word (those of Unicode, but for the space itself).
-OTHER_SPACE = tuple(chr(c) for c in (*range(9, 14), *range(28, 32), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
-BESIDE = ("  ", *(f" {c}" for c in OTHER_SPACE), *(f"{c} " for c in OTHER_SPACE))
-NEWLINE = tuple(b for b in BESIDE if b.isascii())
+def pack_ids(ids: list[int]) -> bytes:
+    """Little-endian 16-bit numbers."""
+    a = array("H", ids)
+    if sys.byteorder == "big":
+        a.byteswap()
+    return a.tobytes()
 
 
-def parted(text: str) -> bool:
-    """Whether every space stands between two other characters that are no white space, so that it begins a word."""
-    return text[0] != " " and text[-1] != " " and not any(b in text for b in (NEWLINE if text.isascii() else BESIDE))
+class WordIds(dict):
+    """Ids of the words that one task has met, two bytes an id; emptied when full."""
 
-
-class PieceIds(dict):
-    """Ids of the pieces that one worker has met, two bytes an id; emptied when full. It outlives a task.
-
-    In a text whose spaces all stand alone between other characters the splitting pattern ends a word before every space, so what
-    lies between spaces is encoded on its own, with its space; other texts are split by the pattern.
-    """
-
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 400_000):
         super().__init__()
         self.path, self.most = path, most
         _, self.added = added_tokens(path)
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
-        split: list[list[str]] = []
-        for t in texts:
-            if t and parted(t) and not (self.added and self.added.search(t)):
-                pieces = t.split(" ")
-                split.append([pieces[0], *(" " + p for p in pieces[1:])])
-            else:
-                split.append(split_words(t, self.added))
+        split = [split_words(t, self.added) for t in texts]
         new = list(set().union(*split).difference(self))
         if len(self) + len(new) > self.most:
             self.clear()
             new = list(set().union(*split))
         for w, ids in zip(new, encode_words(new, self.path), strict=True):
-            self[w] = np.array(ids, dtype="<u2").tobytes()
+            self[w] = pack_ids(ids)
         return [b"".join(map(self.__getitem__, w)) for w in split]
 
 
-@lru_cache(2)
-def piece_ids(path: str) -> PieceIds:
-    return PieceIds(path)
-
-
 def tokenise(path: str, end_id: int):
-    """Ids of each whole text, two bytes an id, with the end id; only pieces not met before meet the tokenizer."""
+    """Ids of each whole text, two bytes an id, with the end id; only words not met before meet the tokenizer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, end = piece_ids(path), np.array([end_id], dtype="<u2").tobytes()
+        known, end = WordIds(path), pack_ids([end_id])
         for b in batches:
             texts = b.column(1).to_pylist()
-            for lo in range(0, len(texts), 250):
-                ids = [x + end for x in known.texts(texts[lo : lo + 250])]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, 250), pa.array([len(i) // 2 for i in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
+            for lo in range(0, len(texts), 500):
+                ids = [x + end for x in known.texts(texts[lo : lo + 500])]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, 500), pa.array([len(i) // 2 for i in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
 
     return run
 

@@ -227,9 +227,9 @@ def test_coder_round_trip_and_damage():
             token_store.decode_blocks(raw[:at] + bytes([raw[at] ^ 85]) + raw[at + 1 :])
 
 
-def test_pieces_between_spaces_equal_the_library():
+def test_remembered_words_equal_the_library():
     rng = random.Random(9)
-    known = token_store.PieceIds(PATH, most=50)
+    known = token_store.WordIds(PATH, most=50)
     marks = ["a", "bc", "1", "!", "'s", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "\x1c", "\x85", "é", "世", "<|endoftext|>", "\u200b", "-"]
     texts = ["".join(rng.choice(marks) for _ in range(rng.randrange(1, 14))) for _ in range(3000)] + ["a b", " a b", "a b ", "", None]
     whole = bpe.tokenizer(PATH).encode_batch([t or "" for t in texts], add_special_tokens=False)
