@@ -33,7 +33,7 @@ def metric_blocks(df: DataFrame, truth: str, guess: str, by: str) -> DataFrame:
 
 def threshold_rule(df: DataFrame, event: str, value: str, reference: DataFrame) -> DataFrame:
     """Above the own event's threshold, strictly; an event without one has no prediction."""
-    return df.join(F.broadcast(reference), event, "left").withColumn("predicted", (F.col(value) > F.col("threshold")).cast("int"))
+    return df.join(reference, event, "left").withColumn("predicted", (F.col(value) > F.col("threshold")).cast("int"))
 
 
 def leave_one_out(df: DataFrame, event: str, label: str, features: tuple[str, ...], model) -> DataFrame:

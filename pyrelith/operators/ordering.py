@@ -20,5 +20,5 @@ def numbered(df: DataFrame, order: list[str | Column], name: str = "number") ->
     ranged = scratch.table(ranged.withColumn("__range", F.shiftright("__id", 33)).withColumn("__place", F.col("__id").bitwiseAND((1 << 33) - 1)).drop("__id"), "ranges")
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).select(F.col("__range").alias("__rk"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
-    out = ranged.join(F.broadcast(offsets), F.col("__range") == F.col("__rk"))
+    out = ranged.join(offsets, F.col("__range") == F.col("__rk"))
     return out.withColumn(name, F.col("__before") + F.col("__place") + 1).drop("__range", "__place", "__rk", "__before")

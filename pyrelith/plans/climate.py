@@ -55,7 +55,7 @@ def scored(hist):
     total = days.agg(F.sum("d").alias("all_d"), F.sum("k").alias("all_k"))
     base = days.join(F.broadcast(total)).select(F.col("y").alias("fold"), ((F.col("all_k") - F.coalesce("k", F.lit(0))) / (F.col("all_d") - F.col("d"))).alias("rate"))
     base = base.join(F.broadcast(cell.agg(F.count(F.lit(1)).alias("cells")))).select("fold", (F.col("rate") / F.col("cells")).alias("base"))
-    out = grid.join(climate(hist).select("cell", "fold", "doy", "p"), ["cell", "fold", "doy"], "left").join(F.broadcast(base), "fold")
+    out = grid.join(climate(hist).select("cell", "fold", "doy", "p"), ["cell", "fold", "doy"], "left").join(base, "fold")
     return out.withColumn("p", F.coalesce("p", F.lit(0.0)))
 
 

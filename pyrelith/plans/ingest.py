@@ -130,7 +130,7 @@ def c18_refusal(man, day):
   SELECT c.source, c.day, coalesce(n.n, 0) AS detections, CASE WHEN n.n > 0 THEN 'observed' WHEN covering = 0 THEN 'norecord' WHEN failed > 0 THEN 'failed' ELSE 'empty' END AS status FROM c LEFT JOIN n USING (source, day)""")
 def e7_source_status(man, day, src, det):
     """Per source and day, detections, or which kind of nothing."""
-    counts = det.join(F.broadcast(src), "satellite").groupBy("source", F.col("date_wit").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    counts = det.join(src, "satellite").groupBy("source", F.col("date_wit").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     return provenance.source_status(man, src.select("source").crossJoin(day), counts)
 
 

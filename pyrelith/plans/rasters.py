@@ -152,7 +152,7 @@ def e19_e20_i14_class_areas(pix):
     """Area of every class, those without pixels too."""
     f = pix.groupBy(fuels()[0].alias("fuel")).agg(F.count(F.lit(1)).alias("pixels"), F.count_if("valid").alias("valid"))
     every = pix.sparkSession.range(1, 7).select(F.col("id").cast("int").alias("fuel"))
-    return every.join(F.broadcast(f), "fuel", "left").select("fuel", F.coalesce("pixels", F.lit(0)).alias("pixels"), F.round(F.coalesce("pixels", F.lit(0)) * 0.04, 4).alias("ha"), F.coalesce("valid", F.lit(0)).alias("valid"))
+    return every.join(f, "fuel", "left").select("fuel", F.coalesce("pixels", F.lit(0)).alias("pixels"), F.round(F.coalesce("pixels", F.lit(0)) * 0.04, 4).alias("ha"), F.coalesce("valid", F.lit(0)).alias("valid"))
 
 
 @query("v_pix", sql=f"WITH f AS (SELECT {FUEL} AS a, {DYN} AS b FROM v_pix), c AS (SELECT a, b, count(*) AS n FROM f GROUP BY ALL) SELECT x.k::INTEGER AS a, y.k::INTEGER AS b, CAST(10 * x.k + y.k AS INTEGER) AS code, coalesce(n, 0) AS n FROM range(1, 7) AS x(k) CROSS JOIN range(1, 7) AS y(k) LEFT JOIN c ON a = x.k AND b = y.k")
@@ -162,7 +162,7 @@ def e21_confusion(pix):
     c = pix.groupBy(a.alias("a"), b.alias("b")).agg(F.count(F.lit(1)).alias("n"))
     six = F.sequence(F.lit(1), F.lit(6))
     every = pix.sparkSession.range(1).select(F.explode(six).alias("a")).withColumn("b", F.explode(six))
-    return every.join(F.broadcast(c), ["a", "b"], "left").select("a", "b", (F.col("a") * 10 + F.col("b")).alias("code"), F.coalesce("n", F.lit(0)).alias("n"))
+    return every.join(c, ["a", "b"], "left").select("a", "b", (F.col("a") * 10 + F.col("b")).alias("code"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 @query("v_pix", sql=f"SELECT ({FUEL})::INTEGER AS fuel, count(*) AS n, round(count(*) / (SELECT count(*) FROM v_pix), 8) AS share, round(sum(b12), 4) AS total, round(median(b12), 8) AS middle FROM v_pix GROUP BY 1")
@@ -199,7 +199,7 @@ def i12_i13_local_threshold(pix):
     ring = F.col("scl") < 4
     t = pix.groupBy("scene").agg(F.count_if(ring).alias("ring"), F.percentile(F.when(ring, F.col("dn")), F.lit(0.99)).alias("p"))
     t = t.select("scene", "ring", F.when(F.col("ring") >= 2000, F.col("p")).alias("t"))
-    g = pix.join(F.broadcast(t), "scene").groupBy("scene", "ring", "t").agg(F.count_if((F.col("scl") >= 4) & (F.col("dn") > F.col("t"))).alias("changed"), F.count_if(F.col("scl") >= 4).alias("n"))
+    g = pix.join(t, "scene").groupBy("scene", "ring", "t").agg(F.count_if((F.col("scl") >= 4) & (F.col("dn") > F.col("t"))).alias("changed"), F.count_if(F.col("scl") >= 4).alias("n"))
     return g.select("scene", "ring", F.round("t", 8).alias("threshold"), F.when(F.col("t").isNull(), "no local reference").alias("reason"), "changed", F.round(F.col("n") * 0.04, 4).alias("clear_ha"))
 
 

@@ -151,7 +151,7 @@ def h31_safe_metrics(lab):
 def h32_stretch(pix):
     """Levels between the 2nd and the 98th percentile of each scene."""
     lim = pix.groupBy("scene").agg(F.percentile("b12", F.lit(0.02)).alias("lo"), F.percentile("b12", F.lit(0.98)).alias("hi"))
-    return pix.join(F.broadcast(lim), "scene").groupBy("scene", S.stretch(F.col("b12"), F.col("lo"), F.col("hi")).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("n"))
+    return pix.join(lim, "scene").groupBy("scene", S.stretch(F.col("b12"), F.col("lo"), F.col("hi")).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("v_hist", sql="SELECT year(date_wit)::INTEGER AS year, format('{:,}', count(*)) AS n FROM v_hist GROUP BY 1")
