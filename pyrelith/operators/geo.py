@@ -75,6 +75,15 @@ def assign_polygon(points: DataFrame, polygons: DataFrame, key: str, x: str = "l
     return points.join(hit, key, "left").select(*points.columns, F.col("adm.adm_id").alias("adm_id"), F.col("adm.distrik").alias("distrik"), F.col("adm.kabupaten").alias("kabupaten"), F.col("adm").isNotNull().alias("on_land"))
 
 
+def overlapping_boxes(boxes: DataFrame, pad_x: float, pad_y: float, cell: float = 0.25) -> DataFrame:
+    """Pairs ``adm_id < other`` whose boxes, widened on every side, have a common interior; joined by the cells they cover."""
+    b = boxes.select("adm_id", (F.col("w") - pad_x).alias("w"), (F.col("s") - pad_y).alias("s"), (F.col("e") + pad_x).alias("e"), (F.col("n") + pad_y).alias("n"))
+    dealt = b.withColumn("cx", F.explode(F.sequence(F.floor(F.col("w") / cell), F.floor(F.col("e") / cell)))).withColumn("cy", F.explode(F.sequence(F.floor(F.col("s") / cell), F.floor(F.col("n") / cell))))
+    o = dealt.select(F.col("adm_id").alias("other"), F.col("w").alias("w2"), F.col("s").alias("s2"), F.col("e").alias("e2"), F.col("n").alias("n2"), "cx", "cy")
+    hit = (F.col("adm_id") < F.col("other")) & (F.col("w") < F.col("e2")) & (F.col("w2") < F.col("e")) & (F.col("s") < F.col("n2")) & (F.col("s2") < F.col("n"))
+    return dealt.join(o, ["cx", "cy"]).where(hit).select("adm_id", "other").distinct()
+
+
 def space_time_pairs(points: DataFrame, eps_m: float, eps_s: int, key: str = "detection_id", ts: str = "datetime_utc", lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """Pairs ``a < b`` within ``eps_m`` metres and ``eps_s`` seconds, both included, with their distance.
 

@@ -254,3 +254,9 @@ def j10_hull_area(det):
 def j9_circle_membership(det):
     """Detections of one sensor inside the circles around those of another."""
     return geo.within_circles(det, det.where("satellite = 'Terra'"), det.where("satellite = 'N'"), EPS_M).select("detection_id")
+
+
+@query("v_adm", sql="SELECT a.adm_id, b.adm_id AS other FROM v_adm a JOIN v_adm b ON a.adm_id < b.adm_id AND a.w < b.e + 0.06 AND b.w < a.e + 0.06 AND a.s < b.n + 0.006 AND b.s < a.n + 0.006")
+def j11_box_overlaps(adm):
+    """Boxes, widened, that share area (touching isn't enough), by the cells that they cover."""
+    return geo.overlapping_boxes(adm, 0.03, 0.003)

@@ -277,3 +277,24 @@ def c17_night(pix):
 def i5_slot_rows(pix):
     """What a slot keeps: flagged land, and a fixed sample of the sea (the sample is the product)."""
     return pix.where("((worldcover <> 80 and dn > 1800) or (worldcover = 80 and pixel_row % 97 = 0))").select("scene", "pixel_row")
+
+
+LONG = " UNION ALL ".join(f"SELECT {STRATUM} AS stratum, '{k}' AS index_name, {v} AS v FROM v_pix" for k, v in INDEX.items())
+
+
+@query("v_pix", sql=f"WITH l AS (SELECT * FROM ({LONG}) WHERE stratum IS NOT NULL AND v IS NOT NULL), t AS (SELECT index_name, quantile_cont(v, 0.95) AS limit_ FROM l WHERE stratum = 'adjacent' GROUP BY 1) SELECT stratum, index_name, count(*) AS n, round(quantile_cont(v, 0.5), 7) + 0.0e0 AS p50, round(quantile_cont(v, 0.95), 7) + 0.0e0 AS p95, round(avg((v > limit_ + 1e-9)::INT), 7) AS above FROM l JOIN t USING (index_name) GROUP BY ALL")
+def n8_index_comparison(pix):
+    """All indices at once: distribution by stratum, and the share above the 95th percentile of one stratum."""
+    long = pix.select(stratum().alias("stratum"), F.explode(F.array(*[F.struct(F.lit(k).alias("index_name"), v.alias("v")) for k, v in indices(pix).items()])).alias("s")).select("stratum", "s.*")
+    long = long.where("stratum is not null and v is not null")
+    t = long.where("stratum = 'adjacent'").groupBy("index_name").agg(F.percentile("v", F.lit(0.95)).alias("limit"))
+    g = long.join(t, "index_name").groupBy("stratum", "index_name").agg(F.count(F.lit(1)).alias("n"), F.percentile("v", F.array(F.lit(0.5), F.lit(0.95))).alias("q"), F.round(F.avg((F.col("v") > F.col("limit") + 1e-9).cast("int")), 7).alias("above"))
+    return g.select("stratum", "index_name", "n", F.round(F.col("q")[0], 7).alias("p50"), F.round(F.col("q")[1], 7).alias("p95"), "above")
+
+
+@query("v_pix", sql=f"WITH {GRID}, m AS (SELECT a.scene, a.x, a.y, a.dn - median(b.dn) > 400 AND a.dn > 900 AS flagged FROM g a JOIN g b ON b.scene = a.scene AND abs(b.x - a.x) <= 3 AND abs(b.y - a.y) <= 3 AND (a.x <> b.x OR a.y <> b.y) WHERE a.x BETWEEN 3 AND 96 AND a.y BETWEEN 3 AND 96 GROUP BY a.scene, a.x, a.y, a.dn), l AS (SELECT scene, x, y, bool_and(worldcover <> 80) AS land FROM v_pix GROUP BY ALL) SELECT scene, count(*) AS pixels, count(*) FILTER (WHERE flagged) AS flagged, count(*) FILTER (WHERE flagged AND land) AS flagged_land FROM m JOIN l USING (scene, x, y) GROUP BY scene")
+def n9_evening_product(pix):
+    """Flags of every scene and those on land."""
+    f = X.window_median(grid(pix), "dn", half=3, size=100).withColumn("flagged", (F.col("dn") - F.col("background") > 400) & (F.col("dn") > 900))
+    land = pix.groupBy("scene", "x", "y").agg(F.bool_and(F.col("worldcover") != 80).alias("land"))
+    return f.join(land, ["scene", "x", "y"]).groupBy("scene").agg(F.count(F.lit(1)).alias("pixels"), F.count_if("flagged").alias("flagged"), F.count_if(F.col("flagged") & F.col("land")).alias("flagged_land"))

@@ -157,3 +157,8 @@ def h32_stretch(pix):
 @query("v_hist", sql="SELECT year(date_wit)::INTEGER AS year, format('{:,}', count(*)) AS n FROM v_hist GROUP BY 1")
 def h36_thousands(hist):
     return hist.groupBy(F.year("date_wit").alias("year")).agg(S.thousands(F.count(F.lit(1))).alias("n"))
+
+
+@query("v_day", sql="SELECT day, CAST(epoch(CAST(day AS TIMESTAMP) + INTERVAL 15 HOUR) AS BIGINT) AS closes FROM v_day")
+def h4_day_close(day):
+    return day.select("day", F.unix_seconds(S.day_close("day").cast("timestamp")).alias("closes"))
