@@ -219,7 +219,7 @@ def d15_latest_prior(det):
     return a.select(F.round("longitude", 4).alias("lon"), F.round("latitude", 4).alias("lat"), "date_wit", F.lag("date_wit").over(w).alias("prior_day"), F.lag("frp").over(w).alias("prior_frp"), F.coalesce(F.lag("n").over(w), F.lit(0)).alias("prior_n"))
 
 
-@query("v_lab", "v_det", sql="WITH b AS (SELECT DISTINCT stratum, 134.25e0 + (length(stratum) * 7 + ascii(substr(stratum, length(stratum), 1))) % 50 * 0.05e0 + 0.0123e0 AS x FROM v_lab) SELECT stratum, round(min(greatest(abs(longitude - x) - 0.0005e0, 0)) * 111320, 3) AS metres, count(detection_id) AS late FROM b LEFT JOIN v_det ON date_wit > DATE '2024-01-20' AND abs(longitude - x) <= 0.03 GROUP BY stratum")
+@query("v_lab", "v_det", sql="WITH b AS (SELECT DISTINCT stratum, 134.25e0 + (length(stratum) * 7 + ascii(substr(stratum, length(stratum), 1))) % 50 * 0.05e0 + 0.0123e0 AS x FROM v_lab) SELECT stratum, round(min(CASE WHEN detection_id IS NOT NULL THEN greatest(abs(longitude - x) - 0.0005e0, 0) END) * 111320, 3) AS metres, count(detection_id) AS late FROM b LEFT JOIN v_det ON date_wit > DATE '2024-01-20' AND abs(longitude - x) <= 0.03 GROUP BY stratum")
 def d16_box_distance(lab, det):
     """Nearest later detection from the side of each box and how many are in reach, by cells as wide as the reach; null beyond."""
     s, reach = F.col("stratum"), 0.03
