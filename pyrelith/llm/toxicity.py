@@ -76,14 +76,13 @@ def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def emit(counts: tuple[Counter, Counter]) -> pd.DataFrame:
     keys = list(counts[0].keys() | counts[1].keys())
-    return pd.DataFrame({"term": keys, "clean": [counts[0][k] for k in keys], "toxic": [counts[1][k] for k in keys]})
+    return pd.DataFrame({"term": pd.Series(keys, dtype=object), "clean": np.array([counts[0][k] for k in keys], dtype=np.int64), "toxic": np.array([counts[1][k] for k in keys], dtype=np.int64)})
 
 
 def induce(counts: list[tuple[str, int, int]], n_clean: int, n_toxic: int, least: int, lift: float, most: int) -> list[str]:
     """Terms that mark toxic texts: a whole word or stem in at least ``least`` of them, ``lift`` times as often as elsewhere.
 
-    Of a stem and what only repeats it (a longer stem or a word under it with nearly its count, or a
-    shorter stem with no more texts) one is enough, but overlap is left to the label model.
+    Stems and the words under them overlap; the label model discounts voters that go together.
     """
     scored = []
     for term, clean, toxic in counts:
