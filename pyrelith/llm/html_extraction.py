@@ -34,8 +34,9 @@ SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr
 SCOPES = frozenset("ul ol dl table article section div body main aside nav header footer form".split())
 NOISE_TAGS = frozenset("nav footer aside form script style noscript template button select textarea input iframe svg math dialog menu head title object".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar form".split())
-NOISE_NAME = re.compile(r"(?:^|[-_\s])(?:ad|ads|adv|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|aside|footer|header|masthead|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscri\w*|share|sharing|social|comments?|disqus|replies|reply|respond|related|recommend\w*|widget\w*|pagination|pager|login|signup|search\w*|toolbar|skip|legal|copyright|paywall)(?:$|[-_\s])", re.I)
-HEADER_TAGS = frozenset(("header",))
+NOISE_NAME = re.compile(r"(?:^|[-_\s])(?:ad|ads|adv|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|aside|footer|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscri\w*|share|sharing|social|comments?|disqus|replies|reply|respond|related|recommend\w*|widget\w*|pagination|pager|login|signup|search\w*|toolbar|skip|legal|copyright|paywall)(?:$|[-_\s])", re.I)
+#: A page's header is noise, an article's isn't.
+HEADER_NAME = re.compile(r"(?:^|[-_\s])(?:header|masthead)(?:$|[-_\s])", re.I)
 
 
 class Node:
@@ -85,7 +86,8 @@ def parse(page: str) -> Node:
             attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(m[3])}
             names = " ".join(x for x in (attributes.get("class"), attributes.get("id")) if x)
             noise = noise or attributes.get("role", "").lower() in NOISE_ROLES or "hidden" in attributes or bool(names and NOISE_NAME.search(names))
-        noise = noise or (tag == "header" and not any(a.tag in ("article", "main") for a in ancestors(at)))
+        if not noise and (tag == "header" or (names and HEADER_NAME.search(names))):
+            noise = not any(a.tag in ("article", "main") for a in ancestors(at))
         node = Node(tag, f"{tag}.{names}" if names else tag, noise, at)
         at.children.append(node)
         if tag in RAW:

@@ -26,6 +26,7 @@ def test_html_cases():
     assert x("<p>a &amp; b<p>c\n d<br>e", None) == "a & b c d e"
     assert x(PAGE % ("<article><h1>T</h1><p>x<b>y</b> z<p>w<form>f</form><aside>s</aside><section class=comments>c</section></article>", 1), None) == "T xy z w"
     assert x("<article>1 &lt; 2<script>var a = '</p><article>';</script><!-- no --> &eacute;</article>tail", None) == "1 < 2 é"
+    assert x("<div class=site-header>no</div><article><div class=post-header><h1>T</h1></div>a<header>b</header></article><header>no</header>", None) == "T a b"
     assert x("plain text", None) == "plain text" and x("<article><p>open", None) == "open"
     assert x("<div>" * 300 + "deep" + "</div>" * 300, None) == "deep"
 
