@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyrelith.functions import scalar as S
@@ -26,6 +26,22 @@ def reports_in_window(events: DataFrame, obs: DataFrame, lag_s: int) -> DataFram
     return e.join(o, "day").where(F.col("at").between(F.col("t0"), F.col("until"))).drop("day")
 
 
+def shared_smoke(smoke: DataFrame, reports: DataFrame) -> DataFrame:
+    """``(event, n_concurrent)``: how many other events have at least one of an event's smoke reports in their window.
+
+    A window holds the station's smoke reports from one number to another, numbered by time. Two events share one
+    exactly if those ranges overlap, so the count is that of the ranges that begin no later than an event's ends, less those
+    that end before it begins: two running sums over one station's smoke reports, and no pairs of events.
+    """
+    ranked = reports.select("obs_id", F.row_number().over(Window.orderBy("at", "obs_id")).alias("r"))
+    span = smoke.join(ranked, "obs_id").groupBy("event").agg(F.min("r").alias("lo"), F.max("r").alias("hi"))
+    begun, ended = (span.groupBy(F.col(c).alias("r")).agg(F.count(F.lit(1)).alias(c)) for c in ("lo", "hi"))
+    upto = Window.orderBy("r")
+    sums = ranked.select("r").join(begun, "r", "left").join(ended, "r", "left").select("r", F.sum(F.coalesce("lo", F.lit(0))).over(upto).alias("begun"), F.coalesce(F.sum(F.coalesce("hi", F.lit(0))).over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ended"))
+    j = span.join(sums.select(F.col("r").alias("hi"), "begun"), "hi").join(sums.select(F.col("r").alias("lo"), "ended"), "lo")
+    return j.select("event", (F.col("begun") - F.col("ended") - 1).alias("n_concurrent"))
+
+
 def station_records(events: DataFrame, obs: DataFrame, lag_s: int, half_width: float) -> DataFrame:
     """For every event what the station reported in its window, with the number of other events of the same smoke reports.
 
@@ -37,8 +53,7 @@ def station_records(events: DataFrame, obs: DataFrame, lag_s: int, half_width: f
         F.count_if(F.col("fu") & S.wind_from(F.col("dir"), F.col("sknt"), F.col("bearing"), half_width)).alias("n_fu_from"),
         F.min("vsby").alias("vsby_min"), F.try_divide(F.count_if("ceiling"), F.count("vsby")).alias("ceiling_share"),
     )
-    smoke = hits.where("fu").select("event", "obs_id")
-    other = smoke.join(smoke.withColumnRenamed("event", "other"), "obs_id").where("event <> other").groupBy("event").agg(F.countDistinct("other").alias("n_concurrent"))
+    other = shared_smoke(hits.where("fu").select("event", "obs_id"), obs.where("fu"))
     expected = F.floor((F.col("t1") + lag_s - F.col("t0")) / HALF_HOUR) + 1
     out = events.join(agg, "event", "left").join(other, "event", "left")
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_obs", "n_fu", "n_hz", "n_fu_from", "n_concurrent")]
