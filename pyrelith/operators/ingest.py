@@ -51,7 +51,7 @@ def dense_daily(df: DataFrame, span: DataFrame, col: str = "date_wit") -> DataFr
 
 def district_rollup(inside: DataFrame, districts: DataFrame) -> DataFrame:
     """Count, sum and maximum of the power for every district; a district without rows has 0, null and null."""
-    sums = inside.groupBy("adm_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("frp"), 1).alias("frp_sum"), F.max("frp").alias("frp_max"))
+    sums = inside.groupBy("adm_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("frp"), 2).alias("frp_sum"), F.max("frp").alias("frp_max"))
     return districts.select("adm_id", "kabupaten", "distrik").join(sums, "adm_id", "left").select("kabupaten", "distrik", F.coalesce("n", F.lit(0)).alias("n"), "frp_sum", "frp_max")
 
 

@@ -186,7 +186,7 @@ def d1_point_in_polygon(det, adm):
     return geo.assign_polygon(det, with_ring(adm), "detection_id").select("detection_id", "adm_id", "on_land")
 
 
-@query("v_det", "v_adm", sql=f"SELECT a.kabupaten, a.distrik, count(x.detection_id) AS n, round(sum(x.frp), 1) AS frp_sum, max(x.frp) AS frp_max FROM v_adm a LEFT JOIN {ON_ADM} h USING (adm_id) LEFT JOIN v_det x USING (detection_id) GROUP BY ALL")
+@query("v_det", "v_adm", sql=f"SELECT a.kabupaten, a.distrik, count(x.detection_id) AS n, round(sum(x.frp), 2) AS frp_sum, max(x.frp) AS frp_max FROM v_adm a LEFT JOIN {ON_ADM} h USING (adm_id) LEFT JOIN v_det x USING (detection_id) GROUP BY ALL")
 def e2_d13_district_rollup(det, adm):
     """Every district, zero or not; the power of none stays null."""
     inside = geo.assign_polygon(det, with_ring(adm), "detection_id").where("on_land")
@@ -225,11 +225,11 @@ def b3_b4_geojson(det):
     return ingest.point_features(det)
 
 
-@query("v_det", sql="WITH d AS (SELECT date_wit, count(*) AS n, round(coalesce(sum(frp), 0), 1) AS f, string_agg(DISTINCT satellite, '+' ORDER BY satellite) AS s FROM v_det GROUP BY date_wit) SELECT date_wit, '- **' || strftime(date_wit, '%Y-%m-%d') || '**: ' || n || ' detections, ' || printf('%.1f', f) || ' MW (' || s || ')' AS line FROM d")
+@query("v_det", sql="WITH d AS (SELECT date_wit, count(*) AS n, round(coalesce(sum(frp), 0), 2) AS f, string_agg(DISTINCT satellite, '+' ORDER BY satellite) AS s FROM v_det GROUP BY date_wit) SELECT date_wit, '- **' || strftime(date_wit, '%Y-%m-%d') || '**: ' || n || ' detections, ' || printf('%.2f', f) || ' MW (' || s || ')' AS line FROM d")
 def b6_b7_markdown(det):
     """One line a day, satellites in order."""
-    d = det.groupBy("date_wit").agg(F.count(F.lit(1)).alias("n"), F.round(F.coalesce(F.sum("frp"), F.lit(0.0)), 1).alias("f"), F.array_join(F.array_sort(F.collect_set("satellite")), "+").alias("s"))
-    return d.select("date_wit", F.format_string("- **%s**: %d detections, %.1f MW (%s)", F.date_format("date_wit", "yyyy-MM-dd"), "n", "f", "s").alias("line"))
+    d = det.groupBy("date_wit").agg(F.count(F.lit(1)).alias("n"), F.round(F.coalesce(F.sum("frp"), F.lit(0.0)), 2).alias("f"), F.array_join(F.array_sort(F.collect_set("satellite")), "+").alias("s"))
+    return d.select("date_wit", F.format_string("- **%s**: %d detections, %.2f MW (%s)", F.date_format("date_wit", "yyyy-MM-dd"), "n", "f", "s").alias("line"))
 
 
 @query("v_det", sql="WITH t AS (SELECT detection_id, longitude, latitude, row_number() OVER (ORDER BY frp DESC, detection_id) AS r FROM v_det WHERE frp IS NOT NULL ORDER BY r LIMIT 10) SELECT 'https://www.google.com/maps/dir/' || string_agg(printf('%.5f,%.5f', latitude, longitude), '/' ORDER BY r) AS url, count(*) AS stops FROM t")
