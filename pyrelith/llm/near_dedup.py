@@ -182,7 +182,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     posted = scratch.table(shared.select("rep", "weight", F.slice("ts", F.lit(1), F.size("ts") - least + 1)["token"].alias("tokens")), "posted")
     posts = posted.select("rep", "weight", F.explode("tokens").alias("token"))
     leaders = posts.groupBy("token").agg(F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    star = posts.join(leaders, "token").where("rep <> -lead.minus").groupBy("rep").agg(F.max("lead").alias("lead")).select(F.col("rep").alias("a"), (-F.col("lead.minus")).alias("b"))
+    # every class of a list; one that leads all its lists has no leader of its own
+    star = posts.join(leaders, "token").groupBy("rep").agg(F.max(F.when(F.col("rep") != -F.col("lead.minus"), F.col("lead"))).alias("lead")).select(F.col("rep").alias("a"), (-F.col("lead.minus")).alias("b"))
     star = scratch.table(star, "star")
     if star.isEmpty():
         label = spark.createDataFrame([], "node long, component long")
@@ -196,8 +197,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def linked_components(spark, scratch: Scratch, texts: DataFrame, classes: DataFrame, posted: DataFrame, posts: DataFrame, star: DataFrame, percent: int, width: int, least: int, broadcast_bytes: int, block_rows: int) -> DataFrame:
     """``(node, component)`` of the classes that have a confirmed link: to leaders first, then across components."""
-    # sets of the classes that may have a link: one pass over the texts they stand for
-    wanted = star.select(F.col("a").alias("rep"), F.col("b").alias("lead"), F.lit(False).alias("leads")).unionByName(star.select(F.col("b").alias("rep"), F.lit(None).cast("long").alias("lead"), F.lit(True).alias("leads")).distinct())
+    # sets of the classes that may have a link, those that nobody chose as leader too: one pass over the texts they stand for
+    wanted = star.select(F.col("a").alias("rep"), F.col("b").alias("lead"), F.lit(False).alias("leads")).unionByName(star.where("b is not null").select(F.col("b").alias("rep"), F.lit(None).cast("long").alias("lead"), F.lit(True).alias("leads")).distinct())
     wanted = wanted.groupBy("rep").agg(F.max("lead").alias("lead"), F.max("leads").alias("leads"))
     wanted = small(scratch, "wanted", scratch.table(wanted, "wanted"), broadcast_bytes)
 

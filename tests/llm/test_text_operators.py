@@ -179,6 +179,26 @@ def test_near_dedup_odd_rows(spark):
     assert near_dedup.near_components(d.limit(0)).count() == 0
 
 
+def test_near_dedup_class_that_leads_but_is_nobodys_leader(spark):
+    """x leads the lists it shares with its near copy y, and y chose z, heavier and no copy, with which it shares a rare passage."""
+    rng = random.Random(11)
+    texts, n = {}, 0
+    for _ in range(12):
+
+        def words(k):
+            return ["".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(k)]
+
+        base, rare, common, z = words(220), words(14), words(14), words(230)
+        group = [base + common, base + rare, rare + z, *[z + words(4) for _ in range(7)], *[common + words(40) for _ in range(15)]]
+        for w in group:
+            texts[n] = " ".join(w)
+            n += 1
+    want = components(texts, 85)
+    assert all(want[i + 1] == i for i in range(0, n, 25))
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dedup.near_components(d).collect()} == want
+
+
 def token_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     odd = [(-1, None), (-2, ""), (-3, " <|endoftext|> x<|endoftext|>"), (-4, "  \n\t a  b   c'S 'll"), (-5, "x" * 50_000), (-6, "héllo 世界 🙂 ١٢٣"), (-7, "a" * 3 + " " * 9000)]
