@@ -35,6 +35,8 @@ SCOPES = frozenset("ul ol dl table article section div body main aside nav heade
 NOISE_TAGS = frozenset("nav footer aside form script style noscript template button select textarea input iframe svg math dialog menu head title object".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar form".split())
 NOISE_NAME = re.compile(r"(?:^|[-_\s])(?:ad|ads|adv|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|aside|footer|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscri\w*|share|sharing|social|comments?|disqus|replies|reply|respond|related|recommend\w*|widget\w*|pagination|pager|login|signup|search\w*|toolbar|skip|legal|copyright|paywall)(?:$|[-_\s])", re.I)
+#: Elements that hold pages or texts; their names tell of layouts and subjects.
+WHOLE = frozenset("html body main article".split())
 #: A page's header is noise, an article's isn't.
 HEADER_NAME = re.compile(r"(?:^|[-_\s])(?:header|masthead)(?:$|[-_\s])", re.I)
 
@@ -42,10 +44,11 @@ HEADER_NAME = re.compile(r"(?:^|[-_\s])(?:header|masthead)(?:$|[-_\s])", re.I)
 class Node:
     """An element: its kind (tag and class or id), its children, and its own pieces of text in page order."""
 
-    __slots__ = ("children", "key", "noise", "parent", "tag")
+    __slots__ = ("children", "key", "named", "noise", "parent", "tag")
 
-    def __init__(self, tag: str, key: str, noise: bool, parent: Node | None):
-        self.tag, self.key, self.noise, self.parent, self.children = tag, key, noise, parent, []
+    def __init__(self, tag: str, key: str, noise: bool, parent: Node | None, named: bool = False):
+        #: named: noise by nothing but its class or id
+        self.tag, self.key, self.noise, self.parent, self.children, self.named = tag, key, noise, parent, [], named
 
 
 def parse(page: str) -> Node:
@@ -81,14 +84,16 @@ def parse(page: str) -> Node:
                 up = up.parent
             if up.parent and up.tag in ends:
                 at = up.parent
-        names, noise = "", tag in NOISE_TAGS
+        names, noise, named = "", tag in NOISE_TAGS, False
         if m[3].strip("/ \n\t\r"):
             attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(m[3])}
             names = " ".join(x for x in (attributes.get("class"), attributes.get("id")) if x)
-            noise = noise or attributes.get("role", "").lower() in NOISE_ROLES or "hidden" in attributes or bool(names and NOISE_NAME.search(names))
-        if not noise and (tag == "header" or (names and HEADER_NAME.search(names))):
-            noise = not any(a.tag in ("article", "main") for a in ancestors(at))
-        node = Node(tag, f"{tag}.{names}" if names else tag, noise, at)
+            noise = noise or attributes.get("role", "").lower() in NOISE_ROLES or "hidden" in attributes
+            named = not noise and tag not in WHOLE and bool(names and NOISE_NAME.search(names))
+        if not noise and not named and tag not in WHOLE and (tag == "header" or (names and HEADER_NAME.search(names))):
+            found = not any(a.tag in ("article", "main") for a in ancestors(at))
+            noise, named = found and tag == "header", found and tag != "header"
+        node = Node(tag, f"{tag}.{names}" if names else tag, noise or named, at, named)
         at.children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*(?:>|$)", re.I).search(page, pos)
@@ -220,19 +225,39 @@ def flush(out: list[str], line: list[str]) -> None:
         line.clear()
 
 
+def outermost(at: Node, tag: str, found: list[Node]) -> list[Node]:
+    """The elements of a kind that are no noise and in no other of that kind."""
+    for c in at.children:
+        if not isinstance(c, str) and not c.noise:
+            if c.tag == tag:
+                found.append(c)
+            else:
+                outermost(c, tag, found)
+    return found
+
+
 def bodies(node: Node) -> list[Node]:
     """The outermost articles that are no noise, or else the outermost main elements."""
+    return outermost(node, "article", []) or outermost(node, "main", [])
 
-    def outermost(at: Node, tag: str, found: list[Node]) -> list[Node]:
-        for c in at.children:
-            if not isinstance(c, str) and not c.noise:
-                if c.tag == tag:
-                    found.append(c)
-                else:
-                    outermost(c, tag, found)
-        return found
 
-    return outermost(node, "article", []) or outermost(node, "main", [])
+def unname(node: Node, tags: frozenset[str]) -> bool:
+    """Take noise names off what holds an element of ``tags``, or off everything if there are none; whether ``node`` holds one."""
+    holds = not tags
+    for c in node.children:
+        if not isinstance(c, str) and (c.named or not c.noise) and (unname(c, tags) or c.tag in tags):
+            c.noise = c.named = False
+            holds = True
+    return holds
+
+
+def page_tree(page: str) -> Node:
+    """The tree of a page. What holds a main element is no noise by name; nor is what holds an article if all articles stand in such noise."""
+    root = parse(page)
+    unname(root, frozenset({"main"}))
+    if not bodies(root):
+        unname(root, frozenset({"article", "main"}))
+    return root
 
 
 def extract(page: str | None, wrapper: list | None) -> str:
@@ -240,11 +265,12 @@ def extract(page: str | None, wrapper: list | None) -> str:
 
     Inside an article all text outside noise regions is content, though two pages may have the same;
     elsewhere text that every page of the host has is template. If that leaves nothing, the page is a
-    copy of the host's others and all its text outside noise regions is taken.
+    copy of the host's others and all its text outside noise regions is taken. If that leaves nothing
+    either, regions that are noise by nothing but their class or id are taken too.
     """
     if not page:
         return ""
-    root = parse(page)
+    root = page_tree(page)
     within = bodies(root)
     template: set[int] = set()
     if wrapper and not within:
@@ -258,6 +284,10 @@ def extract(page: str | None, wrapper: list | None) -> str:
     if not out and not within:
         blocks(root, set(), False, out, line)
         flush(out, line)
+    if not out:
+        unname(root, frozenset())
+        blocks(root, set(), False, out, line)
+        flush(out, line)
     return " ".join(out)
 
 

@@ -31,6 +31,19 @@ def test_html_cases():
     assert x("<div>" * 300 + "deep" + "</div>" * 300, None) == "deep"
 
 
+def test_names_of_layouts_lose_no_text():
+    x = html_extraction.extract
+    for name in ("has-sidebar", "no-sidebar header-fixed"):
+        assert x(f"<html><body class='{name}'><nav>n</nav><article>text</article></body></html>", None) == "text"
+        assert x(f"<body class='{name}'><p>text</p><div class=ad>buy</div></body>", None) == "text"
+    assert x("<div id=page class=right-sidebar><div class=sidebar>s</div><article>text</article></div>", None) == "text"
+    assert x("<div class=right-sidebar><main>text</main></div><div class=related><article>tease</article></div>", None) == "text"
+    for name in ("post legal", "notice", "search", "related", "side", "share", "promo"):
+        assert x(f"<div>d</div><article class='{name}'>text<div class='{name}'>no</div></article>", None) == "text"
+    assert x("<article>text</article><div class=comments><article>reply</article></div>", None) == "text"
+    assert x("<nav>n</nav><div class=with-sidebar><p>text</p></div>", None) == "text"
+
+
 def test_wrapper_finds_the_template(spark):
     body = "<div class=top>Welcome to the site</div><div class=body><p>%s</p><p>more %s</p></div><div class=low>Call us</div>"
     rows = [(i, f"http://h.example/{i}", PAGE % (body % (f"text {i}", i), i)) for i in range(12)] + [(50, "http://other.example/", PAGE % (body % ("single", 1), 1)), (51, None, "<p>no host</p>"), (52, "x", None), (0, "http://h.example/0", PAGE % (body % ("text 0", 0), 0))]
