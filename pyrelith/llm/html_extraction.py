@@ -4,8 +4,8 @@ A page is parsed into a tree; siblings of one kind that follow one another becom
 the texts of all of them. Trees of a host are folded into a wrapper, a tree in which every node knows
 on how many pages it stood and whether its text was always the same. Nodes with the same text on every
 page are template, the others are slots. A page's main text is what its slots hold, without regions that
-are no content by their kind (navigation, footers, forms, adverts, comments and the like), and inside the
-article where the page has one.
+are no content by their kind (navigation, footers, forms, adverts, comments and the like). Articles, or else
+main elements, narrow the slots where they hold at least half of that text.
 """
 
 from __future__ import annotations
@@ -194,10 +194,14 @@ def merge(a: list, b: list, seen: dict | None = None) -> list:
     return [a[0], a[1] + b[1], a[2] if a[2] == b[2] else "", children]
 
 
-def template_nodes(w: list, s: Slot, shape: list, found: set[int], pages: int) -> None:
-    """The nodes of a page whose slot is template: the same text on every one of several pages."""
+#: Fewer pages of a host than this may well be copies of one another.
+FEW = 5
+
+
+def template_nodes(w: list, s: Slot, shape: list, found: dict[int, bool], pages: int) -> None:
+    """The nodes of a page whose slot is template, the same text on every one of several pages, and whether most pages of the host have it."""
     if pages > 1 and w[1] > 1 and w[2] == s.digest and w[2]:
-        found.update(map(id, s.nodes))
+        found.update(dict.fromkeys(map(id, s.nodes), 2 * w[1] > pages))
     for i, j in aligned(w[3], shape[3], {}):
         if i is not None and j is not None:
             template_nodes(w[3][i], s.children[j], shape[3][j], found, pages)
@@ -260,35 +264,53 @@ def page_tree(page: str) -> Node:
     return root
 
 
+def text_of(tops: list[Node], template: set[int]) -> str:
+    out: list[str] = []
+    line: list[str] = []
+    for top in tops:
+        blocks(top, template, bool(template), out, line)
+        flush(out, line)
+    return " ".join(out)
+
+
+def slots_within(tops: list[Node], steady: set[int], pages: int) -> str:
+    """The text of articles without what is template on most pages of the host; all of it if the pages look like copies.
+
+    They do if nothing is left, or, where they are few, if less than half is left.
+    """
+    whole = text_of(tops, set())
+    left = text_of(tops, steady) if steady else whole
+    return whole if not left or (pages < FEW and 2 * len(left) < len(whole)) else left
+
+
 def extract(page: str | None, wrapper: list | None) -> str:
     """The main text of a page, given its host's wrapper (None: nothing is known as template).
 
-    Inside an article all text outside noise regions is content, though two pages may have the same;
-    elsewhere text that every page of the host has is template. If that leaves nothing, the page is a
-    copy of the host's others and all its text outside noise regions is taken. If that leaves nothing
-    either, regions that are noise by nothing but their class or id are taken too.
+    Text that every page of the host has where it has that element is template; inside an article most pages
+    of the host must have it, as a few may be copies. The text is that of the articles, or else of the main
+    elements, unless they hold less than half of the page's text outside template and noise regions; where
+    the host has no other page, unless they hold none. Otherwise all that text of the page is taken. If there
+    is none, the page is a copy of the host's others and all its text outside noise regions is taken. If
+    that leaves nothing either, regions that are noise by nothing but their class or id are taken too.
     """
     if not page:
         return ""
     root = page_tree(page)
-    within = bodies(root)
-    template: set[int] = set()
-    if wrapper and not within:
+    template: dict[int, bool] = {}
+    pages = wrapper[1] if wrapper else 1
+    if pages > 1:
         s = slots([root], "")
-        template_nodes(wrapper, s, as_wrapper(s), template, wrapper[1])
-    out: list[str] = []
-    line: list[str] = []
-    for top in within or [root]:
-        blocks(top, template, not within, out, line)
-        flush(out, line)
-    if not out and not within:
-        blocks(root, set(), False, out, line)
-        flush(out, line)
-    if not out:
+        template_nodes(wrapper, s, as_wrapper(s), template, pages)
+    steady = {k for k, most in template.items() if most}
+    everything = text_of([root], set(template))
+    for tag in ("article", "main"):
+        inside = slots_within(outermost(root, tag, []), steady, pages)
+        if inside and (pages == 1 or 2 * len(inside) >= len(everything)):
+            return inside
+    if not everything and not (everything := text_of([root], set())):
         unname(root, frozenset())
-        blocks(root, set(), False, out, line)
-        flush(out, line)
-    return " ".join(out)
+        everything = text_of([root], set())
+    return everything
 
 
 def induce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -55,6 +55,21 @@ def test_wrapper_finds_the_template(spark):
     assert "host" in html_extraction.extract_main_text(d).columns
 
 
+def test_wrapper_decides_inside_articles(spark):
+    article = "<article><h1>Title %d</h1><div class=hint>Share this page with all</div><p>story %d of the day</p><div class=box>Readers say hello</div></article>"
+    rows = [(i, f"http://a.example/{i}", PAGE % (article % (i, i), i)) for i in range(9)]
+    rows += [(10 + i, f"http://copies.example/{i}", PAGE % (article % (7, 7), i)) for i in range(3)]
+    story = "<main><div class=story>a long story %d that stands beside it</div>%s</main>"
+    rows += [(20 + i, f"http://tease.example/{i}", PAGE % (story % (i, ["<article></article>", "<article>more %d</article>" % i][i % 2]), i)) for i in range(6)]
+    rows += [(30, "http://one.example/", PAGE % (story % (1, "<article> </article>"), 1))]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extraction.extract_main_text(d.repartition(4)).collect()}
+    assert [got[i] for i in range(9)] == [f"Title {i} story {i} of the day" for i in range(9)]
+    assert {got[10 + i] for i in range(3)} == {"Title 7 Share this page with all story 7 of the day Readers say hello"}
+    assert all(got[20 + i] == f"a long story {i} that stands beside it" + f" more {i}" * (i % 2) for i in range(6))
+    assert got[30] == "a long story 1 that stands beside it"
+
+
 def test_simple_tree_matching_is_optimal():
     rng = random.Random(3)
 
