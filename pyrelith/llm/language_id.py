@@ -72,23 +72,32 @@ class Model:
     weights: np.ndarray  # landmarks + 1 x langs
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
+        return [(lang, score) for lang, score, _, _ in self.measure(texts)]
+
+    def measure(self, texts: list[str | None]) -> list[tuple[str, float, float, float]]:
+        """Of each text the language, its score, how far its regression lies above the second language's, and the share of the text's n-grams that landmarks have."""
+        out: list[tuple[str, float, float, float]] = [(UNKNOWN, 0.0, 0.0, 0.0)] * len(texts)
         rows = [(i, s) for i, t in enumerate(texts) if t and (s := symbols(t)).any()]
         if not rows or not self.langs:
             return out
         bitmap = np.zeros(DIMS, dtype=bool)
         x = np.zeros((len(rows), self.vocabulary.size), dtype=np.float32)
+        share = np.zeros(len(rows))
         for k, (_, s) in enumerate(rows):
             bitmap[:] = False
             mark(s, bitmap)
+            grams = np.count_nonzero(bitmap)
             x[k] = bitmap[self.vocabulary]
-            x[k] /= np.sqrt(np.count_nonzero(bitmap))
+            share[k] = np.count_nonzero(x[k]) / grams
+            x[k] /= np.sqrt(grams)
         k = x @ self.landmarks
         f = np.hstack([k, np.ones((len(rows), 1), dtype=np.float32)]) @ self.weights
         best = f.argmax(axis=1)
         score = np.clip((f[np.arange(len(rows)), best] + 1) / 2, 0, 1)
-        for (i, _), b, v in zip(rows, best, score, strict=True):
-            out[i] = (self.langs[b], float(v))
+        top = np.sort(f, axis=1)
+        margin = top[:, -1] - top[:, -2] if len(self.langs) > 1 else np.zeros(len(rows))
+        for (i, _), b, v, m, c in zip(rows, best, score, margin, share, strict=True):
+            out[i] = (self.langs[b], float(v), float(m), float(c))
         return out
 
 
@@ -182,16 +191,60 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(score, f"doc_id {kind}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, least_score: float = 0.25, **options) -> DataFrame:
+#: Steps of a unit in which margins and shares are counted.
+STEPS = 1000
+
+
+def cuts(docs: DataFrame, model: Model, below_margin: float = 0.05, below_share: float = 0.005) -> tuple[float, float]:
+    """``(margin, share)`` that all but these parts of the rows of ``docs(text, lang)`` reach whose language is told rightly.
+
+    Every row is measured and counted by its rounded values, so little moves. Without such rows both are -1.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: dict[tuple[int, int], int] = {}
+        for b in batches:
+            texts, langs = list(b["text"]), list(b["lang"])
+            for k in range(0, len(texts), BATCH):
+                for want, (lang, _, margin, share) in zip(langs[k : k + BATCH], held.value.measure(texts[k : k + BATCH]), strict=True):
+                    if lang == want and lang != UNKNOWN:
+                        for key in ((0, int(np.floor(margin * STEPS))), (1, int(np.floor(share * STEPS)))):
+                            found[key] = found.get(key, 0) + 1
+        yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["what", "at", "n"]).astype("int64")
+        release_memory()
+
+    counts = docs.select("text", "lang").mapInPandas(run, "what long, at long, n long").groupBy("what", "at").agg(F.sum("n").alias("n")).collect()
+    out = []
+    for what, part in ((0, below_margin), (1, below_share)):
+        rows = sorted((r["at"], r["n"]) for r in counts if r["what"] == what)
+        below, total = 0, sum(n for _, n in rows)
+        at = -STEPS
+        for at, n in rows:
+            below += n
+            if below > part * total:
+                break
+        out.append(at / STEPS)
+    return out[0], out[1]
+
+
+def keep_identified(docs: DataFrame, below_margin: float = 0.05, below_share: float = 0.005, **options) -> DataFrame:
     """The rows of ``docs`` whose language is known, all columns as they were.
 
-    Rejected are rows that get ``und`` (null or letterless texts) and those for which no learned language's
-    regression comes above 2 * ``least_score`` - 1. Rows pass as Arrow batches, so no value changes.
+    Rejected are rows that get ``und`` (null or letterless texts) and those of no learned language. The winning
+    regression alone can't tell these: K regressions add up to 2 - K for every text, so one always is at
+    least (2 - K) / K. What tells them is that no language stands out and that many n-grams are new: rows go
+    whose margin to the second language and whose share of known n-grams are both below what rightly told
+    held-out rows have, but for ``below_margin`` and ``below_share`` of them; all of these rows are measured.
+    So at most about ``below_share`` of texts in a learned language can go. Without a held-out row nothing else is
+    rejected. Rows pass as Arrow batches, so no value changes.
     """
     import pyarrow as pa
 
     text_batches(docs.sparkSession)
-    model = fit(docs.where(~F.coalesce(held_out(), F.lit(True))).select("doc_id", "text", "lang"), **options)
+    known = docs.where(~F.coalesce(held_out(), F.lit(True))).select("doc_id", "text", "lang")
+    model = fit(known, **options)
+    least_margin, least_known = cuts(docs.where(held_out() & F.col("lang").isNotNull()), model, below_margin, below_share)
     held = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
@@ -200,7 +253,8 @@ def keep_identified(docs: DataFrame, least_score: float = 0.25, **options) -> Da
             texts = b.column(at).to_pylist()
             keep = []
             for k in range(0, len(texts), BATCH):
-                keep += [lang != UNKNOWN and score >= least_score for lang, score in held.value.predict(texts[k : k + BATCH])]
+                # a margin of 0 is that of a model with one language, where the share decides
+                keep += [lang != UNKNOWN and (share >= least_known or margin > 0 and margin >= least_margin) for lang, _, margin, share in held.value.measure(texts[k : k + BATCH])]
             yield b.filter(pa.array(keep, pa.bool_()))
         release_memory()
 

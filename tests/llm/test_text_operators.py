@@ -152,6 +152,24 @@ def test_language_id_held_out(spark, sf):
     assert kept.schema == docs.schema and kept.count() >= docs.count() * 0.99 and kept.where("doc_id in (-1, -2, -3)").count() == 0
 
 
+def test_unlearned_languages_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(5)
+
+    def gibberish(alphabet):
+        return " ".join("".join(rng.choice(alphabet) for _ in range(rng.randrange(2, 9))) for _ in range(120))
+
+    planted = [(-1 - i, gibberish(a), None, "src0", 1) for i, a in enumerate(["абвгдежзийклмнопрстуфхцчшщыэюя", "αβγδεζηθικλμνξοπρστυφχψω", "日本語中文字符漢書", "abcdefghijklmnopqrstuvwxyz"] * 5)]
+    kept = language_id.keep_identified(docs.unionByName(spark.createDataFrame(planted, DOCS)))
+    assert kept.where("doc_id < 0").count() == 0
+    assert kept.count() >= docs.count() * 0.995
+    # a language that no labelled row has
+    rest = docs.withColumn("lang", F.when(F.col("lang") != "es", F.col("lang")))
+    left = language_id.keep_identified(rest)
+    es, others = docs.where("lang = 'es'").count(), docs.where("lang <> 'es'").count()
+    assert left.where("lang is null").count() <= 0.1 * es and left.where("lang is not null").count() >= 0.995 * others
+
+
 def shingles(text):
     w = bytes(text or "", "utf-8").lower().split()
     return set(zip(*[w[k:] for k in range(5)])) if len(w) >= 5 else ({tuple(w)} if w else set())
