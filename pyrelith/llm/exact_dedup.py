@@ -66,16 +66,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; ids are taken as unique but for repeated rows."""
-    gone = exact_dedup(docs, id_col, text_col).groupBy("doc_id").agg(F.max("kept").alias("k"), F.count(F.lit(1)).alias("n")).where("not k or n > 1")
+    """The rows of ``docs`` that stay, with all their columns: of equal texts one row; an id's different texts stay each."""
     scratch = Scratch(docs.sparkSession, "exact-drop")
-    gone = scratch.table(gone, "gone")
-    left = docs.join(gone.where("not k").select(F.col("doc_id").alias("__gone")), docs[id_col].eqNullSafe(F.col("__gone")), "left_anti")
-    if gone.where("k").isEmpty():
+    dedup = exact_dedup(docs, id_col, text_col)
+    gone = scratch.table(dedup.groupBy("doc_id").agg(F.max("kept").alias("k"), F.count(F.lit(1)).alias("n")).where("not k or n > 1"), "gone")
+    left = docs.join(gone.select(F.col("doc_id").alias("__gone")), docs[id_col].eqNullSafe(F.col("__gone")), "left_anti")
+    several = gone.where("n > 1").select(F.col("doc_id").alias("__id"))
+    if several.isEmpty():
         return left
-    twice = gone.where("k").select(F.col("doc_id").alias("__twice"))
-    once = left.join(twice, left[id_col].eqNullSafe(F.col("__twice")), "left_anti")
-    return once.unionByName(left.join(twice, left[id_col].eqNullSafe(F.col("__twice")), "left_semi").dropDuplicates([id_col]))
+    # ids of several rows: each row is decided by its text
+    first = dedup.where("kept").join(several, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select(F.col("doc_id").alias("__first"), F.col("text_sha256").alias("__of"))
+    rows = docs.join(several, docs[id_col].eqNullSafe(F.col("__id")), "left_semi").withColumn("__sha", F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), RUNS, " "), 256))
+    rows = rows.join(first, F.col(id_col).eqNullSafe(F.col("__first")) & (F.col("__sha") == F.col("__of")), "left_semi")
+    return left.unionByName(rows.dropDuplicates([id_col, "__sha"]).drop("__sha"))
 
 
 ORACLE = r"""

@@ -39,6 +39,13 @@ def test_exact_dedup_odd_rows(spark):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in left.collect()) == [(False, 1), (False, 4), (True, 0)]
 
 
+def test_different_texts_of_one_id_stay(spark):
+    rows = [(1, "a b"), (1, "a  b"), (1, "c"), (2, "c"), (2, "d"), (None, "e"), (None, "f"), (None, "f"), (None, "a b"), (3, None), (3, "g"), (4, "h"), (5, "h")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted((r.doc_id or 0, " ".join((r.text or "").split())) for r in exact_dedup.drop_exact_copies(d.repartition(3)).collect())
+    assert left == [(0, "e"), (0, "f"), (1, "a b"), (1, "c"), (2, "d"), (3, ""), (3, "g"), (4, "h")]
+
+
 @settings(max_examples=6, **QUIET)
 @given(st.lists(st.text(alphabet="ab \t\nxy", max_size=60), max_size=12), st.sampled_from([2, 6, 64]))
 def test_exact_dedup_against_text(spark, texts, bits):
