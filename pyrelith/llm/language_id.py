@@ -113,20 +113,18 @@ def presence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["lang", "grams"])
 
 
-def fit(train: DataFrame, per_lang: int = 250, most_langs: int = 100, landmarks: int = 96, least_uses: int = 4, ridge: float = 1e-2) -> Model:
+def fit(train: DataFrame, per_lang: int = 250, landmarks: int = 96, least_uses: int = 4, ridge: float = 1e-2) -> Model:
     """Fit on a bounded sample of ``train(doc_id, text, lang)``: ``per_lang`` texts of each language.
 
     The sample is the rows with the smallest hash of their id, so it depends neither on the order of
-    the rows nor on their partitions; at most ``most_langs`` languages (the most frequent) are learned. An n-gram
+    the rows nor on their partitions; every language that has such a row is learned. An n-gram
     is part of a landmark's spectrum if ``least_uses`` sampled texts have it. Without usable rows the
     model answers ``und`` to everything.
     """
     from pyspark.sql import Window
 
     rows = train.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64(F.col("doc_id").cast("string")))
-    known = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most_langs).select("lang")
-    picked = rows.select("lang", "h").join(F.broadcast(known), "lang")
-    picked = picked.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= per_lang).select("lang", "h").distinct()
+    picked = rows.select("lang", "h").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= per_lang).select("lang", "h").distinct()
     sample = rows.join(F.broadcast(picked), ["lang", "h"]).select("lang", "text").mapInPandas(presence, "lang string, grams binary").collect()
     sample = sorted((r.lang, bytes(r.grams)) for r in sample)
     if not sample:

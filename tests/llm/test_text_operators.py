@@ -152,6 +152,17 @@ def test_language_id_held_out(spark, sf):
     assert kept.schema == docs.schema and kept.count() >= docs.count() * 0.99 and kept.where("doc_id in (-1, -2, -3)").count() == 0
 
 
+def test_every_labelled_language_is_learned(spark):
+    rng = random.Random(2)
+    words = {f"l{k:03}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(12)] for k in range(104)}
+    rows = [(100 * k + i, " ".join(rng.choices(w, k=40)), lang) for k, (lang, w) in enumerate(words.items()) for i in range(9 if k < 103 else 6)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(d)
+    assert model.langs == sorted(words)
+    told = [lang for lang, _ in model.predict([" ".join(rng.choices(w, k=40)) for w in words.values()])]
+    assert told[-1] == "l103" and np.mean([a == b for a, b in zip(told, words)]) > 0.95
+
+
 def test_unlearned_languages_are_rejected(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rng = random.Random(5)
