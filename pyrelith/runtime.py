@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,20 +29,46 @@ def session(app: str = "pyrelith", cpus: int | str = "*", shuffle_partitions: in
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a local one only where that is unset."""
-    return spark.conf.get(CHECKPOINT_KEY, None) or LOCAL_CHECKPOINTS
+    """The folder that the cluster names in spark.checkpoint.dir; a local one only on one machine, where that is unset."""
+    named = spark.conf.get(CHECKPOINT_KEY, None)
+    if not named and not is_one_machine(spark.sparkContext.master):
+        raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder that the driver and all executors share")
+    return named or LOCAL_CHECKPOINTS
+
+
+def is_one_machine(master: str) -> bool:
+    """Whether driver and executors are one process: ``local``, ``local[8]``, but not ``local-cluster``."""
+    return master == "local" or master.startswith("local[")
+
+
+#: Folders of this process's tables, and what deletes each.
+_FOLDERS: dict[str, tuple] = {}
+
+
+@atexit.register
+def sweep() -> None:
+    """Remove the tables that this driver wrote; whatever it returned has been read by then."""
+    while _FOLDERS:
+        _, (path, conf) = _FOLDERS.popitem()
+        try:
+            path.getFileSystem(conf).delete(path, True)
+        except Exception:  # noqa: BLE001 - the JVM may have ended first
+            return
 
 
 class Scratch:
     """Tables that cut a lineage: Parquet in the shared folder, so that losing an executor loses nothing.
 
-    A table stays until ``drop`` removes it or its folder is cleaned by whoever owns the shared folder,
-    because a returned DataFrame still reads it.
+    A returned DataFrame may still read such a table, so it stays until ``drop`` removes it or the driver ends.
+    Operators drop what their result doesn't read.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.root = f"{shared_folder(spark).rstrip('/')}/pyrelith/{label}-{uuid.uuid4().hex[:12]}"
+        app = f"{shared_folder(spark).rstrip('/')}/pyrelith/{spark.sparkContext.applicationId}"
+        self.root = f"{app}/{label}-{uuid.uuid4().hex[:12]}"
+        if app not in _FOLDERS:
+            _FOLDERS[app] = (spark._jvm.org.apache.hadoop.fs.Path(app), spark._jsparkSession.sessionState().newHadoopConf())
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -66,13 +93,18 @@ class Scratch:
         return self._hadoop_path(name).getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
 
-BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_KEYS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 10_000, "spark.sql.execution.arrow.maxBytesPerBatch": 64 << 20}
 
 
-def text_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows that go to a Python worker at once, for tables of long texts; a smaller setting of the session stays."""
-    if int(spark.conf.get(BATCH_KEY, "10000")) > rows:
-        spark.conf.set(BATCH_KEY, str(rows))
+def text_batches(spark: SparkSession, rows: int = 1000, size: int = 16 << 20) -> None:
+    """Rows and bytes that go to a Python worker at once, for tables of long texts; smaller settings of the session stay.
+
+    The settings are the session's, as a plan reads them only when it runs; results don't depend on them.
+    """
+    for (key, default), most in zip(BATCH_KEYS.items(), (rows, size), strict=True):
+        now = spark.conf.get(key, str(default))
+        if not now.isdigit() or int(now) == 0 or int(now) > most:
+            spark.conf.set(key, str(most))
 
 
 def release_memory() -> None:
