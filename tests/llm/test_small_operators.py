@@ -121,10 +121,11 @@ def test_chat_formatting_cases(spark):
 
 
 def brute(rows, queries, k):
-    ints = {i: np.floor(1024 * np.array(v, dtype=np.float64)).astype(object) for i, v in rows}
+    ints = [(i, np.floor(1024 * np.array(v, dtype=np.float64)).astype(object)) for i, v in rows]
+    own = dict(reversed(ints))
     out = {}
     for q in queries:
-        best = sorted(((-int(ints[q] @ v), i) for i, v in ints.items() if i != q))[:k]
+        best = sorted(((-int(own[q] @ v), i) for i, v in ints if i != q))[:k]
         out[q] = [(i, -s) for s, i in best]
     return out
 
@@ -137,7 +138,7 @@ def test_topk_with_ties_and_odd_vectors(spark):
     odd = [(900, None), (901, [None] * 6), (902, [float("nan")] * 6), (903, [float("inf")] * 6), (None, [1.0] * 6)]
     d = spark.createDataFrame(rows + odd + rows[:3], "vec_id long, embedding array<float>").withColumn("score", F.lit(1))
     got = topk_search.exact_topk(d, d.where("vec_id % 7 = 0"), 10, shard_rows=60, block=9, fanout=4, leaf=8).collect()
-    f32 = [(i, np.array(x, dtype=np.float32)) for i, x in rows]
+    f32 = [(i, np.array(x, dtype=np.float32)) for i, x in rows + rows[:3]]  # rows that repeat are candidates each
     want = brute(f32, range(0, 400, 7), 10)
     found = {}
     for r in sorted(got, key=lambda r: r["rank"]):
@@ -145,13 +146,41 @@ def test_topk_with_ties_and_odd_vectors(spark):
     assert found == want
     assert topk_search.exact_topk(d.limit(0), d).count() == 0
     few = topk_search.exact_topk(d.where("vec_id < 3"), d.where("vec_id = 1")).collect()
-    assert sorted(r["rank"] for r in few) == [1, 2]
+    assert sorted(r["rank"] for r in few) == [1, 2, 3, 4]
 
 
 def test_tree_visits_few_pages_of_clustered_vectors():
     rng = np.random.default_rng(5)
     v = (rng.normal(size=(40, 8))[rng.integers(0, 40, 4000)] * 500 + rng.normal(size=(4000, 8)) * 5).astype(np.int64)
-    tree = topk_search.Tree(topk_search.build(np.arange(4000), v, 16, 48))
+    x = v.astype(float)
+    m2 = float((x * x).sum(1).max())
+    centre = np.append(x[0], np.sqrt(m2 - (x[0] ** 2).sum()))
+    tree = topk_search.Tree(topk_search.build(np.arange(4000), v, centre, m2, 16, 48), centre, m2)
     leaves = [p for p in tree.pages.values() if p[1]]
     assert sum(len(p[2]) for p in leaves) == 4000
-    assert tree.search(v[7], 7, 10) == [(s, i) for i, s in brute([(i, x / 1024) for i, x in enumerate(v)], [7], 10)[7]]
+    asked = np.arange(0, 4000, 40)
+    scores, ids = tree.search(v[asked], asked, 10)
+    want = brute([(i, x / 1024) for i, x in enumerate(v)], asked.tolist(), 10)
+    assert {q: list(zip(i.tolist(), s.tolist(), strict=True)) for q, i, s in zip(asked.tolist(), ids, scores, strict=True)} == {q: [(i, s) for i, s in w] for q, w in want.items()}
+    assert tree.opened < 0.3 * len(asked) * len(tree.pages)  # a third of what opening every page takes, at most
+
+
+def test_topk_visits_few_shards_of_clustered_vectors(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(30, 6)) * 3
+    v = centres[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 6)) * 0.02
+    v[1000:2000] = v[0]  # a third are copies of one vector
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk_search.exact_topk(d, d.where("vec_id % 97 = 0"), 5, shard_rows=100, leaf=16).collect()
+    want = brute([(i, np.array(x)) for i, x in rows], range(0, 3000, 97), 5)
+    found = {}
+    for r in sorted(got, key=lambda r: r["rank"]):
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert found == want
+
+
+def test_topk_beyond_64_bits_and_texts_as_ids(spark):
+    d = spark.createDataFrame([(str(i), [x, 1.0]) for i, x in enumerate([1e30, 3e13, -1e30, 2.0])], "vec_id string, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk_search.exact_topk(d, d).collect()}
+    assert got[0, 1] == (1, 2**63 - 1) and got[0, 3] == (2, -(2**63) + 1) and got[1, 1] == (0, 2**63 - 1) and got[3, 1] == (0, 2**63 - 1)
