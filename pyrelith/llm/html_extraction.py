@@ -1,11 +1,14 @@
 """Main text of web pages by wrapper induction: pages of one host are aligned by simple tree matching.
 
-A page is parsed into a tree; siblings of one kind that follow one another become one node that holds
-the texts of all of them. Trees of a host are folded into a wrapper, a tree in which every node knows
-on how many pages it stood and whether its text was always the same. Nodes with the same text on every
-page are template, the others are slots. A page's main text is what its slots hold, without regions that
-are no content by their kind (navigation, footers, forms, adverts, comments and the like). Articles, or else
-main elements, narrow the slots where they hold at least half of that text.
+A page is parsed into a tree; siblings of one kind become one node that holds the texts of all of them.
+Trees of a host are folded into a wrapper, a tree in which every node knows on how many pages it stood,
+whether its text was always the same, and which texts of single siblings came again. What most pages of the host have in one
+place is template, the rest are slots. A page's main text is what its slots hold, without regions that are no
+content by their kind (navigation, footers, forms, adverts, comments and the like). Articles, or else main
+elements, narrow the slots where they hold at least half of that text.
+
+Trees are at most ``MAX_DEPTH`` deep and wrappers have at most ``MOST_NODES`` nodes, so time is linear in a page
+and what a host needs doesn't grow with its pages.
 """
 
 from __future__ import annotations
@@ -13,15 +16,18 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-from collections.abc import Iterator
-from hashlib import blake2b
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyrelith.runtime import Scratch
+from pyrelith.runtime import Scratch, text_batches
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S)
@@ -34,117 +40,191 @@ SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr
 SCOPES = frozenset("ul ol dl table article section div body main aside nav header footer form".split())
 NOISE_TAGS = frozenset("nav footer aside form script style noscript template button select textarea input iframe svg math dialog menu head title object".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar form".split())
-NOISE_NAME = re.compile(r"(?:^|[-_\s])(?:ad|ads|adv|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|aside|footer|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscri\w*|share|sharing|social|comments?|disqus|replies|reply|respond|related|recommend\w*|widget\w*|pagination|pager|login|signup|search\w*|toolbar|skip|legal|copyright|paywall)(?:$|[-_\s])", re.I)
+#: Names of regions that are no content, and words that only say what form a region has.
+NOISE_WORDS = frozenset("ad ads adv advert adverts advertisement advertising banner banners sponsor sponsors sponsored promo promos promotion nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars side aside footer cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription share sharing social comment comments disqus reply replies respond related recommended recommendations widget widgets pagination pager login signup search toolbar skip legal copyright paywall".split())
+HEADER_WORDS = frozenset("header masthead".split())
+FORM_WORDS = frozenset("area article articles bar block body bottom box button buttons card cards col column container content field first form global group icon icons inner item items js label last left link links list main menu outer page pages panel post posts primary right row rows secondary section site slot sticky stories story text thread title toggle top unit wrap wrapper".split())
 #: Elements that hold pages or texts; their names tell of layouts and subjects.
 WHOLE = frozenset("html body main article".split())
-#: A page's header is noise, an article's isn't.
-HEADER_NAME = re.compile(r"(?:^|[-_\s])(?:header|masthead)(?:$|[-_\s])", re.I)
+#: Elements nested deeper stand beside one another in the tree, in page order.
+MAX_DEPTH = 150
+#: A node's children of more kinds than this are told apart by their tags alone.
+MOST_KINDS = 64
+#: Bounds of a wrapper: nodes, children of a node, texts of single siblings of a node. The most frequent stay.
+MOST_NODES, MOST_CHILDREN, MOST_TEXTS = 4000, 128, 16
+#: Shorter texts of single siblings come again by chance.
+LEAST_WORDS = 4
+
+
+@lru_cache(50_000)
+def is_named(names: str, words: frozenset[str]) -> bool:
+    """Whether a class or id consists of such words and words of form only: ``cookie-bar`` is a notice, ``promo-code-guide`` isn't."""
+    for name in names.split():
+        parts = [p for p in re.split(r"[-_\d]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if p]
+        if any(p in words for p in parts) and all(p in words or p in FORM_WORDS for p in parts):
+            return True
+    return False
+
+
+@lru_cache(50_000)
+def kind_of(tag: str, names: str) -> str:
+    """A tag and its names, without those that hold digits, as numbered ones differ from page to page."""
+    return " ".join([tag, *(n for n in names.split() if not any(c.isdigit() for c in n))])
 
 
 class Node:
-    """An element: its kind (tag and class or id), its children, and its own pieces of text in page order."""
+    """An element: its kind (tag and names), its children, and its own pieces of text in page order."""
 
-    __slots__ = ("children", "key", "named", "noise", "parent", "tag")
+    __slots__ = ("children", "key", "named", "noise", "tag")
 
-    def __init__(self, tag: str, key: str, noise: bool, parent: Node | None, named: bool = False):
+    def __init__(self, tag: str, key: str, noise: bool = False, named: bool = False):
         #: named: noise by nothing but its class or id
-        self.tag, self.key, self.noise, self.parent, self.children, self.named = tag, key, noise, parent, [], named
+        self.tag, self.key, self.noise, self.children, self.named = tag, key, noise, [], named
+
+
+class Builder:
+    """The open elements of a page, and where those of each tag stand, so that no step walks through them."""
+
+    def __init__(self):
+        self.root = Node("", "")
+        self.open, self.where, self.scopes = [self.root], {}, []
+
+    def nearest(self, tags) -> int:
+        return max((w[-1] for t in tags if (w := self.where.get(t))), default=0)
+
+    def scope(self) -> int:
+        return self.scopes[-1] if self.scopes else 0
+
+    def close(self, to: int) -> None:
+        """End the open elements from the place ``to`` on."""
+        while len(self.open) > to:
+            node = self.open.pop()
+            self.where[node.tag].pop()
+            if node.tag in SCOPES:
+                self.scopes.pop()
+            if len(self.open) > MAX_DEPTH and node.tag in BLOCK:
+                self.border()
+
+    def border(self) -> None:
+        """Below the greatest depth: where a block begins or ends."""
+        held = self.open[MAX_DEPTH].children
+        if not held or isinstance(held[-1], str) or held[-1].tag != "br":
+            held.append(Node("br", "br"))
+
+    def text(self, piece: str) -> None:
+        at = self.open[-1]
+        if len(self.open) <= MAX_DEPTH + 1:
+            at.children.append(piece)
+        elif at.noise:
+            held = Node("span", "span", True, at.named)
+            held.children.append(piece)
+            self.open[MAX_DEPTH].children.append(held)
+        else:
+            self.open[MAX_DEPTH].children.append(piece)
+
+    def start(self, node: Node, stays: bool) -> None:
+        if len(self.open) <= MAX_DEPTH:
+            self.open[-1].children.append(node)
+        else:
+            if node.tag in BLOCK:
+                self.border()
+            up = self.open[-1]
+            if len(self.open) > MAX_DEPTH + 1 and up.noise:
+                node.named = up.named and (node.named or not node.noise)
+                node.noise = True
+        if stays:
+            self.where.setdefault(node.tag, []).append(len(self.open))
+            if node.tag in SCOPES:
+                self.scopes.append(len(self.open))
+            self.open.append(node)
 
 
 def parse(page: str) -> Node:
     """A tolerant tree: end tags may be missing, wrong or crossed, and the page may stop anywhere."""
-    root = at = Node("", "", False, None)
+    tree = Builder()
     pos, n = 0, len(page)
     find = TOKEN.search
     while pos < n:
         m = find(page, pos)
         if not m:
-            at.children.append(page[pos:])
+            tree.text(page[pos:])
             break
         if m.start() > pos:
-            at.children.append(page[pos : m.start()])
+            tree.text(page[pos : m.start()])
         pos = m.end()
         tag = m[2]
         if tag is None:
             continue
         tag = tag.lower()
         if m[1]:
-            up = at
-            while up.parent and up.tag != tag:
-                if up.tag in SCOPES and tag not in BLOCK:
-                    up = root
-                    break
-                up = up.parent
-            if up.parent:
-                at = up.parent
+            at = tree.nearest((tag,))
+            if at and (tag in BLOCK or at >= tree.scope()):
+                tree.close(at)
             continue
         if tag in CLOSES_P or tag in SELF_CLOSING:
-            ends, up = SELF_CLOSING.get(tag, ()) or ("p",), at
-            while up.parent and up.tag not in ends and up.tag not in SCOPES:
-                up = up.parent
-            if up.parent and up.tag in ends:
-                at = up.parent
+            at = tree.nearest(SELF_CLOSING.get(tag, ("p",)))
+            if at > tree.scope():
+                tree.close(at)
         names, noise, named = "", tag in NOISE_TAGS, False
         if m[3].strip("/ \n\t\r"):
             attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(m[3])}
             names = " ".join(x for x in (attributes.get("class"), attributes.get("id")) if x)
             noise = noise or attributes.get("role", "").lower() in NOISE_ROLES or "hidden" in attributes
-            named = not noise and tag not in WHOLE and bool(names and NOISE_NAME.search(names))
-        if not noise and not named and tag not in WHOLE and (tag == "header" or (names and HEADER_NAME.search(names))):
-            found = not any(a.tag in ("article", "main") for a in ancestors(at))
+            named = not noise and tag not in WHOLE and bool(names and is_named(names, NOISE_WORDS))
+        if not noise and not named and tag not in WHOLE and (tag == "header" or (names and is_named(names, HEADER_WORDS))):
+            found = not tree.nearest(("article", "main"))  # a page's header is noise, an article's isn't
             noise, named = found and tag == "header", found and tag != "header"
-        node = Node(tag, f"{tag}.{names}" if names else tag, noise or named, at, named)
-        at.children.append(node)
-        if tag in RAW:
+        raw = tag in RAW
+        tree.start(Node(tag, kind_of(tag, names), noise or named, named), not raw and tag not in VOID and not m[3].rstrip().endswith("/"))
+        if raw:
             end = re.compile(rf"</{tag}\s*(?:>|$)", re.I).search(page, pos)
             pos = end.end() if end else n
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
-            at = node
-    return root
-
-
-def ancestors(node: Node) -> Iterator[Node]:
-    while node.parent:
-        yield node
-        node = node.parent
+    return tree.root
 
 
 def clean(text: str) -> str:
     return " ".join(entities.unescape(text).split())
 
 
+def digest_of(pieces: list[str]) -> str:
+    text = clean(" ".join(pieces))
+    return xxhash.xxh3_64_hexdigest(text.encode("utf-8", "surrogatepass")) if text else ""
+
+
 class Slot:
-    """What siblings of one kind are in a page: their texts outside inner elements, and slots for those."""
+    """What siblings of one kind are in a page: their own texts, and slots for their inner elements."""
 
-    __slots__ = ("children", "digest", "key", "nodes")
+    __slots__ = ("children", "digest", "key", "nodes", "texts")
 
-    def __init__(self, key: str):
-        self.key, self.children, self.nodes, self.digest = key, [], [], ""
+    def __init__(self, key: str, nodes: list[Node]):
+        self.key, self.nodes, self.children = key, nodes, []
+        own = [[c for c in n.children if isinstance(c, str) and not c.isspace()] for n in nodes]
+        self.digest = digest_of([c for pieces in own for c in pieces])
+        #: by place, the digests of the siblings' own texts, of the longer ones
+        self.texts: dict[int, str] = {}
+        if len(nodes) > 1:
+            self.texts = {i: digest_of(p) for i, p in enumerate(own) if len(" ".join(p).split()) >= LEAST_WORDS}
 
 
 def slots(nodes: list[Node], key: str) -> Slot:
     """Collapse siblings of one kind, and below them their children of one kind, in order of first appearance."""
-    out = Slot(key)
-    out.nodes = nodes
-    groups: dict[str, list[Node]] = {}
-    own = blake2b(digest_size=8)
-    for node in nodes:
-        for child in node.children:
-            if isinstance(child, str):
-                if not child.isspace():
-                    own.update(clean(child).encode("utf-8", "surrogatepass"))
-            elif child.tag not in RAW:
-                groups.setdefault(child.key, []).append(child)
-    out.digest = own.hexdigest()
+    out = Slot(key, nodes)
+    inner = [c for n in nodes for c in n.children if not isinstance(c, str) and c.tag not in RAW]
+    for name in (lambda c: c.key, lambda c: c.tag + " *", lambda c: "*"):
+        groups: dict[str, list[Node]] = {}
+        for c in inner:
+            groups.setdefault(name(c), []).append(c)
+        if len(groups) <= MOST_KINDS:
+            break
     out.children = [slots(v, k) for k, v in groups.items()]
     return out
 
 
-# A wrapper node: [kind, pages it stood on, its text's digest or "" once two differ, children].
+# A wrapper node: [kind, pages it stood on, its text's digest or "" once two differ, children, {digest of a sibling's text: pages}].
 
 
 def as_wrapper(s: Slot) -> list:
-    return [s.key, 1, s.digest, [as_wrapper(c) for c in s.children]]
+    return [s.key, 1, s.digest, [as_wrapper(c) for c in s.children], dict.fromkeys(s.texts.values(), 1)]
 
 
 def match(a: list, b: list, seen: dict) -> int:
@@ -191,20 +271,45 @@ def merge(a: list, b: list, seen: dict | None = None) -> list:
     children = []
     for i, j in aligned(a[3], b[3], seen):
         children.append(a[3][i] if j is None else b[3][j] if i is None else merge(a[3][i], b[3][j], seen))
-    return [a[0], a[1] + b[1], a[2] if a[2] == b[2] else "", children]
+    if len(children) > MOST_CHILDREN:
+        stay = sorted(sorted(range(len(children)), key=lambda k: (-children[k][1], k))[:MOST_CHILDREN])
+        children = [children[k] for k in stay]
+    return [a[0], a[1] + b[1], a[2] if a[2] == b[2] else "", children, most_frequent({k: a[4].get(k, 0) + b[4].get(k, 0) for k in a[4] | b[4]})]
+
+
+def most_frequent(texts: dict[str, int], most: int = MOST_TEXTS) -> dict[str, int]:
+    return texts if len(texts) <= most else dict(sorted(texts.items(), key=lambda x: (-x[1], x[0]))[:most])
+
+
+def bounded(w: list) -> list:
+    """A wrapper cut to its most frequent nodes; no node stands on more pages than the one above it, so a tree stays."""
+    nodes = [w]
+    for node in nodes:
+        node[4] = most_frequent(node[4], 4 * MOST_TEXTS)
+        nodes.extend(node[3])
+    if len(nodes) > MOST_NODES:
+        stay = {id(nodes[k]) for k in sorted(range(len(nodes)), key=lambda k: (-nodes[k][1], k))[:MOST_NODES]}
+        for node in nodes:
+            node[3] = [c for c in node[3] if id(c) in stay]
+    return w
 
 
 #: Fewer pages of a host than this may well be copies of one another.
 FEW = 5
 
 
-def template_nodes(w: list, s: Slot, shape: list, found: dict[int, bool], pages: int) -> None:
-    """The nodes of a page whose slot is template, the same text on every one of several pages, and whether most pages of the host have it."""
+def template_nodes(w: list, s: Slot, shape: list, found: dict[int, bool], pages: int, seen: dict) -> None:
+    """The nodes of a page whose text is template, and whether most pages of the host have it.
+
+    A slot is template if its text was the same on all of several pages; one of several siblings is if most pages have its text.
+    """
     if pages > 1 and w[1] > 1 and w[2] == s.digest and w[2]:
         found.update(dict.fromkeys(map(id, s.nodes), 2 * w[1] > pages))
-    for i, j in aligned(w[3], shape[3], {}):
+    elif pages >= FEW:
+        found.update({id(s.nodes[i]): True for i, d in s.texts.items() if 2 * w[4].get(d, 0) > pages})
+    for i, j in aligned(w[3], shape[3], seen):
         if i is not None and j is not None:
-            template_nodes(w[3][i], s.children[j], shape[3][j], found, pages)
+            template_nodes(w[3][i], s.children[j], shape[3][j], found, pages, seen)
 
 
 def blocks(node: Node, template: set[int], fixed: bool, out: list[str], line: list[str]) -> None:
@@ -289,7 +394,7 @@ def extract(page: str | None, wrapper: list | None) -> str:
     Text that every page of the host has where it has that element is template; inside an article most pages
     of the host must have it, as a few may be copies. The text is that of the articles, or else of the main
     elements, unless they hold less than half of the page's text outside template and noise regions; where
-    the host has no other page, unless they hold none. Otherwise all that text of the page is taken. If there
+    the host has no other page, less than a quarter. Otherwise all that text of the page is taken. If there
     is none, the page is a copy of the host's others and all its text outside noise regions is taken. If
     that leaves nothing either, regions that are noise by nothing but their class or id are taken too.
     """
@@ -300,12 +405,12 @@ def extract(page: str | None, wrapper: list | None) -> str:
     pages = wrapper[1] if wrapper else 1
     if pages > 1:
         s = slots([root], "")
-        template_nodes(wrapper, s, as_wrapper(s), template, pages)
+        template_nodes(wrapper, s, as_wrapper(s), template, pages, {})
     steady = {k for k, most in template.items() if most}
     everything = text_of([root], set(template))
     for tag in ("article", "main"):
         inside = slots_within(outermost(root, tag, []), steady, pages)
-        if inside and (pages == 1 or 2 * len(inside) >= len(everything)):
+        if inside and (4 if pages == 1 else 2) * len(inside) >= len(everything):
             return inside
     if not everything and not (everything := text_of([root], set())):
         unname(root, frozenset())
@@ -320,7 +425,7 @@ def induce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         for host, page in zip(b["host"], b["html"], strict=True):
             w = as_wrapper(slots([parse(page)], ""))
-            found[host] = merge(found[host], w) if host in found else w
+            found[host] = bounded(merge(found[host], w) if host in found else w)
         if len(found) > 20_000:
             yield dump(found, part)
             found = {}
@@ -344,7 +449,7 @@ def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for h, p, w in zip(b["host"], b["part"], b["wrapper"], strict=True):
             w = json.loads(w)
             if h == host:
-                held = merge(held, w)
+                held = bounded(merge(held, w))
             else:
                 if host is not None:
                     out.append((host, part, json.dumps(held, separators=(",", ":"))))
@@ -374,34 +479,59 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", sal
     return step.repartition("host").sortWithinPartitions("host", "part").mapInPandas(fold, SCHEMA).select("host", "wrapper")
 
 
-def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", broadcast_bytes: int = 32 << 20) -> DataFrame:
+def extractor(found: Callable[[str], str | None], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages, whose last columns are the host and the HTML, become texts; ``found`` has a host's wrapper as JSON. Other columns pass as they are."""
+    known: dict[str, list | None] = {}
+    for b in batches:
+        texts = []
+        for host, page in zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
+            if host and host not in known:
+                if len(known) > 1_000:
+                    known.clear()
+                known[host] = json.loads(w) if (w := found(host)) else None
+            texts.append(extract(page, known.get(host) if host else None))
+        new = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
+        yield pa.RecordBatch.from_arrays([*b.columns[:-2], *new], names=[*b.schema.names[:-2], "text", "n_chars"])
+
+
+def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", broadcast_bytes: int = 16 << 20, salt: int = 32) -> DataFrame:
     """``pages`` with the columns ``text`` and ``n_chars`` (code points) in place of the HTML, one row a row.
 
     Null and empty HTML give empty text; pages with a null or odd URL are extracted without a wrapper;
     rows that repeat are extracted each; an empty table gives no rows; other columns are kept but for
-    any named text, n_chars or wrapper. Wrappers are written once; if they are under ``broadcast_bytes``
-    they are broadcast, else Spark joins them by host and splits hosts that are too large.
+    any named text or n_chars. Wrappers are written once. If their JSON, measured as it is, has up to ``broadcast_bytes``
+    it is sent to all workers; else pages are dealt by host and one of ``salt`` numbers, and each such
+    group gets its host's wrapper once, ahead of its pages.
     """
-    scratch = Scratch(pages.sparkSession, "wrappers")
-    found = scratch.table(wrappers(pages, url_col, html_col), "wrappers").withColumnRenamed("host", "__host")
-    if scratch.bytes("wrappers") <= broadcast_bytes:
-        found = F.broadcast(found)
-    keep = [c for c in pages.columns if c not in (html_col, "text", "n_chars", "wrapper")]
-    joined = pages.select(*keep, F.col(html_col).alias("__html"), host_of(url_col).alias("__h"))
-    joined = joined.join(found, F.col("__h") == F.col("__host"), "left").select(*keep, "__html", "__host", "wrapper")
-    out = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, list] = {}
-        for b in batches:
-            texts = []
-            for page, host, w in zip(b["__html"], b["__host"], b["wrapper"], strict=True):
-                if host is not None and host not in known:
-                    if len(known) > 5_000:
-                        known.clear()
-                    known[host] = json.loads(w)
-                texts.append(extract(page, known.get(host)))
-            b = b.drop(columns=["__html", "__host", "wrapper"])
-            yield b.assign(text=texts, n_chars=[len(t) for t in texts])
-
-    return joined.mapInPandas(run, f"{out}{', ' * bool(out)}text string, n_chars long")
+    spark = pages.sparkSession
+    text_batches(spark)
+    found = Scratch(spark, "wrappers").table(wrappers(pages, url_col, html_col, salt), "wrappers")
+    keep = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
+    out = "".join(f"`{c}` {pages.schema[c].dataType.simpleString()}, " for c in keep) + "text string, n_chars long"
+    rows = pages.select(*keep, F.coalesce(host_of(url_col), F.lit("")).alias("__h"), F.col(html_col).alias("__html"))
+    if (found.agg(F.sum(F.octet_length("wrapper"))).first()[0] or 0) <= broadcast_bytes:
+        held = spark.sparkContext.broadcast({r.host: r.wrapper for r in found.collect()})
+        return rows.mapInArrow(lambda batches: extractor(held.value.get, batches), out)
+
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by host; the one with a wrapper comes ahead of the pages it is for."""
+        now: dict[str, str] = {}
+
+        def only_pages() -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                ahead = b.column(0)
+                cuts = [*np.flatnonzero(ahead.is_valid().to_numpy(zero_copy_only=False)).tolist(), b.num_rows]
+                pages = b.select(range(2, b.num_columns))
+                yield pages.slice(0, cuts[0])
+                for lo, hi in zip(cuts, cuts[1:], strict=False):
+                    now.clear()
+                    now[pages.column(pages.num_columns - 2)[lo].as_py()] = ahead[lo].as_py()
+                    yield pages.slice(lo + 1, hi - lo - 1)
+
+        return extractor(now.get, only_pages())
+
+    dealt = rows.where("__h <> ''").select(F.lit(None).cast("string").alias("__w"), F.floor(F.rand(1) * salt).cast("int").alias("__salt"), "*")
+    ahead = found.select(F.col("host").alias("__h"), F.col("wrapper").alias("__w"), F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("__salt"))
+    together = dealt.unionByName(ahead, allowMissingColumns=True).repartition("__h", "__salt").sortWithinPartitions("__h", "__salt", F.col("__w").isNull())
+    alone = rows.where("__h = ''").mapInArrow(lambda batches: extractor(lambda host: None, batches), out)
+    return together.mapInArrow(grouped, out).unionByName(alone)

@@ -44,6 +44,55 @@ def test_names_of_layouts_lose_no_text():
     assert x("<nav>n</nav><div class=with-sidebar><p>text</p></div>", None) == "text"
 
 
+def test_words_in_names_are_whole():
+    x = html_extraction.extract
+    assert x("<main><div class='post-legal-analysis'>legal news body</div></main>", None) == "legal news body"
+    assert x("<article><div class='article-side-by-side'>a</div><p class='promo-code-guide'>b</p><p class='comment-list'>c</p></article>", None) == "a b"
+    assert x("<div id=content><p>the real story goes on and on here</p></div><article class=teaser>tease</article>", None).startswith("the real story")
+
+
+def test_deep_and_open_markup_takes_linear_time():
+    import time
+
+    x = html_extraction.extract
+    n = 50_000
+    start = time.time()
+    assert x("<div>" * n + "deep" + "</div>" * n + "<p>after", None) == "deep after"
+    assert x("<article>" + "<span>" * n + "text</article><nav>no</nav>", None) == "text"
+    assert x("<b><div>" * n + "x</b>" * 5 + "y", None) == "xxxxxy"
+    assert x("<div>" * 400 + "a<nav>no<b>no</b></nav><p>b<div class=ad>no</div>" + "</div>" * 400 + "<footer>no</footer>c", None) == "a b c"
+    assert x("".join(f"<p>{k}<span>" for k in range(n)), None) == " ".join(map(str, range(n)))
+    deep = html_extraction.as_wrapper(html_extraction.slots([html_extraction.parse("<div>" * n + "deep")], ""))
+    assert html_extraction.merge(deep, deep)[1] == 2
+    assert time.time() - start < 60
+
+
+def test_wrappers_stay_small_whatever_pages_hold():
+    def page(k):
+        return "".join(f"<div id=x{k}{i} class='a{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + k % 26)}{chr(97 + k // 26)}'><p>text {k} {i}</p></div>" for i in range(100))
+
+    held = None
+    for k in range(60):
+        w = html_extraction.as_wrapper(html_extraction.slots([html_extraction.parse(page(k) + "<section>the same on every page</section>")], ""))
+        held = html_extraction.bounded(html_extraction.merge(held, w) if held else w)
+        nodes = [held]
+        for node in nodes:
+            nodes += node[3]
+        assert len(nodes) <= html_extraction.MOST_NODES and all(len(x[3]) <= html_extraction.MOST_CHILDREN for x in nodes)
+    assert html_extraction.extract(page(7) + "<section>the same on every page</section>", held) == " ".join(f"text 7 {i}" for i in range(100))
+
+
+def test_without_wrappers_the_template_stays(spark, monkeypatch):
+    body = "<div><h2>The daily host of all news</h2></div><div id=n%d><p>Read more about us on this host</p><p>story number %d</p><p>it ends with %d</p></div>"
+    rows = [(i, f"http://t.example/{i}", body % (i, i, i)) for i in range(20)]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = [f"story number {i} it ends with {i}" for i in range(20)]
+    for limit in (16 << 20, 0):
+        assert [r.text for r in html_extraction.extract_main_text(d.repartition(3), broadcast_bytes=limit).orderBy("page_id").collect()] == want
+    monkeypatch.setattr(html_extraction, "wrappers", lambda pages, *a: spark.createDataFrame([], "host string, wrapper string"))
+    assert all(r.text.startswith("The daily host") for r in html_extraction.extract_main_text(d).collect())
+
+
 def test_wrapper_finds_the_template(spark):
     body = "<div class=top>Welcome to the site</div><div class=body><p>%s</p><p>more %s</p></div><div class=low>Call us</div>"
     rows = [(i, f"http://h.example/{i}", PAGE % (body % (f"text {i}", i), i)) for i in range(12)] + [(50, "http://other.example/", PAGE % (body % ("single", 1), 1)), (51, None, "<p>no host</p>"), (52, "x", None), (0, "http://h.example/0", PAGE % (body % ("text 0", 0), 0))]
@@ -74,7 +123,7 @@ def test_simple_tree_matching_is_optimal():
     rng = random.Random(3)
 
     def tree(depth):
-        return [rng.choice("ab"), 1, "", [tree(depth - 1) for _ in range(rng.randrange(3))] if depth else []]
+        return [rng.choice("ab"), 1, "", [tree(depth - 1) for _ in range(rng.randrange(3))] if depth else [], {}]
 
     def best(a, b):
         if a[0] != b[0]:
