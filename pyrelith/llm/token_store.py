@@ -9,15 +9,16 @@ Parts follow one another in document order. A row is a stripe of blocks that wer
 the part's ids before it, how many of its ids are here, which piece of it they are, and 1 if they are its last.
 ``payload`` is, in little-endian numbers:
 
-    magic "PTS1", lanes u32, block ids u32, then for each block: ids u32, CRC-32 of them u32, code units u32;
-    then the blocks' code units (u16) one block after another.
-
-Every block starts from the same state, so any one can be read alone. In a block each id is coded as
-which of three predictions holds: that of the last two ids (order 2), that of the last id (order 1), or
-neither, in which case the id follows by its order-0 class and a flat rest. The choice is coded with
-adaptive probabilities: each order's confidence in its context selects a pair of weights, both
-binary predictions are mixed by them, and probabilities, weights and tables learn from each id.
-All arithmetic is on integers, so every machine decodes the same ids.
+    magic "PTS2", blocks u32, bytes of the prior u32, CRC-32 of it u32; for each block: ids u32, CRC-32 of
+    them u32, code units u32; then the prior, then the blocks' code units (u16) one after another.
+
+The prior (Zstandard) is what every block of the stripe starts from: how often each id stands in the stripe, and
+which ids often follow it, as rounded logarithms. So any block can be read with the prior alone. In a
+block each id is predicted by three orders. Order 2 remembers what followed the last two ids in this block; the
+chance that it comes again mixes its own record at that sureness with the order-1 and order-0 chance of
+that id, by a weight that learns. Otherwise the id is coded by the order-1 distribution of the last id, or, where that doesn't have it,
+by order 0: classes of ids that adapt to the block, and the prior within a class. Records, weights, classes and order 2
+learn from each id. All arithmetic is on integers, so every machine decodes the same ids.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,12 +40,17 @@ from pyspark.sql import functions as F
 from pyrelith.llm.bpe import added_tokens, encode_words, split_words
 from pyrelith.runtime import Scratch, release_memory, text_batches
 
-MAGIC = b"PTS1"
+MAGIC = b"PTS2"
 #: Ids of one block, and blocks coded side by side; a task holds lanes * block ids.
 BLOCK_IDS, LANES = 2048, 2048
 TABLE_BITS = 11
-#: Order 0: a class is the id's upper bits; the rest is flat.
-CLASS_BITS, REST_BITS = 7, 9
+#: Order 0: classes of about equal share, and what a class is divided into.
+CLASSES, CLASS_BITS, PART_BITS = 128, 7, 16
+#: Order 1: what a context is divided into, how often a pair must stand in a stripe, and the most ids a context has.
+NEXT_BITS, LEAST_PAIRS, MOST_NEXT = 14, 6, 4096
+#: Counts in the prior are rounded to sixths of a power of two.
+LEVELS = np.array([round(2 ** (k / 6)) for k in range(256)], dtype=np.int64)
+NONE = (1 << 16) - 1
 TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
 ONE = 1 << 16
 U = np.uint64
@@ -127,23 +134,136 @@ class Decoder(Coder):
             live = live[self.ready(live)]
 
 
+def level(counts: np.ndarray) -> np.ndarray:
+    return np.clip(np.searchsorted(LEVELS[:200], counts, side="left"), 0, 199).astype(np.uint8)
+
+
+def prior_of(blocks: list[np.ndarray]) -> bytes:
+    """The prior of the blocks of a stripe (ids below 2^16 - 1): ids, their counts, and each id's frequent successors."""
+    flat = np.concatenate([np.zeros(0, dtype=np.int64), *blocks])
+    counts = np.bincount(flat, minlength=1)
+    ids = np.flatnonzero(counts)
+    starts = np.cumsum([b.size for b in blocks])[:-1]
+    inner = np.ones(max(0, flat.size - 1), dtype=bool)
+    inner[starts[(starts > 0) & (starts < flat.size)] - 1] = False
+    pairs = np.sort(((flat[:-1] << 16) | flat[1:])[inner].astype(np.uint32))
+    at = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if pairs.size else np.zeros(0, dtype=np.int64)
+    uses = np.diff(np.append(at, pairs.size))
+    often = uses >= LEAST_PAIRS
+    pairs, uses = pairs[at[often]].astype(np.int64), uses[often]
+    order = np.lexsort((pairs & 0xFFFF, -uses, pairs >> 16))
+    first = pairs[order] >> 16
+    heads = np.concatenate([[True], first[1:] != first[:-1]]) if first.size else np.zeros(0, dtype=bool)
+    place = np.arange(first.size) - np.maximum.accumulate(np.where(heads, np.arange(first.size), 0))
+    keep = np.sort(order[place < MOST_NEXT])
+    pairs, uses = pairs[keep], uses[keep]
+    dense = np.zeros(1 << 16, dtype=np.int64)
+    dense[ids] = np.arange(ids.size)
+    fan = np.bincount(dense[pairs >> 16], minlength=ids.size)
+    after = dense[pairs & 0xFFFF]
+    step = np.diff(after, prepend=0)
+    step[np.cumsum(fan)[fan > 0] - fan[fan > 0]] = after[np.cumsum(fan)[fan > 0] - fan[fan > 0]]
+    parts = [np.diff(ids, prepend=0).astype("<u2"), level(counts[ids]), fan.astype("<u2"), step.astype("<u2"), level(uses)]
+    raw = np.array([ids.size, pairs.size], dtype="<u4").tobytes() + b"".join(planes(p) for p in parts)
+    return zstandard.ZstdCompressor(level=9).compress(raw)
+
+
+def planes(x: np.ndarray) -> bytes:
+    """All first bytes of the numbers, then all second ones."""
+    return x.view(np.uint8).reshape(x.size, x.itemsize).T.tobytes()
+
+
+class Prior:
+    """Order-0 and order-1 distributions of a stripe, as intervals."""
+
+    def __init__(self, packed: bytes):
+        raw = zstandard.ZstdDecompressor().decompress(packed)
+        n, m = (int(x) for x in np.frombuffer(raw, dtype="<u4", count=2))
+        at = 8
+
+        def take(size: int, width: int) -> np.ndarray:
+            nonlocal at
+            x = np.frombuffer(raw, dtype=np.uint8, count=size * width, offset=at).reshape(width, size)
+            at += size * width
+            return sum((x[k].astype(np.int64) << (8 * k) for k in range(width)), np.zeros(size, dtype=np.int64))
+
+        ids = np.cumsum(take(n, 2))
+        weight = LEVELS[take(n, 1)]
+        fan, step, uses = take(n, 2), take(m, 2), LEVELS[take(m, 1)]
+        # order 0: ids by falling count, cut to classes
+        order = np.lexsort((ids, -weight))
+        cum = np.cumsum(weight[order])
+        total = int(cum[-1]) if n else 1
+        cls = (cum - weight[order]) * CLASSES // total
+        share = np.bincount(cls, weights=weight[order], minlength=CLASSES).astype(np.int64)
+        held = np.bincount(cls, minlength=CLASSES)
+        freq = 1 + weight[order] * ((1 << PART_BITS) - held[cls]) // np.maximum(share[cls], 1)
+        ends = np.cumsum(freq)
+        begin = np.cumsum(held) - held
+        base = np.where(held > 0, np.concatenate([[0], ends])[begin], 0)
+        self.id0 = ids[order]
+        self.ladder0 = (cls << PART_BITS) + ends - base[cls]
+        # what rounding left of a class is its last id's
+        last = (begin + held - 1)[held > 0]
+        grown = (np.flatnonzero(held) + 1 << PART_BITS) - self.ladder0[last]
+        self.ladder0[last] += grown
+        freq[last] += grown
+        self.class_of, self.start0, self.size0, self.chance0 = (np.zeros(1 << 16, dtype=np.int64) for _ in range(4))
+        self.class_of[self.id0] = cls
+        self.size0[self.id0] = freq
+        self.start0[self.id0] = self.ladder0 - freq - (cls << PART_BITS)
+        self.chance0[ids] = np.maximum(1, weight * (ONE - 1) // total)
+        self.classes = (1 + share * 24 * 100 // total).astype(np.int32)
+        # order 1: the successors of each context, and an interval for all others
+        contexts = np.flatnonzero(fan)
+        size = fan[contexts]
+        self.context_of = np.full(1 << 16, -1, dtype=np.int64)
+        self.context_of[ids[contexts]] = np.arange(contexts.size)
+        of = np.repeat(np.arange(contexts.size), size)
+        total_steps = np.cumsum(step)
+        first = np.cumsum(size) - size
+        after = total_steps - (total_steps - step)[first][of] if m else step
+        self.id1 = ids[after]
+        self.key1 = ((ids[contexts][of] << 16) | self.id1).astype(np.uint32)
+        known = np.bincount(of, weights=uses, minlength=contexts.size).astype(np.int64)
+        room = (1 << NEXT_BITS) - size - 1
+        whole = known + np.maximum(1, weight[contexts] - known)
+        self.size1 = 1 + uses * room[of] // whole[of] if m else uses
+        ends = np.cumsum(self.size1)
+        self.start1 = ends - self.size1 - (ends - self.size1)[first][of] if m else uses
+        self.ladder1 = (of << NEXT_BITS) + self.start1 + self.size1
+        self.other = np.bincount(of, weights=self.size1, minlength=contexts.size).astype(np.int64)  # where the others' interval starts
+
+    def pairs(self, last: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """The places of pairs among the successors; -1 for others."""
+        keys = ((last << 16) | ids).astype(np.uint32)
+        if not self.key1.size:
+            return np.full(keys.shape, -1, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.key1, keys), self.key1.size - 1)
+        return np.where(self.key1[at] == keys, at, -1)
+
+
 class Model:
-    """The state of every lane: predictions, confidences, mixing weights and order-0 counts; the same in coding and decoding.
+    """The state of every lane: order 2, its records, weights and order-0 classes; the same in coding and decoding.
 
-    A table entry is an id and, in the lowest 3 bits, how sure it is. The first ``n`` lanes are still running.
+    An order-2 entry is an id and, in the lowest 3 bits, how sure it is; beside it stands its place among the
+    successors. The first ``n`` lanes are still running.
     """
 
     RATE, WEIGHT_RATE = 4, 6
+    #: First chances by sureness.
+    FIRST = (2000, 16000, 30000, 42000, 50000, 56000, 60000, 62000)
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, prior: Prior):
         n = 1 << TABLE_BITS
         rows = np.arange(lanes, dtype=np.int64)
-        self.base, self.row8, self.row64 = rows * n, rows * 8, rows * 64
-        self.table = [np.zeros(lanes * n, dtype=np.int32) for _ in range(2)]  # by order
-        self.hit = [np.full(lanes * 8, ONE // 4, dtype=np.int64) for _ in range(2)]  # by order and sureness: chance that it holds
-        self.weight = np.full(lanes * 64, ONE // 2, dtype=np.int64)  # by both sureness: weight of order 2 against order 1
-        self.classes = np.ones((lanes, 1 << CLASS_BITS), dtype=np.int32)
-        self.last = np.zeros(lanes, dtype=np.int64)
+        self.prior, self.base, self.row8 = prior, rows * n, rows * 8
+        self.table = np.full(lanes * n, NONE << 3, dtype=np.int32)
+        self.place = np.full(lanes * n, -1, dtype=np.int32)
+        self.hit = np.tile(np.array(self.FIRST, dtype=np.int64), lanes)  # by sureness: chance that it holds
+        self.weight = np.full(lanes * 8, ONE // 4, dtype=np.int64)  # by sureness: weight of the lower orders
+        self.classes = np.tile(prior.classes, (lanes, 1))
+        self.last = np.full(lanes, NONE, dtype=np.int64)
         self.before = np.zeros(lanes, dtype=np.int64)  # the hash of the id before the last
         self.step = 0
         self.refresh()
@@ -151,7 +271,7 @@ class Model:
     def refresh(self) -> None:
         """Order-0 class intervals from the counts so far; done every few ids, at fixed places."""
         total = self.classes.sum(axis=1, keepdims=True, dtype=np.int64)
-        width = 1 + (self.classes.astype(np.int64) * (ONE - (1 << CLASS_BITS))) // total
+        width = 1 + (self.classes.astype(np.int64) * (ONE - CLASSES)) // total
         ends = np.cumsum(width, axis=1)
         width[:, -1] += ONE - ends[:, -1]
         ends[:, -1] = ONE
@@ -159,44 +279,27 @@ class Model:
         self.ladder = (ends + (np.arange(len(ends), dtype=np.int64) << 16)[:, None]).ravel()  # sorted: all lanes' intervals on one line
 
     def contexts(self, n: int) -> None:
-        mask = (1 << TABLE_BITS) - 1
-        one = self.last[:n] * 0x9E3779B1
-        self.hashed = one
-        base = self.base[:n]
-        self.slots = (base + (((one + self.before[:n]) >> 13) & mask), base + ((one >> 11) & mask))
-        e = (self.table[0][self.slots[0]], self.table[1][self.slots[1]])
-        self.g = (e[0] >> 3, e[1] >> 3)
-        self.c = (e[0] & 7, e[1] & 7)
-        self.at = (self.row8[:n] + self.c[0], self.row8[:n] + self.c[1])
-        p = self.p = (self.hit[0][self.at[0]], self.hit[1][self.at[1]])
-        self.pair = self.row64[:n] + (self.c[0] << 3) + self.c[1]
-        self.w = self.weight[self.pair]
-        self.agree = self.g[0] == self.g[1]
-        # the chance that order 2 holds: its own belief, mixed with order 1's where both predict one id
-        mixed = np.where(self.agree, p[1] + ((self.w * (p[0] - p[1])) >> 16), p[0])
-        self.first = np.minimum(np.maximum(mixed, 64), ONE - 192)
-        rest = ONE - self.first
-        self.second = np.where(self.agree, 1, np.minimum(np.maximum((rest * p[1]) >> 16, 1), rest - 64))
-
-    def interval(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the choice (0: order 2, 1: order 1, 2: neither) lies."""
-        both = self.first + self.second
-        start = np.where(which == 0, 0, np.where(which == 1, self.first, both))
-        return start, np.where(which == 0, self.first, np.where(which == 1, self.second, ONE - both))
-
-    def learn(self, n: int, ids: np.ndarray, missed: np.ndarray) -> None:
-        right = (self.g[0] == ids, self.g[1] == ids)
-        goal = (right[0] * ONE, right[1] * ONE)
-        for k in range(2):
-            p, c, ok = self.p[k], self.c[k], right[k]
-            self.hit[k][self.at[k]] = p + ((goal[k] - p) >> self.RATE)
-            sure = np.where(ok, np.minimum(c + 1, 7), c >> 1)
-            keep = ok | (c >= 2)
-            self.table[k][self.slots[k]] = np.where(keep, (self.g[k] << 3) | sure, ids << 3)
-        better = np.abs(goal[0] - self.p[0]) < np.abs(goal[1] - self.p[1])
-        self.weight[self.pair] = np.minimum(np.maximum(self.w + (((better * ONE) - self.w) >> self.WEIGHT_RATE), 2048), ONE - 2048)
-        if missed.size:
-            self.classes[missed, ids[missed] >> REST_BITS] += 24
+        """What order 2 expects, and the chance of it."""
+        self.slot = self.base[:n] + (((self.last[:n] * 0x9E3779B1 + self.before[:n]) >> 13) & ((1 << TABLE_BITS) - 1))
+        entry = self.table[self.slot]
+        self.guess, self.sure = entry >> 3, entry & 7
+        self.at = self.row8[:n] + self.sure
+        self.own = self.hit[self.at]
+        place = self.place[self.slot]
+        self.lower = np.where(place >= 0, self.prior.size1[place] << (16 - NEXT_BITS), self.prior.chance0[self.guess]) if self.prior.size1.size else self.prior.chance0[self.guess]
+        self.w = self.weight[self.at]
+        mixed = self.own + ((self.w * (self.lower - self.own)) >> 16)
+        self.chance = np.where(self.guess == NONE, 16, np.minimum(np.maximum(mixed, 64), ONE - 64))
+
+    def learn(self, n: int, ids: np.ndarray, right: np.ndarray, place: np.ndarray) -> None:
+        goal = right * ONE
+        self.hit[self.at] = self.own + ((goal - self.own) >> self.RATE)
+        better = np.abs(goal - self.lower) < np.abs(goal - self.own)
+        self.weight[self.at] = np.minimum(np.maximum(self.w + ((better * ONE - self.w) >> self.WEIGHT_RATE), 1024), ONE - 1024)
+        stays = right | (self.sure >= 2)
+        self.table[self.slot] = np.where(stays, (self.guess << 3) | np.where(right, np.minimum(self.sure + 1, 7), self.sure >> 1), ids << 3)
+        new = np.flatnonzero(~stays)
+        self.place[self.slot[new]] = place[new]
         self.before[:n] = self.last[:n] * 0x85EBCA6B
         self.last[:n] = ids
         self.step += 1
@@ -210,68 +313,95 @@ def running(sizes: np.ndarray, t: int) -> int:
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> bytes:
-    """One stripe: blocks of ids (below 2^16), longest first, coded side by side."""
+    """One stripe: blocks of ids (below 2^16 - 1), longest first, coded side by side."""
     counts = np.array([b.size for b in blocks], dtype=np.int64)
     order = np.argsort(-counts, kind="stable")
     grid = np.zeros((int(counts.max(initial=0)), len(blocks)), dtype=np.int64)
     for row, k in enumerate(order):
         grid[: counts[k], row] = blocks[k]
     sizes = counts[order]
-    enc, model = Encoder(len(blocks), 3 * grid.shape[0] + 8), Model(len(blocks))
+    packed = prior_of(blocks)
+    prior = Prior(packed)
+    enc, model = Encoder(len(blocks), 3 * grid.shape[0] + 8), Model(len(blocks), prior)
     for t in range(grid.shape[0]):
         n = running(sizes, t)
         ids = grid[t, :n]
         model.contexts(n)
-        which = np.where(model.g[0] == ids, 0, np.where(model.g[1] == ids, 1, 2))
-        enc.put(slice(0, n), *model.interval(which))
-        miss = (which == 2).nonzero()[0]
-        if miss.size:
-            lost = ids[miss]
-            cls = lost >> REST_BITS
-            w = model.width[miss, cls]
-            enc.put(miss, ((model.ends[miss, cls] - w) << REST_BITS) + (lost & ((1 << REST_BITS) - 1)) * w, w, 16 + REST_BITS)
-        model.learn(n, ids, miss)
+        right = model.guess == ids
+        enc.put(slice(0, n), np.where(right, 0, model.chance), np.where(right, model.chance, ONE - model.chance))
+        place = prior.pairs(model.last[:n], ids)
+        context = prior.context_of[model.last[:n]]
+        by_one = (~right & (context >= 0)).nonzero()[0]
+        if by_one.size:
+            p, c = place[by_one], context[by_one]
+            other = prior.other[c]
+            enc.put(by_one, np.where(p >= 0, prior.start1[p], other), np.where(p >= 0, prior.size1[p], (1 << NEXT_BITS) - other), NEXT_BITS)
+        rest = (~right & (place < 0)).nonzero()[0]
+        if rest.size:
+            lost = ids[rest]
+            cls = prior.class_of[lost]
+            w = model.width[rest, cls]
+            enc.put(rest, ((model.ends[rest, cls] - w) << PART_BITS) + prior.start0[lost] * w, prior.size0[lost] * w, 16 + PART_BITS)
+            model.classes[rest, cls] += 24
+        model.learn(n, ids, right, place)
     enc.finish()
-    place = np.empty_like(order)
-    place[order] = np.arange(order.size)
+    at = np.empty_like(order)
+    at[order] = np.arange(order.size)
     used = enc.n - enc.first
-    head = [MAGIC, np.array([len(blocks), BLOCK_IDS], dtype="<u4").tobytes()]
+    head = [MAGIC, np.array([len(blocks), len(packed), zlib.crc32(packed)], dtype="<u4").tobytes()]
     for k, b in enumerate(blocks):
-        head.append(np.array([b.size, zlib.crc32(b.astype("<u4").tobytes()), used[place[k]]], dtype="<u4").tobytes())
-    body = [enc.out[enc.first[p] : enc.n[p]].astype("<u2").tobytes() for p in place]
-    return b"".join(head + body)
+        head.append(np.array([b.size, zlib.crc32(b.astype("<u4").tobytes()), used[at[k]]], dtype="<u4").tobytes())
+    body = [enc.out[enc.first[p] : enc.n[p]].astype("<u2").tobytes() for p in at]
+    return b"".join([*head, packed, *body])
 
 
 def decode_blocks(payload: bytes) -> list[np.ndarray]:
-    """The blocks of a stripe; a block that doesn't have its checksum raises an error."""
+    """The blocks of a stripe; a block or prior that doesn't have its checksum raises an error."""
     if payload[:4] != MAGIC:
         raise ValueError("not a token stripe")
-    lanes = int(np.frombuffer(payload, dtype="<u4", count=1, offset=4)[0])
-    head = np.frombuffer(payload, dtype="<u4", count=3 * lanes, offset=12).reshape(lanes, 3).astype(np.int64)
-    units = np.frombuffer(payload, dtype="<u2", offset=12 + 12 * lanes).astype(np.uint64)
+    lanes, size, crc = (int(x) for x in np.frombuffer(payload, dtype="<u4", count=3, offset=4))
+    head = np.frombuffer(payload, dtype="<u4", count=3 * lanes, offset=16).reshape(lanes, 3).astype(np.int64)
+    body = 16 + 12 * lanes + size
+    packed = payload[body - size : body]
+    if zlib.crc32(packed) != crc:
+        raise ValueError("the prior is damaged")
+    prior = Prior(packed)
+    units = np.frombuffer(payload, dtype="<u2", offset=body).astype(np.uint64)
     starts = np.cumsum(head[:, 2]) - head[:, 2]
     order = np.argsort(-head[:, 0], kind="stable")
     sizes = head[order, 0]
     grid = np.zeros((int(sizes.max(initial=0)), lanes), dtype=np.int64)
-    dec, model = Decoder(np.concatenate([units, np.zeros(8, dtype=np.uint64)]), starts[order]), Model(lanes)
+    dec, model = Decoder(np.concatenate([units, np.zeros(8, dtype=np.uint64)]), starts[order]), Model(lanes, prior)
     for t in range(grid.shape[0]):
         n = running(sizes, t)
         model.contexts(n)
-        s = dec.slot(slice(0, n))
-        which = (s >= model.first).astype(np.int64) + (s >= model.first + model.second)
-        dec.take(slice(0, n), *model.interval(which))
-        ids = np.where(which == 0, model.g[0], model.g[1]).astype(np.int64)
-        miss = (which == 2).nonzero()[0]
-        if miss.size:
-            s = dec.slot(miss, 16 + REST_BITS)
-            cls = np.searchsorted(model.ladder, (s >> REST_BITS) + (miss << 16), side="right") - (miss << CLASS_BITS)
-            w = model.width[miss, cls]
-            floor = (model.ends[miss, cls] - w) << REST_BITS
-            rest = (s - floor) // w
-            dec.take(miss, floor + rest * w, w, 16 + REST_BITS)
-            ids[miss] = (cls << REST_BITS) | rest
+        right = dec.slot(slice(0, n)) < model.chance
+        dec.take(slice(0, n), np.where(right, 0, model.chance), np.where(right, model.chance, ONE - model.chance))
+        ids = model.guess.astype(np.int64)
+        place = np.full(n, -1, dtype=np.int64)
+        context = prior.context_of[model.last[:n]]
+        by_one = (~right & (context >= 0)).nonzero()[0]
+        if by_one.size:
+            s, c = dec.slot(by_one, NEXT_BITS), context[by_one]
+            other = prior.other[c]
+            known = s < other
+            p = np.where(known, np.searchsorted(prior.ladder1, (c << NEXT_BITS) + np.minimum(s, other - 1), side="right"), 0)
+            dec.take(by_one, np.where(known, prior.start1[p], other), np.where(known, prior.size1[p], (1 << NEXT_BITS) - other), NEXT_BITS)
+            place[by_one] = np.where(known, p, -1)
+            ids[by_one] = prior.id1[p]
+        rest = (~right & (place < 0)).nonzero()[0]
+        if rest.size:
+            s = dec.slot(rest, 16 + PART_BITS)
+            cls = np.minimum(np.searchsorted(model.ladder, (s >> PART_BITS) + (rest << 16), side="right") - (rest << CLASS_BITS), CLASSES - 1)
+            w = model.width[rest, cls]
+            floor = (model.ends[rest, cls] - w) << PART_BITS
+            part = np.minimum((s - floor) // w, (1 << PART_BITS) - 1)
+            lost = prior.id0[np.minimum(np.searchsorted(prior.ladder0, (cls << PART_BITS) + part, side="right"), prior.id0.size - 1)]
+            dec.take(rest, floor + prior.start0[lost] * w, prior.size0[lost] * w, 16 + PART_BITS)
+            ids[rest] = lost
+            model.classes[rest, cls] += 24
         grid[t, :n] = ids
-        model.learn(n, ids, miss)
+        model.learn(n, ids, right, place)
     out = [np.zeros(0, dtype=np.int64)] * lanes
     for row, k in enumerate(order):
         out[k] = grid[: head[k, 0], row]

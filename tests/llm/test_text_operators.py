@@ -354,6 +354,26 @@ def test_coder_round_trip_and_damage():
             token_store.decode_blocks(raw[:at] + bytes([raw[at] ^ 85]) + raw[at + 1 :])
 
 
+def test_coder_needs_fewer_bits_than_zlib(spark, sf):
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()]
+    ids = np.concatenate([np.array([*e.ids, 2]) for e in bpe.tokenizer(PATH).encode_batch(texts, add_special_tokens=False)]).astype(np.int64)
+    blocks = [ids[k : k + token_store.BLOCK_IDS] for k in range(0, ids.size, token_store.BLOCK_IDS)]
+    raw = token_store.encode_blocks(blocks)
+    assert all((a == b).all() for a, b in zip(blocks, token_store.decode_blocks(raw), strict=True))
+    reset = sum(len(zlib.compress(b.astype("<u2").tobytes(), 9)) for b in blocks)
+    stream = len(zlib.compress(ids.astype("<u2").tobytes(), 9))
+    share = np.bincount(ids)[ids] / ids.size
+    assert len(raw) < stream < reset and 8 * len(raw) < -np.log2(share).sum()
+
+
+def test_coder_with_odd_blocks():
+    rng = np.random.default_rng(4)
+    wide = rng.permutation(65_535)[:60_000].astype(np.int64)  # nearly every id once
+    for ids in (wide, np.repeat(wide[:3000], 7), np.tile(wide[:5000], 8), np.zeros(0, dtype=np.int64), np.array([65_534]), np.tile([1, 2], 3000)):
+        blocks = [ids[k : k + 999] for k in range(0, ids.size, 999)] + [np.zeros(0, dtype=np.int64)]
+        assert all((a == b).all() for a, b in zip(blocks, token_store.decode_blocks(token_store.encode_blocks(blocks)), strict=True))
+
+
 def test_remembered_words_equal_the_library():
     rng = random.Random(9)
     known = token_store.WordIds(PATH, most=50)
