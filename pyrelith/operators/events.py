@@ -19,42 +19,59 @@ def st_dbscan(points: DataFrame, eps_m: float, eps_s: int, min_samples: int = 2,
     another point in reach of a core joins the event whose first core is the earliest; the rest are events of their own.
     """
     scratch = Scratch(points.sparkSession, "dbscan")
-    ranked = points.select(F.col(key).alias("id"), F.unix_micros(F.col(ts).cast("timestamp")).alias("at"))
-    pairs = scratch.table(space_time_pairs(points, eps_m, eps_s, key, ts).select("a", "b"), "pairs")
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    ranked = points.select(F.col(key).alias("id"), at.alias("at"), "latitude", "longitude", F.floor(at / 1_000_000).alias("second"))
+    # what stands at one place and second is one spot: copies cost no pairs
+    spot = ["latitude", "longitude", "second"]
+    spots = ranked.groupBy(*spot).agg(F.min(F.struct("at", "id")).alias("first"), F.count(F.lit(1)).alias("n"), F.min("id").alias("spot"))
+    spots = scratch.table(spots.withColumn("time", F.timestamp_seconds("second")), "spots")
+    pairs = scratch.table(space_time_pairs(spots, eps_m, eps_s, "spot", "time").select("a", "b"), "pairs")
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    core = both.groupBy("a").agg(F.count(F.lit(1)).alias("near")).where(F.col("near") + 1 >= min_samples).select(F.col("a").alias("id"))
+    others = both.join(spots.select(F.col("spot").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("near"))
+    core = spots.join(others, spots["spot"] == others["a"], "left").where(F.col("n") + F.coalesce("near", F.lit(0)) >= min_samples).select(F.col("spot").alias("id"), "first")
     core = scratch.table(core, "core")
-    within = pairs.join(core.withColumnRenamed("id", "a"), "a", "left_semi").join(core.withColumnRenamed("id", "b"), "b", "left_semi")
-    groups = core.join(connected_components(within, scratch).withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
-    seeds = groups.join(ranked, "id").groupBy("component").agg(F.min(F.struct("at", "id")).alias("seed"))
+    ids = core.select("id")
+    within = pairs.join(ids.withColumnRenamed("id", "a"), "a", "left_semi").join(ids.withColumnRenamed("id", "b"), "b", "left_semi")
+    groups = core.join(connected_components(within, scratch).withColumnRenamed("node", "id"), "id", "left").select("id", "first", F.coalesce("component", "id").alias("component"))
+    seeds = groups.groupBy("component").agg(F.min("first").alias("seed"))
     cored = scratch.table(groups.join(seeds, "component").select("id", "seed"), "cored")
-    border = both.join(core, both["a"] == core["id"], "left_anti").join(cored, both["b"] == cored["id"]).groupBy("a").agg(F.min("seed").alias("seed")).select(F.col("a").alias("id"), "seed")
+    border = both.join(ids, both["a"] == ids["id"], "left_anti").join(cored, both["b"] == cored["id"]).groupBy("a").agg(F.min("seed").alias("seed")).select(F.col("a").alias("id"), "seed")
     found = cored.unionByName(border)
-    # an event is named by its first member, which may be a border point
-    named = ranked.join(found, "id", "left").withColumn("seed", F.coalesce("seed", F.struct("at", "id")))
-    first = named.groupBy("seed").agg(F.min(F.struct("at", "id")).alias("first"))
-    return named.join(first, "seed").select(F.col("id").alias(key), F.col("first.id").alias("event"))
+    # an event is named by its first member, which may be a border point; what is alone is an event of its own
+    named = spots.join(found, spots["spot"] == found["id"], "left").select(*spot, "spot", "first", "n", "seed")
+    held = named.where("seed is not null")
+    first = held.groupBy("seed").agg(F.min("first").alias("name"))
+    events = held.join(first, "seed").select(*spot, F.col("name.id").alias("event"))
+    alone = named.where("seed is null").select(*spot, F.lit(None).cast(points.schema[key].dataType).alias("event"))
+    labels = events.unionByName(alone).select(*[F.col(c).alias(f"s_{c}") for c in spot], "event")
+    j = ranked.join(labels, [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in spot])
+    return j.select(F.col("id").alias(key), F.coalesce("event", "id").alias("event"))
 
 
 def event_records(members: DataFrame) -> DataFrame:
-    """E3 with F10: one record an event from its members' rows (``event`` and the columns of detections)."""
-    first = F.min("datetime_utc").over(Window.partitionBy("event"))
-    m = members.withColumn("t0", first)
-    at_first = F.col("datetime_utc") == F.col("t0")
-    return m.groupBy("event").agg(
-        F.count(F.lit(1)).alias("n_detections"),
-        F.countDistinct("datetime_utc").alias("n_overpasses"),
-        F.array_join(F.array_sort(F.collect_set("satellite")), "+").alias("satellites"),
+    """E3 with F10: one record an event from its members' rows (``event`` and the columns of detections).
+
+    Overpasses are summed first, so that the first one's position is a minimum and no window is needed.
+    """
+    passes = members.groupBy("event", "datetime_utc").agg(
+        F.count(F.lit(1)).alias("n"), F.collect_set("satellite").alias("s"), F.sum("frp").alias("f"), F.max("frp").alias("fm"),
+        F.count_if(F.col("frp").isNull()).alias("gone"), F.sum("latitude").alias("y"), F.sum("longitude").alias("x"),
+    )
+    first = F.min(F.struct("datetime_utc", (F.col("y") / F.col("n")).alias("y"), (F.col("x") / F.col("n")).alias("x")))
+    r = passes.groupBy("event").agg(
+        F.sum("n").alias("n_detections"),
+        F.count(F.lit(1)).alias("n_overpasses"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("s")))), "+").alias("satellites"),
         F.min("datetime_utc").alias("first_seen"),
         F.max("datetime_utc").alias("last_seen"),
-        F.coalesce(F.sum("frp"), F.lit(0.0)).alias("frp_sum"),
-        F.max("frp").alias("frp_max"),
-        F.count_if(F.col("frp").isNull()).alias("n_frp_missing"),
-        F.avg("latitude").alias("centroid_lat"),
-        F.avg("longitude").alias("centroid_lon"),
-        F.avg(F.when(at_first, F.col("latitude"))).alias("first_lat"),
-        F.avg(F.when(at_first, F.col("longitude"))).alias("first_lon"),
+        F.coalesce(F.sum("f"), F.lit(0.0)).alias("frp_sum"),
+        F.max("fm").alias("frp_max"),
+        F.sum("gone").alias("n_frp_missing"),
+        (F.sum("y") / F.sum("n")).alias("centroid_lat"),
+        (F.sum("x") / F.sum("n")).alias("centroid_lon"),
+        first.alias("first"),
     )
+    return r.withColumn("first_lat", F.col("first.y")).withColumn("first_lon", F.col("first.x")).drop("first")
 
 
 def number_events(records: DataFrame, prefix: str = "E", digits: int = 4) -> DataFrame:
@@ -66,17 +83,25 @@ def stable_ids(members: DataFrame, prior: DataFrame, next_number: int, prefix: s
     """``(event, event_id, merged)`` that carries identifiers from an earlier run (``prior(detection_id, event_id)``).
 
     Overlaps are counted by a join and a sum; claims go by the largest overlap, then the larger event, then
-    the smaller identifier, and are folded in that order, since each depends on those before. The fold sees
-    one row a pair of events, never detections. New numbers follow ``next_number``; none is used again.
+    the smaller identifier, and are folded in that order, since each depends on those before. Events and identifiers that
+    overlap, straight or through others, are one fold, as no claim reaches beyond them; a fold sees
+    one row a pair, never detections. New numbers follow ``next_number`` in order of the events' first ids; none is used again.
     """
+    scratch = Scratch(members.sparkSession, "stable-ids")
     overlap = members.join(prior, "detection_id").groupBy("event", "event_id").agg(F.count(F.lit(1)).alias("n"))
     sizes = members.groupBy("event").agg(F.count(F.lit(1)).alias("size"), F.min("detection_id").alias("seed"))
-    pairs = sizes.join(overlap, "event", "left").withColumn("all", F.lit(1))
+    pairs = sizes.join(overlap, "event").withColumn("a", F.xxhash64("event")).withColumn("b", F.xxhash64("event_id", F.lit("id")))
+    by = {c: F.count(F.lit(1)).over(Window.partitionBy(c)) for c in ("event", "event_id")}
+    pairs = scratch.table(pairs.withColumns({"ids": by["event"], "events": by["event_id"]}), "pairs")
+    # most events and identifiers have nobody else: only the others are folded
+    sure = pairs.where("ids = 1 and events = 1").select("event", F.col("event_id").alias("kept"), F.lit("").alias("merged"))
+    pairs = pairs.where("ids > 1 or events > 1")
+    comp = connected_components(pairs, scratch)
 
     def claim(g: pd.DataFrame) -> pd.DataFrame:
         taken: dict[str, int] = {}
         has: dict[int, str] = {}
-        wanted = g.dropna(subset=["event_id"]).sort_values(["n", "size", "event_id", "event"], ascending=[False, False, True, True])
+        wanted = g.sort_values(["n", "size", "event_id", "event"], ascending=[False, False, True, True])
         for r in wanted.itertuples():
             if r.event_id not in taken and r.event not in has:
                 taken[r.event_id] = r.event
@@ -86,13 +111,10 @@ def stable_ids(members: DataFrame, prior: DataFrame, next_number: int, prefix: s
             if r.event_id not in taken:
                 lost.setdefault(r.event, []).append(r.event_id)
                 taken[r.event_id] = r.event
-        fresh = next_number
-        rows = []
-        for e in g.drop_duplicates("event").sort_values("seed")["event"]:
-            if e not in has:
-                has[e] = f"{prefix}{fresh:04d}"
-                fresh += 1
-            rows.append((e, has[e], "+".join(sorted(lost.get(e, [])))))
-        return pd.DataFrame(rows, columns=["event", "event_id", "merged"])
-
-    return pairs.groupBy("all").applyInPandas(claim, "event long, event_id string, merged string")
+        rows = [(e, has.get(e), "+".join(sorted(lost.get(e, [])))) for e in g["event"].drop_duplicates()]
+        return pd.DataFrame(rows, columns=["event", "kept", "merged"])
+
+    claims = pairs.join(comp, pairs["a"] == comp["node"]).groupBy("component").applyInPandas(claim, "event long, kept string, merged string").unionByName(sure)
+    out = scratch.table(sizes.select("event", "seed").join(claims, "event", "left"), "claims")
+    fresh = numbered(out.where("kept is null"), ["seed", "event"]).withColumn("kept", F.format_string(f"{prefix}%04d", F.col("number") + next_number - 1))
+    return out.where("kept is not null").unionByName(fresh.drop("number")).select("event", F.col("kept").alias("event_id"), F.coalesce("merged", F.lit("")).alias("merged"))

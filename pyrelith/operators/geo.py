@@ -87,19 +87,20 @@ def overlapping_boxes(boxes: DataFrame, pad_x: float, pad_y: float, cell: float
 def space_time_pairs(points: DataFrame, eps_m: float, eps_s: int, key: str = "detection_id", ts: str = "datetime_utc", lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """Pairs ``a < b`` within ``eps_m`` metres and ``eps_s`` seconds, both included, with their distance.
 
-    Each point goes to one bucket of side eps in x, y and t, and is probed from the 27 around it; the plane
-    is that of the set's mean latitude (a one-row aggregate).
+    Each point goes to one bucket of side eps in x, y and t, and is probed from its own and the 13 that lie after it, so
+    that no pair of buckets meets twice; the plane is that of the set's mean latitude (a one-row aggregate).
     """
     mean = points.agg(F.avg(lat).alias("mean_lat"))
     p = points.join(F.broadcast(mean)).select(F.col(key).alias("id"), (F.col(lon) * (F.cos(F.radians("mean_lat")) * M_PER_DEG)).alias("x"), (F.col(lat) * M_PER_DEG).alias("y"), F.unix_seconds(F.col(ts).cast("timestamp")).alias("t"))
     p = p.withColumns({"bx": F.floor(F.col("x") / eps_m), "by": F.floor(F.col("y") / eps_m), "bt": F.floor(F.col("t") / eps_s)})
-    around = F.array(*[F.lit(k) for k in (-1, 0, 1)])
-    probe = p.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around)).withColumn("dt", F.explode(around))
-    probe = probe.select(F.col("id").alias("a"), F.col("x").alias("xa"), F.col("y").alias("ya"), F.col("t").alias("ta"), (F.col("bx") + F.col("dx")).alias("bx"), (F.col("by") + F.col("dy")).alias("by"), (F.col("bt") + F.col("dt")).alias("bt"))
-    q = p.select(F.col("id").alias("b"), F.col("x").alias("xb"), F.col("y").alias("yb"), F.col("t").alias("tb"), "bx", "by", "bt")
+    after = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) >= (0, 0, 0)]
+    probe = p.withColumn("o", F.explode(F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(o, "ijk", strict=True)]) for o in after])))
+    own = (F.col("o.i") == 0) & (F.col("o.j") == 0) & (F.col("o.k") == 0)
+    probe = probe.select(F.col("id").alias("p"), F.col("x").alias("xa"), F.col("y").alias("ya"), F.col("t").alias("ta"), own.alias("own"), (F.col("bx") + F.col("o.i")).alias("bx"), (F.col("by") + F.col("o.j")).alias("by"), (F.col("bt") + F.col("o.k")).alias("bt"))
+    q = p.select(F.col("id").alias("q"), F.col("x").alias("xb"), F.col("y").alias("yb"), F.col("t").alias("tb"), "bx", "by", "bt")
     d2 = F.pow(F.col("xa") - F.col("xb"), 2) + F.pow(F.col("ya") - F.col("yb"), 2)
-    near = (F.col("a") < F.col("b")) & (F.abs(F.col("ta") - F.col("tb")) <= eps_s) & (d2 <= eps_m * eps_m)
-    return probe.join(q, ["bx", "by", "bt"]).where(near).select("a", "b", F.sqrt(d2).alias("metres"), F.abs(F.col("ta") - F.col("tb")).alias("seconds"))
+    near = (~F.col("own") | (F.col("p") < F.col("q"))) & (F.abs(F.col("ta") - F.col("tb")) <= eps_s) & (d2 <= eps_m * eps_m)
+    return probe.join(q, ["bx", "by", "bt"]).where(near).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), F.sqrt(d2).alias("metres"), F.abs(F.col("ta") - F.col("tb")).alias("seconds"))
 
 
 def within_circles(everything: DataFrame, points: DataFrame, centres: DataFrame, radius_m: float, key: str = "detection_id") -> DataFrame:

@@ -45,7 +45,7 @@ def observed_days(man: DataFrame, days: DataFrame) -> DataFrame:
 def backfill_plan(man: DataFrame, days: DataFrame, chunk: int) -> DataFrame:
     """``(source, served, chunk_start, days)``: runs of served days in chunks, runs of others as one gap each."""
     got = man.where(F.col("outcome").isin(*OK)).withColumn("day", F.explode(F.sequence(F.col("chunk_start"), F.date_add("chunk_start", F.col("days") - 1)))).select("source", "day").distinct().withColumn("served", F.lit(True))
-    grid = man.select("source").distinct().join(F.broadcast(days)).join(got, ["source", "day"], "left").withColumn("served", F.coalesce("served", F.lit(False)))
+    grid = man.select("source").distinct().crossJoin(days).join(got, ["source", "day"], "left").withColumn("served", F.coalesce("served", F.lit(False)))
     island = F.date_sub("day", F.row_number().over(Window.partitionBy("source", "served").orderBy("day")))
     runs = grid.withColumn("island", island).groupBy("source", "served", "island").agg(F.min("day").alias("first"), F.count(F.lit(1)).cast("int").alias("n"))
     step = F.when(F.col("served"), F.lit(chunk)).otherwise(F.col("n"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pyrelith.functions import scalar as S
+from pyrelith.operators.ordering import numbered, running_sums
 
 HALF_HOUR = 1800
 
@@ -33,12 +34,12 @@ def shared_smoke(smoke: DataFrame, reports: DataFrame) -> DataFrame:
     exactly if those ranges overlap, so the count is that of the ranges that begin no later than an event's ends, less those
     that end before it begins: two running sums over one station's smoke reports, and no pairs of events.
     """
-    ranked = reports.select("obs_id", F.row_number().over(Window.orderBy("at", "obs_id")).alias("r"))
+    ranked = numbered(reports.select("obs_id", "at"), ["at", "obs_id"], "r").select("obs_id", "r")
     span = smoke.join(ranked, "obs_id").groupBy("event").agg(F.min("r").alias("lo"), F.max("r").alias("hi"))
     begun, ended = (span.groupBy(F.col(c).alias("r")).agg(F.count(F.lit(1)).alias(c)) for c in ("lo", "hi"))
-    upto = Window.orderBy("r")
-    sums = ranked.select("r").join(begun, "r", "left").join(ended, "r", "left").select("r", F.sum(F.coalesce("lo", F.lit(0))).over(upto).alias("begun"), F.coalesce(F.sum(F.coalesce("hi", F.lit(0))).over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ended"))
-    j = span.join(sums.select(F.col("r").alias("hi"), "begun"), "hi").join(sums.select(F.col("r").alias("lo"), "ended"), "lo")
+    counts = ranked.select("r").join(begun, "r", "left").join(ended, "r", "left").select("r", F.coalesce("lo", F.lit(0)).alias("begun"), F.coalesce("hi", F.lit(0)).alias("ended"), F.coalesce("hi", F.lit(0)).alias("here"))
+    sums = running_sums(counts, "r", ["begun", "ended"])
+    j = span.join(sums.select(F.col("r").alias("hi"), "begun"), "hi").join(sums.select(F.col("r").alias("lo"), (F.col("ended") - F.col("here")).alias("ended")), "lo")
     return j.select("event", (F.col("begun") - F.col("ended") - 1).alias("n_concurrent"))
 
 

@@ -66,14 +66,14 @@ def least_squares(df: DataFrame, by: list[str], xs: list[str], y: str) -> DataFr
         used = [c for c in xs if g[c].nunique() > 1]
         x = np.column_stack([np.ones(len(g)), *[g[c] for c in used]])
         out = {c: [g[c].iloc[0]] for c in by} if len(g) else {c: [None] for c in by}
-        beta = hat = loo = None
+        beta = hat = top = loo = None
         if len(g) > x.shape[1] and np.linalg.matrix_rank(x) == x.shape[1]:
             q, r = np.linalg.qr(x)
             beta = np.linalg.solve(r, q.T @ g[y].to_numpy())
             h = (q**2).sum(1)
             e = (g[y].to_numpy() - x @ beta) / np.maximum(1 - h, 1e-12)
-            hat, loo = float(h.sum()), float(np.sqrt((e**2).mean()))
-        return pd.DataFrame(out | {"n": [len(g)], "beta": [None if beta is None else beta.tolist()], "trace": [hat], "loo_rmse": [loo]})
+            hat, top, loo = float(h.sum()), float(h.max()), float(np.sqrt((e**2).mean()))
+        return pd.DataFrame(out | {"n": [len(g)], "beta": [None if beta is None else beta.tolist()], "trace": [hat], "top_leverage": [top], "loo_rmse": [loo]})
 
     kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in by)
-    return df.select(*by, *xs, y).groupBy(*by).applyInPandas(fit, f"{kinds}, n long, beta array<double>, trace double, loo_rmse double")
+    return df.select(*by, *xs, y).groupBy(*by).applyInPandas(fit, f"{kinds}, n long, beta array<double>, trace double, top_leverage double, loo_rmse double")

@@ -49,7 +49,7 @@ def scored(hist):
     """Every observed day and cell with the climatology of the other years, and their rate."""
     pos, obs = positives(hist).join(observed(hist), "date", "left_semi"), observed(hist)
     cell = pos.select("cell").distinct()
-    grid = obs.join(F.broadcast(cell)).join(pos.withColumn("positive", F.lit(True)), ["cell", "date"], "left").withColumn("positive", F.coalesce("positive", F.lit(False)))
+    grid = obs.crossJoin(cell).join(pos.withColumn("positive", F.lit(True)), ["cell", "date"], "left").withColumn("positive", F.coalesce("positive", F.lit(False)))
     grid = grid.withColumn("fold", F.year("date")).withColumn("doy", S.circle_day("date"))
     days = obs.groupBy(F.year("date").alias("y")).agg(F.count(F.lit(1)).alias("d")).join(pos.groupBy(F.year("date").alias("y")).agg(F.count(F.lit(1)).alias("k")), "y", "left")
     total = days.agg(F.sum("d").alias("all_d"), F.sum("k").alias("all_k"))
@@ -148,12 +148,6 @@ def k1_fwi_step(wx):
     return d.select("cell", "date", *[F.round(x, 3).alias(n) for x, n in (("f", "ffmc"), ("m", "dmc"), ("c", "dc"), ("i", "isi"), ("b", "bui"), ("w", "fwi"))])
 
 
-@query("v_wx")
-def k1_k3_fwi_series(wx):
-    """The codes of every cell and day, started again after each gap, listed after the spin-up."""
-    return D.series(wx).select("cell", "date", *[F.round(c, 4).alias(c) for c in ("ffmc", "dmc", "dc", "isi", "bui", "fwi", "kbdi")])
-
-
 KBDI = f"(203.2e0 - greatest(q - net, 0)) * (0.968e0 * exp(0.0875e0 * t_max + 1.5552e0) - 8.3e0) / {1 + 10.88 * math.exp(-0.001736 * 2500)!r} * 1e-3"
 
 
@@ -167,6 +161,31 @@ def k2_kbdi_series(wx):
     return D.series(wx).select("cell", "date", F.round("kbdi", 5).alias("kbdi"))
 
 
+#: One day of all codes from those of the day before (f0, d0, c0, q0), in stages of one SELECT each.
+STAGES = f"""SELECT cell, isl, k, date, wind, least(greatest(59.5e0 * (250 - wm) / (147.2e0 + wm), 0), 101) AS f0, greatest(d1 + 1.894e-4 * (greatest(t_noon, -1.1e0) + 1.1e0) * (100 - rh) * 9, 0) AS d0,
+  greatest(c1 + greatest((0.36e0 * (greatest(t_noon, -2.8e0) + 2.8e0) + 1.39e0) / 2, 0), 0) AS c0, least(greatest(q0 - net, 0) + greatest({KBDI.replace('q - net', 'q0 - net')}, 0), 203.2e0) AS q0 FROM (
+  SELECT *, CASE WHEN m > ed THEN ed + (m - ed) / pow(10, (0.424e0 * (1 - pow(h / 100, 1.7e0)) + 0.0694e0 * sqrt(wind) * (1 - pow(h / 100, 8))) * 0.581e0 * exp(0.0365e0 * t_noon))
+    WHEN m < ew THEN ew - (ew - m) / pow(10, (0.424e0 * (1 - pow((100 - h) / 100, 1.7e0)) + 0.0694e0 * sqrt(wind) * (1 - pow((100 - h) / 100, 8))) * 0.581e0 * exp(0.0365e0 * t_noon)) ELSE m END AS wm,
+    CASE WHEN rain > 1.5 THEN greatest(43.43e0 * (5.6348e0 - ln(280 * exp(-0.023e0 * d0) + 1000 * (0.92e0 * rain - 1.27e0) / (48.77e0 + slope * (0.92e0 * rain - 1.27e0)))), 0) ELSE d0 END AS d1,
+    CASE WHEN rain > 2.8 THEN greatest(c0 - 400 * ln(1 + 3.937e0 * (0.83e0 * rain - 1.27e0) / (800 * exp(-c0 / 400))), 0) ELSE c0 END AS c1 FROM (
+  SELECT *, least(CASE WHEN rain > 0.5 THEN m0 + 42.5e0 * (rain - 0.5e0) * exp(-100 / (251 - m0)) * (1 - exp(-6.93e0 / (rain - 0.5e0))) + CASE WHEN m0 > 150 THEN 0.0015e0 * pow(m0 - 150, 2) * sqrt(rain - 0.5e0) ELSE 0 END ELSE m0 END, 250) AS m,
+    0.942e0 * pow(h, 0.679e0) + 11 * exp((h - 100) / 10) + 0.18e0 * (21.1e0 - t_noon) * (1 - exp(-0.115e0 * h)) AS ed, 0.618e0 * pow(h, 0.753e0) + 10 * exp((h - 100) / 10) + 0.18e0 * (21.1e0 - t_noon) * (1 - exp(-0.115e0 * h)) AS ew FROM (
+  SELECT *, least(rh, 99.9999e0) AS h, 147.2e0 * (101 - f0) / (59.5e0 + f0) AS m0, CASE WHEN d0 <= 33 THEN 100 / (0.5e0 + 0.3e0 * d0) WHEN d0 <= 65 THEN 14 - 1.3e0 * ln(d0) ELSE 6.2e0 * ln(d0) - 17.2e0 END AS slope FROM (FROM_HERE))))"""
+NET = """r AS (SELECT *, date - CAST(row_number() OVER (PARTITION BY cell ORDER BY date) AS INTEGER) AS isl FROM v_wx), s AS (SELECT *, sum((rain <= 0)::INT) OVER (PARTITION BY cell, isl ORDER BY date) AS spell FROM r),
+  w AS (SELECT *, sum(rain) OVER (PARTITION BY cell, isl, spell ORDER BY date) AS run FROM s), n AS (SELECT cell, isl, date, t_noon, rh, wind, rain, t_max, greatest(run - 5.08e0, 0) - greatest(run - rain - 5.08e0, 0) AS net, row_number() OVER (PARTITION BY cell, isl ORDER BY date) AS k FROM w)"""
+FWI_SERIES = f"""WITH RECURSIVE {NET}, c AS ({STAGES.replace("FROM_HERE", "SELECT *, 85.0e0 AS f0, 6.0e0 AS d0, 15.0e0 AS c0, 0.0e0 AS q0 FROM n WHERE k = 1")} UNION ALL {STAGES.replace("FROM_HERE", "SELECT n.*, c.f0, c.d0, c.c0, c.q0 FROM c JOIN n ON n.cell = c.cell AND n.isl = c.isl AND n.k = c.k + 1")}),
+  i AS (SELECT *, 147.2e0 * (101 - f0) / (59.5e0 + f0) AS fm, 0.8e0 * c0 * d0 / (d0 + 0.4e0 * c0) AS u FROM c WHERE k > 5),
+  j AS (SELECT *, 0.208e0 * exp(0.05039e0 * wind) * 91.9e0 * exp(-0.1386e0 * fm) * (1 + pow(fm, 5.31e0) / 4.93e7) AS isi, CASE WHEN u < d0 THEN greatest(d0 - (0.92e0 + pow(0.0114e0 * d0, 1.7e0)) * (d0 - u) / d0, 0) ELSE u END AS bui FROM i),
+  b AS (SELECT *, 0.1e0 * isi * CASE WHEN bui > 80 THEN 1000 / (25 + 108.64e0 * exp(-0.023e0 * bui)) ELSE 0.626e0 * pow(bui, 0.809e0) + 2 END AS bb FROM j)
+  SELECT cell, date, round(f0, 4) AS ffmc, round(d0, 4) AS dmc, round(c0, 4) AS dc, round(isi, 4) AS isi, round(bui, 4) AS bui, round(CASE WHEN bb > 1 THEN exp(2.72e0 * pow(0.434e0 * ln(bb), 0.647e0)) ELSE bb END, 4) AS fwi, round(q0, 4) AS kbdi FROM b"""
+
+
+@query("v_wx", sql=FWI_SERIES)
+def k1_k3_fwi_series(wx):
+    """The codes of every cell and day, started again after each gap, listed after the spin-up."""
+    return D.series(wx).select("cell", "date", *[F.round(c, 4).alias(c) for c in ("ffmc", "dmc", "dc", "isi", "bui", "fwi", "kbdi")])
+
+
 @query("v_wx", "v_hist", sql="""WITH d AS (SELECT DISTINCT date_wit AS date FROM v_hist WHERE o_mark), x AS (SELECT year(w.date)::INTEGER AS fold, w.*, d.date IS NOT NULL AS positive FROM v_wx w LEFT JOIN d USING (date)),
   l AS (SELECT fold, positive, unnest(['t_noon', 'rh', 'wind']) AS index_name, unnest([t_noon, 100 - rh, wind]) AS score FROM x), t AS (SELECT fold, index_name, score, count(*) AS n, sum(positive::INT) AS tp FROM l GROUP BY ALL), c AS (SELECT *, sum(n) OVER w AS above, sum(tp) OVER w AS hits FROM t WINDOW w AS (PARTITION BY fold, index_name ORDER BY score DESC))
   SELECT fold, index_name, CAST(sum(n) AS BIGINT) AS n, CAST(sum(tp) AS BIGINT) AS positives, round(sum(tp * hits / above) / nullif(sum(tp), 0), 7) AS ap FROM c GROUP BY ALL""".replace("o_mark", "satellite = 'N20' AND frp > 300"))
@@ -192,10 +211,21 @@ def k11_k12_correlation(wx):
     return p.join(l, "cell").select("cell", "n", F.round("r", 6).alias("r"), F.round("slope", 6).alias("slope"), F.round("intercept", 5).alias("intercept"))
 
 
-@query("v_wx")
+#: The normal equations of three centred predictors, solved by cofactors; leverage is 1/n and the centred quadratic form.
+NORMAL = """WITH c AS (SELECT cell, count(*) AS n, avg(rh) AS a, avg(wind) AS b, avg(rain) AS c, avg(t_noon) AS y FROM v_wx GROUP BY cell), d AS (SELECT cell, n, a, b, c, y, rh - a AS u, wind - b AS v, rain - c AS w, t_noon - y AS z FROM v_wx JOIN c USING (cell)),
+  s AS (SELECT cell, sum(u * u) AS uu, sum(u * v) AS uv, sum(u * w) AS uw, sum(v * v) AS vv, sum(v * w) AS vw, sum(w * w) AS ww, sum(u * z) AS uz, sum(v * z) AS vz, sum(w * z) AS wz FROM d GROUP BY cell),
+  i AS (SELECT *, uu * (vv * ww - vw * vw) - uv * (uv * ww - vw * uw) + uw * (uv * vw - vv * uw) AS det FROM s),
+  m AS (SELECT *, (vv * ww - vw * vw) / det AS p, (uw * vw - uv * ww) / det AS q, (uv * vw - uw * vv) / det AS r, (uu * ww - uw * uw) / det AS t, (uw * uv - uu * vw) / det AS o, (uu * vv - uv * uv) / det AS l FROM i),
+  f AS (SELECT *, p * uz + q * vz + r * wz AS b1, q * uz + t * vz + o * wz AS b2, r * uz + o * vz + l * wz AS b3 FROM m),
+  e AS (SELECT d.*, b1, b2, b3, 1.0e0 / n + u * u * p + v * v * t + w * w * l + 2 * (u * v * q + u * w * r + v * w * o) AS h, z - b1 * u - b2 * v - b3 * w AS e FROM d JOIN f USING (cell))
+  SELECT cell, n, round(max(y - b1 * a - b2 * b - b3 * c), 5) AS b0, round(max(b1), 6) AS b1, round(max(b2), 6) AS b2, round(max(b3), 6) AS b3, round(sum(h), 6) AS trace, round(max(h), 6) AS top_leverage, round(sqrt(avg(pow(e / (1 - h), 2))), 6) AS loo_rmse FROM e GROUP BY cell, n"""
+
+
+@query("v_wx", sql=NORMAL)
 def k12_least_squares(wx):
     """Several predictors, leverage and leave-one-out error by cell."""
-    return T.least_squares(wx, ["cell"], ["rh", "wind", "rain"], "t_noon")
+    f = T.least_squares(wx, ["cell"], ["rh", "wind", "rain"], "t_noon")
+    return f.select("cell", "n", *[F.round(F.col("beta")[k], 5 if k == 0 else 6).alias(f"b{k}") for k in range(4)], *[F.round(c, 6).alias(c) for c in ("trace", "top_leverage", "loo_rmse")])
 
 
 @query("v_wx", sql=f"WITH {MONTH}, t AS (SELECT cell, CAST(date_trunc('month', date) AS DATE) AS month, round(avg(t_noon), 6) AS t FROM v_wx WHERE wind > 20 GROUP BY ALL) SELECT m.cell, m.month, m.v, t.t FROM m LEFT JOIN t USING (cell, month)")

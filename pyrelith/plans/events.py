@@ -63,13 +63,30 @@ def f10_first_position(det):
     return E.event_records(det.join(E.st_dbscan(det, EPS_M, EPS_S), "detection_id")).select("event", F.round("first_lat", 6).alias("first_lat"))
 
 
-@query("v_det")
+OLD = LABELS.replace("v_det", "v_old")
+STABLE = f"""WITH RECURSIVE v_old AS (SELECT * FROM v_det WHERE date_wit < DATE '2024-01-25'), old AS ({OLD} SELECT detection_id, event FROM m),
+  first AS (SELECT event, min(datetime_utc) AS t0 FROM old JOIN v_old USING (detection_id) GROUP BY event),
+  named AS (SELECT event, printf('E%04d', row_number() OVER (ORDER BY t0, event)) AS event_id FROM first),
+  prior AS (SELECT detection_id, event_id FROM old JOIN named USING (event)),
+  now AS ({LABELS} SELECT detection_id, event FROM m),
+  size AS (SELECT event, min(detection_id) AS seed FROM now GROUP BY event),
+  lap AS (SELECT event, event_id, count(*) AS n FROM now JOIN prior USING (detection_id) GROUP BY ALL),
+  claim AS (SELECT *, row_number() OVER (PARTITION BY event ORDER BY n DESC, event_id) AS r FROM lap),
+  kept AS (SELECT event, max(event_id) FILTER (WHERE r = 1) AS event_id, coalesce(string_agg(event_id, '+' ORDER BY event_id) FILTER (WHERE r > 1), '') AS merged FROM claim GROUP BY event),
+  fresh AS (SELECT event, printf('E%04d', 8999 + row_number() OVER (ORDER BY seed)) AS event_id, '' AS merged FROM size WHERE event NOT IN (SELECT event FROM kept))
+  SELECT event, event_id, merged FROM kept UNION ALL SELECT event, event_id, merged FROM fresh"""
+
+
+@query("v_det", sql=STABLE)
 def j3_stable_ids(det):
-    """Identifiers carried from an earlier run (all but the last days) to the whole store."""
+    """Identifiers carried from an earlier run (all but the last days) to the whole store.
+
+    Rows that are added only let events grow and join, so each earlier event lies in one event; its twin relies on that, the operator doesn't.
+    """
     old = det.where("date_wit < DATE'2024-01-25'")
-    first = E.number_events(E.event_records(old.join(E.st_dbscan(old, EPS_M, EPS_S), "detection_id"))).select("event", "event_id")
-    prior = E.st_dbscan(old, EPS_M, EPS_S).join(first, "event").select("detection_id", "event_id")
-    return E.stable_ids(E.st_dbscan(det, EPS_M, EPS_S), prior, 9000)
+    before = Scratch(det.sparkSession, "earlier-run").table(E.st_dbscan(old, EPS_M, EPS_S), "events")
+    first = E.number_events(E.event_records(old.join(before, "detection_id"))).select("event", "event_id")
+    return E.stable_ids(E.st_dbscan(det, EPS_M, EPS_S), before.join(first, "event").select("detection_id", "event_id"), 9000)
 
 
 @query("v_det", sql="""WITH g AS (SELECT 250.0e0 AS m, 10800 AS s UNION ALL SELECT 375.0e0, 21600), p AS (SELECT detection_id AS id, longitude * (cos(radians((SELECT avg(latitude) FROM v_det))) * 111320) AS x, latitude * 111320 AS y, CAST(floor(epoch(datetime_utc)) AS BIGINT) AS t FROM v_det)
@@ -112,13 +129,25 @@ def e6_recurrent_today(hist):
     return now.join(days, ["longitude", "latitude"]).select(F.round("longitude", 4).alias("lon"), F.round("latitude", 4).alias("lat"), "today", "days")
 
 
-@query("v_hist")
+@query("v_hist", sql="""WITH c AS (SELECT *, floor((longitude - 134.25e0 + 1e-6) / 0.05e0) AS i, floor((latitude + 1.39e0 + 1e-6) / 0.05e0) AS j FROM v_hist)
+  SELECT detection_id, first_value(detection_id) OVER (PARTITION BY i, j ORDER BY date_wit, latitude, longitude, detection_id) AS cluster FROM c""")
 def j4_leader_clusters(hist):
     """Clusters around running centroids, in order of day and place."""
     return recurrence.leader_clusters(hist, 750.0)
 
 
-@query("v_det")
+#: In rounds: a row is a seed once all stronger rows in reach are known to be members of others.
+SEEDS = """WITH RECURSIVE r AS (SELECT detection_id AS id, longitude * 111320 AS x, latitude * 111320 AS y, row_number() OVER (ORDER BY frp DESC NULLS LAST, detection_id) AS place FROM v_det),
+  pr AS (SELECT a.id AS a, b.id AS b, a.place FROM r a JOIN r b ON a.place < b.place AND abs(a.x - b.x) <= 375 AND abs(a.y - b.y) <= 375 AND pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= 375 * 375),
+  w AS (SELECT 0 AS turn, id, 0 AS state FROM r UNION ALL
+    SELECT w.turn + 1, w.id, CASE WHEN w.state > 0 THEN w.state WHEN e.seed THEN 2 WHEN e.open THEN 0 ELSE 1 END FROM w
+      LEFT JOIN (SELECT pr.b, bool_or(o.state = 1) AS seed, bool_or(o.state = 0) AS open FROM pr JOIN w o ON o.id = pr.a GROUP BY pr.b) e ON e.b = w.id
+      WHERE EXISTS (SELECT 1 FROM w u WHERE u.state = 0)),
+  f AS (SELECT id, state FROM w WHERE turn = (SELECT max(turn) FROM w))
+  SELECT f.id AS detection_id, coalesce((SELECT min_by(pr.a, pr.place) FROM pr JOIN f g ON g.id = pr.a AND g.state = 1 WHERE pr.b = f.id), f.id) AS cluster FROM f"""
+
+
+@query("v_det", sql=SEEDS)
 def j7_seed_clusters(det):
     """Clusters around the strongest detection within reach."""
     return recurrence.seed_clusters(det, 375.0)
@@ -244,10 +273,19 @@ def c5_e34_size_bar(det):
     return s.groupBy(F.when(F.col("n") >= 5, "assessed").otherwise("fewer than 5 detections").alias("reason")).agg(F.count(F.lit(1)).alias("events"), F.sum("n").alias("detections"))
 
 
-@query("v_det")
+#: On whole thousandths of a degree an edge of the hull is a pair with no point to its right, and none beyond it on its line.
+HULL = f"""WITH p AS (SELECT DISTINCT satellite, date_wit, CAST(round(longitude * 1000) AS BIGINT) AS x, CAST(round(latitude * 1000) AS BIGINT) AS y, longitude, latitude FROM v_det),
+  g AS (SELECT satellite, date_wit, count(*) AS points, cos(radians(avg(latitude))) AS c FROM p GROUP BY ALL),
+  e AS (SELECT a.satellite, a.date_wit, a.x * b.y - b.x * a.y AS turn FROM p a JOIN p b USING (satellite, date_wit) WHERE (a.x <> b.x OR a.y <> b.y) AND NOT EXISTS (SELECT 1 FROM p k WHERE k.satellite = a.satellite AND k.date_wit = a.date_wit
+    AND ((b.x - a.x) * (k.y - a.y) - (b.y - a.y) * (k.x - a.x) < 0 OR (b.x - a.x) * (k.y - a.y) - (b.y - a.y) * (k.x - a.x) = 0 AND (k.x - a.x) * (k.x - b.x) + (k.y - a.y) * (k.y - b.y) > 0))),
+  s AS (SELECT satellite, date_wit, sum(turn) AS turn FROM e GROUP BY ALL)
+  SELECT g.satellite, g.date_wit, points, CASE WHEN turn > 0 THEN round(turn / 2e0 * c * {S.M_PER_DEG}e0 * {S.M_PER_DEG}e0 / 1e10, 3) END AS hull_ha FROM g LEFT JOIN s ON s.satellite = g.satellite AND s.date_wit = g.date_wit"""
+
+
+@query("v_det", sql=HULL)
 def j10_hull_area(det):
     """Convex hull areas of the detections of each satellite and day, in hectares; null without area."""
-    return recurrence.hull_areas(det, ["satellite", "date_wit"])
+    return recurrence.hull_areas(det, ["satellite", "date_wit"]).withColumn("hull_ha", F.round("hull_ha", 3))
 
 
 @query("v_det", sql=f"WITH {PLANE} SELECT a.id AS detection_id FROM p a WHERE a.satellite = 'Terra' AND EXISTS (SELECT 1 FROM p b WHERE b.satellite = 'N' AND pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= {EPS_M**2} AND abs(a.x - b.x) <= {EPS_M})")

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pyrelith.functions import scalar as S
 from pyrelith.operators import events as E
 from pyrelith.operators import geo, ingest, provenance, recurrence, sites
 from pyrelith.plans.events import LABELS, EPS_M, EPS_S
-from pyrelith.plans.ingest import with_ring
+from pyrelith.operators.ordering import numbered
+from pyrelith.plans.ingest import ON_ADM, REFUSALS, with_ring
 from pyrelith.plans.registry import query
 from pyrelith.sources import files
 
@@ -121,17 +121,31 @@ def h33_rounded_rings(adm):
     return r.select("adm_id", F.size("r").alias("points"), F.element_at("r", 1)["x"].alias("x0"), F.element_at("r", 1)["y"].alias("y0"))
 
 
-@query("v_adm")
+@query("v_adm", sql="""SELECT adm_id, tolerance, CASE WHEN notched AND tolerance < 0.0112 THEN 6 ELSE 4 END AS points, round((e - w) * (n - s) * CASE WHEN notched THEN 0.75e0 ELSE 1 END, 8) AS area
+  FROM v_adm CROSS JOIN (SELECT unnest([0.01e0, 0.02e0]) AS tolerance)""")
 def j13_simplified_rings(adm):
-    """Douglas-Peucker on each ring; one that would vanish stays as it is."""
-    return sites.simplify(with_ring(adm), 0.01).select("adm_id", F.size("simple").alias("points"))
+    """Douglas-Peucker on each ring; one that would vanish stays as it is. The wider tolerance cuts a notch of 0.0112 off in two corners that cancel out."""
+    rings = [sites.simplify(with_ring(adm), t).select("adm_id", F.lit(t).alias("tolerance"), F.size("simple").alias("points"), F.round(geo.ring_area(F.col("simple")), 8).alias("area")) for t in (0.01, 0.02)]
+    return rings[0].unionByName(rings[1])
 
 
-@query("v_hist")
+#: The clusters of a site choose one after another among its known places; sites lie farther apart than the radius.
+CLAIMS = """WITH RECURSIVE s AS (SELECT count(*) AS n, latitude AS lat, longitude AS lon, floor((longitude - 134.25e0 + 1e-6) / 0.05e0) * 1000 + floor((latitude + 1.39e0 + 1e-6) / 0.05e0) AS site FROM v_hist GROUP BY longitude, latitude HAVING count(DISTINCT date_wit) >= 12),
+  k AS (SELECT printf('R%03d', row_number() OVER (ORDER BY lat, lon)) AS site_id, lat + 0.001e0 AS lat, lon, site FROM s WHERE n % 3 = 0),
+  o AS (SELECT *, row_number() OVER (ORDER BY n DESC, lat, lon) AS place, row_number() OVER (PARTITION BY site ORDER BY n DESC, lat, lon) AS turn FROM s),
+  d AS (SELECT o.place, list({'d': pow(k.lat - o.lat, 2) + pow(k.lon - o.lon, 2), 'id': k.site_id}) AS wishes FROM o JOIN k ON k.site = o.site AND pow(k.lat - o.lat, 2) + pow(k.lon - o.lon, 2) <= pow(750.0e0 / 111320.0e0, 2) GROUP BY o.place),
+  c AS (SELECT site, 0::BIGINT AS turn, NULL::BIGINT AS place, NULL::VARCHAR AS got, []::VARCHAR[] AS taken FROM (SELECT DISTINCT site FROM s) UNION ALL
+    SELECT site, turn, place, pick, CASE WHEN pick IS NULL THEN taken ELSE list_append(taken, pick) END FROM (
+      SELECT c.site, o.turn, o.place, c.taken, list_sort(list_filter(d.wishes, lambda x: NOT list_contains(c.taken, x.id)))[1].id AS pick FROM c JOIN o ON o.site = c.site AND o.turn = c.turn + 1 LEFT JOIN d ON d.place = o.place)),
+  j AS (SELECT o.*, c.got FROM o JOIN c USING (place))
+  SELECT coalesce(got, printf('R%03d', CASE WHEN got IS NULL THEN 499 + row_number() OVER (PARTITION BY got IS NULL ORDER BY place) END)) AS site_id, lat, lon, n, got IS NULL AS new FROM j"""
+
+
+@query("v_hist", sql=CLAIMS)
 def j6_d7_site_registry(hist):
     """Sites matched to a registry of an earlier run by distance, in order of their counts; numbers are never used again."""
     s = recurrence.site_stats(hist, "longitude", "latitude").where("days >= 12").select("n", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
-    known = s.where("n % 3 = 0").select(F.format_string("R%03d", F.row_number().over(Window.orderBy("lat", "lon"))).alias("site_id"), (F.col("lat") + 0.001).alias("lat"), F.col("lon"))
+    known = numbered(s.where("n % 3 = 0"), ["lat", "lon"]).select(F.format_string("R%03d", "number").alias("site_id"), (F.col("lat") + 0.001).alias("lat"), F.col("lon"))
     return sites.match_registry(s, known, 750.0, 500)
 
 
@@ -167,14 +181,21 @@ def m1_tile_range(man):
     return man.sparkSession.sql("SELECT source, t.tile, t.days FROM {s}, LATERAL tile_range(chunk_start, 14, 5) AS t", s=starts)
 
 
-@query("v_det", "v_adm", "v_man", "v_day", sql=None)
+BRIEF = f"""WITH h AS {ON_ADM}, b AS (SELECT x.date_wit AS day, a.distrik, count(*) AS n, round(coalesce(sum(x.frp), 0), 2) AS f FROM v_det x JOIN h USING (detection_id) JOIN v_adm a USING (adm_id) GROUP BY ALL),
+  t AS (SELECT day, sum(n) AS total, string_agg('{{"distrik":"' || distrik || '","frp":' || printf('%.2f', f) || ',"n":' || n || '}}', ',' ORDER BY distrik) AS parts FROM b GROUP BY day), r AS ({REFUSALS.replace(" AND man.source <> 'MODIS'", "").replace("man.source <> 'MODIS' AND ", "")})
+  SELECT r.day, '{{"districts":[' || coalesce(parts, '') || '],"refusal":' || coalesce('"' || refusal || '"', 'null') || ',"total":' || coalesce(total, 0) || '}}' AS document FROM r LEFT JOIN t USING (day)"""
+
+
+@query("v_det", "v_adm", "v_man", "v_day", sql=BRIEF)
 def n1_n2_daily_brief(det, adm, man, day):
-    """For each day, whether it may be published, what was seen by district, as one JSON document a day with sorted keys."""
+    """For each day, whether it may be published, what was seen by district, as one JSON document a day with sorted keys and fixed decimals."""
     seen = geo.assign_polygon(ingest.clip(det, (134.25, -1.39, 136.76, 0.99)), with_ring(adm), "detection_id").where("on_land")
-    by = seen.groupBy(F.col("date_wit").alias("day"), "distrik").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("frp"), 1).alias("frp"))
-    docs = by.groupBy("day").agg(F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct("distrik", "frp", "n"))).alias("districts"))
+    by = seen.groupBy(F.col("date_wit").alias("day"), "distrik").agg(F.count(F.lit(1)).alias("n"), F.round(F.coalesce(F.sum("frp"), F.lit(0.0)), 2).alias("f"))
+    part = F.format_string('{"distrik":"%s","frp":%.2f,"n":%d}', "distrik", "f", "n")
+    docs = by.groupBy("day").agg(F.sum("n").alias("total"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("distrik", part.alias("p")))), lambda x: x["p"]), ",").alias("parts"))
+    refusal = F.coalesce(F.concat(F.lit('"'), "refusal", F.lit('"')), F.lit("null"))
     out = provenance.refusals(man, day).join(docs, "day", "left")
-    return out.select("day", F.to_json(F.struct("districts", "refusal", F.coalesce("total", F.lit(0)).alias("total"))).alias("document"))
+    return out.select("day", F.concat(F.lit('{"districts":['), F.coalesce("parts", F.lit("")), F.lit('],"refusal":'), refusal, F.lit(',"total":'), F.coalesce("total", F.lit(0)).cast("string"), F.lit("}")).alias("document"))
 
 
 @query("v_det", sql="SELECT satellite, count(*) AS n FROM (SELECT DISTINCT detection_id, satellite FROM v_det) GROUP BY satellite")

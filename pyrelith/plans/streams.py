@@ -49,7 +49,7 @@ def l6_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "stream-upsert")
     q = events(spark, sf_dir).select("event_id", "event_type").writeStream.foreachBatch(S.upsert(scratch.path("store"), "event_id")).option("checkpointLocation", scratch.path("state")).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(scratch.path("store")).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return S.read_store(spark, scratch.path("store")).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 for f in (l1_stream_closed_days, l2_stream_once, l5_stream_sessions, l6_stream_upsert):

@@ -39,7 +39,7 @@ VIEWS = {
       24 + (CAST(sum(l_partkey) AS BIGINT) % 120) / 10.0e0 + (CAST(sum(l_linenumber) AS BIGINT) % 50) / 10.0e0 AS t_max FROM lineitem GROUP BY l_suppkey % 6, CAST(l_shipdate AS DATE)""",
     "v_obs": """SELECT event_id AS obs_id, ts AS valid_utc, CASE event_id % 9 WHEN 0 THEN 'M' WHEN 1 THEN '6.21' ELSE CAST(CAST(floor(value / 30) AS INTEGER) AS STRING) || '.25' END AS vsby,
       CASE event_id % 7 WHEN 0 THEN 'M' ELSE CAST((event_id * 37) % 360 AS STRING) END AS drct, CASE event_id % 11 WHEN 0 THEN 'M' WHEN 1 THEN '0.00' ELSE CAST(event_id % 25 AS STRING) END AS sknt,
-      CASE event_id % 6 WHEN 0 THEN 'FU' WHEN 1 THEN 'FU HZ' WHEN 2 THEN 'HZ' WHEN 3 THEN 'XFUZ RA' WHEN 4 THEN NULL ELSE 'M' END AS wxcodes FROM events WHERE user_id % 3 = 0""",
+      CASE event_id % 6 WHEN 0 THEN 'FU' WHEN 1 THEN 'FU HZ' WHEN 2 THEN 'HZ' WHEN 3 THEN 'XFUZ RA' WHEN 4 THEN NULL ELSE 'M' END AS wxcodes FROM events""",
     "v_pix": """SELECT l_orderkey * 8 + l_linenumber AS pixel_row, l_linenumber AS scene, l_partkey % 100 AS x, l_suppkey % 100 AS y, CAST(l_shipdate AS DATE) AS look_date,
       0.02e0 + l_discount AS b2, 0.03e0 + l_tax AS b3, 0.04e0 + l_discount / 2 AS b4, 0.05e0 + l_tax * 2 AS b6, 0.06e0 + l_quantity / 200 AS b7, l_quantity / 100 AS b8a,
       0.1e0 + l_tax + l_discount AS b11, 0.05e0 + l_quantity / 150 + l_tax AS b12, l_returnflag <> 'R' AS valid,

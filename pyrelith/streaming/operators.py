@@ -44,7 +44,8 @@ CODES = "cell long, date date, ffmc double, dmc double, dc double, kbdi double"
 def moisture_codes(stream: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Moisture codes of each cell, carried from batch to batch; a missing day starts the cell again. The state is six numbers a cell.
 
-    Days must come in order; a day that isn't after the last one seen is left out, as it can't be put before it.
+    Days must come in order; a day that isn't after the last one seen can't be put before it: it comes out with
+    null codes, so that it can be counted (``late_days``).
     """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
@@ -52,6 +53,7 @@ def moisture_codes(stream: DataFrame, s: Settings = Settings()) -> DataFrame:
         out = []
         for d in pd.concat(list(frames)).sort_values("date").itertuples():
             if day is not None and d.date <= day:
+                out.append((key[0], d.date, None, None, None, None))
                 continue
             if day is not None and (d.date - day).days > 1:
                 ffmc, dmc, dc, q, wet = s.ffmc, s.dmc, s.dc, 0.0, 0.0
@@ -66,24 +68,44 @@ def moisture_codes(stream: DataFrame, s: Settings = Settings()) -> DataFrame:
     return rows.groupBy("cell").applyInPandasWithState(step, CODES, STATE, "append", "NoTimeout")
 
 
-def upsert(store: str, key: str):
+def late_days(codes: DataFrame) -> DataFrame:
+    """The days of ``moisture_codes`` that came too late for their cell."""
+    return codes.where(F.col("ffmc").isNull()).select("cell", "date")
+
+
+BUCKETS = 64
+
+
+def upsert(store: str, key: str, buckets: int = BUCKETS):
     """A foreachBatch sink that adds new keys to a Parquet store; an empty batch leaves it untouched.
 
-    The store is written beside itself and swapped by name, never read and overwritten in place.
+    The store only grows: each batch adds a folder ``batch=N`` with its new rows, dealt to buckets by a hash of the
+    key, and rows that are there are never moved. A batch that fails leaves a folder without ``_SUCCESS``, which readers
+    (``read_store``) don't see and the repeated batch writes anew; one that is repeated after it succeeded
+    is written anew from the same older folders. So a crash between any two steps loses nothing.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         if batch.isEmpty():
             return
-        spark = batch.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path
-        fs = path(store).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-        new = batch.dropDuplicates([key])
-        if fs.exists(path(store)):
-            old = spark.read.parquet(store)
-            new = old.unionByName(new.join(old.select(key), key, "left_anti"), allowMissingColumns=True)
-        new.write.mode("overwrite").parquet(f"{store}.next")
-        fs.delete(path(store), True)
-        fs.rename(path(f"{store}.next"), path(store))
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        new = batch.dropDuplicates([key]).withColumn("bucket", bucket)
+        old = read_store(batch.sparkSession, store, before=number, with_bucket=True)
+        if old is not None:
+            new = new.join(old.select("bucket", key), ["bucket", key], "left_anti")
+        new.write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch={number}")
 
     return write
+
+
+def read_store(spark: SparkSession, store: str, before: int | None = None, with_bucket: bool = False) -> DataFrame | None:
+    """The rows of all finished batches (with a number below ``before``); None if there are none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(store).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    names = [f.getPath().getName() for f in fs.listStatus(path(store))] if fs.exists(path(store)) else []
+    numbers = sorted(int(n.split("=")[1]) for n in names if n.startswith("batch="))
+    done = [f"{store}/batch={n}" for n in numbers if (before is None or n < before) and fs.exists(path(f"{store}/batch={n}/_SUCCESS"))]
+    if not done:
+        return None
+    out = spark.read.option("basePath", store).option("mergeSchema", "true").parquet(*done).drop("batch")
+    return out if with_bucket else out.drop("bucket")
