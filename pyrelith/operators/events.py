@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pyrelith.functions.scalar import M_PER_DEG
 from pyrelith.operators.components import connected_components
 from pyrelith.operators.geo import space_time_pairs
 from pyrelith.operators.ordering import numbered
@@ -118,3 +119,41 @@ def stable_ids(members: DataFrame, prior: DataFrame, next_number: int, prefix: s
     out = scratch.table(sizes.select("event", "seed").join(claims, "event", "left"), "claims")
     fresh = numbered(out.where("kept is null"), ["seed", "event"]).withColumn("kept", F.format_string(f"{prefix}%04d", F.col("number") + next_number - 1))
     return out.where("kept is not null").unionByName(fresh.drop("number")).select("event", F.col("kept").alias("event_id"), F.coalesce("merged", F.lit("")).alias("merged"))
+
+
+def tune(points: DataFrame, grid: tuple[tuple[float, int], ...], known: list[tuple[str, DataFrame]]) -> DataFrame:
+    """What each setting ``(metres, seconds)`` of st_dbscan with two samples gives: one row ``all`` and one for each known event.
+
+    Pairs are joined once at the widest setting and filtered for each. ``all`` counts events and singletons and
+    describes the largest event (the first of several); a known event (``name`` and its detections' ids) counts the events that it
+    meets and describes the largest of them. Extents are the longer side on the plane of all points.
+    """
+    scratch = Scratch(points.sparkSession, "tuning")
+    widest = max(m for m, _ in grid), max(s for _, s in grid)
+    pairs = scratch.table(space_time_pairs(points, *widest), "pairs")
+    mean = points.agg(F.avg("latitude").alias("mean_lat"))
+    p = points.join(F.broadcast(mean)).select("detection_id", "datetime_utc", "date_wit", (F.col("longitude") * (F.cos(F.radians("mean_lat")) * M_PER_DEG)).alias("x"), (F.col("latitude") * M_PER_DEG).alias("y"))
+    p = scratch.table(p, "points")
+    picked = None
+    for name, ids in known:
+        part = ids.select(F.lit(name).alias("name"), "detection_id")
+        picked = part if picked is None else picked.unionByName(part)
+    hours = (F.unix_micros(F.max("datetime_utc").cast("timestamp")) - F.unix_micros(F.min("datetime_utc").cast("timestamp"))) / 3.6e9
+    extent = F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")) / 1000
+    about = ["hours", "extent_km", "first_day", "last_day"]
+    out = None
+    for k, (metres, seconds) in enumerate(grid):
+        comp = connected_components(pairs.where((F.col("metres") <= metres) & (F.col("seconds") <= seconds)), Scratch(points.sparkSession, f"tuning-{k}"))
+        label = p.join(comp, p["detection_id"] == comp["node"], "left").withColumn("event", F.coalesce("component", "detection_id")).drop("node", "component")
+        g = label.groupBy("event").agg(F.count(F.lit(1)).alias("n"), hours.alias("hours"), extent.alias("extent_km"), F.min("date_wit").alias("first_day"), F.max("date_wit").alias("last_day"), F.min(F.struct("datetime_utc", "detection_id")).alias("start"))
+        g = scratch.table(g.withColumn("place", F.struct(F.col("n"), (-F.col("start.detection_id")).alias("id"))), f"events{k}")
+        label = label.select("detection_id", "event")
+        whole = g.agg(F.sum("n").alias("detections"), F.count(F.lit(1)).alias("events"), F.count_if(F.col("n") == 1).alias("singletons"), F.max(F.struct("place", "n", *about)).alias("t")).withColumn("name", F.lit("all"))
+        parts = [whole]
+        if picked is not None:
+            met = picked.join(label, "detection_id").groupBy("name", "event").agg(F.count(F.lit(1)).alias("c")).join(g, "event")
+            parts.append(met.groupBy("name").agg(F.sum("c").alias("detections"), F.count(F.lit(1)).alias("events"), F.max(F.struct("place", "n", *about)).alias("t")).withColumn("singletons", F.lit(None).cast("long")))
+        for part in parts:
+            row = part.select(F.lit(float(metres)).alias("eps_m"), F.lit(seconds).cast("long").alias("eps_s"), "name", "detections", "events", "singletons", F.col("t.n").alias("largest"), *[F.col(f"t.{c}").alias(c) for c in about])
+            out = row if out is None else out.unionByName(row)
+    return out

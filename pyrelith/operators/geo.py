@@ -155,3 +155,64 @@ def shared_edges(polygons: DataFrame, ring: str = "ring") -> DataFrame:
     e = polygons.select("adm_id", "kabupaten", F.explode(edges(F.col(ring))).alias("e"))
     a, b = F.struct(F.col("e.a.x"), F.col("e.a.y")), F.struct(F.col("e.b.x"), F.col("e.b.y"))
     return e.select("adm_id", "kabupaten", F.least(a, b).alias("p"), F.greatest(a, b).alias("q")).groupBy("p", "q").agg(F.count(F.lit(1)).alias("uses"), F.countDistinct("kabupaten").alias("regencies"))
+
+
+def nearest_pixels(points: DataFrame, by: list[str], segments: tuple[tuple[int, float, float, int, int], ...], step: float) -> DataFrame:
+    """``(*by, segment, pixels, cells)``: the pixels nearest to a group's points over all segments, each once, as ``line:column`` in order.
+
+    A segment is ``(number, lon0, lat0, columns, lines)`` of a regular grid; its nearest pixel is found by rounding, and the nearest of
+    them by squared degrees, the first segment of several. The work is points x segments, never points x pixels.
+    """
+
+    def best(v: str, origin: float, n: int) -> Column:
+        return F.least(F.greatest(F.ceil((F.col(v) - origin) / step - 0.5), F.lit(0)), F.lit(n - 1)).cast("int")
+
+    def candidate(number: int, lon0: float, lat0: float, nx: int, ny: int) -> Column:
+        px, py = best("longitude", lon0, nx), best("latitude", lat0, ny)
+        d2 = F.pow(F.lit(lon0) + px * step - F.col("longitude"), 2) + F.pow(F.lit(lat0) + py * step - F.col("latitude"), 2)
+        return F.struct(d2.alias("d2"), F.lit(number).alias("segment"), py.alias("py"), px.alias("px"))
+
+    p = points.select(*by, "longitude", "latitude").distinct().withColumn("c", F.array_min(F.array(*[candidate(*s) for s in segments])))
+    cells = p.select(*by, "c.segment", "c.py", "c.px").distinct()
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("py", "px"))), lambda x: F.concat_ws(":", x["py"].cast("string"), x["px"].cast("string"))), " ")
+    return cells.groupBy(*by, "segment").agg(F.count(F.lit(1)).alias("pixels"), listed.alias("cells"))
+
+
+def painted_overlap(shapes: DataFrame, key: str, step: tuple[float, float], size: tuple[int, int], tolerance: float) -> DataFrame:
+    """Rings ``one`` and ``two`` painted on the grid from ``(x0, y0)`` by cell centres: cells of each and of both, their IoU, the plain
+    ratio of their areas, and whether the IoU lies above or below it by more than ``tolerance``. A shape without cells gives nulls."""
+    i, j = (F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in size)
+    g = shapes.withColumn("i", i).withColumn("j", j).withColumn("x", F.col("x0") + (F.col("i") + 0.5) * step[0]).withColumn("y", F.col("y0") + (F.col("j") + 0.5) * step[1])
+    m = g.select(key, covers(F.col("one"), F.col("x"), F.col("y")).alias("p"), covers(F.col("two"), F.col("x"), F.col("y")).alias("q"))
+    c = m.groupBy(key).agg(F.count_if("p").alias("a"), F.count_if("q").alias("b"), F.count_if(F.col("p") & F.col("q")).alias("shared"))
+    iou, plain = F.try_divide("shared", F.col("a") + F.col("b") - F.col("shared")), F.try_divide("a", "b")
+    verdict = F.when(iou - plain > tolerance, "above").when(iou - plain < -tolerance, "below").when(iou.isNotNull() & plain.isNotNull(), "ties")
+    return c.select(key, "a", "b", "shared", F.round(iou, 8).alias("iou"), F.round(plain, 8).alias("plain"), verdict.alias("verdict"))
+
+
+def edge_rows(polygons: DataFrame, ring: str = "ring") -> DataFrame:
+    """Undirected edges of all rings with the polygons' columns."""
+    e = polygons.withColumn("__e", F.explode(edges(F.col(ring)))).drop(ring)
+    a, b = F.struct(F.col("__e.a.x").alias("x"), F.col("__e.a.y").alias("y")), F.struct(F.col("__e.b.x").alias("x"), F.col("__e.b.y").alias("y"))
+    return e.withColumn("p", F.least(a, b)).withColumn("q", F.greatest(a, b)).drop("__e")
+
+
+def boundary_levels(polygons: DataFrame, levels: list[str], ring: str = "ring") -> DataFrame:
+    """``(p, q, uses, level)``: each edge once, at the highest of ``levels`` (highest first) that it bounds.
+
+    An edge of one polygon bounds the highest level; one of several bounds the first level whose names differ there, so a lower level's
+    lines are what is left of them once those above are subtracted. Edges that equal ones of the same name everywhere are the lowest level's.
+    """
+    g = edge_rows(polygons, ring).groupBy("p", "q").agg(F.count(F.lit(1)).alias("uses"), *[(F.min(c) != F.max(c)).alias(f"__{c}") for c in levels])
+    level = F.when((F.col("uses") == 1) | F.col(f"__{levels[0]}"), levels[0])
+    for c in levels[1:-1]:
+        level = level.when(F.col(f"__{c}"), c)
+    return g.select("p", "q", "uses", level.otherwise(levels[-1]).alias("level"))
+
+
+def dissolved(polygons: DataFrame, key: str, ring: str = "ring") -> DataFrame:
+    """``(key, area, outline)``: polygons of one name as one: the sum of their areas, as they don't overlap, and the length of the edges that only one of them has."""
+    area = polygons.groupBy(key).agg(F.sum(ring_area(F.col(ring))).alias("area"))
+    e = edge_rows(polygons, ring).groupBy(key, "p", "q").agg(F.count(F.lit(1)).alias("uses")).where("uses = 1")
+    outline = e.groupBy(key).agg(F.sum(F.hypot(F.col("q.x") - F.col("p.x"), F.col("q.y") - F.col("p.y"))).alias("outline"))
+    return area.join(outline, key, "left")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pyrelith.functions.scalar import flat_metres
+
 
 def cache_name(source: str, start: str, days: str) -> Column:
     """A4: one file a source, first day and length."""
@@ -116,3 +118,34 @@ def read_detections(spark, folder: str) -> DataFrame:
     raw = normalise(raw, {"latitude": "double", "longitude": "double", "frp": "double"})
     at = acquisition_time("acq_date", "acq_time")
     return raw.withColumns({"datetime_utc": at, "detection_id": stable_id("satellite", "instrument", "acq_date", "acq_time", "latitude", "longitude"), "usable": F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & at.isNotNull()})
+
+
+def known_event(df: DataFrame, since: str | None = None, until: str | None = None, circle: tuple[float, float, float] | None = None) -> DataFrame:
+    """Rows of a known event: local days from ``since`` to ``until`` (both included), within a circle ``(lat, lon, metres)``; what is None doesn't limit."""
+    cond = F.lit(True)
+    if since:
+        cond = cond & (F.col("date_wit") >= F.lit(since).cast("date"))
+    if until:
+        cond = cond & (F.col("date_wit") <= F.lit(until).cast("date"))
+    if circle:
+        lat, lon, metres = circle
+        cond = cond & (flat_metres(F.lit(lat), F.lit(lon), F.col("latitude"), F.col("longitude")) <= metres)
+    return df.where(cond)
+
+
+def escaped(text: Column) -> Column:
+    """Text as XML holds it."""
+    out = F.replace(text, F.lit("&"), F.lit("&amp;"))
+    for raw, name in (("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        out = F.replace(out, F.lit(raw), F.lit(name))
+    return out
+
+
+def gpx_waypoint(lat: Column, lon: Column, name: Column, about: Column) -> Column:
+    """One waypoint of a GPX file."""
+    return F.concat(F.format_string('<wpt lat="%.6f" lon="%.6f"><name>', lat, lon), escaped(name), F.lit("</name><desc>"), escaped(about), F.lit("</desc></wpt>"))
+
+
+def map_link(lat: Column, lon: Column) -> Column:
+    """A link that searches a map for a place."""
+    return F.format_string("https://www.google.com/maps/search/?api=1&query=%.6f,%.6f", lat, lon)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pyrelith.functions.scalar import scores
 from pyrelith.operators.ordering import numbered
+from pyrelith.runtime import Scratch
 
 FEATURES = ("b2", "b3", "b4", "b6", "b7", "b8a", "b11", "b12")
 
@@ -36,24 +37,67 @@ def threshold_rule(df: DataFrame, event: str, value: str, reference: DataFrame)
     return df.join(reference, event, "left").withColumn("predicted", (F.col(value) > F.col("threshold")).cast("int"))
 
 
-def leave_one_out(df: DataFrame, event: str, label: str, features: tuple[str, ...], model) -> DataFrame:
-    """Each event is predicted by a model that was fitted on the others. Events are few (they are listed on the driver), rows are not."""
+def classifiers(seed: int = 42, trees: int = 20, rounds: int = 10) -> dict:
+    """Boosted trees, a forest and a tree of depth 3, all with one seed."""
+    from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
+
+    return {"boosted trees": GBTClassifier(seed=seed, maxIter=rounds, maxDepth=4), "forest": RandomForestClassifier(seed=seed, numTrees=trees), "tree of depth 3": DecisionTreeClassifier(maxDepth=3, seed=seed)}
+
+
+def folds(df: DataFrame, event: str, label: str, features: tuple[str, ...], models: dict):
+    """For each event and model ``(event, name, fitted on the other events)``. Events that are judged are few and drawn by hand: they are listed on the driver."""
     from pyspark.ml.feature import VectorAssembler
 
-    data = VectorAssembler(inputCols=list(features), outputCol="features").transform(df).withColumn("label", F.col(label).cast("double"))
-    out = None
+    data = VectorAssembler(inputCols=list(features), outputCol="features").transform(df).select(event, "features", F.col(label).cast("double").alias("label"))
+    data = Scratch(df.sparkSession, "folds").table(data, "rows")
     for (e,) in data.select(event).distinct().orderBy(event).collect():
-        fitted = model.fit(data.where(F.col(event) != e))
-        part = fitted.transform(data.where(F.col(event) == e)).select(*df.columns, F.col("prediction").cast("int").alias("predicted"))
+        train = data.where(F.col(event) != e)
+        for name, model in models.items():
+            yield e, name, model.fit(train)
+
+
+def leave_one_out(df: DataFrame, event: str, label: str, features: tuple[str, ...], models: dict) -> DataFrame:
+    """The rows of ``df`` once for each model, with ``model`` and ``predicted``, each by a model that never saw the row's event."""
+    from pyspark.ml.feature import VectorAssembler
+
+    data = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
+    out = None
+    for e, name, fitted in folds(df, event, label, features, models):
+        part = fitted.transform(data.where(F.col(event) == e)).select(*df.columns, F.lit(name).alias("model"), F.col("prediction").cast("int").alias("predicted"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def shuffled(df: DataFrame, col: str, seed: int, key: str) -> DataFrame:
-    """One column dealt anew among the rows: ranks by two different hashes are joined."""
-    a = numbered(df.withColumn("__h", F.xxhash64(key, F.lit(seed))), ["__h", key], "__r").drop("__h")
-    b = numbered(df.select(F.col(col).alias("__v"), key, F.xxhash64(key, F.lit(seed + 1)).alias("__h")), ["__h", key], "__r").select("__v", "__r")
-    return a.drop(col).join(b, "__r").withColumnRenamed("__v", col).drop("__r")
+def dealt_anew(df: DataFrame, event: str, features: tuple[str, ...], key: str, seed: int, repeats: int) -> DataFrame:
+    """Each row once for each repeat and feature, with that feature's value taken from another row of its event.
+
+    Two numberings by different hashes, both by event and repeat first, are joined: that deals all rows of an event anew in each repeat, and
+    no task sees an event whole. ``feature`` is null for the rows as they are, once for each repeat.
+    """
+    r = df.select(event, key, "label", *features).withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    a = numbered(r.withColumn("__h", F.xxhash64(key, "repeat", F.lit(seed))), [event, "repeat", "__h", key], "__r").drop("__h")
+    b = numbered(r.select(event, "repeat", key, F.struct(*features).alias("__o"), F.xxhash64(key, "repeat", F.lit(seed + 1)).alias("__h")), [event, "repeat", "__h", key], "__r").select("__r", "__o")
+    which = F.explode(F.array(F.lit(None).cast("string"), *[F.lit(f) for f in features]))
+    j = a.join(b, "__r").withColumn("feature", which)
+    return j.select(event, key, "label", "repeat", "feature", *[F.when(F.col("feature") == f, F.col("__o")[f]).otherwise(F.col(f)).alias(f) for f in features])
+
+
+def permutation_importance(df: DataFrame, event: str, label: str, features: tuple[str, ...], key: str, models: dict, seed: int = 42, repeats: int = 10) -> DataFrame:
+    """``(event, model, feature, importance)``: the mean loss of balanced accuracy on the event that was held out, over the repeats."""
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = dealt_anew(df.withColumn("label", F.col(label).cast("int")), event, features, key, seed, repeats)
+    rows = Scratch(df.sparkSession, "importance").table(VectorAssembler(inputCols=list(features), outputCol="features").transform(rows).select(event, "label", "repeat", "feature", "features"), "rows")
+    out = None
+    for e, name, fitted in folds(df, event, label, features, models):
+        p = fitted.transform(rows.where(F.col(event) == e)).select("label", "repeat", "feature", F.col("prediction").cast("int").alias("p"))
+        half = [F.try_divide(F.count_if((F.col("label") == v) & (F.col("p") == v)), F.count_if(F.col("label") == v)) for v in (0, 1)]
+        s = p.groupBy("repeat", "feature").agg(((half[0] + half[1]) / 2).alias("score"))
+        whole = s.where("feature is null").select("repeat", F.col("score").alias("whole"))
+        part = s.where("feature is not null").join(whole, "repeat").groupBy("feature").agg(F.avg(F.col("whole") - F.col("score")).alias("importance"))
+        part = part.select(F.lit(e).alias(event), F.lit(name).alias("model"), "feature", "importance")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def quality_checks(df: DataFrame) -> DataFrame:

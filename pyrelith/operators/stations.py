@@ -64,3 +64,18 @@ def station_records(events: DataFrame, obs: DataFrame, lag_s: int, half_width: f
 def station_class(min_coverage: float, max_km):
     """One class, in this order: unobserved, beyond range, corroborated, smoke from elsewhere, no smoke."""
     return F.when(F.col("coverage") < min_coverage, "unobserved").when(F.col("km") > max_km, "beyond range").when(F.col("n_fu_from") >= 1, "corroborated").when(F.col("n_fu") >= 1, "smoke from elsewhere").otherwise("no smoke")
+
+
+def baseline(obs: DataFrame, offset_hours: int) -> DataFrame:
+    """``(level, period, n, fu_days, hz_days, fu)`` by local year, by local month, and by each of the 24 local hours, those without reports too."""
+    at = F.timestamp_seconds(F.col("at") + offset_hours * 3600)
+    o = obs.select(at.alias("ts"), "fu", "hz").withColumn("day", F.to_date("ts"))
+    o = o.withColumn("year", F.date_format("ts", "yyyy")).withColumn("month", F.date_format("ts", "yyyy-MM")).withColumn("hour", F.date_format("ts", "HH"))
+    sets = [[F.col(c)] for c in ("year", "month", "hour")]
+    g = o.groupingSets(sets, *[F.col(c) for c in ("year", "month", "hour")]).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct(F.when(F.col("fu"), F.col("day"))).alias("fu_days"), F.countDistinct(F.when(F.col("hz"), F.col("day"))).alias("hz_days"), F.count_if("fu").alias("fu"))
+    level = F.when(F.col("year").isNotNull(), "year").when(F.col("month").isNotNull(), "month").otherwise("hour")
+    found = g.select(level.alias("level"), F.coalesce("year", "month", "hour").alias("period"), "n", "fu_days", "hz_days", "fu")
+    hours = obs.sparkSession.range(24).select(F.lit("hour").alias("level"), F.lpad(F.col("id").cast("string"), 2, "0").alias("period"))
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "fu_days", "hz_days", "fu")]
+    return found.where("level <> 'hour'").unionByName(hours.join(found, ["level", "period"], "left").select("level", "period", *zero))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyrelith.plans.climate import FWI_SERIES
 from pyrelith.plans.registry import ORACLES, QUERIES
 from pyrelith.runtime import Scratch
-from pyrelith.sources.surrogate import oracle
+from pyrelith.sources.surrogate import load, oracle
 from pyrelith.streaming import operators as S
 
 
@@ -52,7 +53,18 @@ def l6_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.read_store(spark, scratch.path("store")).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-for f in (l1_stream_closed_days, l2_stream_once, l5_stream_sessions, l6_stream_upsert):
+def l7_stream_moisture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moisture codes of every cell from a stream of its days, in order of time."""
+    scratch = Scratch(spark, "weather-landing")
+    rows = scratch.table(load(spark, sf_dir, "v_wx")[0].repartitionByRange(4, "date").sortWithinPartitions("date"), "days")
+    stream = spark.readStream.schema(rows.schema).parquet(scratch.path("days"))
+    codes = drained(S.moisture_codes(stream), "stream-moisture")
+    return codes.select("cell", "date", *[F.round(c, 4).alias(c) for c in ("ffmc", "dmc", "dc", "kbdi")])
+
+
+ORACLES["l7_stream_moisture"] = oracle(FWI_SERIES[: FWI_SERIES.index("  i AS (")].rstrip().rstrip(",") + " SELECT cell, date, round(f0, 4) AS ffmc, round(d0, 4) AS dmc, round(c0, 4) AS dc, round(q0, 4) AS kbdi FROM c", "v_wx")
+
+for f in (l1_stream_closed_days, l2_stream_once, l5_stream_sessions, l6_stream_upsert, l7_stream_moisture):
     QUERIES[f.__name__] = f
 
 ORACLES["l1_stream_closed_days"] = oracle("SELECT date_wit AS day, count(*) AS n FROM v_det GROUP BY date_wit HAVING CAST(date_wit AS TIMESTAMP) + INTERVAL 15 HOUR <= (SELECT max(datetime_utc) FROM v_det) - INTERVAL 1 DAY", "v_det")

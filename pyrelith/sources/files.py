@@ -104,8 +104,21 @@ def read_segment(raw: bytes) -> tuple[dict, np.ndarray]:
     return header, np.frombuffer(raw, dtype="<u2", count=lines * cols, offset=header["start"]).reshape(lines, cols)
 
 
-def segments(spark: SparkSession, folder: str) -> DataFrame:
-    """Pixels of all segment files of a folder; invalid counts are null. A task holds one segment."""
+def segment_bytes(grid: np.ndarray, band: int, segment: int = 1, first_line: int = 1, gain: float = -0.0037, offset: float = 15.2) -> bytes:
+    """A segment file of the same layout: a header of 1,500 bytes and the counts (65535 is an error, 65534 lies outside)."""
+    head = bytearray(1500)
+    struct.pack_into("<I", head, 70, len(head))
+    struct.pack_into("<HH", head, 287, grid.shape[1], grid.shape[0])
+    struct.pack_into("<H", head, 601, band)
+    struct.pack_into("<d", head, 603, 3.9)
+    struct.pack_into("<HHddddd", head, 613, 65535, 65534, gain, offset, 0.0, 1.0, 0.0)
+    head[1008] = segment
+    struct.pack_into("<H", head, 1009, first_line)
+    return bytes(head) + grid.astype("<u2").tobytes()
+
+
+def decode_segments(blobs: DataFrame) -> DataFrame:
+    """Pixels of segments ``(path, content)``; invalid counts are null. A task holds one segment."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -117,4 +130,9 @@ def segments(spark: SparkSession, folder: str) -> DataFrame:
                 keys = {k: h[k] for k in ("band", "segment", "first_line", "gain", "offset", "c0", "c1", "c2", "wavelength")}
                 yield pd.DataFrame({"path": path, **keys, "line": line.ravel() + h["first_line"], "col": col.ravel() + 1, "count": count})
 
-    return spark.read.format("binaryFile").load(folder).select("path", "content").mapInPandas(run, SEGMENT)
+    return blobs.select("path", "content").mapInPandas(run, SEGMENT)
+
+
+def segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Pixels of all segment files of a folder."""
+    return decode_segments(spark.read.format("binaryFile").load(folder))

@@ -61,3 +61,19 @@ def test_upsert(spark, folder, tmp_path):
     w(d.where("event_id < 80").withColumn("value", F.lit(-1.0)), 2)
     got = spark.read.parquet(store)
     assert got.count() == 80 and got.where("value = -1").count() == 30
+
+
+def test_upsert_survives_a_crash_at_any_step(spark, folder, tmp_path):
+    store = str(tmp_path / "store")
+    w = S.upsert(store, "event_id")
+    d = spark.read.parquet(folder)
+    w(d.where("event_id < 40"), 0)
+    # a batch that was cut off: rows, but no mark of success
+    d.where("event_id between 40 and 59").withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{store}/batch=1")
+    (tmp_path / "store" / "batch=1" / "_SUCCESS").unlink()
+    assert S.read_store(spark, store).count() == 40
+    w(d.where("event_id < 80"), 1)  # the batch comes again
+    w(d.where("event_id < 80"), 1)  # and once more, after it was written
+    w(d.where("event_id < 90"), 2)
+    got = S.read_store(spark, store)
+    assert got.count() == 90 and got.select("event_id").distinct().count() == 90
