@@ -20,8 +20,10 @@ BASE = 0x9E3779B97F4A7C15
 REMEMBERED = 200_000
 #: Texts whose sets are held at once.
 PIECE = 256
-#: Coordinates of the signature that pairs across components must agree in as well.
+#: Coordinates of the finer signature that pairs across components must agree in as well.
 FINE = 512
+#: Its values are cut to a byte for short lists, and to two where it is posted itself.
+WIDE_BITS = 16
 SIGS = "doc_id long, n_shingles long, digest binary, sig array<int>"
 
 
@@ -86,13 +88,23 @@ def fine_matches_needed(least: float) -> int:
     return matches_needed(FINE, least + (1 - least) / 256)
 
 
-def fine_sign(s: np.ndarray) -> bytes:
-    """A finer signature of one set that isn't empty: ``FINE`` coordinates, a byte each."""
-    out = np.empty(FINE, dtype=np.uint8)
+def fine_values(s: np.ndarray) -> np.ndarray:
+    """The finer signature of one set that isn't empty: the least product of each of ``FINE`` coordinates."""
+    out = np.empty(FINE, dtype=np.uint64)
     c = coefficients(FINE)
     for k in range(0, FINE, 64):
-        out[k : k + 64] = ((s[None, :] * c[k : k + 64, None]).min(axis=1) >> np.uint64(24)).astype(np.uint8)
-    return out.tobytes()
+        out[k : k + 64] = (s[None, :] * c[k : k + 64, None]).min(axis=1)
+    return out
+
+
+def fine_sign(s: np.ndarray) -> bytes:
+    """A byte of each value."""
+    return (fine_values(s) >> np.uint64(24)).astype(np.uint8).tobytes()
+
+
+def wide_sign(s: np.ndarray) -> bytes:
+    """Two bytes of each value."""
+    return (fine_values(s) >> np.uint64(32)).astype("<u2").tobytes()
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -145,7 +157,7 @@ def small(scratch: Scratch, name: str, table: DataFrame, most_bytes: int) -> Dat
     return F.broadcast(table) if scratch.bytes(name) <= most_bytes else table
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = 5, coords: int = 32, broadcast_bytes: int = 16 << 20, block_rows: int = 1500) -> DataFrame:
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = 5, coords: int = 32, broadcast_bytes: int = 16 << 20, block_rows: int = 1500, compared=None) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row a row of ``docs``.
 
     Texts with equal sets are one class, named by its smallest id. A class is posted under each
@@ -156,10 +168,11 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Links are then looked for in two passes. Each posted class is held against the leader of its lists,
     the one whose values are the most common: of a group of copies, the text they come from. Confirmed links are contracted to
     components. Of each list that still has several components, pairs across components whose signatures
-    agree in t coordinates, counted whole, are confirmed too; lists are dealt in blocks of ``block_rows``, so no task gets
-    a long one. A pair inside a component isn't made: it can't change the result. Sets move only for
+    agree in t coordinates, counted whole, are confirmed too. A list of more than ``block_rows`` classes isn't
+    paired: its classes are posted again under a finer signature, whose long lists are skipped as a merge of lists
+    skips them (``skipped_pairs``). A pair inside a component isn't made: it can't change the result. Sets move only for
     classes that are posted. Every link between different texts that the signatures find is thus kept; t is so low that they miss
-    about two pairs in 100,000 at the very threshold, fewer above it.
+    about two pairs in 100,000 at the very threshold, fewer above it. ``compared``, an accumulator, counts compared pairs of signatures.
 
     Null and wordless texts have no shingles and are alone. Rows that share an id are one document with
     several texts; a null id is linked with nothing and has a null component. Repeated rows are one
@@ -188,14 +201,14 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if star.isEmpty():
         label = spark.createDataFrame([], "node long, component long")
     else:
-        label = linked_components(spark, scratch, texts, classes, posted, posts, star, percent, width, least, broadcast_bytes, block_rows)
+        label = linked_components(spark, scratch, texts, classes, posted, posts, star, percent, width, least, broadcast_bytes, block_rows, compared)
     members = classes.join(label, classes["rep"] == label["node"], "left").select("digest", "n_shingles", F.coalesce("component", "rep").alias("component"))
     out = sigs.join(members, ["digest", "n_shingles"], "left")
     out = out.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def linked_components(spark, scratch: Scratch, texts: DataFrame, classes: DataFrame, posted: DataFrame, posts: DataFrame, star: DataFrame, percent: int, width: int, least: int, broadcast_bytes: int, block_rows: int) -> DataFrame:
+def linked_components(spark, scratch: Scratch, texts: DataFrame, classes: DataFrame, posted: DataFrame, posts: DataFrame, star: DataFrame, percent: int, width: int, least: int, broadcast_bytes: int, block_rows: int, compared=None) -> DataFrame:
     """``(node, component)`` of the classes that have a confirmed link: to leaders first, then across components."""
     # sets of the classes that may have a link, those that nobody chose as leader too: one pass over the texts they stand for
     wanted = star.select(F.col("a").alias("rep"), F.col("b").alias("lead"), F.lit(False).alias("leads")).unionByName(star.where("b is not null").select(F.col("b").alias("rep"), F.lit(None).cast("long").alias("lead"), F.lit(True).alias("leads")).distinct())
@@ -219,10 +232,14 @@ def linked_components(spark, scratch: Scratch, texts: DataFrame, classes: DataFr
 
     # lists that still hold several components
     named = posts.join(label, posts["rep"] == label["node"], "left").select("token", "rep", F.coalesce("component", "rep").alias("comp"))
-    mixed_lists = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi").select("token", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))
-    open_posts = scratch.table(named.join(mixed_lists, "token").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "open")
-    marks = classes.join(posted, "rep").join(sets.select(F.col("id").alias("rep"), "fine"), "rep").select("rep", "sig", "fine", "tokens")
-    cross = cross_pairs(open_posts, marks, least, fine_matches_needed(percent / 100))
+    mixed_lists = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi").select("token", "n")
+    open_posts = scratch.table(named.join(mixed_lists, "token"), "open")
+    marks = classes.join(posted, "rep").join(sets.select(F.col("id").alias("rep"), "fine"), "rep").select("rep", "sig", "fine")
+    short = open_posts.where(F.col("n") <= block_rows).withColumn("blocks", F.lit(1)).withColumn("block", F.lit(0))
+    cross = cross_pairs(short, marks, {"sig": least, "fine": fine_matches_needed(percent / 100)}, compared)
+    busy = scratch.table(open_posts.where(F.col("n") > block_rows).select("rep", "comp").distinct(), "busy")
+    if not busy.isEmpty():
+        cross = cross.unionByName(skipped_pairs(scratch, busy.join(sets.select(F.col("id").alias("rep"), "set"), "rep"), matches_needed(FINE, percent / 100), block_rows, compared)).distinct()
     cross = scratch.table(cross, "cross")
     if not cross.isEmpty():
         ids = scratch.table(cross.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
@@ -235,42 +252,96 @@ def linked_components(spark, scratch: Scratch, texts: DataFrame, classes: DataFr
         over = scratch.table(connected_components(more, Scratch(spark, "near-dedup-2")).withColumnRenamed("component", "top"), "components2")
         old = label.join(over.withColumnRenamed("node", "component"), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
         label = scratch.table(old.unionByName(over.join(label, over["node"] == label["node"], "left_anti").select("node", F.col("top").alias("component"))), "components")
+    scratch.drop("star", "wanted", "sets", "links1", "links2", "open", "busy", "wide", "merged", "cross", "ids", "posted", "edges0")
     return label
 
 
-def cross_pairs(posts: DataFrame, marks: DataFrame, least: int, fine_least: int) -> DataFrame:
-    """Pairs ``a < b`` of one list and different components whose signatures agree in enough coordinates.
+def skipped_pairs(scratch: Scratch, classes: DataFrame, least: int, block_rows: int, compared=None) -> DataFrame:
+    """Pairs ``a < b`` of ``classes(rep, comp, set)`` in different components whose finer signatures agree in ``least`` coordinates.
 
-    The signature that was posted is compared first, then the finer one. A pair is made only in the list
-    of the smallest token that both are posted under. A list of n blocks becomes n (n + 1) / 2 groups of two
-    blocks at most, so a task holds two blocks and the pairs that pass.
+    The classes are posted under the coordinates of the finer signature. Lists of more than ``block_rows`` are long and are skipped:
+    of a class that is in l long lists, at least ``least - l`` of what it shares with a partner are elsewhere, so
+    its rarest other values find every partner, as a prefix does. What remains are classes that are in
+    ``least`` long lists or more, so alike to very many others without a link; only these are compared with one another,
+    list by list in blocks of ``block_rows``.
+    """
+
+    def wide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"rep": b["rep"], "comp": b["comp"], "wide": [wide_sign(np.frombuffer(x, dtype=np.uint64)) for x in b["set"]]})
+
+    signed = scratch.table(classes.select("rep", "comp", "set").mapInPandas(wide, "rep long, comp long, wide binary"), "wide")
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        base = np.arange(FINE, dtype=np.int64) << WIDE_BITS
+        for b in batches:
+            for lo in range(0, len(b), 200):
+                some = b.iloc[lo : lo + 200]
+                values = np.stack([np.frombuffer(x, dtype="<u2") for x in some["wide"]]).astype(np.int64)
+                yield pd.DataFrame({"rep": np.repeat(some["rep"].to_numpy(), FINE), "token": (values + base).ravel()})
+
+    tokens = signed.select("rep", "wide").mapInPandas(spread, "rep long, token long")
+    uses = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1")
+    long = F.count_if(F.col("uses") > block_rows)
+    short = F.sort_array(F.collect_list(F.when(F.col("uses") <= block_rows, F.struct("uses", "token"))))
+    hot = F.sort_array(F.collect_list(F.when(F.col("uses") > block_rows, F.struct("uses", "token"))))
+    merged = scratch.table(tokens.join(uses, "token").groupBy("rep").agg(long.alias("l"), short.alias("short"), hot.alias("hot")), "merged")
+    # a value that only one class has fills a place of the prefix without being posted
+    alone = F.lit(FINE) - F.col("l") - F.size("short")
+    prefix = F.when(F.col("l") < least, F.greatest(F.lit(FINE - least + 1) - alone, F.lit(0))).otherwise(F.size("short"))
+    listed = merged.withColumn("keep", F.slice("short", F.lit(1), prefix.cast("int"))["token"]).select("rep", F.explode("keep").alias("token"))
+    posts = listed.join(signed.select("rep", "comp"), "rep").withColumn("blocks", F.lit(1)).withColumn("block", F.lit(0))
+    out = cross_pairs(several(posts), signed.select("rep", "wide"), {"wide": least}, compared)
+    crowd = merged.where(F.col("l") >= least)
+    first = F.greatest(F.lit(FINE - least + 1) - alone - F.size("short"), F.lit(0)).cast("int")
+    crowd = crowd.withColumn("keep", F.slice("hot", F.lit(1), first)["token"]).select("rep", F.explode("keep").alias("token")).join(signed.select("rep", "comp"), "rep")
+    sizes = crowd.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
+    crowd = several(crowd).join(sizes, "token").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    return out.unionByName(cross_pairs(crowd, signed.select("rep", "wide"), {"wide": least}, compared))
+
+
+def several(posts: DataFrame) -> DataFrame:
+    """The posts of lists that hold several components."""
+    mixed_lists = posts.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
+    return posts.join(mixed_lists, "token", "left_semi")
+
+
+#: How the values of each signature are kept.
+KINDS = {"sig": np.dtype("<i4"), "fine": np.dtype("u1"), "wide": np.dtype("<u2")}
+
+
+def cross_pairs(posts: DataFrame, marks: DataFrame, checks: dict[str, int], compared=None) -> DataFrame:
+    """Pairs ``a < b`` of one list and different components whose signatures collide in enough coordinates; a pair may come from several lists.
+
+    ``checks`` has the signatures in the order in which they are compared, and the collisions that each needs. A list of one block
+    is one group; one of n blocks becomes n (n + 1) / 2 groups of two blocks at most, so a task holds two blocks and the pairs that pass.
     """
-    sized = posts.join(marks, "rep")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))
-    dealt = sized.withColumn("cell", F.explode(pairs)).select("token", "cell", "block", "rep", "comp", "sig", "fine", "tokens")
+    dealt = posts.select("token", "rep", "comp", "block", "blocks").join(marks, "rep").withColumn("cell", F.explode(pairs))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in whole_groups(batches, ["token", "i", "j"]):
-            sig = np.stack(g["sig"].to_numpy())
-            fine = np.stack([np.frombuffer(f, dtype=np.uint8) for f in g["fine"]])
+            signs = [(np.stack([np.frombuffer(x, dtype=KINDS[c]) if isinstance(x, bytes) else x for x in g[c]]), least) for c, least in checks.items()]
             rep, comp, block, token, i, j = (g[c].to_numpy() for c in ("rep", "comp", "block", "token", "i", "j"))
-            tokens = [frozenset(t.tolist()) for t in g["tokens"]]
             cuts = np.flatnonzero((np.diff(token) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
-            out: list[tuple] = []
+            out: set[tuple] = set()
+            n = 0
             for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(g)], strict=True):
                 rows = np.arange(lo, hi)
                 one, two = rows[block[lo:hi] == i[lo]], rows[block[lo:hi] == j[lo]]
                 for k in one.tolist():
                     rest = two[two > k] if i[lo] == j[lo] else two
                     rest = rest[comp[rest] != comp[k]]
-                    if rest.size:
-                        rest = rest[(sig[rest] == sig[k]).sum(axis=1) >= least]
-                    if rest.size:
-                        rest = rest[(fine[rest] == fine[k]).sum(axis=1) >= fine_least]
-                        out += [(min(rep[x], rep[k]), max(rep[x], rep[k])) for x in rest.tolist() if min(tokens[x] & tokens[k]) == token[lo]]
-            yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-    together = dealt.select("token", "cell.i", "cell.j", "block", "rep", "comp", "sig", "fine", "tokens").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "rep")
+                    n += rest.size
+                    for sign, least in signs:
+                        if rest.size:
+                            rest = rest[(sign[rest] == sign[k]).sum(axis=1) >= least]
+                    out.update((min(rep[x], rep[k]), max(rep[x], rep[k])) for x in rest.tolist())
+            if compared is not None:
+                compared.add(int(n))
+            yield pd.DataFrame(list(out), columns=["a", "b"]).astype("int64")
+
+    together = dealt.select("token", "cell.i", "cell.j", "block", "rep", "comp", *checks).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "rep")
     return together.mapInPandas(run, "a long, b long").where("a <> b").distinct()
 
 
@@ -298,3 +369,16 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     scratch = Scratch(docs.sparkSession, "near-drop")
     gone = scratch.table(near_components(docs, id_col, text_col, percent, **options).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
     return docs.join(small(scratch, "gone", gone, 16 << 20), docs[id_col] == F.col("__gone"), "left_anti")
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents WHERE text IS NOT NULL),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+c AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT e.b, c.root FROM c JOIN e ON e.a = c.node AND e.b > c.root),
+t AS (SELECT node, min(root) AS root FROM c GROUP BY node)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, root AS component_id, doc_id = root AS kept FROM documents LEFT JOIN n USING (doc_id) JOIN t ON node = doc_id
+"""

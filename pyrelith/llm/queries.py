@@ -55,4 +55,4 @@ def op10_exact_topk(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_toxicity, op3_token_output, op4_exact_dedup, op5_bpe, op6_mixing, op7_minhash_dedup, op8_language_id, op9_chat_preference, op10_exact_topk)}
-ORACLE_SQL = {"op4_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing.ORACLE, "op9_chat_preference": chat_format.ORACLE, "op10_exact_topk": topk_search.ORACLE}
+ORACLE_SQL = {"op4_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing.ORACLE, "op7_minhash_dedup": near_dedup.ORACLE, "op9_chat_preference": chat_format.ORACLE, "op10_exact_topk": topk_search.ORACLE}

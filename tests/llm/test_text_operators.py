@@ -285,6 +285,30 @@ def test_near_dedup_odd_rows(spark):
     assert near_dedup.near_components(d.limit(0)).count() == 0
 
 
+def test_near_dedup_compares_linearly_around_a_common_passage(spark):
+    """A passage of 140 words in every text of 190: no two are linked by it, but near copies among them are found."""
+    counts = []
+    for n in (400, 800):
+        rng = random.Random(n)
+
+        def words(k):
+            return ["".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(k)]
+
+        passage = words(140)
+        texts = {i: words(25) + passage + words(25) for i in range(n)}
+        for i in range(0, n, 10):
+            w = list(texts[i])
+            w[3] = "changed"
+            texts[n + i] = w
+        texts = {i: " ".join(w) for i, w in texts.items()}
+        compared = spark.sparkContext.accumulator(0)
+        d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        got = {r.doc_id: r.component_id for r in near_dedup.near_components(d, block_rows=40, compared=compared).collect()}
+        assert got == {i: i - n if i >= n else i for i in texts}
+        counts.append(compared.value)
+    assert counts[1] <= 2.5 * counts[0] + 200 and counts[1] < len(texts) * 40
+
+
 def test_near_dedup_class_that_leads_but_is_nobodys_leader(spark):
     """x leads the lists it shares with its near copy y, and y chose z, heavier and no copy, with which it shares a rare passage."""
     rng = random.Random(11)
