@@ -175,16 +175,68 @@ def test_toxicity_learns_hidden_words(spark):
     assert toxicity.detect(d.limit(0), lab).count() == 0
 
 
-def test_label_model_discounts_copies():
+def test_label_model_against_brute_force():
+    """EM by sums equals EM that writes each text's likelihood out, voter by voter."""
+    rng = np.random.default_rng(3)
+    y = rng.random(500) < 0.3
+    fired = (rng.random((500, 4)) < np.where(y[:, None], [0.7, 0.5, 0.4, 0.1], [0.05, 0.1, 0.02, 0.8])).astype(float)
+    fired[:, 2] = np.where(rng.random(500) < 0.8, fired[:, 1], fired[:, 2])
+    label = np.where(rng.random(500) < 0.2, y.astype(int), -1)
+    start = toxicity.LabelModel(0.2, np.array([-1, -1, 1, -1]), np.array([[0.1, 0.1, 0.1, 0.6], [0.5, 0.4, 0.3, 0.2]]), np.array([[0.5, 0.5, 0.5, 0.5], [0.6, 0.6, 0.6, 0.6]]))
+    got = toxicity.label_model(fired, label, start, rounds=5)
+    prior, alone, along = start.prior, start.alone.copy(), start.along.copy()
+    for _ in range(5):
+        post = np.empty(500)
+        for i in range(500):
+            like = [1 - prior, prior]
+            for c in (0, 1):
+                for j in range(4):
+                    up = start.parent[j] >= 0 and fired[i, start.parent[j]] == 1
+                    p = along[c, j] if up else alone[c, j]
+                    like[c] *= p if fired[i, j] else 1 - p
+                if label[i] >= 0:
+                    like[c] *= toxicity.LABEL_ACCURACY if label[i] == c else 1 - toxicity.LABEL_ACCURACY
+            post[i] = like[1] / sum(like)
+        for c in (0, 1):
+            w = post if c else 1 - post
+            for j in range(4):
+                up = fired[:, start.parent[j]] == 1 if start.parent[j] >= 0 else np.zeros(500, dtype=bool)
+                along[c, j] = (w[up] @ fired[up, j] + 0.5) / (w[up].sum() + 1)
+                alone[c, j] = (w[~up] @ fired[~up, j] + 0.5) / (w[~up].sum() + 1)
+        prior = (post.sum() + 1) / 502
+    assert np.allclose(got.alone, alone, atol=2e-3) and np.allclose(got.along[:, 2], along[:, 2], atol=2e-3) and abs(got.prior - prior) < 2e-3
+
+
+def test_label_model_counts_copies_once():
     rng = np.random.default_rng(0)
-    y = rng.random(3000) < 0.3
-    good = (rng.random(3000) < np.where(y, 0.8, 0.02)).astype(np.int8)
-    weak = (rng.random(3000) < np.where(y, 0.5, 0.2)).astype(np.int8)
-    other = (rng.random(3000) < np.where(y, 0.6, 0.05)).astype(np.int8)
-    v = np.stack([good, weak, weak, weak, weak, other], axis=1)
-    post, weight, odds = toxicity.label_model(v, 0.3, np.where(rng.random(3000) < 0.2, y.astype(float), 0.3))
-    assert weight[1] < 0.5 * weight[0] and odds[0] > odds[1]
-    assert ((post > 0.5) == y).mean() > 0.88
+    y = rng.random(4000) < 0.3
+    good = rng.random(4000) < np.where(y, 0.8, 0.02)
+    weak = rng.random(4000) < np.where(y, 0.5, 0.2)
+    other = rng.random(4000) < np.where(y, 0.6, 0.05)
+    label = np.where(rng.random(4000) < 0.2, y.astype(int), -1)
+
+    def odds(columns):
+        fired = np.stack(columns, axis=1).astype(float)
+        seen = label >= 0
+        start = toxicity.LabelModel(0.3, toxicity.parents_of(fired[seen], label[seen]), np.full((2, fired.shape[1]), 0.1), np.full((2, fired.shape[1]), 0.1))
+        start = start.estimated(start.sums(fired[seen], label[seen].astype(float), np.ones(seen.sum())))
+        m = toxicity.label_model(fired, label, start)
+        return m, m.log_odds(fired, np.full(4000, -1))
+
+    once, a = odds([good, weak, other])
+    copies, b = odds([good, weak, weak, weak, weak, other])
+    assert (once.parent == -1).all() and sorted(copies.parent[1:5] >= 0) == [False, True, True, True]
+    assert np.abs(a - b).max() < 0.3 and ((b > 0) == y).mean() > 0.9
+    assert abs(once.alone[1, 0] - 0.8) < 0.05 and abs(once.alone[0, 1] - 0.2) < 0.05
+
+
+def test_toxicity_ignores_hidden_labels_and_columns(spark, sf):
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    one = {r.doc_id: r.score for r in toxicity.detect(docs, labels).collect()}
+    hidden = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    other = labels.withColumn("toxic", F.when(hidden, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    two = {r.doc_id: r.score for r in toxicity.detect(docs.withColumn("lang", F.lit("x")).withColumn("source", F.lit("y")).repartition(5), other).collect()}
+    assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-6 for k in one)
 
 
 def test_language_id_held_out(spark, sf):
