@@ -17,21 +17,23 @@ from pyspark.sql import functions as F
 
 from pyrelith.runtime import release_memory, text_batches
 
-SYMBOLS = 64
+SYMBOLS = 128
 DIMS = SYMBOLS + SYMBOLS**2 + SYMBOLS**3
 UNKNOWN = "und"
 #: Texts scored by one matrix product.
 BATCH = 128
+#: Sampled texts whose kernels are taken at once.
+PIECE = 512
 
 
 def symbol_table(size: int = 0x11000) -> np.ndarray:
-    """Code point to symbol: 0 is no letter, 1 to 26 are a to z in either case, other letters share 27 to 63 by their code."""
+    """Code point to symbol: 0 is no letter, 1 to 26 are a to z in either case, other letters are hashed to the rest by their lower-case code."""
     table = np.zeros(size, dtype=np.int32)
     for cp in range(size):
         low = chr(cp).lower()
         if chr(cp).isalpha():
             c = ord(low[0])
-            table[cp] = c - 96 if 97 <= c <= 122 else 27 + (c * 2654435761 >> 16) % 37
+            table[cp] = c - 96 if 97 <= c <= 122 else 27 + (c * 2654435761 >> 16) % (SYMBOLS - 27)
     return table
 
 
@@ -39,7 +41,7 @@ _TABLE: list[np.ndarray] = []
 
 
 def symbols(text: str) -> np.ndarray:
-    """The symbols of a whole text; letters beyond the table share the last symbol."""
+    """The symbols of a whole text; letters beyond the table are hashed as well."""
     if not _TABLE:
         _TABLE.append(symbol_table())
     table = _TABLE[0]
@@ -47,7 +49,7 @@ def symbols(text: str) -> np.ndarray:
     if codes.size and codes.max() >= table.size:
         far = codes >= table.size
         out = table[np.where(far, 0, codes)]
-        out[far] = [SYMBOLS - 1 if chr(c).isalpha() else 0 for c in codes[far]]
+        out[far] = [27 + (ord(chr(c).lower()[0]) * 2654435761 >> 16) % (SYMBOLS - 27) if chr(c).isalpha() else 0 for c in codes[far].tolist()]
         return out
     return table[codes]
 
@@ -116,8 +118,9 @@ def presence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fit(train: DataFrame, per_lang: int = 250, landmarks: int = 96, least_uses: int = 4, ridge: float = 1e-2) -> Model:
     """Fit on a bounded sample of ``train(doc_id, text, lang)``: ``per_lang`` texts of each language.
 
-    The sample is the rows with the smallest hash of their id, so it depends neither on the order of
-    the rows nor on their partitions; every language that has such a row is learned. An n-gram
+    The sample is the rows with the smallest hash of their id (of an id's rows in one language the first text in order), so it
+    depends neither on the order of the rows nor on their partitions; every language that has such a row is learned. The driver
+    holds the n-grams of the sample (some kilobytes a text) and kernels in pieces of ``PIECE`` texts. An n-gram
     is part of a landmark's spectrum if ``least_uses`` sampled texts have it. Without usable rows the
     model answers ``und`` to everything.
     """
@@ -125,7 +128,7 @@ def fit(train: DataFrame, per_lang: int = 250, landmarks: int = 96, least_uses:
 
     rows = train.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64(F.col("doc_id").cast("string")))
     picked = rows.select("lang", "h").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= per_lang).select("lang", "h").distinct()
-    sample = rows.join(F.broadcast(picked), ["lang", "h"]).select("lang", "text").mapInPandas(presence, "lang string, grams binary").collect()
+    sample = rows.join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text").mapInPandas(presence, "lang string, grams binary").collect()
     sample = sorted((r.lang, bytes(r.grams)) for r in sample)
     if not sample:
         return Model([], np.zeros(0, dtype=np.int64), np.zeros((0, 0), dtype=np.float32), np.zeros((1, 0), dtype=np.float32))
@@ -159,7 +162,8 @@ def fit(train: DataFrame, per_lang: int = 250, landmarks: int = 96, least_uses:
     val, vec = np.linalg.eigh(kmm)
     keep = val > 1e-6 * val.max()
     root = vec[:, keep] / np.sqrt(val[keep])
-    phi = np.hstack([(rows_of(range(len(sample))) @ z) @ root, np.ones((len(sample), 1))])
+    kernels = [rows_of(range(k, min(k + PIECE, len(sample)))) @ z for k in range(0, len(sample), PIECE)]
+    phi = np.hstack([np.concatenate(kernels) @ root, np.ones((len(sample), 1))])
     target = np.where(y[:, None] == np.arange(len(langs)), 1.0, -1.0)
     share = np.bincount(y, minlength=len(langs))
     v = (len(sample) / (len(langs) * share))[y]  # every language weighs the same
@@ -268,6 +272,7 @@ def identify(docs: DataFrame, **options) -> DataFrame:
 
     ``(doc_id, held_out, lang_pred, score)``. A null id is held out.
     """
+    text_batches(docs.sparkSession)
     out = F.coalesce(held_out(), F.lit(True))
     model = fit(docs.where(~out).select("doc_id", "text", "lang"), **options)
     return predict(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")

@@ -253,6 +253,33 @@ def test_language_id_held_out(spark, sf):
     assert kept.schema == docs.schema and kept.count() >= docs.count() * 0.99 and kept.where("doc_id in (-1, -2, -3)").count() == 0
 
 
+def test_language_id_ignores_hidden_labels_and_columns(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    hidden = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    other = docs.withColumn("lang", F.when(hidden, F.lit("zz")).otherwise(F.col("lang"))).withColumn("source", F.lit("q")).withColumn("n_chars", F.lit(None).cast("long"))
+    one = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(docs).collect()}
+    two = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(other.repartition(5)).collect()}
+    assert one.keys() == two.keys() and all(one[k][0] == two[k][0] and abs(one[k][1] - two[k][1]) < 1e-4 for k in one)
+
+
+def test_kernel_against_brute_force():
+    """Scores equal those of a kernel ridge regression on the landmarks' features, written out with sets of n-grams."""
+    import pandas as pd
+
+    texts = ["the cat sat on the mat", "a dog and the cat", "le chat est sur la table", "un chien et le chat", "αβγ δε", "日本語の本"]
+
+    def grams(t):
+        s = language_id.symbols(t).tolist()
+        return {tuple(s[i : i + n]) for n in (1, 2, 3) for i in range(len(s) - n + 1)}
+
+    (got,) = language_id.presence(iter([pd.DataFrame({"lang": ["x"] * 6, "text": texts})]))
+    sizes = [len(np.frombuffer(g, dtype=np.int32)) for g in got["grams"]]
+    assert sizes == [len(grams(t)) for t in texts]
+    sets = [set(np.frombuffer(g, dtype=np.int32).tolist()) for g in got["grams"]]
+    for a, b in itertools.combinations(range(6), 2):
+        assert len(sets[a] & sets[b]) == len(grams(texts[a]) & grams(texts[b]))
+
+
 def test_every_labelled_language_is_learned(spark):
     rng = random.Random(2)
     words = {f"l{k:03}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(12)] for k in range(104)}
