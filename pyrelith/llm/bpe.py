@@ -280,7 +280,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     each list with the ids of its words in the same order. The block joins them back by position and
     decodes through the vocabulary's pieces (a table of the vocabulary's size). A word that stands everywhere is one
     entry a block, so no bucket gets more than its share; what moves is distinct words, ids and
-    the numbers of words, never texts. There are four buckets for each input partition, 64 to 16,384.
+    the numbers of words, never texts. There are four buckets for each shuffle partition of the session, 64 to 16,384.
 
     Null and empty texts have no ids. Rows that repeat are encoded each; a null id is kept; a text longer
     than a block is a block; an empty table gives no rows; other columns are not read.
@@ -289,7 +289,9 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     text_batches(spark)
     table = spark.sparkContext.broadcast(piece_table(path))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    buckets = buckets or min(16_384, max(64, 4 * rows.rdd.getNumPartitions()))
+    buckets = buckets or min(16_384, max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    if buckets > 1 << 16:
+        raise ValueError("at most 65,536 buckets")
     lists = rows.mapInArrow(to_blocks(path, buckets), "block long, bucket int, words binary, lengths binary, places binary")
     # what isn't for a bucket is dealt by its block
     asked = lists.repartition("bucket", F.when(F.col("bucket") < 0, F.col("block"))).sortWithinPartitions("bucket")

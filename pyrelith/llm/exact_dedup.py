@@ -11,12 +11,17 @@ from pyrelith.runtime import Scratch
 RUNS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 
 
+#: Of every 32 code points beyond Latin-1 the first two, by rule: a chunk may end after one of them, in any script.
+BEYOND = "".join(rf"\x{{{b:x}}}-\x{{{b + 1:x}}}" for b in range(0x100, 0x10000, 32) if not 0xD800 <= b < 0xE000)
+
+
 def chunk_pattern(least: int, most: int) -> str:
-    """Chunks end after a word that ends in two consonants, at least ``least`` characters on; without one, after ``most``.
+    """Chunks end at least ``least`` characters on, after a word that ends in two consonants, after a number or capitals that end in one of a few,
+    or after a character beyond Latin-1 that is one in 16 by its code; without any, after ``most`` characters.
 
     Where a chunk ends depends only on what it holds, so after an inserted passage the same cuts come again.
     """
-    return rf"(?s).{{{least},{most}}}?[b-df-hj-np-tv-z]{{2}}[ ]|.{{1,{most}}}"
+    return rf"(?s).{{{least},{most}}}?(?:[b-df-hj-np-tv-z]{{2}}[ ]|[0-9A-Z][05AEO][ ]|(?=[^\x00-\xFF])[{BEYOND}])|.{{1,{most}}}"
 
 
 def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 600, most: int = 6000, key_bits: int = 64) -> DataFrame:

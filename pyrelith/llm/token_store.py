@@ -501,7 +501,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int = 2, id_co
     """
     text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = rows.repartitionByRange(max(1, rows.rdd.getNumPartitions()), "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(to_stripes(path, end_id), "part long, docs string, ids long, payload binary").write.mode("overwrite").parquet(folder)
 
 

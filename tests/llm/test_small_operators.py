@@ -28,6 +28,17 @@ def odd_documents(spark):
     return spark.createDataFrame(rows, DOCS).withColumn("kept", F.lit("mine")).withColumn("size", F.lit(1)).withColumn("keys", F.lit(2)).withColumn("target", F.lit(3))
 
 
+def test_chunks_come_again_after_an_inserted_passage(spark):
+    rng = random.Random(5)
+    scripts = ["".join(rng.choice(a) for _ in range(30_000)) for a in ([chr(c) for c in range(0x4E00, 0x9000)], [chr(c) for c in range(0x410, 0x450)] + [" "] * 8, list("0123456789") + [" "] * 3, list("ABCDEFGHIJKLMNOPQRSTUVWXYZ") + [" "] * 6)]
+    rows = [(i, t) for i, text in enumerate(scripts) for t in (text, text[:9000] + " an inserted passage " + text[9000:])]
+    got = {}
+    for r in exact_dedup.recipes(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, []).append(r.keys)
+    for one, two in got.values():
+        assert len(one) > 10 and len(set(one) & set(two)) >= 0.6 * len(one)  # cuts that are known again, not every one at once
+
+
 def test_exact_dedup_odd_rows(spark):
     got = sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(odd_documents(spark).where("doc_id is not null")).collect())
     assert got == [(1, 1, 4, False), (1, 1, 4, True), (2, 1, 4, False), (4, 4, 2, True), (5, 4, 2, False), (6, 1, 4, False)]

@@ -527,3 +527,20 @@ def test_pipeline_against_brute_force(spark, sf):
     e = stages[4](spark, d, sf)
     assert e.count() == d.count() and e.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_pipeline_with_odd_rows(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    odd = spark.createDataFrame([(None, "a text of some words", "en", "s", 1), (None, None, None, None, None), (70_007, "", "en", None, 0)], DOCS)
+    twice = docs.unionByName(docs.where("doc_id < 40")).unionByName(odd).withColumn("kept", F.lit(1)).withColumn("component", F.lit("x")).withColumn("size", F.lit(2))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, twice, sf)
+        assert out.columns == twice.columns, name
+        twice = spark.createDataFrame(out.collect(), out.schema)  # each stage works on its predecessor's rows
+        assert twice.count() > 0
+    kept = {r.doc_id for r in twice.collect()}
+    assert 70_007 not in kept
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, sf)
+        assert empty.count() == 0, name
