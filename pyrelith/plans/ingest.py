@@ -21,8 +21,10 @@ IN_ADM = "x.longitude BETWEEN a.w AND a.e AND x.latitude BETWEEN a.s AND a.n AND
 ON_ADM = f"(SELECT x.detection_id, min(a.adm_id) AS adm_id FROM v_det x JOIN v_adm a ON {IN_ADM} GROUP BY x.detection_id)"
 
 
-@query("v_det", sql="""SELECT detection_id, sha1(printf('%s|%s|%s|%d|%.5f|%.5f', satellite, instrument, strftime(datetime_utc, '%Y-%m-%d'), extract(hour FROM datetime_utc) * 100 + extract(minute FROM datetime_utc), latitude, longitude)) AS stable_id,
-  CAST(epoch(date_trunc('minute', datetime_utc)) AS BIGINT) AS at, CAST(date_trunc('minute', datetime_utc) + INTERVAL 9 HOUR AS DATE) AS local_day FROM v_det""")
+@query("v_det", sql="""SELECT detection_id, sha1(printf('%s|%s|%s|%d|%.5f|%.5f', satellite, instrument, strftime(datetime_utc, '%Y-%m-%d'),
+    extract(hour FROM datetime_utc) * 100 + extract(minute FROM datetime_utc), latitude, longitude)) AS stable_id,
+  CAST(epoch(date_trunc('minute', datetime_utc)) AS BIGINT) AS at, CAST(date_trunc('minute', datetime_utc) + INTERVAL 9 HOUR AS DATE) AS local_day
+    FROM v_det""")
 def a1_detection_scan(det):
     """A1, H1, H2, H3: from text columns (a time without leading zeros) to identifier, instant and local day."""
     raw = det.select("detection_id", "satellite", "instrument", "latitude", "longitude", F.date_format("datetime_utc", "yyyy-MM-dd").alias("acq_date"), (F.hour("datetime_utc") * 100 + F.minute("datetime_utc")).cast("string").alias("acq_time"))
@@ -30,13 +32,15 @@ def a1_detection_scan(det):
     return raw.select("detection_id", S.stable_id("satellite", "instrument", "acq_date", "acq_time", "latitude", "longitude").alias("stable_id"), F.unix_seconds(at).alias("at"), F.to_date(at + F.expr("INTERVAL '9' HOUR")).alias("local_day"))
 
 
-@query("v_man", sql="SELECT source, min(chunk_start) AS first_day, CAST(max(chunk_start + days - 1) AS DATE) AS last_day FROM v_man WHERE outcome <> 'unavailable' GROUP BY source")
+@query("v_man", sql="""SELECT source, min(chunk_start) AS first_day, CAST(max(chunk_start + days - 1) AS DATE) AS last_day
+    FROM v_man WHERE outcome <> 'unavailable' GROUP BY source""")
 def a3_availability(man):
     """A3: first and last day that each source can serve."""
     return man.where("outcome <> 'unavailable'").groupBy("source").agg(F.min("chunk_start").alias("first_day"), F.max(F.date_add("chunk_start", F.col("days") - 1)).alias("last_day"))
 
 
-@query("v_man", sql="SELECT printf('%s_%s_%dd.csv', source, strftime(chunk_start, '%Y-%m-%d'), days) AS cache_name, chunk_start + days - 1 >= DATE '2024-01-25' - 1 AS refetch FROM v_man")
+@query("v_man", sql="""SELECT printf('%s_%s_%dd.csv', source, strftime(chunk_start, '%Y-%m-%d'), days) AS cache_name, chunk_start + days - 1 >= DATE '2024-01-25' - 1 AS refetch
+    FROM v_man""")
 def a4_cache_policy(man):
     """A4: cache name of a chunk, and whether it is young enough to be fetched again."""
     return man.select(ingest.cache_name("source", "chunk_start", "days").alias("cache_name"), ingest.refetch("chunk_start", "days", F.lit("2024-01-25").cast("date")).alias("refetch"))
@@ -69,13 +73,15 @@ def a19_a20_filenames(pix):
     return dated.agg(F.max("name").alias("latest"), F.countDistinct("day").alias("dates"))
 
 
-@query("v_det", sql=f"SELECT count(*) AS n, sum(CASE WHEN instrument = 'VIIRS' THEN 1 ELSE 0 END)::BIGINT AS viirs FROM v_det WHERE longitude BETWEEN {BBOX[0]} AND {BBOX[2]} AND latitude BETWEEN {BBOX[1]} AND {BBOX[3]}")
+@query("v_det", sql=f"""SELECT count(*) AS n, sum(CASE WHEN instrument = 'VIIRS' THEN 1 ELSE 0 END)::BIGINT AS viirs
+    FROM v_det WHERE longitude BETWEEN {BBOX[0]} AND {BBOX[2]} AND latitude BETWEEN {BBOX[1]} AND {BBOX[3]}""")
 def c1_bbox_clip(det):
     """Inclusive box."""
     return ingest.clip(det, BBOX).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("instrument") == "VIIRS").alias("viirs"))
 
 
-@query("v_obs", sql="SELECT obs_id, TRY_CAST(vsby AS DOUBLE) AS vsby, TRY_CAST(drct AS DOUBLE) AS drct, TRY_CAST(sknt AS DOUBLE) AS sknt, coalesce(wxcodes, 'M') AS wx FROM v_obs")
+@query("v_obs", sql="""SELECT obs_id, TRY_CAST(vsby AS DOUBLE) AS vsby, TRY_CAST(drct AS DOUBLE) AS drct, TRY_CAST(sknt AS DOUBLE) AS sknt,
+    coalesce(wxcodes, 'M') AS wx FROM v_obs""")
 def c2_contract(obs):
     """Text columns to their contracted types; what isn't a number is null."""
     return ingest.normalise(obs, {"vsby": "double", "drct": "double", "sknt": "double"}).select("obs_id", "vsby", "drct", "sknt", F.coalesce("wxcodes", F.lit("M")).alias("wx"))
@@ -87,26 +93,31 @@ def c3_week_window(det):
     return ingest.last_days(det, "2024-01-20", 7).groupBy("date_wit").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("v_hist", sql="""WITH k AS (SELECT satellite, (satellite IN ('N', 'N20')) AS kept, longitude, latitude, date_wit FROM v_hist), c AS (SELECT DISTINCT longitude, latitude, date_wit, kept FROM k)
-  SELECT (SELECT count(*) FROM k WHERE NOT kept) AS excluded, (SELECT count(*) FROM (SELECT longitude, latitude, date_wit FROM c WHERE NOT kept EXCEPT SELECT longitude, latitude, date_wit FROM c WHERE kept)) AS lost_cell_days""")
+@query("v_hist", sql="""WITH k AS (SELECT satellite, (satellite IN ('N', 'N20')) AS kept, longitude, latitude, date_wit
+    FROM v_hist), c AS (SELECT DISTINCT longitude, latitude, date_wit, kept FROM k)
+  SELECT (SELECT count(*) FROM k WHERE NOT kept) AS excluded, (SELECT count(*) FROM (SELECT longitude, latitude, date_wit
+    FROM c WHERE NOT kept EXCEPT SELECT longitude, latitude, date_wit FROM c WHERE kept)) AS lost_cell_days""")
 def c4_g3_constellation(hist):
     """Detections outside the constellation, and the place-days that only they saw (a set difference)."""
     return ingest.constellation_split(hist, ["N", "N20"], ["longitude", "latitude", "date_wit"])
 
 
-@query("v_hist", sql="SELECT longitude, latitude, date_wit, bool_or(satellite <> 'Terra') AS positive FROM v_hist WHERE on_land AND satellite IN ('N', 'N20', 'Terra') GROUP BY ALL")
+@query("v_hist", sql="""SELECT longitude, latitude, date_wit, bool_or(satellite <> 'Terra') AS positive FROM v_hist
+    WHERE on_land AND satellite IN ('N', 'N20', 'Terra') GROUP BY ALL""")
 def c7_positive_days(hist):
     """Place-days with a detection on land, and whether any of them is of the narrower kind."""
     return hist.where(F.col("on_land") & F.col("satellite").isin("N", "N20", "Terra")).groupBy("longitude", "latitude", "date_wit").agg(F.bool_or(F.col("satellite") != "Terra").alias("positive"))
 
 
-@query("v_det", sql="SELECT count(*) AS total, sum(CASE WHEN strftime(date_wit, '%Y-%m-%d') BETWEEN '2024-01-05' AND '2024-01-09' THEN 1 ELSE 0 END)::BIGINT AS shown FROM v_det")
+@query("v_det", sql="""SELECT count(*) AS total, sum(CASE WHEN strftime(date_wit, '%Y-%m-%d') BETWEEN '2024-01-05' AND '2024-01-09' THEN 1 ELSE 0 END)::BIGINT AS shown
+    FROM v_det""")
 def c13_client_filter(det):
     """ISO day strings compare as days."""
     return det.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.date_format("date_wit", "yyyy-MM-dd").between("2024-01-05", "2024-01-09")).alias("shown"))
 
 
-@query("v_pix", sql="SELECT scene, look_date, CAST(row_number() OVER (PARTITION BY scene ORDER BY look_date) AS INTEGER) AS place FROM (SELECT DISTINCT scene, look_date FROM v_pix WHERE valid) QUALIFY place <= 3")
+@query("v_pix", sql="""SELECT scene, look_date, CAST(row_number() OVER (PARTITION BY scene ORDER BY look_date) AS INTEGER) AS place
+    FROM (SELECT DISTINCT scene, look_date FROM v_pix WHERE valid) QUALIFY place <= 3""")
 def c14_scene_picker(pix):
     """C14: the first looks of each scene in order of date."""
     looks = pix.where("valid").select("scene", "look_date").distinct()
@@ -125,32 +136,43 @@ def c18_refusal(man, day):
     return provenance.refusals(man.where("source <> 'MODIS'"), day)
 
 
-@query("v_man", "v_day", "v_src", "v_det", sql="""WITH n AS (SELECT s.source, d.date_wit AS day, count(*) AS n FROM v_det d JOIN v_src s ON s.satellite = d.satellite GROUP BY ALL),
-  c AS (SELECT s.source, y.day, count(m.source) AS covering, count(*) FILTER (WHERE m.outcome = 'failed') AS failed FROM v_src s CROSS JOIN v_day y LEFT JOIN v_man m ON m.source = s.source AND m.chunk_start <= y.day AND m.chunk_start + m.days - 1 >= y.day - 1 GROUP BY ALL)
-  SELECT c.source, c.day, coalesce(n.n, 0) AS detections, CASE WHEN n.n > 0 THEN 'observed' WHEN covering = 0 THEN 'norecord' WHEN failed > 0 THEN 'failed' ELSE 'empty' END AS status FROM c LEFT JOIN n USING (source, day)""")
+@query("v_man", "v_day", "v_src", "v_det", sql="""WITH n AS (SELECT s.source, d.date_wit AS day, count(*) AS n
+    FROM v_det d JOIN v_src s ON s.satellite = d.satellite GROUP BY ALL),
+  c AS (SELECT s.source, y.day, count(m.source) AS covering, count(*) FILTER (WHERE m.outcome = 'failed') AS failed
+    FROM v_src s CROSS JOIN v_day y LEFT JOIN v_man m ON m.source = s.source AND m.chunk_start <= y.day AND m.chunk_start + m.days - 1 >= y.day - 1
+    GROUP BY ALL)
+  SELECT c.source, c.day, coalesce(n.n, 0) AS detections, CASE WHEN n.n > 0 THEN 'observed' WHEN covering = 0 THEN 'norecord'
+    WHEN failed > 0 THEN 'failed' ELSE 'empty' END AS status FROM c LEFT JOIN n USING (source, day)""")
 def e7_source_status(man, day, src, det):
     """Per source and day, detections, or which kind of nothing."""
     counts = det.join(src, "satellite").groupBy("source", F.col("date_wit").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     return provenance.source_status(man, src.select("source").crossJoin(day), counts)
 
 
-@query("v_man", "v_day", sql="""SELECT day, bool_or(m.source IS NOT NULL AND m.source <> 'MODIS') AS viirs, bool_or(coalesce(m.source, '') = 'MODIS') AS modis, bool_or(m.source IS NOT NULL AND m.source <> 'MODIS') AND bool_or(coalesce(m.source, '') = 'MODIS') AS all_groups
-  FROM v_day d LEFT JOIN v_man m ON m.outcome IN ('fetched', 'cached') AND m.utc >= CAST(d.day AS TIMESTAMP) + INTERVAL 15 HOUR AND m.chunk_start <= d.day AND m.chunk_start + m.days - 1 >= d.day - 1 GROUP BY day""")
+@query("v_man", "v_day", sql="""SELECT day, bool_or(m.source IS NOT NULL AND m.source <> 'MODIS') AS viirs, bool_or(coalesce(m.source,
+    '') = 'MODIS') AS modis, bool_or(m.source IS NOT NULL AND m.source <> 'MODIS') AND bool_or(coalesce(m.source, '') = 'MODIS') AS all_groups
+  FROM v_day d LEFT JOIN v_man m ON m.outcome IN ('fetched', 'cached') AND m.utc >= CAST(d.day AS TIMESTAMP) + INTERVAL 15 HOUR AND m.chunk_start <= d.day AND m.chunk_start + m.days - 1 >= d.day - 1
+    GROUP BY day""")
 def e8_e9_observed_days(man, day):
     """Days that a successful fetch covered after their close, by group of sources and for all groups."""
     return provenance.observed_days(man, day)
 
 
-@query("v_man", "v_day", sql="""SELECT max(day) AS newest FROM v_day d WHERE EXISTS (SELECT 1 FROM v_man m WHERE m.outcome IN ('fetched', 'cached') AND m.utc >= CAST(d.day AS TIMESTAMP) + INTERVAL 15 HOUR AND m.chunk_start <= d.day AND m.chunk_start + m.days - 1 >= d.day - 1)""")
+@query("v_man", "v_day", sql="""SELECT max(day) AS newest FROM v_day d WHERE EXISTS (SELECT 1 FROM v_man m WHERE m.outcome IN ('fetched',
+    'cached') AND m.utc >= CAST(d.day AS TIMESTAMP) + INTERVAL 15 HOUR AND m.chunk_start <= d.day AND m.chunk_start + m.days - 1 >= d.day - 1)""")
 def e8_newest_closed_day(man, day):
     """The newest day that is over and was observed."""
     return provenance.observed_days(man, day).where("viirs or modis").agg(F.max("day").alias("newest"))
 
 
-@query("v_man", "v_day", sql="""WITH d AS (SELECT s.source, y.day, bool_or(m.outcome IN ('fetched', 'cached')) AS ok FROM (SELECT DISTINCT source FROM v_man) s CROSS JOIN v_day y LEFT JOIN v_man m ON m.source = s.source AND y.day BETWEEN m.chunk_start AND m.chunk_start + m.days - 1 GROUP BY ALL),
-  g AS (SELECT *, coalesce(ok, false) AS served, day - CAST(row_number() OVER (PARTITION BY source, coalesce(ok, false) ORDER BY day) AS INTEGER) AS island FROM d),
+@query("v_man", "v_day", sql="""WITH d AS (SELECT s.source, y.day, bool_or(m.outcome IN ('fetched', 'cached')) AS ok
+    FROM (SELECT DISTINCT source FROM v_man) s CROSS JOIN v_day y LEFT JOIN v_man m ON m.source = s.source AND y.day BETWEEN m.chunk_start AND m.chunk_start + m.days - 1
+    GROUP BY ALL),
+  g AS (SELECT *, coalesce(ok, false) AS served, day - CAST(row_number() OVER (PARTITION BY source, coalesce(ok, false)
+    ORDER BY day) AS INTEGER) AS island FROM d),
   r AS (SELECT source, served, min(day) AS first_day, count(*) AS days FROM g GROUP BY source, served, island)
-  SELECT source, served, CAST(first_day + CAST(o AS INTEGER) AS DATE) AS chunk_start, CAST(least(CASE WHEN served THEN 5 ELSE days END, days - o) AS INTEGER) AS days FROM r, unnest(CASE WHEN served THEN range(0, days, 5) ELSE [0::BIGINT] END) AS u(o)""")
+  SELECT source, served, CAST(first_day + CAST(o AS INTEGER) AS DATE) AS chunk_start, CAST(least(CASE WHEN served THEN 5 ELSE days END,
+    days - o) AS INTEGER) AS days FROM r, unnest(CASE WHEN served THEN range(0, days, 5) ELSE [0::BIGINT] END) AS u(o)""")
 def l8_backfill_plan(man, day):
     """Runs of days that a source serves, cut into chunks of five; runs that none serves are gaps, kept whole."""
     return provenance.backfill_plan(man, day, 5)
@@ -162,7 +184,9 @@ def l9_b14_work_list(man):
     return man.select("source", "chunk_start", "utc").join(man.where("outcome <> 'failed'").select("source", "chunk_start", "utc"), ["source", "chunk_start", "utc"], "left_anti").select("source", "chunk_start")
 
 
-@query("v_det", sql="WITH c AS (SELECT unnest(generate_series(min(date_wit), max(date_wit), INTERVAL 1 DAY))::DATE AS day FROM v_det) SELECT c.day, count(d.detection_id) AS n FROM c LEFT JOIN v_det d ON d.date_wit = c.day AND d.instrument = 'MODIS' AND d.frp > 60 GROUP BY c.day")
+@query("v_det", sql="""WITH c AS (SELECT unnest(generate_series(min(date_wit), max(date_wit), INTERVAL 1 DAY))::DATE AS day
+    FROM v_det) SELECT c.day, count(d.detection_id) AS n FROM c LEFT JOIN v_det d ON d.date_wit = c.day AND d.instrument = 'MODIS' AND d.frp > 60
+    GROUP BY c.day""")
 def d12_b8_dense_days(det):
     """A count for every day of the span, zeros included."""
     return ingest.dense_daily(det.where("instrument = 'MODIS' and frp > 60"), det.agg(F.min("date_wit").alias("lo"), F.max("date_wit").alias("hi")))
@@ -186,21 +210,27 @@ def d1_point_in_polygon(det, adm):
     return geo.assign_polygon(det, with_ring(adm), "detection_id").select("detection_id", "adm_id", "on_land")
 
 
-@query("v_det", "v_adm", sql=f"SELECT a.kabupaten, a.distrik, count(x.detection_id) AS n, round(sum(x.frp), 2) AS frp_sum, max(x.frp) AS frp_max FROM v_adm a LEFT JOIN {ON_ADM} h USING (adm_id) LEFT JOIN v_det x USING (detection_id) GROUP BY ALL")
+@query("v_det", "v_adm", sql=f"""SELECT a.kabupaten, a.distrik, count(x.detection_id) AS n, round(sum(x.frp), 2) AS frp_sum, max(x.frp) AS frp_max
+    FROM v_adm a LEFT JOIN {ON_ADM} h USING (adm_id) LEFT JOIN v_det x USING (detection_id) GROUP BY ALL""")
 def e2_d13_district_rollup(det, adm):
     """Every district, zero or not; the power of none stays null."""
     inside = geo.assign_polygon(det, with_ring(adm), "detection_id").where("on_land")
     return ingest.district_rollup(inside, adm)
 
 
-@query("v_det", sql="WITH u AS (SELECT *, 0 AS prio, detection_id AS o FROM v_det WHERE satellite IN ('N', 'N20', 'Terra') UNION ALL BY NAME SELECT detection_id - detection_id % 2 AS detection_id, satellite, frp, 1 AS prio, detection_id AS o FROM v_det WHERE satellite <> 'N') SELECT detection_id, satellite, frp, prio FROM u QUALIFY row_number() OVER (PARTITION BY detection_id ORDER BY prio, o) = 1")
+@query("v_det", sql="""WITH u AS (SELECT *, 0 AS prio, detection_id AS o FROM v_det WHERE satellite IN ('N', 'N20', 'Terra')
+    UNION ALL BY NAME SELECT detection_id - detection_id % 2 AS detection_id, satellite, frp, 1 AS prio, detection_id AS o
+    FROM v_det WHERE satellite <> 'N') SELECT detection_id, satellite, frp, prio FROM u QUALIFY row_number() OVER (PARTITION BY detection_id
+    ORDER BY prio, o) = 1""")
 def g1_g2_merge_keep_first(det):
     """New rows, some columns short, are added to a store; a row that is there stays."""
     new = det.where("satellite <> 'N'").select((F.col("detection_id") - F.col("detection_id") % 2).alias("detection_id"), "satellite", "frp", F.col("detection_id").alias("o"))
     return ingest.merge_keep_first(det.where(F.col("satellite").isin("N", "N20", "Terra")).withColumn("o", F.col("detection_id")), new, "detection_id", "o").select("detection_id", "satellite", "frp", "prio")
 
 
-@query("v_det", sql="SELECT count(DISTINCT satellite) AS satellites, count(DISTINCT datetime_utc) AS overpasses, (SELECT count(*) FROM (SELECT detection_id FROM v_det WHERE frp > 50 INTERSECT SELECT detection_id FROM v_det WHERE instrument = 'MODIS')) AS both_sets FROM v_det")
+@query("v_det", sql="""SELECT count(DISTINCT satellite) AS satellites, count(DISTINCT datetime_utc) AS overpasses, (SELECT count(*)
+    FROM (SELECT detection_id FROM v_det WHERE frp > 50 INTERSECT SELECT detection_id FROM v_det WHERE instrument = 'MODIS')) AS both_sets
+    FROM v_det""")
 def g4_g5_sets(det):
     """G4, G5."""
     both = det.where("frp > 50").select("detection_id").intersect(det.where("instrument = 'MODIS'").select("detection_id")).agg(F.count(F.lit(1)).alias("both_sets"))
@@ -213,33 +243,41 @@ def g6_g7_brightest(det):
     return det.where("frp is not null").orderBy(F.desc("frp"), "detection_id").select("detection_id", "frp").limit(12)
 
 
-@query("v_det", sql="SELECT detection_id FROM (SELECT detection_id, row_number() OVER (ORDER BY datetime_utc, detection_id) AS r FROM v_det WHERE instrument = 'MODIS') WHERE r % 25 = 1 ORDER BY r LIMIT 40")
+@query("v_det", sql="""SELECT detection_id FROM (SELECT detection_id, row_number() OVER (ORDER BY datetime_utc, detection_id) AS r
+    FROM v_det WHERE instrument = 'MODIS') WHERE r % 25 = 1 ORDER BY r LIMIT 40""")
 def g9_stride_sample(det):
     """Every 25th in order of time, up to 40 (the sample asked for)."""
     return ingest.stride(det.where("instrument = 'MODIS'"), ["datetime_utc", "detection_id"], 25, 40).select("detection_id")
 
 
-@query("v_det", sql="""SELECT detection_id, '{"geometry":{"coordinates":[' || printf('%.5f', longitude) || ',' || printf('%.5f', latitude) || '],"type":"Point"},"properties":{"day":"' || strftime(date_wit, '%Y-%m-%d') || '"' || CASE WHEN frp IS NULL THEN '' ELSE ',"frp":"' || printf('%.2f', frp) || '"' END || ',"satellite":"' || satellite || '"},"type":"Feature"}' AS feature FROM v_det""")
+@query("v_det", sql="""SELECT detection_id, '{"geometry":{"coordinates":[' || printf('%.5f', longitude) || ',' || printf('%.5f', latitude) || '],"type":"Point"},"properties":{"day":"' || strftime(date_wit,
+    '%Y-%m-%d') || '"' || CASE WHEN frp IS NULL THEN '' ELSE ',"frp":"' || printf('%.2f', frp) || '"' END || ',"satellite":"' || satellite || '"},"type":"Feature"}' AS feature
+    FROM v_det""")
 def b3_b4_geojson(det):
     """Features with sorted keys, rounded coordinates, ISO days, and nulls left out."""
     return ingest.point_features(det)
 
 
-@query("v_det", sql="WITH d AS (SELECT date_wit, count(*) AS n, round(coalesce(sum(frp), 0), 2) AS f, string_agg(DISTINCT satellite, '+' ORDER BY satellite) AS s FROM v_det GROUP BY date_wit) SELECT date_wit, '- **' || strftime(date_wit, '%Y-%m-%d') || '**: ' || n || ' detections, ' || printf('%.2f', f) || ' MW (' || s || ')' AS line FROM d")
+@query("v_det", sql="""WITH d AS (SELECT date_wit, count(*) AS n, round(coalesce(sum(frp), 0), 2) AS f, string_agg(DISTINCT satellite,
+    '+' ORDER BY satellite) AS s FROM v_det GROUP BY date_wit) SELECT date_wit, '- **' || strftime(date_wit, '%Y-%m-%d') || '**: ' || n || ' detections, ' || printf('%.2f',
+    f) || ' MW (' || s || ')' AS line FROM d""")
 def b6_b7_markdown(det):
     """One line a day, satellites in order."""
     d = det.groupBy("date_wit").agg(F.count(F.lit(1)).alias("n"), F.round(F.coalesce(F.sum("frp"), F.lit(0.0)), 2).alias("f"), F.array_join(F.array_sort(F.collect_set("satellite")), "+").alias("s"))
     return d.select("date_wit", F.format_string("- **%s**: %d detections, %.2f MW (%s)", F.date_format("date_wit", "yyyy-MM-dd"), "n", "f", "s").alias("line"))
 
 
-@query("v_det", sql="WITH t AS (SELECT detection_id, longitude, latitude, row_number() OVER (ORDER BY frp DESC, detection_id) AS r FROM v_det WHERE frp IS NOT NULL ORDER BY r LIMIT 10) SELECT 'https://www.google.com/maps/dir/' || string_agg(printf('%.5f,%.5f', latitude, longitude), '/' ORDER BY r) AS url, count(*) AS stops FROM t")
+@query("v_det", sql="""WITH t AS (SELECT detection_id, longitude, latitude, row_number() OVER (ORDER BY frp DESC, detection_id) AS r
+    FROM v_det WHERE frp IS NOT NULL ORDER BY r LIMIT 10) SELECT 'https://www.google.com/maps/dir/' || string_agg(printf('%.5f,%.5f',
+    latitude, longitude), '/' ORDER BY r) AS url, count(*) AS stops FROM t""")
 def b10_h34_route_url(det):
     """A route over the first ten stops."""
     top = det.where("frp is not null").orderBy(F.desc("frp"), "detection_id").limit(10)
     return top.agg(ingest.route_url().alias("url"), F.count(F.lit(1)).alias("stops"))
 
 
-@query("v_det", "v_hist", sql="SELECT (SELECT count(*) FROM v_det) AS season, (SELECT count(*) FROM v_hist) AS history, (SELECT count(*) FROM (SELECT date_wit FROM v_hist GROUP BY date_wit HAVING count(*) > 5)) AS busy_days")
+@query("v_det", "v_hist", sql="""SELECT (SELECT count(*) FROM v_det) AS season, (SELECT count(*) FROM v_hist) AS history, (SELECT count(*)
+    FROM (SELECT date_wit FROM v_hist GROUP BY date_wit HAVING count(*) > 5)) AS busy_days""")
 def b9_b13_headline(det, hist):
     """Figures of several tables in one row."""
     season = det.agg(F.count(F.lit(1)).alias("season"))
@@ -259,7 +297,10 @@ def l4_sliding(det):
     return det.select(F.explode(F.sequence(F.col("date_wit"), F.date_add("date_wit", 6))).alias("day")).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("v_det", sql="WITH c AS (SELECT longitude, datetime_utc, CASE WHEN epoch(datetime_utc - lag(datetime_utc) OVER (PARTITION BY longitude ORDER BY datetime_utc)) >= 10800 THEN 1 ELSE 0 END AS new FROM v_det), g AS (SELECT *, sum(new) OVER (PARTITION BY longitude ORDER BY datetime_utc) AS g FROM c) SELECT round(longitude, 4) AS lon, CAST(epoch(date_trunc('second', min(datetime_utc))) AS BIGINT) AS started, count(*) AS n FROM g GROUP BY longitude, g")
+@query("v_det", sql="""WITH c AS (SELECT longitude, datetime_utc, CASE WHEN epoch(datetime_utc - lag(datetime_utc) OVER (PARTITION BY longitude
+    ORDER BY datetime_utc)) >= 10800 THEN 1 ELSE 0 END AS new FROM v_det), g AS (SELECT *, sum(new) OVER (PARTITION BY longitude
+    ORDER BY datetime_utc) AS g FROM c) SELECT round(longitude, 4) AS lon, CAST(epoch(date_trunc('second', min(datetime_utc))) AS BIGINT) AS started,
+    count(*) AS n FROM g GROUP BY longitude, g""")
 def l5_sessions(det):
     """Sessions of a place, parted by three hours without anything."""
     g = det.groupBy("longitude", F.session_window(F.col("datetime_utc").cast("timestamp"), "3 hours").alias("w")).agg(F.count(F.lit(1)).alias("n"))

@@ -17,85 +17,110 @@ def r(c, n=6):
     return F.round(c, n)
 
 
-@query("v_hist", sql="SELECT DISTINCT date_wit, extract(doy FROM date_wit)::INTEGER - CASE WHEN ((year(date_wit) % 4 = 0 AND year(date_wit) % 100 <> 0) OR year(date_wit) % 400 = 0) AND extract(doy FROM date_wit) >= 60 THEN 1 ELSE 0 END AS circle_day FROM v_hist")
+@query("v_hist", sql="""SELECT DISTINCT date_wit, extract(doy FROM date_wit)::INTEGER - CASE WHEN ((year(date_wit) % 4 = 0 AND year(date_wit) % 100 <> 0) OR year(date_wit) % 400 = 0) AND extract(doy
+    FROM date_wit) >= 60 THEN 1 ELSE 0 END AS circle_day FROM v_hist""")
 def h5_circle_day(hist):
     return hist.select("date_wit", S.circle_day("date_wit").alias("circle_day")).distinct()
 
 
-@query("v_hist", sql="SELECT DISTINCT CAST(date_trunc('month', date_wit) AS DATE) AS first, CAST(date_trunc('month', date_wit) + INTERVAL 1 MONTH AS DATE) AS next, CAST(date_trunc('month', date_wit) - INTERVAL 1 MONTH AS DATE) AS previous, last_day(date_wit) AS last FROM v_hist")
+@query("v_hist", sql="""SELECT DISTINCT CAST(date_trunc('month', date_wit) AS DATE) AS first, CAST(date_trunc('month', date_wit) + INTERVAL 1 MONTH AS DATE) AS next,
+    CAST(date_trunc('month', date_wit) - INTERVAL 1 MONTH AS DATE) AS previous, last_day(date_wit) AS last
+    FROM v_hist""")
 def h6_months(hist):
     return hist.select(S.month_start("date_wit").alias("first"), S.next_month("date_wit").alias("next"), S.previous_month("date_wit").alias("previous"), S.month_end("date_wit").alias("last")).distinct()
 
 
-@query("v_det", sql="WITH s AS (SELECT detection_id, (CAST(floor(epoch(datetime_utc)) AS BIGINT) // 600) * 600 AS slot FROM v_det) SELECT detection_id, slot, unnest(range(slot - 3600, slot + 1801, 600)) AS window_slot FROM s")
+@query("v_det", sql="""WITH s AS (SELECT detection_id, (CAST(floor(epoch(datetime_utc)) AS BIGINT) // 600) * 600 AS slot
+    FROM v_det) SELECT detection_id, slot, unnest(range(slot - 3600, slot + 1801, 600)) AS window_slot FROM s""")
 def h7_slots(det):
     """The slot of each detection and those from an hour before to half an hour after."""
     slot = S.floor_slot("datetime_utc")
     return det.select("detection_id", slot.alias("slot"), F.explode(S.slot_range(slot - 3600, slot + 1800, 10)).alias("window_slot"))
 
 
-@query("v_day", sql="SELECT day, CAST(epoch(CAST(day AS TIMESTAMP)) AS BIGINT) - 32400 AS first_slot, CAST(epoch(CAST(day AS TIMESTAMP)) AS BIGINT) - 32400 + 86400 - 600 AS last_slot, 144 AS slots FROM v_day")
+@query("v_day", sql="""SELECT day, CAST(epoch(CAST(day AS TIMESTAMP)) AS BIGINT) - 32400 AS first_slot, CAST(epoch(CAST(day AS TIMESTAMP)) AS BIGINT) - 32400 + 86400 - 600 AS last_slot,
+    144 AS slots FROM v_day""")
 def h8_local_day_slots(day):
     s = S.local_day_slots("day")
     return day.select("day", F.element_at(s, 1).alias("first_slot"), F.element_at(s, -1).alias("last_slot"), F.size(s).alias("slots"))
 
 
-@query("v_hist", sql="SELECT DISTINCT date_wit, CAST(date_wit - 60 AS DATE) AS pre_from, date_wit AS pre_to, CAST(date_wit + 4 AS DATE) AS post_from, CAST(date_wit + 34 AS DATE) AS post_to, CAST(epoch(CAST(date_wit AS TIMESTAMP)) AS BIGINT) + 10800 - 82800 AS rain_from, CAST(epoch(CAST(date_wit AS TIMESTAMP)) AS BIGINT) + 10800 AS rain_to FROM v_hist")
+@query("v_hist", sql="""SELECT DISTINCT date_wit, CAST(date_wit - 60 AS DATE) AS pre_from, date_wit AS pre_to, CAST(date_wit + 4 AS DATE) AS post_from,
+    CAST(date_wit + 34 AS DATE) AS post_to, CAST(epoch(CAST(date_wit AS TIMESTAMP)) AS BIGINT) + 10800 - 82800 AS rain_from, CAST(epoch(CAST(date_wit AS TIMESTAMP)) AS BIGINT) + 10800 AS rain_to
+    FROM v_hist""")
 def h9_h10_windows(hist):
     a, b, c, d = S.look_windows("date_wit", F.date_add("date_wit", 3), 60, 30)
     lo, hi = S.rain_window("date_wit")
     return hist.select("date_wit", a.alias("pre_from"), b.alias("pre_to"), c.alias("post_from"), d.alias("post_to"), lo.alias("rain_from"), hi.alias("rain_to")).distinct()
 
 
-@query("v_hist", sql="SELECT DISTINCT year(date_wit)::INTEGER AS year, year(date_wit)::INTEGER - 1 AS cover, least(year(date_wit)::INTEGER - 1, 1998) AS tmf, year(date_wit)::INTEGER - 2001 AS loss FROM v_hist")
+@query("v_hist", sql="""SELECT DISTINCT year(date_wit)::INTEGER AS year, year(date_wit)::INTEGER - 1 AS cover, least(year(date_wit)::INTEGER - 1,
+    1998) AS tmf, year(date_wit)::INTEGER - 2001 AS loss FROM v_hist""")
 def h11_map_years(hist):
     a, b, c = S.prior_map_year("date_wit", 1998)
     return hist.select(F.year("date_wit").alias("year"), a.alias("cover"), b.alias("tmf"), c.alias("loss")).distinct()
 
 
-@query("v_det", sql="SELECT detection_id, CAST(to_timestamp(CAST(floor(epoch(datetime_utc)) AS BIGINT) - CAST(round((detection_id % 9) / 4.0e0 * 86400) AS BIGINT)) AT TIME ZONE 'UTC' AS DATE) AS utc_day, CAST(to_timestamp(CAST(floor(epoch(datetime_utc)) AS BIGINT) - CAST(round((detection_id % 9) / 4.0e0 * 86400) AS BIGINT) + 32400) AT TIME ZONE 'UTC' AS DATE) AS wit_day FROM v_det")
+@query("v_det", sql="""SELECT detection_id, CAST(to_timestamp(CAST(floor(epoch(datetime_utc)) AS BIGINT) - CAST(round((detection_id % 9) / 4.0e0 * 86400) AS BIGINT)) AT TIME ZONE 'UTC' AS DATE) AS utc_day,
+    CAST(to_timestamp(CAST(floor(epoch(datetime_utc)) AS BIGINT) - CAST(round((detection_id % 9) / 4.0e0 * 86400) AS BIGINT) + 32400) AT TIME ZONE 'UTC' AS DATE) AS wit_day
+    FROM v_det""")
 def h12_lagged_dates(det):
     u, w = S.lagged_dates("datetime_utc", (F.col("detection_id") % 9) / 4)
     return det.select("detection_id", u.alias("utc_day"), w.alias("wit_day"))
 
 
-@query("v_pix", sql="WITH s AS (SELECT DISTINCT scene, look_date FROM v_pix), t AS (SELECT DISTINCT scene, CAST(look_date + 40 AS DATE) AS asked FROM v_pix) SELECT t.scene, t.asked, max(s.look_date) AS resolved FROM t LEFT JOIN s ON s.scene = t.scene AND s.look_date BETWEEN t.asked - 180 AND t.asked + 3 GROUP BY ALL")
+@query("v_pix", sql="""WITH s AS (SELECT DISTINCT scene, look_date FROM v_pix), t AS (SELECT DISTINCT scene, CAST(look_date + 40 AS DATE) AS asked
+    FROM v_pix) SELECT t.scene, t.asked, max(s.look_date) AS resolved FROM t LEFT JOIN s ON s.scene = t.scene AND s.look_date BETWEEN t.asked - 180 AND t.asked + 3
+    GROUP BY ALL""")
 def h13_scene_resolve(pix):
     """The latest scene from 180 days before to 3 after the day asked for: listed by day, joined by equality."""
     scenes = pix.select("scene", "look_date").distinct().withColumn("asked", F.explode(F.sequence(F.date_sub("look_date", 3), F.date_add("look_date", 180)))).groupBy("scene", "asked").agg(F.max("look_date").alias("resolved"))
     return pix.select("scene", F.date_add("look_date", 40).alias("asked")).distinct().join(scenes, ["scene", "asked"], "left")
 
 
-@query("v_obs", sql="SELECT obs_id, list_contains(string_split_regex(coalesce(wxcodes, 'M'), ' +'), 'FU') AS fu, list_contains(string_split_regex(coalesce(wxcodes, 'M'), ' +'), 'HZ') AS hz, TRY_CAST(vsby AS DOUBLE) AS vsby, abs(TRY_CAST(vsby AS DOUBLE) - 6.21) < 1e-6 AS ceiling, CASE WHEN TRY_CAST(sknt AS DOUBLE) > 0 THEN TRY_CAST(drct AS DOUBLE) END AS dir FROM v_obs")
+@query("v_obs", sql="""SELECT obs_id, list_contains(string_split_regex(coalesce(wxcodes, 'M'), ' +'), 'FU') AS fu, list_contains(string_split_regex(coalesce(wxcodes,
+    'M'), ' +'), 'HZ') AS hz, TRY_CAST(vsby AS DOUBLE) AS vsby, abs(TRY_CAST(vsby AS DOUBLE) - 6.21) < 1e-6 AS ceiling, CASE
+    WHEN TRY_CAST(sknt AS DOUBLE) > 0 THEN TRY_CAST(drct AS DOUBLE) END AS dir FROM v_obs""")
 def h14_h15_h16_observation(obs):
     v = S.measured("vsby")
     return obs.select("obs_id", S.has_token("wxcodes", "FU").alias("fu"), S.has_token("wxcodes", "HZ").alias("hz"), v.alias("vsby"), S.at_ceiling(v).alias("ceiling"), S.known_direction(S.measured("drct"), S.measured("sknt")).alias("dir"))
 
 
-@query("v_obs", sql="WITH o AS (SELECT obs_id, TRY_CAST(drct AS DOUBLE) AS d, TRY_CAST(sknt AS DOUBLE) AS k, (obs_id * 53) % 360 AS b FROM v_obs) SELECT obs_id, least((d - b + 720) % 360, 360 - (d - b + 720) % 360) AS diff, coalesce(k > 0 AND least((d - b + 720) % 360, 360 - (d - b + 720) % 360) <= 45, false) AS wind_from FROM o")
+@query("v_obs", sql="""WITH o AS (SELECT obs_id, TRY_CAST(drct AS DOUBLE) AS d, TRY_CAST(sknt AS DOUBLE) AS k, (obs_id * 53) % 360 AS b
+    FROM v_obs) SELECT obs_id, least((d - b + 720) % 360, 360 - (d - b + 720) % 360) AS diff, coalesce(k > 0 AND least((d - b + 720) % 360,
+    360 - (d - b + 720) % 360) <= 45, false) AS wind_from FROM o""")
 def h17_h18_wind_sector(obs):
     d, k, b = S.measured("drct"), S.measured("sknt"), (F.col("obs_id") * 53) % 360
     return obs.select("obs_id", S.angle_between(d, b).alias("diff"), S.wind_from(d, k, b, 45.0).alias("wind_from"))
 
 
-@query("v_det", sql="WITH m AS (SELECT avg(latitude) AS a FROM v_det) SELECT detection_id, round(sqrt(pow((longitude - 136.1e0) * 111320 * cos(radians(a)), 2) + pow((latitude + 1.19e0) * 111320, 2)) / 1000, 6) AS km, round((degrees(atan2((longitude - 136.1e0) * 111320 * cos(radians(a)), (latitude + 1.19e0) * 111320)) + 360) % 360, 4) AS bearing FROM v_det, m")
+@query("v_det", sql="""WITH m AS (SELECT avg(latitude) AS a FROM v_det) SELECT detection_id, round(sqrt(pow((longitude - 136.1e0) * 111320 * cos(radians(a)),
+    2) + pow((latitude + 1.19e0) * 111320, 2)) / 1000, 6) AS km, round((degrees(atan2((longitude - 136.1e0) * 111320 * cos(radians(a)),
+    (latitude + 1.19e0) * 111320)) + 360) % 360, 4) AS bearing FROM v_det, m""")
 def h19_h20_distance_bearing(det):
     km, bearing = S.distance_bearing(F.col("latitude"), F.col("longitude"), -1.19, 136.1, F.col("a"))
     return det.join(F.broadcast(det.agg(F.avg("latitude").alias("a")))).select("detection_id", r(km).alias("km"), r(bearing, 4).alias("bearing"))
 
 
-@query("v_det", sql=f"SELECT detection_id, round(sqrt(pow((136.1e0 - longitude) * {K * R!r} * cos(radians(latitude)), 2) + pow((-1.19e0 - latitude) * {K * R!r}, 2)), 4) AS flat, round(2 * {R!r} * asin(sqrt(pow(sin(radians(-1.19e0 - latitude) / 2), 2) + cos(radians(latitude)) * cos(radians(-1.19e0)) * pow(sin(radians(136.1e0 - longitude) / 2), 2))), 4) AS great FROM v_det")
+@query("v_det", sql=f"""SELECT detection_id, round(sqrt(pow((136.1e0 - longitude) * {K * R!r} * cos(radians(latitude)), 2) + pow((-1.19e0 - latitude) * {K * R!r},
+    2)), 4) AS flat, round(2 * {R!r} * asin(sqrt(pow(sin(radians(-1.19e0 - latitude) / 2), 2) + cos(radians(latitude)) * cos(radians(-1.19e0)) * pow(sin(radians(136.1e0 - longitude) / 2),
+    2))), 4) AS great FROM v_det""")
 def h21_h22_distances(det):
     a = (F.col("latitude"), F.col("longitude"), F.lit(-1.19), F.lit(136.1))
     return det.select("detection_id", r(S.flat_metres(*a), 4).alias("flat"), r(S.haversine(*a), 4).alias("great"))
 
 
-@query("v_det", sql="WITH b AS (SELECT detection_id, (degrees(atan2(sin(radians(135.37e0 - longitude)) * cos(radians(-1.312e0)), cos(radians(latitude)) * sin(radians(-1.312e0)) - sin(radians(latitude)) * cos(radians(-1.312e0)) * cos(radians(135.37e0 - longitude)))) + 360) % 360 AS b FROM v_det) SELECT detection_id, ['N', 'NE', 'E', 'SE', 'S', 'SW', 'W', 'NW'][1 + CAST(floor(((b + 22.5) % 360) / 45) AS INTEGER)] AS compass FROM b")
+@query("v_det", sql="""WITH b AS (SELECT detection_id, (degrees(atan2(sin(radians(135.37e0 - longitude)) * cos(radians(-1.312e0)),
+    cos(radians(latitude)) * sin(radians(-1.312e0)) - sin(radians(latitude)) * cos(radians(-1.312e0)) * cos(radians(135.37e0 - longitude)))) + 360) % 360 AS b
+    FROM v_det) SELECT detection_id, ['N', 'NE', 'E', 'SE', 'S', 'SW', 'W', 'NW'][1 + CAST(floor(((b + 22.5) % 360) / 45) AS INTEGER)] AS compass
+    FROM b""")
 def h22_compass(det):
     return det.select("detection_id", S.compass(S.initial_bearing(F.col("latitude"), F.col("longitude"), F.lit(-1.312), F.lit(135.37))).alias("compass"))
 
 
-@query("v_det", sql="SELECT detection_id, CAST(least(greatest(floor((longitude - 134.25) * (111320 * cos(radians(-0.2))) / 1000), 0), 279) AS INTEGER) AS i, CAST(least(greatest(floor((latitude + 1.39e0) * 111320 / 1000), 0), 264) AS INTEGER) AS j FROM v_det")
+@query("v_det", sql="""SELECT detection_id, CAST(least(greatest(floor((longitude - 134.25) * (111320 * cos(radians(-0.2))) / 1000),
+    0), 279) AS INTEGER) AS i, CAST(least(greatest(floor((latitude + 1.39e0) * 111320 / 1000), 0), 264) AS INTEGER) AS j
+    FROM v_det""")
 def h23_grid(det):
     i, j, _, _ = S.grid_cell(F.col("latitude"), F.col("longitude"), (134.25, -1.39, 136.76, 0.99), 1000)
     return det.select("detection_id", i.alias("i"), j.alias("j"))
@@ -106,23 +131,30 @@ def h24_box_area(adm):
     return adm.select("adm_id", r(S.box_km2(*[F.col(c) for c in "wsen"])).alias("km2"))
 
 
-@query("v_wx", sql="SELECT cell, date, round(least(100 * exp(17.625 * (t_noon - 3) / (243.04 + t_noon - 3)) / exp(17.625 * t_noon / (243.04 + t_noon)), 100), 6) AS rh FROM v_wx")
+@query("v_wx", sql="""SELECT cell, date, round(least(100 * exp(17.625 * (t_noon - 3) / (243.04 + t_noon - 3)) / exp(17.625 * t_noon / (243.04 + t_noon)),
+    100), 6) AS rh FROM v_wx""")
 def h25_humidity(wx):
     return wx.select("cell", "date", r(S.relative_humidity(F.col("t_noon"), F.col("t_noon") - 3)).alias("rh"))
 
 
-@query("v_pix", sql="SELECT band, count(*) AS n FROM (SELECT CASE WHEN dn <= 0 THEN 'inside' WHEN dn <= 375 THEN 'within 375 m' WHEN dn <= 750 THEN 'within 750 m' WHEN dn <= 1500 THEN 'within 1500 m' ELSE 'beyond 1500 m' END AS band FROM v_pix) GROUP BY band")
+@query("v_pix", sql="""SELECT band, count(*) AS n FROM (SELECT CASE WHEN dn <= 0 THEN 'inside' WHEN dn <= 375 THEN 'within 375 m'
+    WHEN dn <= 750 THEN 'within 750 m' WHEN dn <= 1500 THEN 'within 1500 m' ELSE 'beyond 1500 m' END AS band
+    FROM v_pix) GROUP BY band""")
 def h26_bands(pix):
     return pix.groupBy(S.distance_band(F.col("dn")).alias("band")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("v_hist", sql="SELECT detection_id, CASE WHEN d < p AND p < date_wit THEN 'scar in pre' WHEN p < d AND d < date_wit THEN 'earlier burn included' ELSE 'no prior detection' END AS direction FROM (SELECT *, CAST(date_wit - CAST(detection_id % 9 AS INTEGER) AS DATE) AS d, CAST(date_wit - CAST(detection_id % 5 AS INTEGER) AS DATE) AS p FROM v_hist)")
+@query("v_hist", sql="""SELECT detection_id, CASE WHEN d < p AND p < date_wit THEN 'scar in pre' WHEN p < d AND d < date_wit THEN 'earlier burn included' ELSE 'no prior detection' END AS direction
+    FROM (SELECT *, CAST(date_wit - CAST(detection_id % 9 AS INTEGER) AS DATE) AS d, CAST(date_wit - CAST(detection_id % 5 AS INTEGER) AS DATE) AS p
+    FROM v_hist)""")
 def h27_direction(hist):
     d, p = F.date_sub("date_wit", (F.col("detection_id") % 9).cast("int")), F.date_sub("date_wit", (F.col("detection_id") % 5).cast("int"))
     return hist.select("detection_id", S.look_direction(d, p, F.col("date_wit")).alias("direction"))
 
 
-@query("v_pix", sql="WITH a AS (SELECT scene, sum(CASE WHEN valid AND dn > 1000 THEN 0.04e0 ELSE 0 END) AS ch, sum(CASE WHEN valid THEN 0.04e0 ELSE 0 END) AS cl, sum(0.04e0) AS w FROM v_pix GROUP BY scene) SELECT scene, round(0.01e0 * cl, 6) AS by_chance, round(ch + w - cl, 6) AS upper, round(cl / w, 6) AS clear FROM a")
+@query("v_pix", sql="""WITH a AS (SELECT scene, sum(CASE WHEN valid AND dn > 1000 THEN 0.04e0 ELSE 0 END) AS ch, sum(CASE
+    WHEN valid THEN 0.04e0 ELSE 0 END) AS cl, sum(0.04e0) AS w FROM v_pix GROUP BY scene) SELECT scene, round(0.01e0 * cl, 6) AS by_chance,
+    round(ch + w - cl, 6) AS upper, round(cl / w, 6) AS clear FROM a""")
 def h28_bounds(pix):
     a = pix.groupBy("scene").agg(F.sum(F.when(F.col("valid") & (F.col("dn") > 1000), 0.04).otherwise(0.0)).alias("ch"), F.sum(F.when(F.col("valid"), 0.04).otherwise(0.0)).alias("cl"), F.sum(F.lit(0.04)).alias("w"))
     x, y, z = S.area_bounds(F.col("ch"), F.col("cl"), F.col("w"), 0.99)
@@ -134,20 +166,28 @@ def h29_bits(pix):
     return pix.groupBy(S.bit_field(F.col("qa"), 192, 6).alias("field")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("v_det", sql="SELECT detection_id, CAST(floor((longitude + 180) / 360 * 4096) AS INTEGER) AS tile_x, CAST(floor((1 - ln(tan(radians(latitude)) + 1 / cos(radians(latitude))) / pi()) / 2 * 4096) AS INTEGER) AS tile_y, 4095 - CAST(floor((1 - ln(tan(radians(latitude)) + 1 / cos(radians(latitude))) / pi()) / 2 * 4096) AS INTEGER) AS tms_y FROM v_det")
+@query("v_det", sql="""SELECT detection_id, CAST(floor((longitude + 180) / 360 * 4096) AS INTEGER) AS tile_x, CAST(floor((1 - ln(tan(radians(latitude)) + 1 / cos(radians(latitude))) / pi()) / 2 * 4096) AS INTEGER) AS tile_y,
+    4095 - CAST(floor((1 - ln(tan(radians(latitude)) + 1 / cos(radians(latitude))) / pi()) / 2 * 4096) AS INTEGER) AS tms_y
+    FROM v_det""")
 def h30_tiles(det):
     x, y, t = S.mercator_tile(F.col("latitude"), F.col("longitude"), 12)
     return det.select("detection_id", x.alias("tile_x"), y.alias("tile_y"), t.alias("tms_y"))
 
 
-@query("v_lab", sql="WITH c AS (SELECT stratum, sum((first_reader = 1 AND second_reader = 1)::INT) AS tp, sum((first_reader = 1 AND second_reader = 0)::INT) AS fp, sum((first_reader = 0 AND second_reader = 1)::INT) AS fn, sum((first_reader = 0 AND second_reader = 0)::INT) AS tn FROM v_lab GROUP BY stratum), m AS (SELECT *, tp / nullif(tp + fp, 0) AS p, tp / nullif(tp + fn, 0) AS r, tn / nullif(tn + fp, 0) AS s FROM c) SELECT stratum, round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / nullif(p + r, 0), 6) AS f1, round((r + s) / 2, 6) AS balanced_accuracy FROM m")
+@query("v_lab", sql="""WITH c AS (SELECT stratum, sum((first_reader = 1 AND second_reader = 1)::INT) AS tp, sum((first_reader = 1 AND second_reader = 0)::INT) AS fp,
+    sum((first_reader = 0 AND second_reader = 1)::INT) AS fn, sum((first_reader = 0 AND second_reader = 0)::INT) AS tn
+    FROM v_lab GROUP BY stratum), m AS (SELECT *, tp / nullif(tp + fp, 0) AS p, tp / nullif(tp + fn, 0) AS r, tn / nullif(tn + fp,
+    0) AS s FROM c) SELECT stratum, round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / nullif(p + r, 0), 6) AS f1,
+    round((r + s) / 2, 6) AS balanced_accuracy FROM m""")
 def h31_safe_metrics(lab):
     a, b = F.col("first_reader"), F.col("second_reader")
     c = lab.groupBy("stratum").agg(*[F.count_if((a == x) & (b == y)).alias(n) for n, x, y in (("tp", 1, 1), ("fp", 1, 0), ("fn", 0, 1), ("tn", 0, 0))])
     return c.select("stratum", *[r(v).alias(k) for k, v in S.scores(*[F.col(n).cast("double") for n in ("tp", "fp", "fn", "tn")]).items()])
 
 
-@query("v_pix", sql="WITH l AS (SELECT scene, quantile_cont(b12, 0.02) AS lo, quantile_cont(b12, 0.98) AS hi FROM v_pix GROUP BY scene) SELECT scene, CAST(round(least(greatest((b12 - lo) / (hi - lo), 0), 1) * 255) AS INTEGER) AS level, count(*) AS n FROM v_pix JOIN l USING (scene) GROUP BY ALL")
+@query("v_pix", sql="""WITH l AS (SELECT scene, quantile_cont(b12, 0.02) AS lo, quantile_cont(b12, 0.98) AS hi
+    FROM v_pix GROUP BY scene) SELECT scene, CAST(round(least(greatest((b12 - lo) / (hi - lo), 0), 1) * 255) AS INTEGER) AS level,
+    count(*) AS n FROM v_pix JOIN l USING (scene) GROUP BY ALL""")
 def h32_stretch(pix):
     """Levels between the 2nd and the 98th percentile of each scene."""
     lim = pix.groupBy("scene").agg(F.percentile("b12", F.lit(0.02)).alias("lo"), F.percentile("b12", F.lit(0.98)).alias("hi"))

@@ -62,13 +62,18 @@ def l7_stream_moisture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.select("cell", "date", *[F.round(c, 4).alias(c) for c in ("ffmc", "dmc", "dc", "kbdi")])
 
 
-ORACLES["l7_stream_moisture"] = oracle(FWI_SERIES[: FWI_SERIES.index("  i AS (")].rstrip().rstrip(",") + " SELECT cell, date, round(f0, 4) AS ffmc, round(d0, 4) AS dmc, round(c0, 4) AS dc, round(q0, 4) AS kbdi FROM c", "v_wx")
+ORACLES["l7_stream_moisture"] = oracle(FWI_SERIES[: FWI_SERIES.index("  i AS (")].rstrip().rstrip(",") + """ SELECT cell, date, round(f0,
+    4) AS ffmc, round(d0, 4) AS dmc, round(c0, 4) AS dc, round(q0, 4) AS kbdi FROM c""", "v_wx")
 
 for f in (l1_stream_closed_days, l2_stream_once, l5_stream_sessions, l6_stream_upsert, l7_stream_moisture):
     QUERIES[f.__name__] = f
 
-ORACLES["l1_stream_closed_days"] = oracle("SELECT date_wit AS day, count(*) AS n FROM v_det GROUP BY date_wit HAVING CAST(date_wit AS TIMESTAMP) + INTERVAL 15 HOUR <= (SELECT max(datetime_utc) FROM v_det) - INTERVAL 1 DAY", "v_det")
+ORACLES["l1_stream_closed_days"] = oracle("""SELECT date_wit AS day, count(*) AS n FROM v_det GROUP BY date_wit
+    HAVING CAST(date_wit AS TIMESTAMP) + INTERVAL 15 HOUR <= (SELECT max(datetime_utc) FROM v_det) - INTERVAL 1 DAY""", "v_det")
 ORACLES["l2_stream_once"] = "SELECT event_id FROM events"
-ORACLES["l5_stream_sessions"] = """WITH c AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 3 HOUR THEN 1 ELSE 0 END AS new FROM events), g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g FROM c)
-  SELECT user_id, CAST(epoch(date_trunc('second', min(ts))) AS BIGINT) AS started, count(*) AS n FROM g GROUP BY user_id, g HAVING max(ts) + INTERVAL 3 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
+ORACLES["l5_stream_sessions"] = """WITH c AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id
+    ORDER BY ts) >= INTERVAL 3 HOUR THEN 1 ELSE 0 END AS new FROM events), g AS (SELECT *, sum(new) OVER (PARTITION BY user_id
+    ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g FROM c)
+  SELECT user_id, CAST(epoch(date_trunc('second', min(ts))) AS BIGINT) AS started, count(*) AS n FROM g GROUP BY user_id, g
+    HAVING max(ts) + INTERVAL 3 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
 ORACLES["l6_stream_upsert"] = "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"
