@@ -79,3 +79,49 @@ def test_registry_versions_and_splits(spark, tmp_path):
     got = sites.match_registry(now, known, 750.0, sites.next_site_number(known))
     assert {(r.n, r.site_id, r.new) for r in got.collect()} == {(7, "R001", False), (3, "R003", True), (1, "R004", True)}
     assert [tuple(r) for r in sites.split_notes(got, now, known, 750.0).collect()] == [("R003", "split from R001")]
+
+
+def test_running_sums_over_buckets(spark, monkeypatch):
+    from pyrelith.operators import ordering
+
+    monkeypatch.setattr(ordering, "BUCKET", 7)
+    d = spark.range(1, 101).select(F.col("id").alias("r"), (F.col("id") % 5).alias("a"), F.lit(2).cast("long").alias("b"))
+    got = {r.r: (r.a, r.b) for r in ordering.running_sums(d, "r", ["a", "b"]).collect()}
+    total = 0
+    for k in range(1, 101):
+        total += k % 5
+        assert got[k] == (total, 2 * k)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from pyrelith import runtime
+
+    assert runtime.is_one_machine("local[4]") and runtime.is_one_machine("local") and not runtime.is_one_machine("local-cluster[3,2,1000]") and not runtime.is_one_machine("yarn")
+    monkeypatch.setattr(runtime, "CHECKPOINT_KEY", "spark.no.such.folder")
+    assert runtime.shared_folder(spark) == runtime.LOCAL_CHECKPOINTS
+    monkeypatch.setattr(runtime, "is_one_machine", lambda master: False)
+    with pytest.raises(RuntimeError):
+        runtime.shared_folder(spark)
+    s = runtime.Scratch
+    monkeypatch.undo()
+    t = s(spark, "drop")
+    t.table(spark.range(3), "a")
+    assert t.bytes("a") > 0
+    t.drop("a")
+    with pytest.raises(Exception):
+        t.bytes("a")
+
+
+def test_late_rows_of_a_cell_are_counted(spark, sf, tmp_path):
+    from pyrelith.streaming import operators as S
+
+    wx = load(spark, sf, "v_wx")[0].where("cell = 2 and date < DATE'1994-01-01'").orderBy("date").limit(40)
+    p = str(tmp_path / "wx")
+    days = wx.collect()
+    spark.createDataFrame(days[10:], wx.schema).coalesce(1).write.parquet(p)
+    q = S.moisture_codes(spark.readStream.schema(wx.schema).parquet(p)).writeStream.format("parquet").outputMode("append").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True)
+    q.start().awaitTermination()
+    spark.createDataFrame(days[:10], wx.schema).coalesce(1).write.mode("append").parquet(p)
+    q.start().awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == len(days) and {r.date for r in S.late_days(out).collect()} == {d.date for d in days[:10]}
