@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyrelith.functions.scalar import M_PER_DEG
@@ -27,6 +27,11 @@ def st_dbscan(points: DataFrame, eps_m: float, eps_s: int, min_samples: int = 2,
     spots = ranked.groupBy(*spot).agg(F.min(F.struct("at", "id")).alias("first"), F.count(F.lit(1)).alias("n"), F.min("id").alias("spot"))
     spots = scratch.table(spots.withColumn("time", F.timestamp_seconds("second")), "spots")
     pairs = scratch.table(space_time_pairs(spots, eps_m, eps_s, "spot", "time").select("a", "b"), "pairs")
+    if min_samples <= 2:  # whoever has a neighbour is core, so events are the components of the pairs
+        comp = connected_components(pairs, scratch)
+        named = spots.join(comp, spots["spot"] == comp["node"], "left").select(*spot, "first", F.coalesce("component", "spot").alias("c"))
+        first = named.groupBy("c").agg(F.min("first").alias("name"))
+        return labelled(ranked, named.join(first, "c"), spot, key, F.col("name.id"))
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = both.join(spots.select(F.col("spot").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("near"))
     core = spots.join(others, spots["spot"] == others["a"], "left").where(F.col("n") + F.coalesce("near", F.lit(0)) >= min_samples).select(F.col("spot").alias("id"), "first")
@@ -44,7 +49,12 @@ def st_dbscan(points: DataFrame, eps_m: float, eps_s: int, min_samples: int = 2,
     first = held.groupBy("seed").agg(F.min("first").alias("name"))
     events = held.join(first, "seed").select(*spot, F.col("name.id").alias("event"))
     alone = named.where("seed is null").select(*spot, F.lit(None).cast(points.schema[key].dataType).alias("event"))
-    labels = events.unionByName(alone).select(*[F.col(c).alias(f"s_{c}") for c in spot], "event")
+    return labelled(ranked, events.unionByName(alone), spot, key, F.col("event"))
+
+
+def labelled(ranked: DataFrame, spots: DataFrame, spot: list[str], key: str, event: Column) -> DataFrame:
+    """Each point with the event of its spot; points of spots without one are events of their own."""
+    labels = spots.select(*[F.col(c).alias(f"s_{c}") for c in spot], event.alias("event"))
     j = ranked.join(labels, [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in spot])
     return j.select(F.col("id").alias(key), F.coalesce("event", "id").alias("event"))
 

@@ -125,3 +125,50 @@ def test_late_rows_of_a_cell_are_counted(spark, sf, tmp_path):
     q.start().awaitTermination()
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == len(days) and {r.date for r in S.late_days(out).collect()} == {d.date for d in days[:10]}
+
+
+def test_density_clusters_by_brute_force(spark):
+    """Core points, border points of the earliest event, copies of a place and second, and points alone, for several numbers of samples."""
+    import random
+
+    from pyrelith.operators import events as E
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(160):
+        x, y, t = rng.randrange(9), rng.randrange(9), rng.randrange(6)
+        rows.append((i, -1.0 + y * 0.002, 136.0 + x * 0.002, 1_700_000_000 + t * 3600))
+    rows += [(200 + k, *rows[k][1:]) for k in range(12)]
+    d = spark.createDataFrame(rows, "detection_id long, latitude double, longitude double, at long").withColumn("datetime_utc", F.timestamp_seconds("at"))
+    k = 111_320.0
+    mean = sum(r[1] for r in rows) / len(rows)
+
+    def near(a, b):
+        return abs(a[3] - b[3]) <= 3600 and math.hypot((a[2] - b[2]) * k * math.cos(math.radians(mean)), (a[1] - b[1]) * k) <= 300
+
+    for samples in (1, 2, 3, 4, 6):
+        core = [r for r in rows if sum(near(r, q) for q in rows) >= samples]
+        label = {r[0]: r[0] for r in core}
+        changed = True
+        while changed:
+            changed = False
+            for a in core:
+                for b in core:
+                    if near(a, b) and label[a[0]] != label[b[0]]:
+                        label[a[0]] = label[b[0]] = min(label[a[0]], label[b[0]])
+                        changed = True
+        groups = {}
+        for r in core:
+            groups.setdefault(label[r[0]], []).append(r)
+        seed = {g: min((r[3], r[0]) for r in rs) for g, rs in groups.items()}
+        for r in rows:
+            if r[0] not in label:
+                reach = [label[c[0]] for c in core if near(r, c)]
+                if reach:
+                    groups[min(reach, key=seed.get)].append(r)
+        want = {r[0]: r[0] for r in rows}
+        for rs in groups.values():
+            for r in rs:
+                want[r[0]] = min((q[3], q[0]) for q in rs)[1]
+        got = {r.detection_id: r.event for r in E.st_dbscan(d, 300.0, 3600, samples).collect()}
+        assert got == want, samples
