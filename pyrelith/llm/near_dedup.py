@@ -152,9 +152,9 @@ def signatures(docs: DataFrame, coords: int, width: int) -> DataFrame:
     return docs.mapInPandas(run, SIGS)
 
 
-def small(scratch: Scratch, name: str, table: DataFrame, most_bytes: int) -> DataFrame:
-    """A written table, to be broadcast if its measured size is below ``most_bytes``."""
-    return F.broadcast(table) if scratch.bytes(name) <= most_bytes else table
+def small(table: DataFrame, most_bytes: int) -> DataFrame:
+    """A written table of numbers, to be broadcast if its counted rows take up to ``most_bytes`` unpacked (16 bytes a value)."""
+    return F.broadcast(table) if table.count() * 16 * len(table.columns) <= most_bytes else table
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = 5, coords: int = 32, broadcast_bytes: int = 16 << 20, block_rows: int = 1500, compared=None) -> DataFrame:
@@ -213,7 +213,7 @@ def linked_components(spark, scratch: Scratch, texts: DataFrame, classes: DataFr
     # sets of the classes that may have a link, those that nobody chose as leader too: one pass over the texts they stand for
     wanted = star.select(F.col("a").alias("rep"), F.col("b").alias("lead"), F.lit(False).alias("leads")).unionByName(star.where("b is not null").select(F.col("b").alias("rep"), F.lit(None).cast("long").alias("lead"), F.lit(True).alias("leads")).distinct())
     wanted = wanted.groupBy("rep").agg(F.max("lead").alias("lead"), F.max("leads").alias("leads"))
-    wanted = small(scratch, "wanted", scratch.table(wanted, "wanted"), broadcast_bytes)
+    wanted = small(scratch.table(wanted, "wanted"), broadcast_bytes)
 
     def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
@@ -234,9 +234,9 @@ def linked_components(spark, scratch: Scratch, texts: DataFrame, classes: DataFr
     named = posts.join(label, posts["rep"] == label["node"], "left").select("token", "rep", F.coalesce("component", "rep").alias("comp"))
     mixed_lists = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi").select("token", "n")
     open_posts = scratch.table(named.join(mixed_lists, "token"), "open")
-    marks = classes.join(posted, "rep").join(sets.select(F.col("id").alias("rep"), "fine"), "rep").select("rep", "sig", "fine")
+    marks = classes.join(posted, "rep").join(sets.select(F.col("id").alias("rep"), "fine"), "rep").select("rep", "sig", "fine", "tokens")
     short = open_posts.where(F.col("n") <= block_rows).withColumn("blocks", F.lit(1)).withColumn("block", F.lit(0))
-    cross = cross_pairs(short, marks, {"sig": least, "fine": fine_matches_needed(percent / 100)}, compared)
+    cross = cross_pairs(short.join(marks, "rep"), {"sig": least, "fine": fine_matches_needed(percent / 100)}, compared)
     busy = scratch.table(open_posts.where(F.col("n") > block_rows).select("rep", "comp").distinct(), "busy")
     if not busy.isEmpty():
         cross = cross.unionByName(skipped_pairs(scratch, busy.join(sets.select(F.col("id").alias("rep"), "set"), "rep"), matches_needed(FINE, percent / 100), block_rows, compared)).distinct()
@@ -244,7 +244,7 @@ def linked_components(spark, scratch: Scratch, texts: DataFrame, classes: DataFr
     if not cross.isEmpty():
         ids = scratch.table(cross.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
         # a set is asked for by its id; sets of rows that share an id are held against the others each
-        few = sets.select("id", "set").join(small(scratch, "ids", ids, broadcast_bytes), "id")
+        few = sets.select("id", "set").join(small(ids, broadcast_bytes), "id")
         both = cross.join(few.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a").join(few.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
         more = scratch.table(confirm(both, percent).distinct(), "links2")
         labelled = [label.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in ("a", "b")]
@@ -285,19 +285,20 @@ def skipped_pairs(scratch: Scratch, classes: DataFrame, least: int, block_rows:
     long = F.count_if(F.col("uses") > block_rows)
     short = F.sort_array(F.collect_list(F.when(F.col("uses") <= block_rows, F.struct("uses", "token"))))
     hot = F.sort_array(F.collect_list(F.when(F.col("uses") > block_rows, F.struct("uses", "token"))))
-    merged = scratch.table(tokens.join(uses, "token").groupBy("rep").agg(long.alias("l"), short.alias("short"), hot.alias("hot")), "merged")
+    merged = tokens.join(uses, "token").groupBy("rep").agg(long.alias("l"), short.alias("short"), hot.alias("hot"))
+    merged = scratch.table(merged.join(signed, "rep"), "merged")
     # a value that only one class has fills a place of the prefix without being posted
     alone = F.lit(FINE) - F.col("l") - F.size("short")
     prefix = F.when(F.col("l") < least, F.greatest(F.lit(FINE - least + 1) - alone, F.lit(0))).otherwise(F.size("short"))
-    listed = merged.withColumn("keep", F.slice("short", F.lit(1), prefix.cast("int"))["token"]).select("rep", F.explode("keep").alias("token"))
-    posts = listed.join(signed.select("rep", "comp"), "rep").withColumn("blocks", F.lit(1)).withColumn("block", F.lit(0))
-    out = cross_pairs(several(posts), signed.select("rep", "wide"), {"wide": least}, compared)
-    crowd = merged.where(F.col("l") >= least)
+    listed = merged.select("rep", "comp", "wide", F.slice("short", F.lit(1), prefix.cast("int"))["token"].alias("tokens"))
+    posts = listed.select("*", F.explode("tokens").alias("token"), F.lit(1).alias("blocks"), F.lit(0).alias("block"))
+    out = cross_pairs(several(posts), {"wide": least}, compared)
     first = F.greatest(F.lit(FINE - least + 1) - alone - F.size("short"), F.lit(0)).cast("int")
-    crowd = crowd.withColumn("keep", F.slice("hot", F.lit(1), first)["token"]).select("rep", F.explode("keep").alias("token")).join(signed.select("rep", "comp"), "rep")
+    listed = merged.where(F.col("l") >= least).select("rep", "comp", "wide", F.slice("hot", F.lit(1), first)["token"].alias("tokens"))
+    crowd = listed.select("*", F.explode("tokens").alias("token"))
     sizes = crowd.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
     crowd = several(crowd).join(sizes, "token").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    return out.unionByName(cross_pairs(crowd, signed.select("rep", "wide"), {"wide": least}, compared))
+    return out.unionByName(cross_pairs(crowd, {"wide": least}, compared))
 
 
 def several(posts: DataFrame) -> DataFrame:
@@ -310,21 +311,23 @@ def several(posts: DataFrame) -> DataFrame:
 KINDS = {"sig": np.dtype("<i4"), "fine": np.dtype("u1"), "wide": np.dtype("<u2")}
 
 
-def cross_pairs(posts: DataFrame, marks: DataFrame, checks: dict[str, int], compared=None) -> DataFrame:
-    """Pairs ``a < b`` of one list and different components whose signatures collide in enough coordinates; a pair may come from several lists.
+def cross_pairs(posts: DataFrame, checks: dict[str, int], compared=None) -> DataFrame:
+    """Pairs ``a < b`` of one list and different components whose signatures collide in enough coordinates.
 
-    ``checks`` has the signatures in the order in which they are compared, and the collisions that each needs. A list of one block
+    A row of ``posts`` is a class in a list (``token``) with its component, its signatures, and ``tokens``, all lists that it is posted in. A pair
+    is made only in the list of the smallest token that both have; if that list isn't among ``posts``, it is left to whoever handles it. ``checks`` has the signatures in the order in which they are compared, and the collisions that each needs. A list of one block
     is one group; one of n blocks becomes n (n + 1) / 2 groups of two blocks at most, so a task holds two blocks and the pairs that pass.
     """
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))
-    dealt = posts.select("token", "rep", "comp", "block", "blocks").join(marks, "rep").withColumn("cell", F.explode(pairs))
+    dealt = posts.withColumn("cell", F.explode(pairs))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in whole_groups(batches, ["token", "i", "j"]):
             signs = [(np.stack([np.frombuffer(x, dtype=KINDS[c]) if isinstance(x, bytes) else x for x in g[c]]), least) for c, least in checks.items()]
             rep, comp, block, token, i, j = (g[c].to_numpy() for c in ("rep", "comp", "block", "token", "i", "j"))
+            tokens = [frozenset(t.tolist()) for t in g["tokens"]]
             cuts = np.flatnonzero((np.diff(token) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
-            out: set[tuple] = set()
+            out: list[tuple] = []
             n = 0
             for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(g)], strict=True):
                 rows = np.arange(lo, hi)
@@ -336,12 +339,12 @@ def cross_pairs(posts: DataFrame, marks: DataFrame, checks: dict[str, int], comp
                     for sign, least in signs:
                         if rest.size:
                             rest = rest[(sign[rest] == sign[k]).sum(axis=1) >= least]
-                    out.update((min(rep[x], rep[k]), max(rep[x], rep[k])) for x in rest.tolist())
+                    out += [(min(rep[x], rep[k]), max(rep[x], rep[k])) for x in rest.tolist() if min(tokens[x] & tokens[k]) == token[lo]]
             if compared is not None:
                 compared.add(int(n))
-            yield pd.DataFrame(list(out), columns=["a", "b"]).astype("int64")
+            yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    together = dealt.select("token", "cell.i", "cell.j", "block", "rep", "comp", *checks).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "rep")
+    together = dealt.select("token", "cell.i", "cell.j", "block", "rep", "comp", "tokens", *checks).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "rep")
     return together.mapInPandas(run, "a long, b long").where("a <> b").distinct()
 
 
@@ -368,7 +371,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The rows of ``docs`` with all their columns, one document of each component: the one with the smallest id."""
     scratch = Scratch(docs.sparkSession, "near-drop")
     gone = scratch.table(near_components(docs, id_col, text_col, percent, **options).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    return docs.join(small(scratch, "gone", gone, 16 << 20), docs[id_col] == F.col("__gone"), "left_anti")
+    return docs.join(small(gone, 16 << 20), docs[id_col] == F.col("__gone"), "left_anti")
 
 
 ORACLE = r"""
