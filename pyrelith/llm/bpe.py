@@ -282,13 +282,13 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     entry a block, so no bucket gets more than its share; what moves is distinct words, ids and
     the numbers of words, never texts. There are four buckets for each shuffle partition of the session, 64 to 16,384.
 
-    Null and empty texts have no ids. Rows that repeat are encoded each; a null id is kept; a text longer
+    Null and empty texts have no ids. Rows that repeat are encoded each; a null id is kept; ids are numbers or texts of numbers, other texts become null; a text longer
     than a block is a block; an empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
     text_batches(spark)
     table = spark.sparkContext.broadcast(piece_table(path))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     buckets = buckets or min(16_384, max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     if buckets > 1 << 16:
         raise ValueError("at most 65,536 buckets")

@@ -41,7 +41,7 @@ SCOPES = frozenset("ul ol dl table article section div body main aside nav heade
 NOISE_TAGS = frozenset("nav footer aside form script style noscript template button select textarea input iframe svg math dialog menu head title object".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar form".split())
 #: Names of regions that are no content, and words that only say what form a region has.
-NOISE_WORDS = frozenset("ad ads adv advert adverts advertisement advertising banner banners sponsor sponsors sponsored promo promos promotion nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars side aside footer cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription share sharing social comment comments disqus reply replies respond related recommended recommendations widget widgets pagination pager login signup search toolbar skip legal copyright paywall".split())
+NOISE_WORDS = frozenset("ad adbox ads adslot adunit adv advert adverts advertisement advertising advertorial banner banners sponsor sponsors sponsored promo promos promotion nav navbar navigation navlinks navlist sidenav subnav topnav menu menubar menus breadcrumb breadcrumbs sidebar sidebars side aside footer cookie cookiebar cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription share sharebar sharing social comment commentlist comments disqus reply replies respond related recommended recommendations widget widgets pagination pager login signup search searchbar searchbox toolbar skip legal copyright paywall".split())
 HEADER_WORDS = frozenset("header masthead".split())
 FORM_WORDS = frozenset("area article articles bar block body bottom box button buttons card cards col column container content field first form global group icon icons inner item items js label last left link links list main menu outer page pages panel post posts primary right row rows secondary section site slot sticky stories story text thread title toggle top unit wrap wrapper".split())
 #: Elements that hold pages or texts; their names tell of layouts and subjects.

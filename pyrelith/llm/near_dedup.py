@@ -175,14 +175,14 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     about two pairs in 100,000 at the very threshold, fewer above it. ``compared``, an accumulator, counts compared pairs of signatures.
 
     Null and wordless texts have no shingles and are alone. Rows that share an id are one document with
-    several texts; a null id is linked with nothing and has a null component. Repeated rows are one
+    several texts; a null id is linked with nothing and has a null component; ids are numbers or texts of numbers, other texts count as null. Repeated rows are one
     class; empty tables give no rows; other columns are not read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near-dedup")
     text_batches(spark)
     least = matches_needed(coords, percent / 100)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sigs = scratch.table(signatures(texts, coords, width), "signatures")
     usable = sigs.where("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("digest", "n_shingles").agg(F.min(F.struct("doc_id", "sig")).alias("first"))

@@ -497,10 +497,10 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int = 2, id_co
 
     Texts are dealt to ranges of ids and sorted there, so one shuffle moves them and no task needs more
     than a stripe of ids. Null texts have the end id only; null ids come first; rows that repeat an id are
-    written each, in order of their texts; an empty table gives a folder without rows.
+    written each, in order of their texts; ids are numbers or texts of numbers, other texts count as null; an empty table gives a folder without rows.
     """
     text_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(to_stripes(path, end_id), "part long, docs string, ids long, payload binary").write.mode("overwrite").parquet(folder)
 

@@ -328,13 +328,14 @@ def detect(docs: DataFrame, labels: DataFrame, most_texts: int = 20_000, least:
     once for the features (all).
 
     Null and empty texts get the score of a text without insults. A null id is held out. Rows that repeat are scored each; a label of an
-    id that has several is the largest; labels other than 0 and 1 are none. Without labels the seed lexicon and the patterns remain, at a
+    id that has several is the largest; labels other than 0 and 1 are none, as are those of ids that are none of ``docs``' kind. Without labels the seed lexicon and the patterns remain, at a
     first prior of one in ten. Empty tables give no rows; other columns are not read.
     """
     spark = docs.sparkSession
     text_batches(spark)
     scratch = Scratch(spark, "toxicity")
-    known = labels.where(~held_out() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    kind = docs.schema["doc_id"].dataType
+    known = labels.select(F.col("doc_id").try_cast(kind).alias("doc_id"), "toxic").where(~held_out() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     few = known.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(most_texts)
     sample = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     sample = scratch.table(sample.select("text", "toxic"), "sample")
@@ -345,15 +346,13 @@ def detect(docs: DataFrame, labels: DataFrame, most_texts: int = 20_000, least:
     rows = sorted((list(r.hits), r.insults, r.share, r.loud, r.toxic) for r in with_features(sample, names).collect())
     found, toxic = [tuple(r[:4]) for r in rows], np.array([r[4] for r in rows], dtype=np.int64)
 
-    kind = docs.schema["doc_id"].dataType
     features = scratch.table(with_features(docs.select("doc_id", held_out().alias("held_out"), "text"), names), "features")
     start = start_model(n_lexicon, [k for k, n in enumerate(names) if n in SEED_LEXICON])
     if n0 and n1:
         fired = (votes(found, n_lexicon) != 0).astype(np.float64)
         start.parent = parents_of(fired, toxic)
         start = start.estimated(start.sums(fired, toxic.astype(np.float64), np.ones(len(fired))))
-    given = known.select(F.col("doc_id").cast(kind).alias("doc_id"), "toxic")
-    train = features.where(~F.col("held_out")).join(given, "doc_id", "left")
+    train = features.where(~F.col("held_out")).join(known, "doc_id", "left")
     near = F.round(F.least("share", F.lit(0.02)), 6).alias("share")
     patterns = train.groupBy("hits", F.least("insults", F.lit(2)).alias("insults"), near, "loud", F.coalesce("toxic", F.lit(-1)).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     model = estimate(scratch.table(patterns, "patterns"), start, n_lexicon, rounds)

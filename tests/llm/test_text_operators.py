@@ -439,6 +439,15 @@ def test_bpe_splits_every_character_as_the_library():
     assert all([i for _ in s for i in next(flat)] == e.ids for s, e in zip(split, whole))
 
 
+def test_ids_that_are_texts(spark):
+    rows = [("7", "some words to encode"), ("x", "more words"), (None, "none")]
+    d = spark.createDataFrame(rows, "doc_id string, text string")
+    assert {r.doc_id for r in bpe.encode_decode(d, PATH).collect()} == {7, None}
+    assert {r.doc_id for r in token_store.round_trip(d, PATH).collect()} == {7, None}
+    got = {r.doc_id: r.component_id for r in near_dedup.near_components(d).collect()}
+    assert got == {7: 7, None: None}
+
+
 def test_varints():
     x = np.array([0, 1, 127, 128, 16_383, 16_384, 2**21 - 1, 2**21, 2**28 - 1] * 40)
     data, size = bpe.varints(x)
