@@ -223,6 +223,8 @@ def encoder(path: str):
                 counts.append(pack(varints(np.fromiter(map(len, got), dtype=np.int64, count=len(got)) // 4)[0].tobytes()))
                 ids.append(pack(varints(np.frombuffer(b"".join(got), dtype="<u4").astype(np.int64))[0].tobytes()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(docs, pa.binary()), pa.array(counts, pa.binary()), pa.array(ids, pa.binary())], schema=IDS)
+        known = {}
+        release_memory()
 
     return run
 

@@ -113,6 +113,7 @@ def presence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             mark(symbols(text), bitmap)
             rows.append((lang, np.flatnonzero(bitmap).astype(np.int32).tobytes()))
         yield pd.DataFrame(rows, columns=["lang", "grams"])
+    release_memory()
 
 
 def fit(train: DataFrame, per_lang: int = 250, landmarks: int = 96, least_uses: int = 4, ridge: float = 1e-2) -> Model:

@@ -123,6 +123,7 @@ def confirm(pairs: DataFrame, percent: int) -> DataFrame:
         for t in batches:
             ok = [linked(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), percent) for x, y in zip(t["set_a"], t["set_b"], strict=True)]
             yield t.loc[np.array(ok, dtype=bool), ["a", "b"]]
+        release_memory()
 
     return pairs.select("a", "b", "set_a", "set_b").mapInPandas(run, "a long, b long")
 
@@ -269,6 +270,7 @@ def skipped_pairs(scratch: Scratch, classes: DataFrame, least: int, block_rows:
     def wide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame({"rep": b["rep"], "comp": b["comp"], "wide": [wide_sign(np.frombuffer(x, dtype=np.uint64)) for x in b["set"]]})
+        release_memory()
 
     signed = scratch.table(classes.select("rep", "comp", "set").mapInPandas(wide, "rep long, comp long, wide binary"), "wide")
 
@@ -279,6 +281,7 @@ def skipped_pairs(scratch: Scratch, classes: DataFrame, least: int, block_rows:
                 some = b.iloc[lo : lo + 200]
                 values = np.stack([np.frombuffer(x, dtype="<u2") for x in some["wide"]]).astype(np.int64)
                 yield pd.DataFrame({"rep": np.repeat(some["rep"].to_numpy(), FINE), "token": (values + base).ravel()})
+        release_memory()
 
     tokens = signed.select("rep", "wide").mapInPandas(spread, "rep long, token long")
     uses = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1")
@@ -343,6 +346,7 @@ def cross_pairs(posts: DataFrame, checks: dict[str, int], compared=None) -> Data
             if compared is not None:
                 compared.add(int(n))
             yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+        release_memory()
 
     together = dealt.select("token", "cell.i", "cell.j", "block", "rep", "comp", "tokens", *checks).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "rep")
     return together.mapInPandas(run, "a long, b long").where("a <> b").distinct()
