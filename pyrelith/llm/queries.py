@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyrelith.llm import bpe, chat_format, exact_dedup, html_extraction, language_id, mixing, near_dedup, token_store, topk_search, toxicity
+from pyrelith.llm import bpe, chat_format, exact_dedup, fingerprints, html_extraction, language_id, mixing, near_dedup, resampling, sessions, token_store, topk_search, toxicity
 
 
 def _read(spark, sf_dir, name):
@@ -54,5 +54,32 @@ def op10_exact_topk(spark, sf_dir):
     return topk_search.exact_topk(vectors, vectors.where("vec_id % 100 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_toxicity, op3_token_output, op4_exact_dedup, op5_bpe, op6_mixing, op7_minhash_dedup, op8_language_id, op9_chat_preference, op10_exact_topk)}
-ORACLE_SQL = {"op4_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing.ORACLE, "op7_minhash_dedup": near_dedup.ORACLE, "op9_chat_preference": chat_format.ORACLE, "op10_exact_topk": topk_search.ORACLE}
+def op11_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(_read(spark, sf_dir, "documents"))
+
+
+def op12_sessions(spark, sf_dir):
+    return sessions.sessions(_read(spark, sf_dir, "clicks"))
+
+
+def op13_resampling(spark, sf_dir):
+    return resampling.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_html_extraction, op2_toxicity, op3_token_output, op4_exact_dedup, op5_bpe, op6_mixing, op7_minhash_dedup, op8_language_id,
+        op9_chat_preference, op10_exact_topk, op11_fingerprints, op12_sessions, op13_resampling,
+    )
+}
+ORACLE_SQL = {
+    "op4_exact_dedup": exact_dedup.ORACLE,
+    "op6_mixing": mixing.ORACLE,
+    "op7_minhash_dedup": near_dedup.ORACLE,
+    "op9_chat_preference": chat_format.ORACLE,
+    "op10_exact_topk": topk_search.ORACLE,
+    "op11_fingerprints": fingerprints.ORACLE,
+    "op12_sessions": sessions.ORACLE,
+    "op13_resampling": resampling.ORACLE,
+}
