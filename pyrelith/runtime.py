@@ -93,6 +93,21 @@ class Scratch:
         return self._hadoop_path(name).getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
 
+def column(name: str):
+    """A column by its whole name, dots included."""
+    from pyspark.sql import functions as F
+
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A name that none of the table's columns has, whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 BATCH_KEYS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 10_000, "spark.sql.execution.arrow.maxBytesPerBatch": 64 << 20}
 
 
