@@ -3,7 +3,7 @@
 A page is parsed into a tree; siblings of one kind become one node that holds the texts of all of them.
 Trees of a host are folded into a wrapper, a tree in which every node knows on how many pages it stood,
 whether its text was always the same, and which texts of single siblings came again. What most pages of the host have in one
-place is template, the rest are slots. A page's main text is what its slots hold, without regions that are no
+place is template, the rest are slots; pages that are the same to the byte count once. A page's main text is what its slots hold, without regions that are no
 content by their kind (navigation, footers, forms, adverts, comments and the like). Articles, or else main
 elements, narrow the slots where they hold at least half of that text.
 
@@ -26,11 +26,12 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pyrelith.runtime import Scratch, text_batches
+from pyrelith.runtime import Scratch, column, fresh, text_batches
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S)
+ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 #: Fixed values, from the HTML standard and common practice.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math".split())
@@ -46,6 +47,10 @@ HEADER_WORDS = frozenset("header masthead".split())
 FORM_WORDS = frozenset("area article articles bar block body bottom box button buttons card cards col column container content field first form global group icon icons inner item items js label last left link links list main menu outer page pages panel post posts primary right row rows secondary section site slot sticky stories story text thread title toggle top unit wrap wrapper".split())
 #: Elements that hold pages or texts; their names tell of layouts and subjects.
 WHOLE = frozenset("html body main article".split())
+#: Elements that are regions of a page; in an article only a whole one can be template, never a heading or a paragraph alone.
+REGIONS = frozenset("div section aside ul ol dl table figure details center".split())
+#: Inline styles of what a reader doesn't see.
+UNSEEN = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 #: Elements nested deeper stand beside one another in the tree, in page order.
 MAX_DEPTH = 150
 #: A node's children of more kinds than this are told apart by their tags alone.
@@ -139,6 +144,10 @@ class Builder:
             self.open.append(node)
 
 
+def is_unseen(attributes: dict[str, str]) -> bool:
+    return "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or bool(UNSEEN.search(attributes.get("style", "")))
+
+
 def parse(page: str) -> Node:
     """A tolerant tree: end tags may be missing, wrong or crossed, and the page may stop anywhere."""
     tree = Builder()
@@ -169,7 +178,7 @@ def parse(page: str) -> Node:
         if m[3].strip("/ \n\t\r"):
             attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(m[3])}
             names = " ".join(x for x in (attributes.get("class"), attributes.get("id")) if x)
-            noise = noise or attributes.get("role", "").lower() in NOISE_ROLES or "hidden" in attributes
+            noise = noise or attributes.get("role", "").lower() in NOISE_ROLES or is_unseen(attributes)
             named = not noise and tag not in WHOLE and bool(names and is_named(names, NOISE_WORDS))
         if not noise and not named and tag not in WHOLE and (tag == "header" or (names and is_named(names, HEADER_WORDS))):
             found = not tree.nearest(("article", "main"))  # a page's header is noise, an article's isn't
@@ -312,19 +321,22 @@ def template_nodes(w: list, s: Slot, shape: list, found: dict[int, bool], pages:
             template_nodes(w[3][i], s.children[j], shape[3][j], found, pages, seen)
 
 
-def blocks(node: Node, template: set[int], fixed: bool, out: list[str], line: list[str]) -> None:
-    """Text in page order; a block's pieces are joined as they stand and its white space is made one space."""
+def blocks(node: Node, template: set[int], regions: set[int], out: list[str], line: list[str]) -> None:
+    """Text in page order; a block's pieces are joined as they stand and its white space is made one space.
+
+    Left out are the own texts of ``template`` nodes and all that lies in ``regions``.
+    """
     for child in node.children:
         if isinstance(child, str):
-            if not (fixed and id(node) in template):
+            if id(node) not in template:
                 line.append(child)
-        elif not child.noise and child.tag not in RAW:
+        elif not child.noise and child.tag not in RAW and id(child) not in regions:
             if child.tag in BLOCK:
                 flush(out, line)
-                blocks(child, template, fixed, out, line)
+                blocks(child, template, regions, out, line)
                 flush(out, line)
             else:
-                blocks(child, template, fixed, out, line)
+                blocks(child, template, regions, out, line)
 
 
 def flush(out: list[str], line: list[str]) -> None:
@@ -369,30 +381,50 @@ def page_tree(page: str) -> Node:
     return root
 
 
-def text_of(tops: list[Node], template: set[int]) -> str:
+def text_of(tops: list[Node], template: set[int], regions: set[int] = frozenset()) -> str:
     out: list[str] = []
     line: list[str] = []
     for top in tops:
-        blocks(top, template, bool(template), out, line)
+        blocks(top, template, regions, out, line)
         flush(out, line)
     return " ".join(out)
 
 
-def slots_within(tops: list[Node], steady: set[int], pages: int) -> str:
-    """The text of articles without what is template on most pages of the host; all of it if the pages look like copies.
+def constant_regions(node: Node, steady: set[int], found: set[int]) -> bool | None:
+    """Whether all text below a node is template, None without text; the outermost regions that are go to ``found``."""
+    own = [c for c in node.children if isinstance(c, str) and not c.isspace()]
+    kinds = {id(node) in steady} if own else set()
+    inner: set[int] = set()
+    for c in node.children:
+        if not isinstance(c, str) and not c.noise and c.tag not in RAW and (whole := constant_regions(c, steady, inner)) is not None:
+            kinds.add(whole)
+    if kinds == {True} and node.tag in REGIONS:
+        found.add(id(node))
+    else:
+        found |= inner
+    return None if not kinds else kinds == {True}
+
+
+def slots_within(tops: list[Node], steady: set[int]) -> str:
+    """The text of articles without the regions whose text is template on most pages of the host.
 
-    They do if nothing is left, or, where they are few, if less than half is left.
+    Headings and paragraphs stay, though they come again: only whole regions go. Nothing goes where less than a third of
+    the text is no template, as those pages look like copies of one another.
     """
     whole = text_of(tops, set())
-    left = text_of(tops, steady) if steady else whole
-    return whole if not left or (pages < FEW and 2 * len(left) < len(whole)) else left
+    if not steady or 3 * len(text_of(tops, steady)) < len(whole):
+        return whole
+    regions: set[int] = set()
+    for top in tops:
+        constant_regions(top, steady, regions)
+    return text_of(tops, set(), regions) or whole
 
 
 def extract(page: str | None, wrapper: list | None) -> str:
     """The main text of a page, given its host's wrapper (None: nothing is known as template).
 
-    Text that every page of the host has where it has that element is template; inside an article most pages
-    of the host must have it, as a few may be copies. The text is that of the articles, or else of the main
+    Text that every page of the host has where it has that element is template; inside an article only whole
+    regions that most pages of the host have are. The text is that of the articles, or else of the main
     elements, unless they hold less than half of the page's text outside template and noise regions; where
     the host has no other page, less than a quarter. Otherwise all that text of the page is taken. If there
     is none, the page is a copy of the host's others and all its text outside noise regions is taken. If
@@ -409,7 +441,7 @@ def extract(page: str | None, wrapper: list | None) -> str:
     steady = {k for k, most in template.items() if most}
     everything = text_of([root], set(template))
     for tag in ("article", "main"):
-        inside = slots_within(outermost(root, tag, []), steady, pages)
+        inside = slots_within(outermost(root, tag, []), steady)
         if inside and (4 if pages == 1 else 2) * len(inside) >= len(everything):
             return inside
     if not everything and not (everything := text_of([root], set())):
@@ -467,13 +499,23 @@ def host_of(url: str = "url"):
 SCHEMA = "host string, part int, wrapper string"
 
 
+def distinct_pages(rows: DataFrame) -> DataFrame:
+    """Each host's pages once: copies say no more of what is template. Only pages that have copies move."""
+    rows = rows.withColumn("digest", F.xxhash64("html"))
+    several = Scratch(rows.sparkSession, "page-copies").table(rows.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "several")
+    if several.isEmpty():
+        return rows.drop("digest")
+    single = rows.join(several, ["host", "digest"], "left_anti")
+    return single.unionByName(rows.join(several, ["host", "digest"], "left_semi").dropDuplicates(["host", "digest"])).select("host", "html")
+
+
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", salt: int = 32) -> DataFrame:
-    """``(host, wrapper)``: each partition folds its own pages of a host, then those wrappers are folded in two steps.
+    """``(host, wrapper)``: each partition folds its own distinct pages of a host, then those wrappers are folded in two steps.
 
     A host with a third of all pages sends one wrapper (a page's outline) from each partition, to up to
     ``salt`` tasks first, so no task gets its pages.
     """
-    rows = pages.select(host_of(url_col).alias("host"), F.col(html_col).alias("html")).where("html is not null and host <> ''")
+    rows = distinct_pages(pages.select(host_of(url_col).alias("host"), F.col(html_col).alias("html")).where("html is not null and host <> ''"))
     first = rows.mapInPandas(induce, SCHEMA)
     step = first.withColumn("salt", F.pmod("part", F.lit(salt))).repartition("host", "salt").sortWithinPartitions("host", "salt", "part").select("host", "part", "wrapper").mapInPandas(fold, SCHEMA)
     return step.repartition("host").sortWithinPartitions("host", "part").mapInPandas(fold, SCHEMA).select("host", "wrapper")
@@ -498,8 +540,8 @@ def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "h
     """``pages`` with the columns ``text`` and ``n_chars`` (code points) in place of the HTML, one row a row.
 
     Null and empty HTML give empty text; pages with a null or odd URL are extracted without a wrapper;
-    rows that repeat are extracted each; an empty table gives no rows; other columns are kept but for
-    any named text or n_chars. Wrappers are written once. If their JSON, measured as it is, has up to ``broadcast_bytes``
+    rows that repeat are extracted each, and count once where a host's template is found; an empty table gives no rows;
+    other columns are kept, whatever their names, but for any named text or n_chars. Wrappers are written once. If their JSON, measured as it is, has up to ``broadcast_bytes``
     it is sent to all workers; else pages are dealt by host and one of ``salt`` numbers, and each such
     group gets its host's wrapper once, ahead of its pages.
     """
@@ -507,8 +549,9 @@ def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "h
     text_batches(spark)
     found = Scratch(spark, "wrappers").table(wrappers(pages, url_col, html_col, salt), "wrappers")
     keep = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
-    out = "".join(f"`{c}` {pages.schema[c].dataType.simpleString()}, " for c in keep) + "text string, n_chars long"
-    rows = pages.select(*keep, F.coalesce(host_of(url_col), F.lit("")).alias("__h"), F.col(html_col).alias("__html"))
+    out = T.StructType([pages.schema[c] for c in keep]).add("text", "string").add("n_chars", "long")
+    at, body, salted, held_by = (fresh(pages, c) for c in ("page_host", "page_html", "page_salt", "page_wrapper"))
+    rows = pages.select(*[column(c) for c in keep], F.coalesce(host_of(url_col), F.lit("")).alias(at), F.col(html_col).alias(body))
     if (found.agg(F.sum(F.octet_length("wrapper"))).first()[0] or 0) <= broadcast_bytes:
         held = spark.sparkContext.broadcast({r.host: r.wrapper for r in found.collect()})
         return rows.mapInArrow(lambda batches: extractor(held.value.get, batches), out)
@@ -530,8 +573,8 @@ def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "h
 
         return extractor(now.get, only_pages())
 
-    dealt = rows.where("__h <> ''").select(F.lit(None).cast("string").alias("__w"), F.floor(F.rand(1) * salt).cast("int").alias("__salt"), "*")
-    ahead = found.select(F.col("host").alias("__h"), F.col("wrapper").alias("__w"), F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("__salt"))
-    together = dealt.unionByName(ahead, allowMissingColumns=True).repartition("__h", "__salt").sortWithinPartitions("__h", "__salt", F.col("__w").isNull())
-    alone = rows.where("__h = ''").mapInArrow(lambda batches: extractor(lambda host: None, batches), out)
+    dealt = rows.where(F.col(at) != "").select(F.lit(None).cast("string").alias(held_by), F.floor(F.rand(1) * salt).cast("int").alias(salted), "*")
+    ahead = found.select(F.col("host").alias(at), F.col("wrapper").alias(held_by), F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias(salted))
+    together = dealt.unionByName(ahead, allowMissingColumns=True).repartition(at, salted).sortWithinPartitions(at, salted, F.col(held_by).isNull())
+    alone = rows.where(F.col(at) == "").mapInArrow(lambda batches: extractor(lambda host: None, batches), out)
     return together.mapInArrow(grouped, out).unionByName(alone)

@@ -119,6 +119,38 @@ def test_wrapper_decides_inside_articles(spark):
     assert got[30] == "a long story 1 that stands beside it"
 
 
+def test_copies_of_a_page_lose_no_text(spark):
+    story = "<article><h1>%s</h1><p>%s</p><p>%s</p><p>Fin.</p></article>"
+    one = story % ("Big storm hits the coast", "The storm came with the night tide", "Nobody in the harbour was hurt today")
+    for copies, others, exact in ((5, 4, True), (20, 4, True), (5, 4, False), (3, 4, False)):
+        rows = [(i, f"http://c.example/{i}", PAGE % (one, 0 if exact else i)) for i in range(copies)]
+        rows += [(100 + i, f"http://c.example/o{i}", PAGE % (story % (f"News {i}", f"what happened in town {i} this week", f"and what {i} people said about it"), i)) for i in range(others)]
+        got = {r.page_id: r.text for r in html_extraction.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+        assert {got[i] for i in range(copies)} == {"Big storm hits the coast The storm came with the night tide Nobody in the harbour was hurt today Fin."}
+        assert all(got[100 + i] == f"News {i} what happened in town {i} this week and what {i} people said about it Fin." for i in range(others))
+
+
+def test_headings_that_come_again_stay(spark):
+    page = "<article><h1>Dish %d</h1><h2>Ingredients</h2><ul><li>rice %d and salt</li></ul><h3>Method</h3><p>Boil it for %d minutes and stir.</p><p>Serve it while it is hot</p><div class=more><b>More dishes from this kitchen</b></div></article>"
+    rows = [(i, f"http://r.example/{i}", PAGE % (page % (i, i, i), i)) for i in range(6)]
+    got = html_extraction.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"Dish {i} Ingredients rice {i} and salt Method Boil it for {i} minutes and stir. Serve it while it is hot" for i in range(6)}
+
+
+def test_hidden_text_goes():
+    x = html_extraction.extract
+    assert x("<article>a<p style='color:red; Display : none'>no</p><p aria-hidden=true>no</p><p hidden>no</p><span style=\"visibility:hidden\">no</span><p style='display:block'>b</p><p aria-hidden='false'>c</p></article>", None) == "a b c"
+
+
+def test_pages_with_odd_column_names(spark):
+    rows = [(i, f"http://n.example/{i}", PAGE % (f"<article>text {i}</article>", i)) for i in range(4)]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as `a.b`", "2 as page_host", "3 as page_html", "4 as page_salt", "5 as page_wrapper", "6 as digest", "7 as `q``r`")
+    for limit in (1 << 20, 0):
+        got = html_extraction.extract_main_text(d, broadcast_bytes=limit)
+        assert got.columns == ["page_id", "url", "a.b", "page_host", "page_html", "page_salt", "page_wrapper", "digest", "q`r", "text", "n_chars"]
+        assert sorted((r[0], r[2], r[6], r.text) for r in got.collect()) == [(i, 1, 5, f"text {i}") for i in range(4)]
+
+
 def test_simple_tree_matching_is_optimal():
     rng = random.Random(3)
 
