@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pyrelith.runtime import Scratch, column, fresh, text_batches
+from pyrelith.runtime import Scratch, column, text_batches
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
@@ -521,8 +521,8 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", sal
     return step.repartition("host").sortWithinPartitions("host", "part").mapInPandas(fold, SCHEMA).select("host", "wrapper")
 
 
-def extractor(found: Callable[[str], str | None], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages, whose last columns are the host and the HTML, become texts; ``found`` has a host's wrapper as JSON. Other columns pass as they are."""
+def extractor(found: Callable[[str], str | None], names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages, whose last columns are the host and the HTML, become texts; ``found`` has a host's wrapper as JSON. Other columns pass under ``names``."""
     known: dict[str, list | None] = {}
     for b in batches:
         texts = []
@@ -533,7 +533,7 @@ def extractor(found: Callable[[str], str | None], batches: Iterator[pa.RecordBat
                 known[host] = json.loads(w) if (w := found(host)) else None
             texts.append(extract(page, known.get(host) if host else None))
         new = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
-        yield pa.RecordBatch.from_arrays([*b.columns[:-2], *new], names=[*b.schema.names[:-2], "text", "n_chars"])
+        yield pa.RecordBatch.from_arrays([*b.columns[:-2], *new], names=[*names, "text", "n_chars"])
 
 
 def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", broadcast_bytes: int = 16 << 20, salt: int = 32) -> DataFrame:
@@ -550,11 +550,11 @@ def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "h
     found = Scratch(spark, "wrappers").table(wrappers(pages, url_col, html_col, salt), "wrappers")
     keep = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
     out = T.StructType([pages.schema[c] for c in keep]).add("text", "string").add("n_chars", "long")
-    at, body, salted, held_by = (fresh(pages, c) for c in ("page_host", "page_html", "page_salt", "page_wrapper"))
-    rows = pages.select(*[column(c) for c in keep], F.coalesce(host_of(url_col), F.lit("")).alias(at), F.col(html_col).alias(body))
+    # numbered while they pass through Python, where names with dots don't
+    rows = pages.select(*[column(c).alias(f"c{i}") for i, c in enumerate(keep)], F.coalesce(host_of(url_col), F.lit("")).alias("host"), F.col(html_col).alias("html"))
     if (found.agg(F.sum(F.octet_length("wrapper"))).first()[0] or 0) <= broadcast_bytes:
         held = spark.sparkContext.broadcast({r.host: r.wrapper for r in found.collect()})
-        return rows.mapInArrow(lambda batches: extractor(held.value.get, batches), out)
+        return rows.mapInArrow(lambda batches: extractor(held.value.get, keep, batches), out)
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by host; the one with a wrapper comes ahead of the pages it is for."""
@@ -571,10 +571,10 @@ def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "h
                     now[pages.column(pages.num_columns - 2)[lo].as_py()] = ahead[lo].as_py()
                     yield pages.slice(lo + 1, hi - lo - 1)
 
-        return extractor(now.get, only_pages())
+        return extractor(now.get, keep, only_pages())
 
-    dealt = rows.where(F.col(at) != "").select(F.lit(None).cast("string").alias(held_by), F.floor(F.rand(1) * salt).cast("int").alias(salted), "*")
-    ahead = found.select(F.col("host").alias(at), F.col("wrapper").alias(held_by), F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias(salted))
-    together = dealt.unionByName(ahead, allowMissingColumns=True).repartition(at, salted).sortWithinPartitions(at, salted, F.col(held_by).isNull())
-    alone = rows.where(F.col(at) == "").mapInArrow(lambda batches: extractor(lambda host: None, batches), out)
+    dealt = rows.where("host <> ''").select(F.lit(None).cast("string").alias("wrapper"), F.floor(F.rand(1) * salt).cast("int").alias("salt"), "*")
+    ahead = found.select("host", "wrapper", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("salt"))
+    together = dealt.unionByName(ahead, allowMissingColumns=True).repartition("host", "salt").sortWithinPartitions("host", "salt", F.col("wrapper").isNull())
+    alone = rows.where("host = ''").mapInArrow(lambda batches: extractor(lambda host: None, keep, batches), out)
     return together.mapInArrow(grouped, out).unionByName(alone)

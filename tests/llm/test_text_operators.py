@@ -144,10 +144,10 @@ def test_hidden_text_goes():
 
 def test_pages_with_odd_column_names(spark):
     rows = [(i, f"http://n.example/{i}", PAGE % (f"<article>text {i}</article>", i)) for i in range(4)]
-    d = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as `a.b`", "2 as page_host", "3 as page_html", "4 as page_salt", "5 as page_wrapper", "6 as digest", "7 as `q``r`")
+    d = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as `a.b`", "2 as host", "3 as c0", "4 as salt", "5 as wrapper", "6 as digest", "7 as `q``r`")
     for limit in (1 << 20, 0):
         got = html_extraction.extract_main_text(d, broadcast_bytes=limit)
-        assert got.columns == ["page_id", "url", "a.b", "page_host", "page_html", "page_salt", "page_wrapper", "digest", "q`r", "text", "n_chars"]
+        assert got.columns == ["page_id", "url", "a.b", "host", "c0", "salt", "wrapper", "digest", "q`r", "text", "n_chars"]
         assert sorted((r[0], r[2], r[6], r.text) for r in got.collect()) == [(i, 1, 5, f"text {i}") for i in range(4)]
 
 
