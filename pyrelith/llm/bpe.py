@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyrelith.llm.ids import as_numbers, named
 from pyrelith.runtime import release_memory, text_batches
 
 #: Fixed value: the split of byte-level BPE as published with GPT-2.
@@ -284,13 +285,14 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     entry a block, so no bucket gets more than its share; what moves is distinct words, ids and
     the numbers of words, never texts. There are four buckets for each shuffle partition of the session, 64 to 16,384.
 
-    Null and empty texts have no ids. Rows that repeat are encoded each; a null id is kept; ids are numbers or texts of numbers, other texts become null; a text longer
+    Null and empty texts have no ids. Rows that repeat are encoded each; a null id is kept; ids that aren't whole numbers are numbered on the way; a text longer
     than a block is a block; an empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
     text_batches(spark)
     table = spark.sparkContext.broadcast(piece_table(path))
-    rows = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    (rows,), names = as_numbers("doc_id", docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     buckets = buckets or min(16_384, max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     if buckets > 1 << 16:
         raise ValueError("at most 65,536 buckets")
@@ -299,4 +301,4 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     asked = lists.repartition("bucket", F.when(F.col("bucket") < 0, F.col("block"))).sortWithinPartitions("bucket")
     answers = asked.mapInArrow(encoder(path), "block long, bucket int, docs binary, counts binary, ids binary")
     together = answers.repartition("block").sortWithinPartitions("block")
-    return together.mapInArrow(assembler(table), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return named(together.mapInArrow(assembler(table), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"), names, "doc_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyrelith.runtime import Scratch
+from pyrelith.runtime import Scratch, fresh
 
 #: Finds the white space runs that one space must replace; a single space already is one.
 RUNS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -73,17 +73,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of equal texts one row; an id's different texts stay each."""
     scratch = Scratch(docs.sparkSession, "exact-drop")
+    one, two, sha = (fresh(docs, c) for c in ("other_id", "first_id", "sha"))
+    of = fresh(docs, "first_sha")
     dedup = exact_dedup(docs, id_col, text_col)
     gone = scratch.table(dedup.groupBy("doc_id").agg(F.max("kept").alias("k"), F.count(F.lit(1)).alias("n")).where("not k or n > 1"), "gone")
-    left = docs.join(gone.select(F.col("doc_id").alias("__gone")), docs[id_col].eqNullSafe(F.col("__gone")), "left_anti")
-    several = gone.where("n > 1").select(F.col("doc_id").alias("__id"))
+    left = docs.join(gone.select(F.col("doc_id").alias(one)), docs[id_col].eqNullSafe(F.col(one)), "left_anti")
+    several = gone.where("n > 1").select(F.col("doc_id").alias(one))
     if several.isEmpty():
         return left
     # ids of several rows: each row is decided by its text
-    first = dedup.where("kept").join(several, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select(F.col("doc_id").alias("__first"), F.col("text_sha256").alias("__of"))
-    rows = docs.join(several, docs[id_col].eqNullSafe(F.col("__id")), "left_semi").withColumn("__sha", F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), RUNS, " "), 256))
-    rows = rows.join(first, F.col(id_col).eqNullSafe(F.col("__first")) & (F.col("__sha") == F.col("__of")), "left_semi")
-    return left.unionByName(rows.dropDuplicates([id_col, "__sha"]).drop("__sha"))
+    first = dedup.where("kept").join(several, F.col("doc_id").eqNullSafe(F.col(one)), "left_semi").select(F.col("doc_id").alias(two), F.col("text_sha256").alias(of))
+    rows = docs.join(several, docs[id_col].eqNullSafe(F.col(one)), "left_semi").withColumn(sha, F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), RUNS, " "), 256))
+    rows = rows.join(first, F.col(id_col).eqNullSafe(F.col(two)) & (F.col(sha) == F.col(of)), "left_semi")
+    return left.unionByName(rows.dropDuplicates([id_col, sha]).drop(sha))
 
 
 ORACLE = r"""

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pyrelith.runtime import Scratch
+from pyrelith.runtime import Scratch, column, fresh
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Up to this many sources, their table (under 100 bytes a row) is broadcast; beyond it a shuffled join is left to Spark.
@@ -44,8 +44,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
     )
 
 
-def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, cap: int = 2, rows_per_bucket: int = 20_000) -> DataFrame:
-    """One row a document: ``(doc_id, source, size, source_size, target, taken)``; taken counts repeats.
+def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, cap: int = 2, rows_per_bucket: int = 20_000, row_col: str | None = None) -> DataFrame:
+    """One row a document: ``(doc_id, source, size, source_size, target, taken)``; taken counts repeats. ``row_col``, a row's own number, comes along as ``row``.
 
     Each document gets the MD5 of its id as its random key. A bucket is a prefix of that key, long enough
     that a bucket of the largest source holds about ``rows_per_bucket`` rows: the buckets are ranges of the
@@ -59,7 +59,8 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     Other columns are not read.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    own = [F.col(row_col).alias("row")] if row_col else []
+    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), *own)
     sized = scratch.table(sized.withColumn("key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), "sized")
     per_source = scratch.table(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")), "sources")
     n_sources, largest = per_source.agg(F.count(F.lit(1)), F.max("n")).first()
@@ -71,7 +72,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     buckets = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = buckets.withColumn("ahead", F.coalesce(F.sum("bucket_size").over(ahead), F.lit(0))).select(F.col("source").alias("b_source"), F.col("bucket").alias("b_bucket"), "ahead")
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", *(["row"] if row_col else [])).rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = placed.join(buckets, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
     t = targets.withColumnRenamed("source", "t_source")
@@ -79,24 +80,25 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     left = F.floor(F.col("target") - epochs * F.col("source_size")).cast("long")
     cut = F.least(F.greatest(left - F.col("ahead") - F.col("inside"), F.lit(0).cast("long")), F.col("size"))
-    return placed.select("doc_id", "source", "size", "source_size", "target", (epochs * F.col("size") + cut).alias("taken"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", (epochs * F.col("size") + cut).alias("taken"), *(["row"] if row_col else []))
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: the rows of ``docs`` as often as the plan takes them, with all their columns.
 
     The document at a source's cut appears once with its first words only, joined by single spaces; a
-    document that the mix doesn't reach is left out. Rows that share an id share the plan of that id
-    (their words are added up), as nothing tells them apart.
+    document that the mix doesn't reach is left out. Rows are numbered in a written copy, so that each has its own
+    share of the plan, rows of one id and those without one too. Columns may have any names.
     """
-    plan = mix_plan(docs, id_col, text_col, source_col, **options)
-    plan = plan.groupBy(F.col("doc_id").alias("__id")).agg(F.sum("taken").alias("__taken"), F.sum("size").alias("__size"))
-    plan = plan.where("__taken > 0").withColumn("__whole", F.floor(F.col("__taken") / F.col("__size")).cast("int")).withColumn("__cut", (F.col("__taken") % F.col("__size")).cast("int"))
-    plan = plan.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__whole") + (F.col("__cut") > 0).cast("int"))))
-    out = docs.join(plan, docs[id_col].eqNullSafe(F.col("__id")))
-    part = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)), F.lit(1), F.greatest(F.col("__cut"), F.lit(1))), " ")
-    text = F.when((F.col("__cut") > 0) & (F.col("__copy") > F.col("__whole")), part).otherwise(F.col(text_col))
-    return out.withColumn(text_col, text).select(*docs.columns)
+    row, taken, size, copy = (fresh(docs, c) for c in ("row", "taken", "size", "copy"))
+    rows = Scratch(docs.sparkSession, "mix-rows").table(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    plan = mix_plan(rows, id_col, text_col, source_col, row_col=row, **options).where("taken > 0")
+    plan = plan.select(F.col("row").alias(row), F.col("taken").alias(taken), F.col("size").alias(size))
+    whole, cut = F.floor(F.col(taken) / F.col(size)).cast("int"), (F.col(taken) % F.col(size)).cast("int")
+    out = rows.join(plan, row).withColumn(copy, F.explode(F.sequence(F.lit(1), whole + (cut > 0).cast("int"))))
+    part = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)), F.lit(1), F.greatest(cut, F.lit(1))), " ")
+    text = F.when((cut > 0) & (F.col(copy) > whole), part).otherwise(F.col(text_col))
+    return out.withColumn(text_col, text).select(*[column(c) for c in docs.columns])
 
 
 ORACLE = r"""

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pyrelith.operators.components import connected_components
-from pyrelith.runtime import Scratch, release_memory, text_batches
+from pyrelith.llm.ids import as_numbers, named
+from pyrelith.runtime import Scratch, fresh, release_memory, text_batches
 
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15
@@ -176,14 +177,15 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     about two pairs in 100,000 at the very threshold, fewer above it. ``compared``, an accumulator, counts compared pairs of signatures.
 
     Null and wordless texts have no shingles and are alone. Rows that share an id are one document with
-    several texts; a null id is linked with nothing and has a null component; ids are numbers or texts of numbers, other texts count as null. Repeated rows are one
+    several texts; a null id is linked with nothing and has a null component; ids that aren't whole numbers are numbered in their order first. Repeated rows are one
     class; empty tables give no rows; other columns are not read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near-dedup")
     text_batches(spark)
     least = matches_needed(coords, percent / 100)
-    texts = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    (texts,), names = as_numbers("doc_id", docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    texts = texts.withColumn("doc_id", F.col("doc_id").cast("long"))
     sigs = scratch.table(signatures(texts, coords, width), "signatures")
     usable = sigs.where("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("digest", "n_shingles").agg(F.min(F.struct("doc_id", "sig")).alias("first"))
@@ -206,7 +208,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = classes.join(label, classes["rep"] == label["node"], "left").select("digest", "n_shingles", F.coalesce("component", "rep").alias("component"))
     out = sigs.join(members, ["digest", "n_shingles"], "left")
     out = out.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return named(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), names, "doc_id", "component_id")
 
 
 def linked_components(spark, scratch: Scratch, texts: DataFrame, classes: DataFrame, posted: DataFrame, posts: DataFrame, star: DataFrame, percent: int, width: int, least: int, broadcast_bytes: int, block_rows: int, compared=None) -> DataFrame:
@@ -373,9 +375,9 @@ def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[p
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, **options) -> DataFrame:
     """The rows of ``docs`` with all their columns, one document of each component: the one with the smallest id."""
-    scratch = Scratch(docs.sparkSession, "near-drop")
-    gone = scratch.table(near_components(docs, id_col, text_col, percent, **options).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    return docs.join(small(gone, 16 << 20), docs[id_col] == F.col("__gone"), "left_anti")
+    scratch, name = Scratch(docs.sparkSession, "near-drop"), fresh(docs, "gone")
+    gone = scratch.table(near_components(docs, id_col, text_col, percent, **options).where("not kept").select(F.col("doc_id").alias(name)).distinct(), "gone")
+    return docs.join(small(gone, 16 << 20), docs[id_col] == F.col(name), "left_anti")
 
 
 ORACLE = r"""

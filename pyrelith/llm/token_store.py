@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyrelith.llm.bpe import added_tokens, encode_words, split_words
+from pyrelith.llm.ids import as_numbers, named
 from pyrelith.runtime import Scratch, release_memory, text_batches
 
 MAGIC = b"PTS2"
@@ -497,10 +498,10 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int = 2, id_co
 
     Texts are dealt to ranges of ids and sorted there, so one shuffle moves them and no task needs more
     than a stripe of ids. Null texts have the end id only; null ids come first; rows that repeat an id are
-    written each, in order of their texts; ids are numbers or texts of numbers, other texts count as null; an empty table gives a folder without rows.
+    written each, in order of their texts; ids are whole numbers (``round_trip`` numbers others); an empty table gives a folder without rows.
     """
     text_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(to_stripes(path, end_id), "part long, docs string, ids long, payload binary").write.mode("overwrite").parquet(folder)
 
@@ -556,8 +557,9 @@ def read_digests(spark, folder: str, few_parts: int = 100_000) -> DataFrame:
     return whole.unionByName(cut).join(parts, "part").select("doc_id", (F.col("before") + F.col("ahead")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def round_trip(docs: DataFrame, path: str, **columns) -> DataFrame:
-    """Write the ids of ``docs`` and read their digests back from the files."""
+def round_trip(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Write the ids of ``docs`` and read their digests back from the files; document ids of another type are numbered in their order on the way."""
     folder = Scratch(docs.sparkSession, "tokens").path("ids")
-    write_tokens(docs, folder, path, **columns)
-    return read_digests(docs.sparkSession, folder)
+    (rows,), names = as_numbers("doc_id", docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    write_tokens(rows, folder, path, end_id)
+    return named(read_digests(docs.sparkSession, folder), names, "doc_id")

@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pyrelith.llm.ids import as_numbers, named
 from pyrelith.runtime import Scratch
 
 PAGE_SCHEMA = "shard int, page int, leaf boolean, keys binary, radii binary, to_parent binary, vectors binary"
@@ -30,7 +31,7 @@ def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> Data
     """``(vec_id, v)`` with integer components; vectors null or holding null or non-finite ones are left out, as are null ids."""
     fine = F.coalesce(F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
     v = F.transform(vec_col, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long"))
-    return vectors.where(fine & F.col(id_col).try_cast("long").isNotNull()).select(F.col(id_col).try_cast("long").alias("vec_id"), v.alias("v"))
+    return vectors.where(fine & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -164,12 +165,13 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str
 
     Ties go to the smaller id. Rows that repeat are candidates each; queries that repeat a row are one, and those
     that repeat an id with other vectors share its k places. A query's own id is never a candidate. Shorter
-    vectors count as filled up with zeros. Ids are numbers or texts of numbers; null ids and other texts take no part. Components beyond 64 bits
+    vectors count as filled up with zeros. Ids that aren't whole numbers are numbered in their order; null ids take no part. Components beyond 64 bits
     and scores beyond them are cut to what 64 bits hold. Too few vectors give fewer rows; empty tables
     give none; other columns are not read.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "m-tree")
+    (vectors, queries), names = as_numbers(id_col, vectors.select(id_col, vec_col), queries.select(id_col, vec_col))
     base = scratch.table(quantised(vectors, id_col, vec_col, scale), "vectors")
     norm2 = F.aggregate("v", F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double"))
     size = base.agg(F.count(F.lit(1)), F.max(F.size("v")), F.max(norm2), F.max(F.greatest(F.abs(F.array_max("v").cast("double")), F.abs(F.array_min("v").cast("double"))))).first()
@@ -265,7 +267,8 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str
     found = home.select("vec_id", "ids", "scores").unionByName(away.select("vec_id", "ids", "scores"))
     found = found.select(F.col("vec_id").alias("query_id"), F.explode(F.arrays_zip("ids", "scores")).alias("c")).select("query_id", F.col("c.ids").alias("vec_id"), F.col("c.scores").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return named(found, names, "query_id", "vec_id")
 
 
 ORACLE = """

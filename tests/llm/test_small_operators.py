@@ -193,5 +193,5 @@ def test_topk_visits_few_shards_of_clustered_vectors(spark):
 
 def test_topk_beyond_64_bits_and_texts_as_ids(spark):
     d = spark.createDataFrame([(str(i), [x, 1.0]) for i, x in enumerate([1e30, 3e13, -1e30, 2.0])], "vec_id string, embedding array<double>")
-    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk_search.exact_topk(d, d).collect()}
+    got = {(int(r.query_id), r["rank"]): (int(r.vec_id), r.score) for r in topk_search.exact_topk(d, d).collect()}
     assert got[0, 1] == (1, 2**63 - 1) and got[0, 3] == (2, -(2**63) + 1) and got[1, 1] == (0, 2**63 - 1) and got[3, 1] == (0, 2**63 - 1)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pyrelith.llm import bpe, html_extraction, language_id, near_dedup, token_store, toxicity
+from pyrelith.llm import bpe, exact_dedup, html_extraction, language_id, mixing, near_dedup, token_store, toxicity
 from pyrelith.llm.queries import QUERIES
 
 P = pytest.importorskip("public_tokenizers")
@@ -474,10 +474,31 @@ def test_bpe_splits_every_character_as_the_library():
 def test_ids_that_are_texts(spark):
     rows = [("7", "some words to encode"), ("x", "more words"), (None, "none")]
     d = spark.createDataFrame(rows, "doc_id string, text string")
-    assert {r.doc_id for r in bpe.encode_decode(d, PATH).collect()} == {7, None}
-    assert {r.doc_id for r in token_store.round_trip(d, PATH).collect()} == {7, None}
-    got = {r.doc_id: r.component_id for r in near_dedup.near_components(d).collect()}
-    assert got == {7: 7, None: None}
+    plain = spark.createDataFrame([(7, rows[0][1]), (8, rows[1][1]), (None, "none")], "doc_id long, text string")
+    number = {"7": 7, "x": 8, None: None}
+    want = {r.doc_id: tuple(r)[1:] for r in bpe.encode_decode(plain, PATH).collect()}
+    assert {number[r.doc_id]: tuple(r)[1:] for r in bpe.encode_decode(d, PATH).collect()} == want
+    want = {r.doc_id: tuple(r)[1:] for r in token_store.round_trip(plain, PATH).collect()}
+    assert {number[r.doc_id]: tuple(r)[1:] for r in token_store.round_trip(d, PATH).collect()} == want
+    same = d.unionByName(spark.createDataFrame([("b2e0-41", "more words"), ("x", "other words")], d.schema))
+    got = sorted((r.doc_id or "", r.component_id or "", r.kept) for r in near_dedup.near_components(same).collect())
+    assert got == [("", "", True), ("7", "7", True), ("b2e0-41", "b2e0-41", True), ("x", "b2e0-41", False), ("x", "x", True)]
+
+
+def test_stages_with_odd_column_names(spark):
+    rows = [(i, f"words of document {i // 2} and so on it goes", "en", f"s{i % 2}") for i in range(12)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").selectExpr("*", "1 as `a.b`", "2 as gone", "3 as row", "4 as taken", "5 as size", "6 as copy", "7 as other_id", "8 as first_sha", "9 as __gone", "10 as __id")
+    for stage in (exact_dedup.drop_exact_copies, near_dedup.drop_near_copies, mixing.mix_documents):
+        out = stage(d)
+        assert out.columns == d.columns and {(r["a.b"], r["gone"], r["row"], r["size"], r["__gone"]) for r in out.collect()} == {(1, 2, 3, 5, 9)}
+
+
+def test_mix_of_rows_that_share_an_id(spark):
+    rows = [(1, " ".join(f"w{k}" for k in range(30)), "a")] * 2 + [(None, "q " * 7, "a")] * 3 + [(2, "one two", "b")] * 2
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = {r.source: r.t for r in mixing.mix_plan(d).groupBy("source").agg(F.sum("taken").alias("t")).collect()}
+    got = {r.source: r.t for r in mixing.mix_documents(d).groupBy("source").agg(F.sum(mixing.word_count("text")).alias("t")).collect()}
+    assert got == plan
 
 
 def test_varints():
