@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pyrelith.functions import scalar as S
 from pyrelith.operators import events as E
-from pyrelith.operators import geo, recurrence, stations
+from pyrelith.operators import geo, nearest, recurrence, stations
 from pyrelith.plans.ingest import with_ring
 from pyrelith.plans.registry import query
 from pyrelith.runtime import Scratch
@@ -200,6 +200,21 @@ def d5_nearest_road(det, supplier):
     return geo.nearest_segment(pts, roads, 0.05).select("id", F.round("metres", 6).alias("metres"), "cls")
 
 
+@query("v_det", "supplier", sql="""WITH r AS (SELECT 134.25e0 + s_suppkey % 11 * 0.05e0 AS x1, -1.39e0 + s_nationkey % 5 * 0.01e0 AS y1, 134.25e0 + s_suppkey % 11 * 0.05e0 + 0.02e0 AS x2,
+    -1.385e0 + s_nationkey % 7 * 0.01e0 AS y2, CASE s_suppkey % 3 WHEN 0 THEN 'main' WHEN 1 THEN 'track' ELSE 'path' END AS cls FROM supplier),
+  p AS (SELECT DISTINCT longitude AS x, latitude AS y FROM v_det), t AS (SELECT x, y, x1, y1, x2, y2, cls, least(greatest(((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)), 0), 1) AS t FROM p CROSS JOIN r),
+  d AS (SELECT x, y, cls, sqrt(pow(x - x1 - t * (x2 - x1), 2) + pow(y - y1 - t * (y2 - y1), 2)) AS m FROM t), b AS (SELECT x, y, min(m) AS m, min_by(cls, (round(m, 12), cls)) AS cls FROM d GROUP BY ALL)
+  SELECT detection_id AS id, round(m, 6) AS metres, cls FROM v_det JOIN b ON longitude = x AND latitude = y""")
+def d5_nearest_road_anywhere(det, supplier):
+    """Nearest segment at any distance, its class: most detections lie far beyond the cells that have roads."""
+    x, y = 134.25 + F.col("s_suppkey") % 11 * 0.05, F.col("s_nationkey")
+    cls = F.when(F.col("s_suppkey") % 3 == 0, "main").when(F.col("s_suppkey") % 3 == 1, "track").otherwise("path")
+    roads = supplier.select(x.alias("x1"), (-1.39 + y % 5 * 0.01).alias("y1"), (x + 0.02).alias("x2"), (-1.385 + y % 7 * 0.01).alias("y2"), cls.alias("cls"))
+    places = det.select(F.col("longitude").alias("x"), F.col("latitude").alias("y")).distinct().withColumn("id", F.struct("x", "y"))
+    near = nearest.nearest_anywhere(places, roads, 0.01).select(F.col("id.x").alias("longitude"), F.col("id.y").alias("latitude"), "metres", "cls")
+    return det.join(near, ["longitude", "latitude"]).select(F.col("detection_id").alias("id"), F.round("metres", 6).alias("metres"), "cls")
+
+
 @query("v_adm", sql="SELECT adm_id, unnest(range(1, CASE WHEN notched THEN 6 ELSE 4 END)) AS part FROM v_adm")
 def a16_road_segments(adm):
     """Consecutive vertices of a line."""

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from pyrelith.functions import raster as R
 from pyrelith.functions import scalar as S
+from pyrelith.operators import outlines
 from pyrelith.operators import rasters as X
 from pyrelith.plans.registry import query
+from pyrelith.runtime import Scratch
 
 BANDS = ("b2", "b3", "b4", "b6", "b7", "b8a", "b11", "b12")
 INDEX = {
@@ -283,6 +285,30 @@ def i17_patches(pix):
     return X.patches(pix.where("dn > 1500").select("scene", "x", "y").distinct(), 100)
 
 
+#: Corners of the pixel grid by how many of the patch's pixels meet there; two that meet in a corner only have numbers that add up to 3.
+OUTLINES = PATCHES[: PATCHES.index(" SELECT patch, count(*)")] + """, p AS (SELECT patch, x, y FROM l JOIN g ON g.id = l.node),
+  k AS (SELECT patch, x + unnest([0, 1, 0, 1]) AS vx, y + unnest([0, 0, 1, 1]) AS vy, unnest([0, 1, 2, 3]) AS pos FROM p),
+  v AS (SELECT patch, vx, vy, count(*) AS n, count(*) = 2 AND sum(pos) = 3 AS across FROM k GROUP BY ALL),
+  c AS (SELECT patch, CAST(count(*) FILTER (WHERE n = 1) AS BIGINT) AS one, CAST(count(*) FILTER (WHERE n = 3) AS BIGINT) AS three, CAST(count(*) FILTER (WHERE across) AS BIGINT) AS two FROM v GROUP BY patch),
+  s AS (SELECT a.patch, count(*) AS shared FROM p a JOIN p b ON a.patch = b.patch AND (a.x = b.x AND b.y = a.y + 1 OR a.y = b.y AND b.x = a.x + 1) GROUP BY a.patch),
+  m AS (SELECT patch, count(*) AS pixels FROM p GROUP BY patch)
+  SELECT patch, CAST(1 - (one - three - 2 * two) // 4 AS BIGINT) AS holes, CAST(pixels AS DOUBLE) AS area, one + three + 2 * two AS corners, CAST(4 * pixels - 2 * coalesce(shared, 0) AS BIGINT) AS joined
+    FROM m JOIN c USING (patch) LEFT JOIN s USING (patch)"""
+
+
+@query("v_pix", sql=OUTLINES)
+def i17_outlines(pix):
+    """Outlines of the patches with their holes, rings in order: their area is the pixels', and each edge ends where the next one of its ring begins."""
+    p = outlines.patch_pixels(pix.where("dn > 1500").select("scene", "x", "y"), 100)
+    scratch = Scratch(pix.sparkSession, "outlines")
+    r = scratch.table(outlines.rings(outlines.pixel_edges(p, ["patch"]), ["patch"]), "rings")
+    m = outlines.ring_measures(r, ["patch"])
+    whole = m.groupBy("patch").agg(F.count_if(F.col("area") < 0).alias("holes"), F.sum("area").alias("area"), F.sum("corners").alias("corners"))
+    after = r.join(m.select("ring", "edges"), "ring").select("ring", F.pmod(F.col("seq") - 1, F.col("edges")).alias("seq"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))
+    joined = r.join(after, ["ring", "seq", "x2", "y2"]).groupBy("patch").agg(F.count(F.lit(1)).alias("joined"))
+    return whole.join(joined, "patch").select("patch", "holes", "area", "corners", "joined")
+
+
 SLOT = """s AS (SELECT scene AS event, CAST(row_number() OVER (PARTITION BY scene ORDER BY look_date) - 1 AS INTEGER) AS slot, CASE
     WHEN n < 2 THEN 'missing' WHEN top < 800 THEN 'obscured' WHEN top > 1900 THEN 'flagged' ELSE 'quiet' END AS state
     FROM (SELECT scene, look_date, count(*) AS n, max(dn) AS top FROM v_pix GROUP BY ALL))"""
