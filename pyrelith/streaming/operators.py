@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -76,36 +78,92 @@ def late_days(codes: DataFrame) -> DataFrame:
 BUCKETS = 64
 
 
-def upsert(store: str, key: str, buckets: int = BUCKETS):
-    """A foreachBatch sink that adds new keys to a Parquet store; an empty batch leaves it untouched.
+class Store:
+    """A Parquet store that only grows: folders of rows, and a log that says which of them count, in which order.
 
-    The store only grows: each batch adds a folder ``batch=N`` with its new rows, dealt to buckets by a hash of the
-    key, and rows that are there are never moved. A batch that fails leaves a folder without ``_SUCCESS``, which readers
-    (``read_store``) don't see and the repeated batch writes anew; one that is repeated after it succeeded
-    is written anew from the same older folders. So a crash between any two steps loses nothing.
+    A line of the log is a file of its own, named by its number and put there by a rename that fails if the number is
+    taken. So of several writers one gets each number, and a folder whose writer failed before is never read.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root, self.jvm = spark, root.rstrip("/"), spark._jvm
+        self.conf = spark._jsparkSession.sessionState().newHadoopConf()
+        self.fs = self._path(self.root).getFileSystem(self.conf)
+
+    def _path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(name)
+
+    def log(self, after: int = 0) -> list[dict]:
+        """The committed batches beyond the first ``after``: ``run``, ``number``, ``folder``."""
+        at = self._path(f"{self.root}/_log")
+        names = sorted(n for f in (self.fs.listStatus(at) if self.fs.exists(at) else []) if (n := f.getPath().getName()).isdigit())
+        if not names[after:]:
+            return []
+        rows = self.spark.read.text([f"{self.root}/_log/{n}" for n in names[after:]]).select(F.from_json("value", "place int, run string, number long, folder string").alias("v")).select("v.*")
+        return [r.asDict() for r in rows.orderBy("place").collect()]
+
+    def commit(self, place: int, run: str, number: int, folder: str) -> bool:
+        """Make a folder count as the log's line ``place``; False if another writer has that line."""
+        staged, final = self._path(f"{self.root}/_log/_{uuid.uuid4().hex}"), self._path(f"{self.root}/_log/{place:010d}")
+        out = self.fs.create(staged, True)
+        out.write(json.dumps({"place": place, "run": run, "number": number, "folder": folder}).encode())
+        out.close()
+        option = self.jvm.org.apache.hadoop.fs.Options.Rename
+        try:
+            self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.conf).rename(staged, final, self.spark.sparkContext._gateway.new_array(option, 0))
+        except Exception as e:
+            self.fs.delete(staged, False)
+            if "FileAlreadyExists" not in str(e):
+                raise
+            return False
+        return True
+
+    def rows(self, lines: list[dict], schema=None) -> DataFrame | None:
+        """The rows of some lines: all columns that any of them has, or those of ``schema``, for which no file is opened but to read it."""
+        if not lines:
+            return None
+        read = self.spark.read.option("basePath", self.root)
+        read = read.schema(schema) if schema else read.option("mergeSchema", "true")
+        return read.parquet(*[f"{self.root}/{x['folder']}" for x in lines]).drop("batch")
+
+
+def upsert(store: str, key: str, buckets: int = BUCKETS, run: str | None = None):
+    """A foreachBatch sink that adds new keys to a ``Store``; an empty batch leaves it untouched.
+
+    Rows that are there are never moved, and of one key the first that was committed stays. A batch is known by its stream and
+    number: the stream is ``run``, or else the query's own id, which its checkpoint keeps; so a restart repeats a batch under its
+    old name and adds nothing, while a new checkpoint or another stream on the same store has names of its own and sees all that is
+    there. Keys are dealt to buckets, and only the buckets that a batch has are read. Where two streams commit at once, one
+    loses the line and looks again at what the other has added. Within a batch, rows that repeat a key are one.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
+        spark = batch.sparkSession
+        name = run or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+        held, seen = Store(spark, store), []
+        seen += held.log()
+        if batch.isEmpty() or any((x["run"], x["number"]) == (name, number) for x in seen):
             return
-        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-        new = batch.dropDuplicates([key]).withColumn("bucket", bucket)
-        old = read_store(batch.sparkSession, store, before=number, with_bucket=True)
-        if old is not None:
-            new = new.join(old.select("bucket", key), ["bucket", key], "left_anti")
-        new.write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch={number}")
+        new = batch.dropDuplicates([key]).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).persist()
+        try:
+            touched = [r.bucket for r in new.select("bucket").distinct().collect()]
+            while True:
+                old = held.rows(seen, new.select("bucket", key).schema)
+                fresh = new if old is None else new.join(old.where(F.col("bucket").isin(touched)), ["bucket", key], "left_anti")
+                folder = f"batch={name}-{number}-{uuid.uuid4().hex[:8]}"
+                fresh.write.partitionBy("bucket").parquet(f"{store}/{folder}")
+                if held.commit(len(seen) + 1, name, number, folder):
+                    return
+                held.fs.delete(held._path(f"{store}/{folder}"), True)
+                seen += held.log(len(seen))
+        finally:
+            new.unpersist()
 
     return write
 
 
-def read_store(spark: SparkSession, store: str, before: int | None = None, with_bucket: bool = False) -> DataFrame | None:
-    """The rows of all finished batches (with a number below ``before``); None if there are none."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(store).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    names = [f.getPath().getName() for f in fs.listStatus(path(store))] if fs.exists(path(store)) else []
-    numbers = sorted(int(n.split("=")[1]) for n in names if n.startswith("batch="))
-    done = [f"{store}/batch={n}" for n in numbers if (before is None or n < before) and fs.exists(path(f"{store}/batch={n}/_SUCCESS"))]
-    if not done:
-        return None
-    out = spark.read.option("basePath", store).option("mergeSchema", "true").parquet(*done).drop("batch")
-    return out if with_bucket else out.drop("bucket")
+def read_store(spark: SparkSession, store: str, with_bucket: bool = False) -> DataFrame | None:
+    """The rows of all committed batches; None if there are none."""
+    held = Store(spark, store)
+    out = held.rows(held.log())
+    return out if out is None or with_bucket else out.drop("bucket")

@@ -70,10 +70,59 @@ def test_upsert_survives_a_crash_at_any_step(spark, folder, tmp_path):
     w(d.where("event_id < 40"), 0)
     # a batch that was cut off: rows, but no mark of success
     d.where("event_id between 40 and 59").withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{store}/batch=1")
-    (tmp_path / "store" / "batch=1" / "_SUCCESS").unlink()
+    (tmp_path / "store" / "batch=1" / "_SUCCESS").unlink(missing_ok=True)
     assert S.read_store(spark, store).count() == 40
     w(d.where("event_id < 80"), 1)  # the batch comes again
     w(d.where("event_id < 80"), 1)  # and once more, after it was written
     w(d.where("event_id < 90"), 2)
     got = S.read_store(spark, store)
     assert got.count() == 90 and got.select("event_id").distinct().count() == 90
+
+
+def stream_into(spark, folder, store, checkpoint, only, value=None):
+    rows = source(spark, folder).where(only)
+    rows = rows if value is None else rows.withColumn("value", F.lit(value))
+    q = rows.select("event_id", "value").writeStream.foreachBatch(S.upsert(store, "event_id")).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination(240)
+    assert q.exception() is None
+
+
+def test_upsert_over_new_checkpoints_and_two_streams(spark, folder, tmp_path):
+    store = str(tmp_path / "store")
+    stream_into(spark, folder, store, str(tmp_path / "one"), "event_id < 30")
+    stream_into(spark, folder, store, str(tmp_path / "one"), "event_id < 30")  # nothing new
+    stream_into(spark, folder, store, str(tmp_path / "two"), "event_id < 50", -1.0)  # another checkpoint starts at batch 0 again
+    stream_into(spark, folder, store, str(tmp_path / "three"), "event_id between 40 and 69", -2.0)
+    got = S.read_store(spark, store)
+    assert got.count() == got.select("event_id").distinct().count() == 70
+    assert (got.where("value = -1").count(), got.where("value = -2").count()) == (20, 20)
+
+
+def test_upsert_that_loses_its_line_looks_again(spark, folder, tmp_path, monkeypatch):
+    store = str(tmp_path / "store")
+    d = spark.read.parquet(folder).select("event_id", "value")
+    commit, other = S.Store.commit, []
+
+    def slow(self, place, run, number, name):
+        if run == "late" and not other:  # another stream commits between this one's look and its commit
+            other.append(S.upsert(store, "event_id", run="early")(d.where("event_id < 40").withColumn("value", F.lit(-1.0)), 0))
+        return commit(self, place, run, number, name)
+
+    monkeypatch.setattr(S.Store, "commit", slow)
+    S.upsert(store, "event_id", run="late")(d.where("event_id between 20 and 59"), 0)
+    got = S.read_store(spark, store)
+    assert got.count() == got.select("event_id").distinct().count() == 60 and got.where("value = -1").count() == 40
+    assert [x["run"] for x in S.Store(spark, store).log()] == ["early", "late"]
+
+
+def test_upsert_reads_only_the_buckets_of_its_batch(spark, folder, tmp_path):
+    store = str(tmp_path / "store")
+    d = spark.read.parquet(folder).select("event_id", "value")
+    S.upsert(store, "event_id", run="a")(d.where("event_id < 200"), 0)
+    one = S.read_store(spark, store, with_bucket=True).where("event_id = 3").first().bucket
+    for part in (tmp_path / "store").glob("batch=*/bucket=*"):
+        if part.name != f"bucket={one}":
+            for f in part.iterdir():
+                f.write_bytes(b"broken")  # whoever reads it fails
+    S.upsert(store, "event_id", run="a")(d.where("event_id = 3"), 1)
+    assert len(S.Store(spark, store).log()) == 2
