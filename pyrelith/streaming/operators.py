@@ -24,6 +24,25 @@ def closed_days(stream: DataFrame, late: str = "1 day") -> DataFrame:
     return stream.withWatermark("at", late).groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("n")).select(F.to_date("w.end").alias("day"), "n")
 
 
+def observed_days(detections: DataFrame, fetches: DataFrame, late: str = "1 day", within: str = "60 days", good: tuple[str, ...] = ("fetched", "cached")) -> DataFrame:
+    """``(day, n)`` of the local days that are over and that a successful fetch covered after their close (15:00 UTC); each once.
+
+    A stream-stream join: counts of days, which come out once the watermark has passed the close, with the records of fetches
+    ``(ran_at, chunk_start, days, outcome)``, spread over the days that a fetch covers (a local day draws on its own UTC date and the one
+    before). A fetch closes a day if it ran at the close or later, by ``within`` at most: that bound lets both sides forget. A day without
+    such a fetch never comes out, nor does one that has no detection; failed fetches, and those that ran before the close, close nothing.
+    """
+    w = F.window("at", "1 day", startTime="15 hours")
+    counted = detections.withWatermark("at", late).groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.select(F.window_time("w").alias("closed"), F.to_date("w.end").alias("day"), "n")
+    # not a filter: that would be moved ahead of the watermark, which failed fetches carry on too
+    covered = F.when(F.col("outcome").isin(*good) & (F.col("days") > 0), F.sequence(F.col("chunk_start"), F.expr("date_add(chunk_start, days)")))
+    ran = fetches.withWatermark("ran_at", late).select("ran_at", F.explode_outer(covered).alias("covered"))
+    # the window's time is its last microsecond
+    after = F.expr(f"covered = day AND ran_at > closed AND ran_at <= closed + INTERVAL {within}")
+    return counted.join(ran, after).dropDuplicates(["day", "closed"]).select("day", "n")
+
+
 def once(stream: DataFrame, key: str = "event_id", late: str = "1 day") -> DataFrame:
     """L2: the first row of each key; keys are forgotten once the watermark has passed them."""
     return stream.withWatermark("at", late).dropDuplicatesWithinWatermark([key])
@@ -127,6 +146,30 @@ class Store:
         return read.parquet(*[f"{self.root}/{x['folder']}" for x in lines]).drop("batch")
 
 
+def append_records(store: str, records: DataFrame, name: str) -> bool:
+    """Add records to a ledger as one entry ``name``, all of them or none; whether they were added.
+
+    The rows are written to a folder of their own and count once the log names it, so a failing task or a driver that ends
+    leaves the ledger as it was. An entry that is there isn't added again.
+    """
+    held = Store(records.sparkSession, store)
+    folder = f"batch={name}-{uuid.uuid4().hex[:8]}"
+    seen = held.log()
+    if any(x["run"] == name for x in seen):
+        return False
+    try:
+        records.write.parquet(f"{store}/{folder}")
+        while not held.commit(len(seen) + 1, name, 0, folder):
+            seen += held.log(len(seen))
+            if any(x["run"] == name for x in seen):
+                held.fs.delete(held._path(f"{store}/{folder}"), True)
+                return False
+    except Exception:
+        held.fs.delete(held._path(f"{store}/{folder}"), True)
+        raise
+    return True
+
+
 def upsert(store: str, key: str, buckets: int = BUCKETS, run: str | None = None):
     """A foreachBatch sink that adds new keys to a ``Store``; an empty batch leaves it untouched.
 

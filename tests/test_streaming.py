@@ -126,3 +126,57 @@ def test_upsert_reads_only_the_buckets_of_its_batch(spark, folder, tmp_path):
                 f.write_bytes(b"broken")  # whoever reads it fails
     S.upsert(store, "event_id", run="a")(d.where("event_id = 3"), 1)
     assert len(S.Store(spark, store).log()) == 2
+
+
+def test_days_close_only_after_a_fetch(spark, folder, tmp_path):
+    days = sorted({r.d for r in spark.read.parquet(folder).select(F.to_date(F.col("ts") + F.expr("INTERVAL '9' HOUR")).alias("d")).distinct().collect()})
+    close = {d: dt.datetime(d.year, d.month, d.day, 15, tzinfo=dt.timezone.utc) for d in days}
+    hour = dt.timedelta(hours=1)
+    end = close[days[2]] + 59 * 24 * hour
+    runs = [
+        (close[days[1]], days[1], 1, "fetched"),  # at the close
+        (close[days[2]] - dt.timedelta(microseconds=1), days[2], 1, "fetched"),  # too early
+        (close[days[3]] + hour, days[3], 1, "failed"),
+        (close[days[4]] + hour, days[4] - dt.timedelta(days=1), 1, "cached"),  # covers the evening before
+        (close[days[4]] + 2 * hour, days[4], 1, "fetched"),
+        (close[days[6]] + hour, days[5], 2, "fetched"),  # two days at once
+        (end, days[0] - dt.timedelta(days=40), 1, "failed"),
+    ]
+    p = str(tmp_path / "runs")
+    fetched = spark.createDataFrame(runs, "ran_at timestamp, chunk_start date, days int, outcome string")
+    fetched.orderBy("ran_at").coalesce(1).write.option("maxRecordsPerFile", 3).parquet(p)
+    counts = {r.d: r["count"] for r in spark.read.parquet(folder).groupBy(F.to_date(F.col("ts") + F.expr("INTERVAL '9' HOUR")).alias("d")).count().collect()}
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+
+    def run():
+        det = S.detections(spark, folder, spark.read.parquet(folder).schema)
+        stream = S.observed_days(det, spark.readStream.schema(fetched.schema).option("maxFilesPerTrigger", 1).parquet(p))
+        q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start()
+        q.awaitTermination(240)
+        assert q.exception() is None
+
+    run()
+    # a restart with one more record: a day that had no fetch comes out, those that came out don't come again
+    spark.createDataFrame([(end, days[2], 1, "cached")], fetched.schema).write.mode("append").parquet(p)
+    run()
+    got = [(r.day, r.n) for r in spark.read.parquet(out).collect()]
+    last = max(spark.read.parquet(folder).agg(F.max(F.col("ts").cast("timestamp"))).first()[0].replace(tzinfo=dt.timezone.utc) - dt.timedelta(days=1), close[days[0]])
+    want = {days[1], days[2], days[3], days[4], days[5], days[6]}
+    assert sorted(got) == sorted((d, counts[d]) for d in want if close[d] <= last)
+
+
+def test_a_failing_task_leaves_the_ledger_as_it_was(spark, tmp_path):
+    store = str(tmp_path / "ledger")
+    runs = spark.range(40).selectExpr("id", "'fetched' as outcome")
+    assert S.append_records(store, runs, "first") and not S.append_records(store, runs, "first")
+
+    def fail(frames):
+        for f in frames:
+            if (f["id"] == 33).any():
+                raise ValueError("this task fails")
+            yield f
+
+    with pytest.raises(Exception, match="this task fails"):
+        S.append_records(store, runs.repartition(8).mapInPandas(fail, runs.schema), "second")
+    assert S.read_store(spark, store).count() == 40
+    assert S.append_records(store, runs.where("id < 3"), "second") and S.read_store(spark, store).count() == 43
