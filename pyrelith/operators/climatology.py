@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyrelith.functions.scalar import circle_day
@@ -36,6 +36,29 @@ def climatology(positives: DataFrame, observed: DataFrame, half: int) -> DataFra
     return num.join(den, ["fold", "target"]).select("cell", "fold", F.col("target").alias("doy"), "num", "den", (F.col("num") / F.col("den")).alias("p"))
 
 
+def scored_counts(positives: DataFrame, observed: DataFrame, half: int) -> DataFrame:
+    """``(fold, p, positive, n, base)``: how many pairs of an observed day and a cell have which climatology of the other years, and their rate.
+
+    The grid of days and cells is counted, never made: where a cell and season is listed in the climatology or has a positive, its days
+    are a count; all else has p = 0 and no positive, and is what is left of days times cells. So the work follows the positives.
+    """
+    days = observed.select("date").distinct().groupBy(F.year("date").alias("fold"), circle_day("date").alias("doy")).agg(F.count(F.lit(1)).alias("d"))
+    seen = positives.join(observed, "date", "left_semi").select("cell", "date").distinct()
+    hits = seen.groupBy("cell", F.year("date").alias("fold"), circle_day("date").alias("doy")).agg(F.count(F.lit(1)).alias("k"))
+    listed = climatology(positives, observed, half).select("cell", "fold", "doy", "p").join(hits, ["cell", "fold", "doy"], "full").join(days, ["fold", "doy"])
+    listed = listed.groupBy("fold", F.coalesce("p", F.lit(0.0)).alias("p")).agg(F.sum(F.coalesce("k", F.lit(0))).alias("k"), F.sum("d").alias("d"))
+    cells = seen.agg(F.countDistinct("cell").alias("cells"))
+    # one row a year from here on
+    years = days.groupBy("fold").agg(F.sum("d").alias("d")).join(hits.groupBy("fold").agg(F.sum("k").alias("k")), "fold", "left").join(F.broadcast(cells)).withColumn("k", F.coalesce("k", F.lit(0)))
+    everything = years.agg(F.sum("d").alias("all_d"), F.sum("k").alias("all_k"))
+    base = years.join(F.broadcast(everything)).select("fold", ((F.col("all_k") - F.col("k")) / (F.col("all_d") - F.col("d")) / F.col("cells")).alias("base"))
+    none = years.join(listed.groupBy("fold").agg(F.sum("d").alias("done")), "fold", "left")
+    none = none.select("fold", F.lit(0.0).alias("p"), F.lit(False).alias("positive"), (F.col("d") * F.col("cells") - F.coalesce("done", F.lit(0))).alias("n"))
+    known = listed.select("fold", "p", F.explode(F.array(F.struct(F.lit(True).alias("positive"), F.col("k").alias("n")), F.struct(F.lit(False).alias("positive"), (F.col("d") - F.col("k")).alias("n")))).alias("r")).select("fold", "p", "r.*")
+    rows = known.unionByName(none).where("n > 0").groupBy("fold", "p", "positive").agg(F.sum("n").alias("n"))
+    return rows.join(base, "fold")
+
+
 def average_precision(scored: DataFrame, by: list[str], score: str = "score", positive: str = "positive", weight: str | None = None) -> DataFrame:
     """K8: step-wise average precision with ties as one threshold, for each group; null without positives.
 
@@ -50,21 +73,25 @@ def average_precision(scored: DataFrame, by: list[str], score: str = "score", po
     return g.select(*by, "n", "positives", F.try_divide("s", "positives").alias("ap"))
 
 
-def brier(scored: DataFrame, by: list[str], p: str = "p", reference: str = "base", positive: str = "positive") -> DataFrame:
-    """K7: Brier score, that of a constant rate, and the skill over it (null if that is 0)."""
+def weighted_mean(x: Column, weight: str | None) -> Column:
+    return F.avg(x) if weight is None else F.sum(x * F.col(weight)) / F.sum(weight)
+
+
+def brier(scored: DataFrame, by: list[str], p: str = "p", reference: str = "base", positive: str = "positive", weight: str | None = None) -> DataFrame:
+    """K7: Brier score, that of a constant rate, and the skill over it (null if that is 0); ``weight``: how often a row counts."""
     y = F.col(positive).cast("double")
-    g = scored.groupBy(*by).agg(F.avg(F.pow(F.col(p) - y, 2)).alias("brier"), F.avg(F.pow(F.col(reference) - y, 2)).alias("reference"))
+    g = scored.groupBy(*by).agg(weighted_mean(F.pow(F.col(p) - y, 2), weight).alias("brier"), weighted_mean(F.pow(F.col(reference) - y, 2), weight).alias("reference"))
     return g.withColumn("skill", 1 - F.try_divide("brier", "reference"))
 
 
-def reliability(scored: DataFrame, bins: list[float], p: str = "p", positive: str = "positive") -> DataFrame:
+def reliability(scored: DataFrame, bins: list[float], p: str = "p", positive: str = "positive", weight: str | None = None) -> DataFrame:
     """Bins closed on the left, the last one on both sides; every bin is listed, an empty one with zeros."""
     spark = scored.sparkSession
     table = spark.createDataFrame([(i, float(lo), float(hi)) for i, (lo, hi) in enumerate(zip(bins[:-1], bins[1:], strict=True))], "bin int, low double, high double")
     at = F.lit(0)
     for i, lo in enumerate(bins[:-1]):
         at = F.when(F.col(p) >= lo, i).otherwise(at)
-    g = scored.where(F.col(p).between(bins[0], bins[-1])).groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.avg(p).alias("mean_p"), F.avg(F.col(positive).cast("double")).alias("rate"))
+    g = scored.where(F.col(p).between(bins[0], bins[-1])).groupBy(at.alias("bin")).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"), weighted_mean(F.col(p), weight).alias("mean_p"), weighted_mean(F.col(positive).cast("double"), weight).alias("rate"))
     return table.join(g, "bin", "left").select("bin", "low", "high", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("mean_p", F.lit(0.0)).alias("mean_p"), F.coalesce("rate", F.lit(0.0)).alias("rate"))
 
 

@@ -12,6 +12,7 @@ from pyrelith.operators import climatology as C
 from pyrelith.operators import fire_danger as D
 from pyrelith.operators import statistics as T
 from pyrelith.plans.registry import query
+from pyrelith.runtime import Scratch
 
 DOY = """extract(doy FROM {d})::INTEGER - CASE WHEN ((year({d}) % 4 = 0 AND year({d}) % 100 <> 0) OR year({d}) % 400 = 0) AND extract(doy
     FROM {d}) >= 60 THEN 1 ELSE 0 END"""
@@ -55,17 +56,8 @@ SCORED = f"""WITH {POS}, ce AS (SELECT DISTINCT cell FROM po), g AS (SELECT ce.c
 
 
 def scored(hist):
-    """Every observed day and cell with the climatology of the other years, and their rate."""
-    pos, obs = positives(hist).join(observed(hist), "date", "left_semi"), observed(hist)
-    cell = pos.select("cell").distinct()
-    grid = obs.crossJoin(cell).join(pos.withColumn("positive", F.lit(True)), ["cell", "date"], "left").withColumn("positive", F.coalesce("positive", F.lit(False)))
-    grid = grid.withColumn("fold", F.year("date")).withColumn("doy", S.circle_day("date"))
-    days = obs.groupBy(F.year("date").alias("y")).agg(F.count(F.lit(1)).alias("d")).join(pos.groupBy(F.year("date").alias("y")).agg(F.count(F.lit(1)).alias("k")), "y", "left")
-    total = days.agg(F.sum("d").alias("all_d"), F.sum("k").alias("all_k"))
-    base = days.join(F.broadcast(total)).select(F.col("y").alias("fold"), ((F.col("all_k") - F.coalesce("k", F.lit(0))) / (F.col("all_d") - F.col("d"))).alias("rate"))
-    base = base.join(F.broadcast(cell.agg(F.count(F.lit(1)).alias("cells")))).select("fold", (F.col("rate") / F.col("cells")).alias("base"))
-    out = grid.join(climate(hist).select("cell", "fold", "doy", "p"), ["cell", "fold", "doy"], "left").join(base, "fold")
-    return out.withColumn("p", F.coalesce("p", F.lit(0.0)))
+    """How many observed days and cells have which climatology of the other years."""
+    return Scratch(hist.sparkSession, "scored").table(C.scored_counts(positives(hist), observed(hist), 15), "counts")
 
 
 @query("v_hist", sql=f"""{SCORED} SELECT fold, round(avg(pow(p - positive::INT, 2)), 8) AS brier, round(avg(pow(base - positive::INT,
@@ -73,7 +65,7 @@ def scored(hist):
     FROM s GROUP BY fold""")
 def k7_brier_skill(hist):
     """Skill of the climatology over a constant rate, out of sample."""
-    return C.brier(scored(hist), ["fold"]).select("fold", F.round("brier", 8).alias("brier"), F.round("reference", 8).alias("reference"), F.round("skill", 6).alias("skill"))
+    return C.brier(scored(hist), ["fold"], weight="n").select("fold", F.round("brier", 8).alias("brier"), F.round("reference", 8).alias("reference"), F.round("skill", 6).alias("skill"))
 
 
 @query("v_hist", sql=f"""{SCORED}, t AS (SELECT fold, round(p, 10) AS p, count(*) AS n, sum(positive::INT) AS tp
@@ -82,7 +74,7 @@ def k7_brier_skill(hist):
     0), 8) AS ap FROM c GROUP BY fold""")
 def k8_average_precision(hist):
     """K8: tie-aware average precision of each left-out year."""
-    return C.average_precision(scored(hist).withColumn("p", F.round("p", 10)), ["fold"], "p").withColumn("ap", F.round("ap", 8))
+    return C.average_precision(scored(hist).withColumn("p", F.round("p", 10)), ["fold"], "p", weight="n").withColumn("ap", F.round("ap", 8))
 
 
 BINS = [0.0, 0.01, 0.05, 0.1, 0.25, 0.5, 1.0]
@@ -93,7 +85,7 @@ BINS = [0.0, 0.01, 0.05, 0.1, 0.25, 0.5, 1.0]
     FROM b LEFT JOIN s ON p >= low AND (p < high OR (bin = 5 AND p <= high)) GROUP BY ALL""")
 def e13_reliability(hist):
     """E13."""
-    t = C.reliability(scored(hist), BINS)
+    t = C.reliability(scored(hist), BINS, weight="n")
     return t.withColumns({c: F.round(c, 8) for c in ("mean_p", "rate")})
 
 
