@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyrelith.functions.scalar import M_PER_DEG
+from pyrelith.runtime import Scratch
 
 AROUND = (-1, 0, 1)
 
@@ -54,6 +57,37 @@ def union_areas(det: DataFrame, members: DataFrame, radius_m: float, pixel_m: fl
     return r.groupBy("event").agg((F.sum(fresh) * (pixel_m * pixel_m / 1e4)).alias("union_ha"))
 
 
+def circle_unions(det: DataFrame, members: DataFrame, radius_m: float) -> DataFrame:
+    """``(event, union_ha)``: exact area of the union of the circles around each event's members, on the plane of ``on_plane``.
+
+    The union's boundary is made of the arcs that no other circle of the event covers. A neighbour closer than two radii covers an
+    interval of angles; the gaps between the united intervals are the arcs, and by Green's theorem each arc adds
+    (r^2 (b - a) + r x (sin b - sin a) - r y (cos b - cos a)) / 2 to the area. Neighbours are found by cells two radii wide; circles at
+    one place are one.
+    """
+    p = on_plane(det.join(members, "detection_id")).select("event", "px", "py").distinct()
+    origin = p.groupBy("event").agg(F.min("px").alias("ox"), F.min("py").alias("oy"))
+    p = p.join(origin, "event").select("event", (F.col("px") - F.col("ox")).alias("x"), (F.col("py") - F.col("oy")).alias("y"))
+    size, r = 2 * radius_m, F.lit(float(radius_m))
+    p = Scratch(det.sparkSession, "circles").table(p.withColumns({"cx": F.floor(F.col("x") / size), "cy": F.floor(F.col("y") / size)}), "places")
+    around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    q = p.withColumn("o", around).select("event", F.col("x").alias("qx"), F.col("y").alias("qy"), (F.col("cx") + F.col("o.i")).alias("cx"), (F.col("cy") + F.col("o.j")).alias("cy"))
+    dx, dy = F.col("qx") - F.col("x"), F.col("qy") - F.col("y")
+    near = p.join(q, ["event", "cx", "cy"]).withColumn("d", F.hypot(dx, dy)).where((F.col("d") > 0) & (F.col("d") < size))
+    near = near.select("event", "x", "y", F.atan2(dy, dx).alias("at"), F.acos(F.col("d") / size).alias("half"))
+    lo, hi, turn = F.col("at") - F.col("half"), F.col("at") + F.col("half"), F.lit(2 * math.pi)
+    part = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    pi = F.lit(math.pi)
+    parts = F.when(lo < -pi, F.array(part(lo + turn, pi), part(-pi, hi))).when(hi > pi, F.array(part(lo, pi), part(-pi, hi - turn))).otherwise(F.array(part(lo, hi)))
+    covered = near.select("event", "x", "y", F.explode(parts).alias("c")).select("event", "x", "y", "c.a", "c.b")
+    covered = covered.unionByName(p.select("event", "x", "y", pi.alias("a"), pi.alias("b")))  # where every circle ends
+    before = Window.partitionBy("event", "x", "y").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
+    gaps = covered.withColumn("from", F.coalesce(F.max("b").over(before), -pi)).where("a > from")
+    a, b = F.col("from"), F.col("a")
+    piece = (r * r * (b - a) + r * F.col("x") * (F.sin(b) - F.sin(a)) - r * F.col("y") * (F.cos(b) - F.cos(a))) / 2
+    return gaps.groupBy("event").agg((F.sum(piece) / 1e4).alias("union_ha"))
+
+
 def band(m: Column) -> Column:
     return F.when(m <= 1e-9, "inside").when(m <= 375, "<=375").when(m <= 750, "<=750").when(m <= 1500, "<=1500").when(m > 1500, ">1500")
 

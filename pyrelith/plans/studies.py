@@ -114,6 +114,19 @@ def j9_union_area(det):
     return footprints.union_areas(det, E.st_dbscan(det, EPS_M, EPS_S), EPS_M, 25.0).withColumn("union_ha", F.round("union_ha", 4))
 
 
+@query("v_det", sql=f"""{LABELS}, c AS (SELECT DISTINCT m.event, p.x - min(p.x) OVER (PARTITION BY m.event) AS x, p.y - min(p.y) OVER (PARTITION BY m.event) AS y
+    FROM p JOIN m ON m.detection_id = p.id),
+  n AS (SELECT a.event, a.x, a.y, atan2(b.y - a.y, b.x - a.x) AS d, acos(sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)) / {2 * EPS_M}e0) AS h
+    FROM c a JOIN c b ON a.event = b.event AND (a.x <> b.x OR a.y <> b.y) AND pow(b.x - a.x, 2) + pow(b.y - a.y, 2) < {4 * EPS_M**2}e0),
+  i AS (SELECT event, x, y, greatest(d - h, -pi()) AS a, least(d + h, pi()) AS b FROM n UNION ALL SELECT event, x, y, d - h + 2 * pi(), pi() FROM n WHERE d - h < -pi()
+    UNION ALL SELECT event, x, y, -pi(), d + h - 2 * pi() FROM n WHERE d + h > pi() UNION ALL SELECT event, x, y, pi(), pi() FROM c),
+  o AS (SELECT event, x, y, a, coalesce(max(b) OVER (PARTITION BY event, x, y ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -pi()) AS f FROM i)
+  SELECT event, round(sum({EPS_M**2}e0 * (a - f) + {EPS_M}e0 * x * (sin(a) - sin(f)) - {EPS_M}e0 * y * (cos(a) - cos(f))) / 2e4, 4) AS union_ha FROM o WHERE a > f GROUP BY event""")
+def j9_circle_union(det):
+    """Exact area of the union of the circles around an event's detections, from the arcs that no other circle covers."""
+    return footprints.circle_unions(det, E.st_dbscan(det, EPS_M, EPS_S), EPS_M).withColumn("union_ha", F.round("union_ha", 4))
+
+
 SEGMENTS = ((0, 134.25, -1.39, 130, 14), (1, 134.2604, -1.1102, 130, 10))
 CELLS = " UNION ALL ".join(f"""SELECT {k} AS segment, CAST(x AS INTEGER) AS px, CAST(y AS INTEGER) AS py, {x0!r}e0 + x * 0.0207e0 AS lon,
     {y0!r}e0 + y * 0.0207e0 AS lat FROM range(0, {nx}) AS a(x) CROSS JOIN range(0, {ny}) AS b(y)""" for k, x0, y0, nx, ny in SEGMENTS)
