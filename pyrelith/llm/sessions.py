@@ -201,6 +201,73 @@ def fold_borders(schema: T.StructType, gap_us: int, length_us: int):
     return fold
 
 
+def by_session(scratch: Scratch, beside: DataFrame, joined: DataFrame, gap_us: int, length_us: int) -> DataFrame:
+    """The clicks beside borders with a ``border`` of one text; where a range joins its two borders, each session gets one of its own.
+
+    Such a border may hold very many clicks of one client, with no sure beginning of a session between the ends of a range. So
+    its sessions' beginnings are found first, then every session is folded alone. Only where two ranges meet may a gap or a
+    final click part the clicks; between such places a session begins with the first click more than ``length_us`` after the one before began.
+    """
+    joined = scratch.table(joined, "joined")
+    if joined.isEmpty():
+        return beside.withColumn("border", F.col("border").cast("string")).drop("range")
+    alone = beside.join(joined, "border", "left_anti").withColumn("border", F.col("border").cast("string")).drop("range")
+    rows = scratch.table(beside.join(joined, "border", "left_semi").withColumn("block", F.floor(F.col("ts") / length_us)), "joined-rows")
+    timely = rows.where((F.col("late") == 0) & (F.col("what") != STOP))
+    who = ["border", "client_id"]
+    # the parts between which a session surely ends: one row a range
+    ends = timely.groupBy(*who, "range").agg(F.min("ts").alias("first"), F.max(F.struct("ts", "click_id", "final")).alias("last"))
+    before = Window.partitionBy(*who).orderBy("range")
+    parted = F.lag("last.final").over(before) | (F.col("first") - F.lag("last.ts").over(before) >= gap_us)
+    parts = ends.withColumn("parted", F.coalesce(parted, F.lit(False)).cast("long")).withColumn("part", F.sum("parted").over(before))
+    timely = scratch.table(timely.join(parts.select(*who, "range", "part"), [*who, "range"]), "joined-timely")
+    group = [*who, "part"]
+    starts = scratch.table(beginnings(scratch, timely.select(*group, "ts", "block").distinct(), group, length_us), "starts")
+    order = Window.partitionBy(*who).orderBy("start", "part")
+    starts = starts.withColumn("block", F.floor(F.col("start") / length_us)).withColumn("earlier", F.lag(F.struct("start", "part")).over(order))
+    name = lambda part, start: F.concat_ws(":", "border", part.cast("string"), start.cast("string")).alias("border")
+    here = timely.join(known_in(starts, group, 1), [*group, "block"]).withColumn("s", F.array_max(F.filter("known", lambda k: k["start"] <= F.col("ts"))))
+    here = here.select(name(F.col("s.part"), F.col("s.start")), "what", *CLICK)
+    # late clicks and the one that ends the border's last session belong to what began last
+    rest = rows.where((F.col("late") > 0) | (F.col("what") == STOP)).join(known_in(starts, who, 1 + -(-gap_us // length_us)), [*who, "block"])
+    rest = rest.withColumn("s", F.array_max(F.filter("known", lambda k: k["start"] <= F.col("ts")))).where("s is not null").select(name(F.col("s.part"), F.col("s.start")), "what", *CLICK)
+    first = timely.join(starts.where("earlier is not null").select(*group, F.col("start").alias("ts"), "earlier"), [*group, "ts"])
+    first = first.groupBy(*who, "earlier", "ts").agg(F.min(F.struct("click_id", "late", "final", "cents")).alias("c"))
+    stops = first.select(name(F.col("earlier.part"), F.col("earlier.start")), F.lit(STOP).cast("long").alias("what"), "client_id", "ts", "c.late", "c.click_id", "c.final", "c.cents")
+    return alone.unionByName(here).unionByName(rest).unionByName(stops)
+
+
+def known_in(starts: DataFrame, by: list[str], blocks: int) -> DataFrame:
+    """For each block of time the sessions that began in it or up to ``blocks`` before: one a block, but where ranges part them."""
+    s = starts.select(*by, F.explode(F.sequence(F.col("block"), F.col("block") + blocks)).alias("block"), F.struct("start", "part").alias("k"))
+    return s.groupBy(*by, "block").agg(F.collect_list("k").alias("known"))
+
+
+def beginnings(scratch: Scratch, points: DataFrame, group: list[str], length_us: int) -> DataFrame:
+    """``(*group, start)``: the first time of each group, and from each start the first time more than ``length_us`` after it.
+
+    Every time knows its successor: the next one after it and ``length_us``, in that block of time or the one after, as no gap is
+    as long as a block. Doubling the successors, 1, 2, 4, ... sessions on, reaches all starts in as many joins as their number has digits.
+    """
+    points = scratch.table(points, "points")
+    block = Window.partitionBy(*group, "block").orderBy(F.desc("t"), F.desc("probe")).rowsBetween(Window.unboundedPreceding, -1)
+    probes = points.select(*group, (F.col("ts") + length_us).alias("t"), (F.col("block") + 1).alias("block"), F.lit(1).alias("probe"))
+    both = points.select(*group, F.col("ts").alias("t"), "block", F.lit(0).alias("probe")).unionByName(probes)
+    found = both.withColumn("next", F.last(F.when(F.col("probe") == 0, F.col("t")), ignorenulls=True).over(block)).where("probe = 1")
+    lowest = points.groupBy(*group, (F.col("block") - 1).alias("block")).agg(F.min("ts").alias("after"))
+    jumps = found.join(lowest, [*group, "block"], "left").select(*group, (F.col("t") - length_us).alias("ts"), F.coalesce("next", "after").alias("to")).where("to is not null")
+    jumps = scratch.table(jumps, "jumps0")
+    starts, k = scratch.table(points.groupBy(*group).agg(F.min("ts").alias("start")), "starts0"), 0
+    while True:
+        more = scratch.table(starts.join(jumps.withColumnRenamed("ts", "start"), [*group, "start"]).select(*group, F.col("to").alias("start")), f"more{k}")
+        if more.isEmpty():
+            return starts
+        k += 1
+        starts = scratch.table(starts.unionByName(more).distinct(), f"starts{k}")
+        again = jumps.select(*group, F.col("ts").alias("to"), F.col("to").alias("on"))
+        jumps = scratch.table(jumps.join(again, [*group, "to"]).select(*group, "ts", F.col("on").alias("to")), f"jumps{k}")
+
+
 def sessions(clicks: DataFrame, gap_min: int = 30, length_min: int = 120, late_min: int = 60, final_kind: str = "purchase", final_value: float = 60) -> DataFrame:
     """One row a session: ``SESSION_COLS``.
 
@@ -208,8 +275,9 @@ def sessions(clicks: DataFrame, gap_min: int = 30, length_min: int = 120, late_m
     ranges as its clicks need, and are sorted within them. Each range is streamed once through a state
     machine that makes its whole sessions; the few clicks at its two ends, whose session may lie across the
     border, stay clicks. They are dealt by border, one border's clicks together, and folded again; a range
-    in which no click surely begins a session joins its two borders to one. Late clicks are counted where they
-    stand, runs of them as one row.
+    in which no click surely begins a session joins its two borders to one, and then the beginnings of that border's sessions are found by
+    joins and its clicks are dealt by session. Late clicks are counted where they stand, runs of them as one row. So no task gets more
+    of a client than a range, or what two hours of it hold (``length_min``).
 
     Rows without client or time are left out. A null click_id counts as one id, empty in the path. Of rows that
     repeat a click_id the one that arrived first counts (null first). A null arrival is timely, a null or
@@ -229,7 +297,8 @@ def sessions(clicks: DataFrame, gap_min: int = 30, length_min: int = 120, late_m
     ranges = folded.where(F.col("what") == RANGE).select(F.col("range").alias("at"), (1 - F.col("late")).alias("begins"))
     ranges = ranges.withColumn("border", F.coalesce(F.sum("begins").over(before), F.lit(0)))
     beside = folded.where(F.col("what").isin(BEFORE, AFTER, STOP)).join(ranges, F.col("range") == F.col("at"))
-    beside = beside.select((F.col("border") + (F.col("what") == AFTER).cast("long")).alias("border"), "what", *CLICK)
+    beside = beside.select((F.col("border") + (F.col("what") == AFTER).cast("long")).alias("border"), "range", "what", *CLICK)
+    beside = by_session(scratch, beside, ranges.where("begins = 0").select("border").distinct(), *times)
     beside = beside.repartition("border").sortWithinPartitions("border", "client_id", "ts", F.col("late") > 0, "click_id")
     schema = fold_schema(once, True)
     return folded.where(F.col("what") == SESSION).select(*SESSION_COLS).unionByName(beside.mapInArrow(fold_borders(schema, *times), schema))

@@ -90,6 +90,34 @@ def test_a_client_without_gaps_lies_over_many_ranges(spark):
     assert got == brute_sessions(rows) and {r[7] for r in got} == {"length", "none"}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_long_runs_are_dealt_by_session(spark, seed, monkeypatch):
+    rng = random.Random(seed + 50)
+    rows, t = [], 10**15
+    for i in range(700):  # one client with few gaps and few final clicks, over far more ranges than those part
+        t += rng.choice([0, 0, rng.randrange(29 * MINUTE), rng.randrange(5 * MINUTE), 30 * MINUTE if rng.random() < 0.03 else MINUTE])
+        rows.append((i, t, t + rng.choice([0] * 8 + [61 * MINUTE]), 5, "purchase" if rng.random() < 0.02 else "view", 70.0))
+        if rng.random() < 0.05:
+            rows.append((10_000 + i, t + rng.randrange(MINUTE), None, rng.randrange(4), "view", 1.0))
+    dealt, whole = [], sessions.by_session
+
+    def seen(scratch, beside, joined, *times):
+        out = whole(scratch, beside, joined, *times)
+        dealt.append((joined.count(), max(r["count"] for r in out.groupBy("border").count().collect())))
+        return out
+
+    monkeypatch.setattr(sessions, "by_session", seen)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "120")
+    try:
+        got = sorted(tuple(r) for r in sessions.sessions(clicks_frame(spark, rows)).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == brute_sessions(rows)
+    assert dealt[0][0] > 3 and dealt[0][1] < 120  # many joined borders, none with more than a session has
+
+
 def test_sessions_of_odd_rows(spark):
     assert sessions.sessions(clicks_frame(spark, []).limit(0)).count() == 0
     t = 10**15
