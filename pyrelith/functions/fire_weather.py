@@ -13,11 +13,13 @@ def pick(cond: Column, a, b) -> Column:
     return F.when(cond, a).otherwise(b)
 
 
+# Equation 1 of the published FWI system (Van Wagner and Pickett, 1985), as are all below up to ``fwi``.
 def moisture_of(code: Column) -> Column:
     """Fine-fuel moisture content (percent) that a code stands for."""
     return 147.2 * (101.0 - code) / (59.5 + code)
 
 
+# Equations 2 to 10.
 def ffmc_step(prev: Column, temp: Column, rh: Column, wind: Column, rain: Column) -> Column:
     rh = F.least(rh, F.lit(99.9999))
     m = moisture_of(prev)
@@ -40,6 +42,7 @@ def ffmc_step(prev: Column, temp: Column, rh: Column, wind: Column, rain: Column
     return F.least(F.greatest(59.5 * (250 - m) / (147.2 + m), F.lit(0.0)), F.lit(101.0))
 
 
+# Equations 11 to 17.
 def dmc_step(prev: Column, temp: Column, rh: Column, rain: Column, day_length: float) -> Column:
     gain = 1.894e-4 * (F.greatest(temp, F.lit(-1.1)) + 1.1) * (100 - rh) * day_length
     p = F.greatest(prev, F.lit(1e-9))
@@ -50,6 +53,7 @@ def dmc_step(prev: Column, temp: Column, rh: Column, rain: Column, day_length: f
     return F.greatest(pick(rain > 1.5, after, prev) + gain, F.lit(0.0))
 
 
+# Equations 18 to 23.
 def dc_step(prev: Column, temp: Column, rain: Column, factor: float) -> Column:
     loss = F.greatest((0.36 * (F.greatest(temp, F.lit(-2.8)) + 2.8) + factor) / 2, F.lit(0.0))
     net = F.greatest(0.83 * rain - 1.27, F.lit(0.0))
@@ -57,17 +61,20 @@ def dc_step(prev: Column, temp: Column, rain: Column, factor: float) -> Column:
     return F.greatest(pick(rain > 2.8, after, prev) + loss, F.lit(0.0))
 
 
+# Equations 24 to 26.
 def isi(ffmc: Column, wind: Column) -> Column:
     m = moisture_of(ffmc)
     return 0.208 * F.exp(0.05039 * wind) * 91.9 * F.exp(-0.1386 * m) * (1 + F.pow(m, F.lit(5.31)) / 4.93e7)
 
 
+# Equations 27a and 27b.
 def bui(dmc: Column, dc: Column) -> Column:
     u = F.coalesce(F.try_divide(0.8 * dc * dmc, dmc + 0.4 * dc), F.lit(0.0))
     less = dmc - (0.92 + F.pow(0.0114 * dmc, F.lit(1.7))) * F.coalesce(F.try_divide(dmc - u, dmc), F.lit(0.0))
     return pick(u < dmc, F.greatest(less, F.lit(0.0)), u)
 
 
+# Equations 28 to 30.
 def fwi(isi_: Column, bui_: Column) -> Column:
     d = pick(bui_ > 80, 1000 / (25 + 108.64 * F.exp(-0.023 * bui_)), 0.626 * F.pow(bui_, F.lit(0.809)) + 2)
     b = 0.1 * isi_ * d
@@ -79,6 +86,7 @@ def net_rain(rain: Column, run: Column, interception: float) -> Column:
     return F.greatest(run - interception, F.lit(0.0)) - F.greatest(run - rain - interception, F.lit(0.0))
 
 
+# The published drought factor (Keetch and Byram, 1968) in millimetres and degrees Celsius.
 def kbdi_step(prev: Column, t_max: Column, net: Column, yearly_rain: Column) -> Column:
     """Keetch-Byram deficit in mm, 0 to 203.2: net rain first, then drying."""
     q = F.greatest(prev - net, F.lit(0.0))
