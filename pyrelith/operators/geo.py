@@ -129,7 +129,13 @@ def segment_distance(px: Column, py: Column, x1: Column, y1: Column, x2: Column,
     return F.hypot(px - x1 - t * dx, py - y1 - t * dy)
 
 
-def nearest_segment(points: DataFrame, segments: DataFrame, reach: float, key: str = "id") -> DataFrame:
+def first_class(digits: int | None) -> tuple[Column, Column]:
+    """The least ``m``, and the first class of those at it, or of those that are equal to it when rounded to ``digits``."""
+    m = F.col("m") if digits is None else F.round("m", digits)
+    return F.min("m").alias("metres"), F.min(F.struct(m.alias("m"), "cls")).alias("best")
+
+
+def nearest_segment(points: DataFrame, segments: DataFrame, reach: float, key: str = "id", digits: int | None = None) -> DataFrame:
     """Nearest segment ``(x1, y1, x2, y2, cls)`` within ``reach`` of each point ``(id, x, y)``, its class, and its distance; null beyond.
 
     Segments are dealt to every cell of side ``reach`` that their box, widened by ``reach``, touches; a point looks in its own cell.
@@ -139,8 +145,8 @@ def nearest_segment(points: DataFrame, segments: DataFrame, reach: float, key: s
     dealt = segments.withColumn("cx", F.explode(F.sequence(lo(F.col("x1"), F.col("x2")), hi(F.col("x1"), F.col("x2"))))).withColumn("cy", F.explode(F.sequence(lo(F.col("y1"), F.col("y2")), hi(F.col("y1"), F.col("y2")))))
     p = points.select(key, F.col("x").alias("px"), F.col("y").alias("py"), F.floor(F.col("x") / reach).alias("cx"), F.floor(F.col("y") / reach).alias("cy"))
     d = segment_distance(*[F.col(c) for c in ("px", "py", "x1", "y1", "x2", "y2")])
-    best = p.join(dealt, ["cx", "cy"]).withColumn("m", d).where(F.col("m") <= reach).groupBy(key).agg(F.min(F.struct("m", "cls")).alias("best"))
-    return points.select(key).join(best, key, "left").select(key, F.col("best.m").alias("metres"), F.col("best.cls").alias("cls"))
+    best = p.join(dealt, ["cx", "cy"]).withColumn("m", d).where(F.col("m") <= reach).groupBy(key).agg(*first_class(digits))
+    return points.select(key).join(best, key, "left").select(key, "metres", F.col("best.cls").alias("cls"))
 
 
 def road_segments(lines: DataFrame, key: str, order: str, x: str = "x", y: str = "y") -> DataFrame:

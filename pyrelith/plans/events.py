@@ -211,7 +211,7 @@ def d5_nearest_road_anywhere(det, supplier):
     cls = F.when(F.col("s_suppkey") % 3 == 0, "main").when(F.col("s_suppkey") % 3 == 1, "track").otherwise("path")
     roads = supplier.select(x.alias("x1"), (-1.39 + y % 5 * 0.01).alias("y1"), (x + 0.02).alias("x2"), (-1.385 + y % 7 * 0.01).alias("y2"), cls.alias("cls"))
     places = det.select(F.col("longitude").alias("x"), F.col("latitude").alias("y")).distinct().withColumn("id", F.struct("x", "y"))
-    near = nearest.nearest_anywhere(places, roads, 0.01).select(F.col("id.x").alias("longitude"), F.col("id.y").alias("latitude"), "metres", "cls")
+    near = nearest.nearest_anywhere(places, roads, 0.01, digits=12).select(F.col("id.x").alias("longitude"), F.col("id.y").alias("latitude"), "metres", "cls")
     return det.join(near, ["longitude", "latitude"]).select(F.col("detection_id").alias("id"), F.round("metres", 6).alias("metres"), "cls")
 
 
