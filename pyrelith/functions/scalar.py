@@ -217,15 +217,15 @@ def bit_field(q: Column, mask: int, shift: int) -> Column:
     return F.shiftright(q.bitwiseAND(mask), shift)
 
 
-def mercator_tile(lat: Column, lon: Column, zoom: int) -> tuple[Column, Column, Column]:
-    """Column and row of a web tile, clamped to the map, and its row counted from the south."""
+def mercator_tile(lat: Column, lon: Column, zoom: int, clamp: bool = True) -> tuple[Column, Column, Column]:
+    """Column and row of a web tile, clamped to the map, and its row counted from the south. Without ``clamp``, what lies beyond the map keeps the number that the formula gives."""
     n = 1 << zoom
-    y = F.radians(F.greatest(F.least(lat, F.lit(85.05112878)), F.lit(-85.05112878)))
+    y = F.radians(F.greatest(F.least(lat, F.lit(85.05112878)), F.lit(-85.05112878)) if clamp else lat)
     x = F.floor((lon + 180) / 360 * n)
     row = F.floor((1 - F.log(F.tan(y) + 1 / F.cos(y)) / math.pi) / 2 * n)
 
     def inside(v):
-        return F.least(F.greatest(v, F.lit(0)), F.lit(n - 1)).cast("int")
+        return (F.least(F.greatest(v, F.lit(0)), F.lit(n - 1)) if clamp else v).cast("int")
 
     return inside(x), inside(row), (n - 1) - inside(row)
 
