@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pyrelith.functions import scalar as S
 from pyrelith.operators.ordering import numbered, running_sums
+from pyrelith.runtime import Scratch
 
 HALF_HOUR = 1800
 
@@ -27,38 +28,78 @@ def reports_in_window(events: DataFrame, obs: DataFrame, lag_s: int) -> DataFram
     return e.join(o, "day").where(F.col("at").between(F.col("t0"), F.col("until"))).drop("day")
 
 
-def shared_smoke(smoke: DataFrame, reports: DataFrame) -> DataFrame:
+def window_blocks(events: DataFrame, lag_s: int, levels: int, *cols: str) -> DataFrame:
+    """``(*cols, level, block)``: the few blocks of 2^level whole seconds that make up each event's window, at most two of each level."""
+    lo, end = F.col("t0"), F.col("t1") + lag_s + 1
+    found = []
+    for k in range(levels):
+        a, b = F.shiftright(lo + (1 << k) - 1, k), F.shiftright(end, k)
+        found += [F.when((a < b) & (at % 2 != 0), F.struct(F.lit(k).alias("level"), block.alias("block"))) for at, block in ((a, a), (b, b - 1))]
+    return events.select(*cols, F.explode(F.array_compact(F.array(*found))).alias("b")).select(*cols, "b.*")
+
+
+def summed_blocks(seconds: DataFrame, levels: int, by: list[str], sums: list[Column]) -> DataFrame:
+    """``(level, block, *by, sums)``: rows of seconds (``at``) summed in the blocks of every level that they lie in."""
+    block = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright("at", k).alias("block")) for k in range(levels)])
+    return seconds.select("*", F.explode(block).alias("b")).groupBy("b.level", "b.block", *by).agg(*sums)
+
+
+def shared_smoke(span: DataFrame) -> DataFrame:
     """``(event, n_concurrent)``: how many other events have at least one of an event's smoke reports in their window.
 
-    A window holds the station's smoke reports from one number to another, numbered by time. Two events share one
+    A window holds the station's smoke reports from one number to another (``lo``, ``hi``), numbered by time. Two events share one
     exactly if those ranges overlap, so the count is that of the ranges that begin no later than an event's ends, less those
-    that end before it begins: two running sums over one station's smoke reports, and no pairs of events.
+    that end before it begins: two running sums over the ranges' ends, and no pairs of events.
     """
-    ranked = numbered(reports.select("obs_id", "at"), ["at", "obs_id"], "r").select("obs_id", "r")
-    span = smoke.join(ranked, "obs_id").groupBy("event").agg(F.min("r").alias("lo"), F.max("r").alias("hi"))
-    begun, ended = (span.groupBy(F.col(c).alias("r")).agg(F.count(F.lit(1)).alias(c)) for c in ("lo", "hi"))
-    counts = ranked.select("r").join(begun, "r", "left").join(ended, "r", "left").select("r", F.coalesce("lo", F.lit(0)).alias("begun"), F.coalesce("hi", F.lit(0)).alias("ended"), F.coalesce("hi", F.lit(0)).alias("here"))
+    ends = [span.select(F.col(c).alias("r"), F.lit(int(c == "lo")).alias("begun"), F.lit(int(c == "hi")).alias("ended")) for c in ("lo", "hi")]
+    counts = ends[0].unionByName(ends[1]).groupBy("r").agg(F.sum("begun").alias("begun"), F.sum("ended").alias("ended")).withColumn("here", F.col("ended"))
     sums = running_sums(counts, "r", ["begun", "ended"])
     j = span.join(sums.select(F.col("r").alias("hi"), "begun"), "hi").join(sums.select(F.col("r").alias("lo"), (F.col("ended") - F.col("here")).alias("ended")), "lo")
     return j.select("event", (F.col("begun") - F.col("ended") - 1).alias("n_concurrent"))
 
 
+def smoke_ranges(events: DataFrame, smoke: DataFrame, lag_s: int) -> DataFrame:
+    """``(event, lo, hi)``: the numbers in time of the first and the last smoke report in each event's window, for events that have one.
+
+    Windows' borders and the seconds with smoke (``at, n``) are sorted together; how many reports lie before a border is a running sum.
+    """
+    at = smoke.select("at", F.lit(1).alias("kind"), F.lit(None).cast(events.schema["event"].dataType).alias("event"), F.col("n").alias("upto"))
+    borders = [events.select(t.alias("at"), F.lit(kind).alias("kind"), "event", F.lit(0).cast("long").alias("upto")) for t, kind in ((F.col("t0"), 0), (F.col("t1") + lag_s, 2))]
+    line = running_sums(numbered(at.unionByName(borders[0]).unionByName(borders[1]), ["at", "kind", "event"], "r"), "r", ["upto"])
+    g = line.where("kind <> 1").groupBy("event").agg((F.max(F.when(F.col("kind") == 0, F.col("upto"))) + 1).alias("lo"), F.max(F.when(F.col("kind") == 2, F.col("upto"))).alias("hi"))
+    return g.where("lo <= hi")
+
+
 def station_records(events: DataFrame, obs: DataFrame, lag_s: int, half_width: float) -> DataFrame:
     """For every event what the station reported in its window, with the number of other events of the same smoke reports.
 
-    ``events`` has ``event, t0, t1, km, bearing``. Coverage may exceed 1, as stations send extra reports.
+    ``events`` has ``event, t0, t1, km, bearing``, one row an event. Coverage may exceed 1, as stations send extra reports.
+    Reports aren't listed by event: they are summed by second, the seconds in blocks of 1, 2, 4, ... of them, and a window is the sum of
+    its blocks, two of each size at most. Reports of smoke are also summed by the wind's direction, which
+    is held against each bearing that asks for a block. So the work grows with the events and the reports, not with their product.
     """
-    hits = reports_in_window(events, obs, lag_s)
-    agg = hits.groupBy("event").agg(
-        F.count(F.lit(1)).alias("n_obs"), F.count_if("fu").alias("n_fu"), F.count_if("hz").alias("n_hz"),
-        F.count_if(F.col("fu") & S.wind_from(F.col("dir"), F.col("sknt"), F.col("bearing"), half_width)).alias("n_fu_from"),
-        F.min("vsby").alias("vsby_min"), F.try_divide(F.count_if("ceiling"), F.count("vsby")).alias("ceiling_share"),
-    )
-    other = shared_smoke(hits.where("fu").select("event", "obs_id"), obs.where("fu"))
+    scratch = Scratch(events.sparkSession, "stations")
+    events = scratch.table(events.select("event", "t0", "t1", "km", "bearing"), "windows")
+    known = obs.where("at is not null")
+    seconds = known.groupBy("at").agg(F.count(F.lit(1)).alias("n_obs"), F.count_if("fu").alias("n_fu"), F.count_if("hz").alias("n_hz"), F.min("vsby").alias("vsby_min"), F.count_if("ceiling").alias("at_ceiling"), F.count("vsby").alias("seen"))
+    seconds = scratch.table(seconds, "seconds")
+    longest = events.agg(F.max(F.col("t1") - F.col("t0")).alias("s")).first().s
+    levels = max(1, int((longest or 0) + lag_s + 1).bit_length())
+    sums = ["n_obs", "n_fu", "n_hz", "at_ceiling", "seen"]
+    total = [*[F.sum(c).alias(c) for c in sums], F.min("vsby_min").alias("vsby_min")]
+    blocks = window_blocks(events, lag_s, levels, "event").join(summed_blocks(seconds, levels, [], total), ["level", "block"])
+    agg = blocks.groupBy("event").agg(*total).withColumn("ceiling_share", F.try_divide("at_ceiling", "seen"))
+    winds = known.where(F.col("fu") & F.col("dir").isNotNull()).groupBy("at", "dir", "sknt").agg(F.count(F.lit(1)).alias("n"))
+    winds = summed_blocks(winds, levels, ["dir", "sknt"], [F.sum("n").alias("n")])
+    asked = scratch.table(window_blocks(events.where("bearing is not null"), lag_s, levels, "event", "bearing"), "asked")
+    blown = asked.select("level", "block", "bearing").distinct().join(winds, ["level", "block"]).where(S.wind_from(F.col("dir"), F.col("sknt"), F.col("bearing"), half_width))
+    blown = blown.groupBy("level", "block", "bearing").agg(F.sum("n").alias("n"))
+    from_there = asked.join(blown, ["level", "block", "bearing"]).groupBy("event").agg(F.sum("n").alias("n_fu_from"))
+    other = shared_smoke(scratch.table(smoke_ranges(events, seconds.where("n_fu > 0").select("at", F.col("n_fu").alias("n")), lag_s), "spans"))
     expected = F.floor((F.col("t1") + lag_s - F.col("t0")) / HALF_HOUR) + 1
-    out = events.join(agg, "event", "left").join(other, "event", "left")
+    out = events.join(agg, "event", "left").join(from_there, "event", "left").join(other, "event", "left")
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_obs", "n_fu", "n_hz", "n_fu_from", "n_concurrent")]
-    return out.select("event", "km", *zero, "vsby_min", "ceiling_share", (F.coalesce("n_obs", F.lit(0)) / expected).alias("coverage"))
+    return out.select("event", "km", *zero, "vsby_min", "ceiling_share", F.try_divide(F.coalesce("n_obs", F.lit(0)), expected).alias("coverage"))
 
 
 def station_class(min_coverage: float, max_km):
