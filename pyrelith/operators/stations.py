@@ -9,7 +9,7 @@ from pyrelith.functions import scalar as S
 from pyrelith.operators.ordering import numbered, running_sums
 from pyrelith.runtime import Scratch
 
-HALF_HOUR = 1800
+HALF_HOUR, HOUR = 1800, 3600
 
 
 def parsed(obs: DataFrame) -> DataFrame:
@@ -21,11 +21,13 @@ def parsed(obs: DataFrame) -> DataFrame:
 def reports_in_window(events: DataFrame, obs: DataFrame, lag_s: int) -> DataFrame:
     """D3: reports from an event's first to its last sighting and ``lag_s`` after, ends included.
 
-    Events (``event, t0, t1``) are listed under each day that they touch; the join is by day, then exact.
+    Events (``event, t0, t1``) are listed under each hour that they touch; the join is by hour, then exact. The result has a row for
+    each event and report, so it grows with their product; ``station_records`` sums without it.
     """
-    e = events.withColumn("until", F.col("t1") + lag_s).withColumn("day", F.explode(F.sequence(F.floor(F.col("t0") / 86_400), F.floor((F.col("t1") + lag_s) / 86_400))))
-    o = obs.withColumn("day", F.floor(F.col("at") / 86_400))
-    return e.join(o, "day").where(F.col("at").between(F.col("t0"), F.col("until"))).drop("day")
+    until = F.col("t1") + lag_s
+    e = events.withColumn("until", until).where("t0 <= until").withColumn("hour", F.explode(F.sequence(F.floor(F.col("t0") / HOUR), F.floor(F.col("until") / HOUR))))
+    o = obs.withColumn("hour", F.floor(F.col("at") / HOUR))
+    return e.join(o, "hour").where(F.col("at").between(F.col("t0"), F.col("until"))).drop("hour")
 
 
 def window_blocks(events: DataFrame, lag_s: int, levels: int, *cols: str) -> DataFrame:
