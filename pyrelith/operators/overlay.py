@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -16,15 +18,18 @@ COLUMNS, STRIP_ENDS = 1024, 256
 FEW = 48
 
 
-def strips(edges: DataFrame, by: list[str]) -> DataFrame:
-    """The edges cut at the borders of their group's strips, with ``strip``; narrow strips where many edges end.
+def leftmost_first(edges: DataFrame, by: list[str]) -> DataFrame:
+    """The edges that aren't upright as ``(*by, layer, shape, xa, ya, xb, yb)`` from left to right."""
+    return edges.where("x1 <> x2").select(*by, "layer", "shape", *[F.when(F.col("x1") < F.col("x2"), F.col(a)).otherwise(F.col(b)).alias(n) for a, b, n in (("x1", "x2", "xa"), ("y1", "y2", "ya"), ("x2", "x1", "xb"), ("y2", "y1", "yb"))])
+
+
+def strips(e: DataFrame, by: list[str]) -> DataFrame:
+    """The edges, from left to right, cut at the borders of their group's strips, with ``strip``; narrow strips where many edges end.
 
     A group's width is divided into ``COLUMNS`` equal columns; the ends of edges are counted by column, and a strip
     gathers columns until it has ``STRIP_ENDS`` of them. So the strips' table has at most that many rows a group.
     """
-    scratch = Scratch(edges.sparkSession, "strips")
-    e = edges.where("x1 <> x2").select(*by, "layer", "shape", *[F.when(F.col("x1") < F.col("x2"), F.col(a)).otherwise(F.col(b)).alias(n) for a, b, n in (("x1", "x2", "xa"), ("y1", "y2", "ya"), ("x2", "x1", "xb"), ("y2", "y1", "yb"))])
-    e = scratch.table(e, "edges")
+    scratch = Scratch(e.sparkSession, "strips")
     extent = e.groupBy(*by).agg(F.min("xa").alias("lo"), F.max("xb").alias("hi"))
     column = lambda x: F.least(F.floor((x - F.col("lo")) / (F.col("hi") - F.col("lo")) * COLUMNS), F.lit(COLUMNS - 1)).cast("int")
     ends = e.join(extent, by).select(*by, "lo", "hi", F.explode(F.array(column(F.col("xa")), column(F.col("xb")))).alias("column"))
@@ -61,34 +66,91 @@ def crossings(edges: np.ndarray, lo: float, hi: float) -> list[float]:
     return sorted(set((lo + t * (hi - lo)).tolist()))
 
 
+def runs(*keys: np.ndarray) -> np.ndarray:
+    """Of rows sorted by ``keys``, whether each begins a new run of equal ones; nulls are equal."""
+    new = np.ones(len(keys[0]), dtype=bool)
+    new[1:] = False
+    for k in keys:
+        a, b = k[1:], k[:-1]
+        new[1:] |= (a != b) & ~(pd.isna(a) & pd.isna(b))
+    return new
+
+
+def slabs(edges: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(edge, slab, lo, hi)``: every edge once for each slab between neighbouring ends of its group that it spans; slabs of all groups have numbers of their own."""
+    n = len(edges)
+    x, g = np.concatenate([edges[:, 0], edges[:, 2]]), np.concatenate([group, group])
+    order = np.lexsort((x, g))
+    new = runs(g[order], x[order])
+    place = np.empty(2 * n, dtype=np.int64)
+    place[order] = np.cumsum(new) - 1
+    at = x[order][new]
+    count = place[n:] - place[:n]
+    edge = np.repeat(np.arange(n), count)
+    slab = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - place[:n], count)
+    return edge, slab, at[slab], at[slab + 1]
+
+
+def cut_at_crossings(edges: np.ndarray, edge: np.ndarray, slab: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The slabs in which edges cross, cut there, and the others as they are."""
+    l, r = heights(edges[edge], lo), heights(edges[edge], hi)
+    order = np.lexsort((r, l, slab))
+    s, up = slab[order], r[order]
+    crossed = np.unique(s[1:][(s[1:] == s[:-1]) & (up[1:] < up[:-1])])
+    if not crossed.size:
+        return edge, slab, lo, hi
+    first, last = np.searchsorted(s, crossed), np.searchsorted(s, crossed, side="right")
+    straight = ~np.isin(slab, crossed)
+    parts = [[edge[straight]], [slab[straight]], [lo[straight]], [hi[straight]]]
+    free = int(slab.max()) + 1
+    for f, t in zip(first.tolist(), last.tolist(), strict=True):
+        own = np.sort(order[f:t])
+        a, b = float(lo[own[0]]), float(hi[own[0]])
+        cuts = np.array([a, *crossings(edges[edge[own]], a, b), b])
+        k, m = len(cuts) - 1, len(own)
+        for part, v in zip(parts, (np.tile(edge[own], k), np.repeat(np.arange(free, free + k), m), np.repeat(cuts[:-1], m), np.repeat(cuts[1:], m)), strict=True):
+            part.append(v)
+        free += k
+    return tuple(np.concatenate(p) for p in parts)
+
+
+def sweep_groups(edges: np.ndarray, layers: np.ndarray, shapes: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(group, mask, area)`` of edges ``(xa, ya, xb, yb)`` of several groups at once: slabs between all ends and crossings, in each of them the edges from below.
+
+    Crossing an edge leaves or enters its shape (``shapes`` are whole numbers); a layer covers what lies in any of its shapes. Within a slab no two
+    edges cross, so the height between neighbours at its middle times its width is the area.
+    """
+    edge, slab, lo, hi = cut_at_crossings(edges, *slabs(edges, group))
+    y = heights(edges[edge], (lo + hi) / 2)
+    order = np.lexsort((y, slab))
+    edge, slab, width, y = edge[order], slab[order], (hi - lo)[order], y[order]
+    # whether an edge enters its shape: it is the first, third, ... of the shape's in its slab
+    own = np.lexsort((np.arange(len(edge)), shapes[edge], layers[edge], slab))
+    new = runs(slab[own], layers[edge][own], shapes[edge][own])
+    begin = np.flatnonzero(new)
+    nth = np.empty(len(edge), dtype=np.int64)
+    nth[own] = np.arange(len(edge)) - np.repeat(begin, np.diff(np.append(begin, len(edge))))
+    step = np.where(nth % 2 == 0, 1, -1)
+    mask = np.zeros(len(edge), dtype=np.int64)
+    for layer in np.unique(layers).tolist():
+        # every shape is left again at the top of a slab, so a layer's sum begins at zero in each
+        mask |= np.where(np.cumsum(np.where(layers[edge] == layer, step, 0)) > 0, layer, 0)
+    held = np.flatnonzero((mask[:-1] != 0) & (slab[1:] == slab[:-1]))
+    area, g, m = (y[held + 1] - y[held]) * width[held], group[edge[held]], mask[held]
+    order = np.lexsort((m, g))
+    g, m = g[order], m[order]
+    begin = np.flatnonzero(runs(g, m)) if len(g) else np.zeros(0, dtype=np.int64)
+    return g[begin], m[begin], np.add.reduceat(area[order], begin) if len(begin) else np.zeros(0)
+
+
 def sweep(edges: np.ndarray, layers: np.ndarray, shapes: np.ndarray) -> dict[int, float]:
-    """``{mask: area}`` of one strip's edges ``(xa, ya, xb, yb)``: slabs between all ends and crossings, in each of them the edges from below.
+    """``{mask: area}`` of one group's edges."""
+    _, masks, areas = sweep_groups(edges, layers, shapes, np.zeros(len(edges), dtype=np.int64))
+    return dict(zip(masks.tolist(), areas.tolist(), strict=True))
 
-    Crossing an edge leaves or enters its shape; a layer covers what lies in any of its shapes. Within a slab no two edges
-    cross, so the height between neighbours at its middle times its width is the area.
-    """
-    out: dict[int, float] = {}
-    xs = np.unique(edges[:, [0, 2]])
-    for lo, hi in zip(xs[:-1].tolist(), xs[1:].tolist(), strict=True):
-        here = np.flatnonzero((edges[:, 0] <= lo) & (edges[:, 2] >= hi))
-        if not len(here):
-            continue
-        own = edges[here]
-        cuts = [lo, *crossings(own, lo, hi), hi]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            y = heights(own, (a + b) / 2)
-            inside: dict = {}
-            mask, below = 0, 0.0
-            counts: dict[int, int] = {}
-            for k in np.argsort(y, kind="stable").tolist():
-                if mask:
-                    out[mask] = out.get(mask, 0.0) + (y[k] - below) * (b - a)
-                layer, shape = int(layers[here[k]]), (layers[here[k]], shapes[here[k]])
-                inside[shape] = not inside.get(shape, False)
-                counts[layer] = counts.get(layer, 0) + (1 if inside[shape] else -1)
-                mask = mask | layer if counts[layer] else mask & ~layer
-                below = y[k]
-    return out
+
+#: A group of so many edges is one strip, whatever its width.
+ONE_STRIP = STRIP_ENDS // 2
 
 
 def coverage(edges: DataFrame, by: list[str]) -> DataFrame:
@@ -96,18 +158,51 @@ def coverage(edges: DataFrame, by: list[str]) -> DataFrame:
 
     ``edges`` has ``(*by, layer, shape, x1, y1, x2, y2)``; a layer is a power of two and the union of its shapes, which may
     overlap; a shape is what an odd number of its edges lie below. Union, intersection and differences of layers are sums over masks:
-    the union all of them, both of 1 and 2 the mask 3 and those that hold it. Strips of all groups are folded in parallel, a strip in one task.
+    the union all of them, both of 1 and 2 the mask 3 and those that hold it. Groups of few edges are swept whole, many of them at once; the strips
+    of the others in parallel, a strip in one task.
     """
+    scratch = Scratch(edges.sparkSession, "coverage")
     fields = {f.name: f.dataType for f in edges.schema.fields}
     schema = T.StructType([T.StructField(c, fields[c]) for c in by] + [T.StructField("mask", T.LongType()), T.StructField("area", T.DoubleType())])
 
-    def fold(key: tuple, d: pd.DataFrame) -> pd.DataFrame:
-        shape, _ = pd.factorize(d["shape"])
-        found = sweep(d[["xa", "ya", "xb", "yb"]].to_numpy(dtype=float), d["layer"].to_numpy(), shape)
-        return pd.DataFrame([(*key[:-1], m, a) for m, a in found.items()], columns=schema.names)
-
-    parts = strips(edges, by).groupBy(*by, "strip").applyInPandas(fold, schema)
-    return parts.groupBy(*by, "mask").agg(F.sum("area").alias("area"))
+    def folded(keys: list[str]):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for d in whole_groups(batches, keys):
+                new = runs(*[d[c].to_numpy() for c in keys])
+                group = np.cumsum(new) - 1
+                g, masks, areas = sweep_groups(d[["xa", "ya", "xb", "yb"]].to_numpy(dtype=float), d["layer"].to_numpy(), pd.factorize(d["shape"])[0], group)
+                out = d[by].iloc[np.flatnonzero(new)[g]].reset_index(drop=True)
+                yield out.assign(mask=masks, area=areas)
+
+        return run
+
+    e = scratch.table(leftmost_first(edges, by), "edges")
+    sizes = scratch.table(e.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")), "sizes")
+    same = lambda t: [e[c].eqNullSafe(t[c]) for c in by]
+    few, many = sizes.where(F.col("__n") <= ONE_STRIP), sizes.where(F.col("__n") > ONE_STRIP)
+    whole = e.join(few, same(few), "left_semi").repartition(*by).sortWithinPartitions(*by).mapInPandas(folded(by), schema)
+    if many.isEmpty():
+        return whole
+    parts = strips(e.join(many, same(many), "left_semi"), by).repartition(*by, "strip").sortWithinPartitions(*by, "strip").mapInPandas(folded([*by, "strip"]), schema)
+    return whole.unionByName(parts.groupBy(*by, "mask").agg(F.sum("area").alias("area")))
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Sorted batches, cut again so that no group of equal keys is in two of them."""
+    held: list[pd.DataFrame] = []
+    for b in batches:
+        while len(b):
+            edge = pd.concat([held[-1].iloc[-1:], b]) if held else b
+            starts = np.flatnonzero(runs(*[edge[c].to_numpy() for c in keys])[1:]) + (0 if held else 1)
+            if not starts.size:
+                held.append(b)
+                break
+            # all but the batch's last group is whole
+            cut = int(starts[-1])
+            yield pd.concat([*held, b.iloc[:cut]], ignore_index=True)
+            held, b = [], b.iloc[cut:]
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def union_areas(edges: DataFrame, by: list[str]) -> DataFrame:
