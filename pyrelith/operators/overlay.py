@@ -36,13 +36,15 @@ def strips(e: DataFrame, by: list[str]) -> DataFrame:
     ends = ends.groupBy(*by, "lo", "hi", "column").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy(*by).orderBy("column").rowsBetween(Window.unboundedPreceding, -1)
     cut = ends.withColumn("strip", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / STRIP_ENDS))
-    cut = cut.groupBy(*by, "lo", "hi", "strip").agg(F.min("column").alias("from"))
+    cut = scratch.table(cut.withColumn("strip", F.dense_rank().over(Window.partitionBy(*by).orderBy("strip"))), "columns")
     border = F.when(F.col("from") == 0, F.col("lo")).otherwise(F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("from") / COLUMNS)
-    cut = cut.groupBy(*by, "hi").agg(F.sort_array(F.collect_list(border)).alias("borders"))
-    cut = cut.select(*by, F.concat(F.col("borders"), F.array("hi")).alias("borders"))
-    c = e.join(scratch.table(cut, "borders"), by)
-    at = F.filter(F.sequence(F.lit(1), F.size("borders") - 1), lambda k: (F.get(F.col("borders"), k) > F.col("xa")) & (F.get(F.col("borders"), k - 1) < F.col("xb")))
-    c = c.select("*", F.explode(at).alias("strip")).withColumn("l", F.greatest("xa", F.get("borders", F.col("strip") - 1))).withColumn("r", F.least("xb", F.get("borders", F.col("strip"))))
+    borders = cut.groupBy(*by, "lo", "hi", "strip").agg(F.min("column").alias("from")).select(*by, "strip", "hi", border.alias("west"))
+    borders = borders.select(*by, "strip", "west", F.coalesce(F.lead("west").over(Window.partitionBy(*by).orderBy("strip")), "hi").alias("east"))
+    # an end's column names its strip; what rounding may shift is looked up in the strips beside it too
+    sides = [cut.select(*by, F.col("column").alias(f"at_{c}"), F.col("strip").alias(f"of_{c}")) for c in ("xa", "xb")]
+    c = e.join(extent, by).select(*e.columns, *[column(F.col(c)).alias(f"at_{c}") for c in ("xa", "xb")]).join(sides[0], [*by, "at_xa"]).join(sides[1], [*by, "at_xb"])
+    c = c.withColumn("strip", F.explode(F.sequence(F.col("of_xa") - 1, F.col("of_xb") + 1))).join(scratch.table(borders, "borders"), [*by, "strip"]).where("east > xa and west < xb")
+    c = c.withColumn("l", F.greatest("xa", "west")).withColumn("r", F.least("xb", "east"))
     y = lambda x: F.when(x == F.col("xa"), F.col("ya")).when(x == F.col("xb"), F.col("yb")).otherwise(F.col("ya") + (F.col("yb") - F.col("ya")) * ((x - F.col("xa")) / (F.col("xb") - F.col("xa"))))
     return c.select(*by, "strip", "layer", "shape", F.col("l").alias("xa"), y(F.col("l")).alias("ya"), F.col("r").alias("xb"), y(F.col("r")).alias("yb"))
 
