@@ -7,6 +7,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyrelith.operators.ordering import numbered, running_sums
+from pyrelith.runtime import Scratch
+
 Z = 1.96
 
 
@@ -77,3 +80,23 @@ def least_squares(df: DataFrame, by: list[str], xs: list[str], y: str) -> DataFr
 
     kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in by)
     return df.select(*by, *xs, y).groupBy(*by).applyInPandas(fit, f"{kinds}, n long, beta array<double>, trace double, top_leverage double, loo_rmse double")
+
+
+def counted_quantiles(counts: DataFrame, by: list[str], v: str, n: str, shares: dict[str, float]) -> DataFrame:
+    """``(*by, names of shares)``: exact quantiles of each group's values ``v``, each there ``n`` times, between neighbours in proportion.
+
+    All groups' values are put into one order by ranges, and places are running sums, so no task holds a group.
+    """
+    line = numbered(counts.select(*by, v, n), [*by, v], "__r").withColumn("__upto", F.col(n))
+    line = Scratch(counts.sparkSession, "quantiles").table(running_sums(line, "__r", ["__upto"]), "line")
+    size = line.groupBy(*by).agg(F.sum(n).alias("__size"), F.min(F.col("__upto") - F.col(n)).alias("__base"))
+    j = line.join(size, by).withColumn("__to", F.col("__upto") - F.col("__base")).withColumn("__from", F.col("__to") - F.col(n))
+    at = {c: (F.col("__size") - 1) * p for c, p in shares.items()}
+    holds = lambda i: (F.col("__from") <= i) & (i < F.col("__to"))
+    g = j.groupBy(*by).agg(*[F.max(F.when(holds(f(a)), F.col(v))).alias(f"__{c}_{k}") for c, a in at.items() for k, f in (("lo", F.floor), ("hi", F.ceil))], *[F.max(a).alias(f"__{c}_at") for c, a in at.items()])
+
+    def between(c: str) -> Column:
+        lo, hi, a = (F.col(f"__{c}_{k}") for k in ("lo", "hi", "at"))
+        return F.when(lo == hi, lo).otherwise((F.ceil(a) - a) * lo + (a - F.floor(a)) * hi)
+
+    return g.select(*by, *[between(c).alias(c) for c in shares])

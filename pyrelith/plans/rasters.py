@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pyrelith.functions import raster as R
 from pyrelith.functions import scalar as S
-from pyrelith.operators import outlines
+from pyrelith.operators import outlines, statistics
 from pyrelith.operators import rasters as X
 from pyrelith.plans.registry import query
 from pyrelith.runtime import Scratch
@@ -372,9 +372,12 @@ def n8_index_comparison(pix):
     """All indices at once: distribution by stratum, and the share above the 95th percentile of one stratum."""
     long = pix.select(stratum().alias("stratum"), F.explode(F.array(*[F.struct(F.lit(k).alias("index_name"), v.alias("v")) for k, v in indices(pix).items()])).alias("s")).select("stratum", "s.*")
     long = long.where("stratum is not null and v is not null")
-    t = long.where("stratum = 'adjacent'").groupBy("index_name").agg(F.percentile("v", F.lit(0.95)).alias("limit"))
-    g = long.join(t, "index_name").groupBy("stratum", "index_name").agg(F.count(F.lit(1)).alias("n"), F.percentile("v", F.array(F.lit(0.5), F.lit(0.95))).alias("q"), F.round(F.avg((F.col("v") > F.col("limit") + 1e-9).cast("int")), 7).alias("above"))
-    return g.select("stratum", "index_name", "n", F.round(F.col("q")[0], 7).alias("p50"), F.round(F.col("q")[1], 7).alias("p95"), "above")
+    counts = Scratch(pix.sparkSession, "indices").table(long.groupBy("stratum", "index_name", "v").agg(F.count(F.lit(1)).alias("k")), "counts")
+    q = Scratch(pix.sparkSession, "indices").table(statistics.counted_quantiles(counts, ["stratum", "index_name"], "v", "k", {"p50": 0.5, "p95": 0.95}), "quantiles")
+    t = q.where("stratum = 'adjacent'").select("index_name", F.col("p95").alias("limit"))
+    over = F.sum(F.when(F.col("v") > F.col("limit") + 1e-9, F.col("k")).otherwise(F.lit(0)))
+    g = counts.join(t, "index_name").groupBy("stratum", "index_name").agg(F.sum("k").alias("n"), F.round(over / F.sum("k"), 7).alias("above")).join(q, ["stratum", "index_name"])
+    return g.select("stratum", "index_name", "n", F.round("p50", 7).alias("p50"), F.round("p95", 7).alias("p95"), "above")
 
 
 @query("v_pix", sql=f"""WITH {GRID}, m AS (SELECT a.scene, a.x, a.y, a.dn - median(b.dn) > 400 AND a.dn > 900 AS flagged
