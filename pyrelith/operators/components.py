@@ -36,6 +36,32 @@ def joined_in_memory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"node": nodes, "component": [find(n) for n in nodes]}, dtype="int64")
 
 
+#: A task that joins the edges of a region gives out what it has found at so many nodes.
+MOST_NODES = 200_000
+
+
+def joined_by_region(edges: DataFrame, region: list) -> DataFrame:
+    """Edges ``(a, b)`` with the same components as those of ``edges(a, b, ...)``: each node of a region beside the smallest that it reaches there.
+
+    ``region`` are columns that most ends of a component share. What is linked inside of one is at its root at once, so that few
+    rounds are left; links between regions stay links.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, rows = [], 0
+        for t in batches:
+            held.append(t)
+            rows += len(t)
+            if rows >= MOST_NODES:
+                yield from joined_in_memory(iter(held))
+                held, rows = [], 0
+        if held:
+            yield from joined_in_memory(iter(held))
+
+    e = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"), F.xxhash64(*region).alias("region")).repartition("region").sortWithinPartitions("region")
+    return e.select("hi", "lo").mapInPandas(run, "node long, component long").where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+
+
 def connected_components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b", few: int = FEW_EDGES) -> DataFrame:
     """``(node, component)`` for every node of ``edges``; component is the smallest node reachable.
 

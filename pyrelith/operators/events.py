@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyrelith.functions.scalar import M_PER_DEG
-from pyrelith.operators.components import connected_components
-from pyrelith.operators.geo import space_time_pairs
+from pyrelith.operators.components import connected_components, joined_by_region
+from pyrelith.operators.geo import space_time_pairs, spans_in_reach
 from pyrelith.operators.ordering import numbered
 from pyrelith.runtime import Scratch
 
@@ -22,16 +22,27 @@ def st_dbscan(points: DataFrame, eps_m: float, eps_s: int, min_samples: int = 2,
     scratch = Scratch(points.sparkSession, "dbscan")
     at = F.unix_micros(F.col(ts).cast("timestamp"))
     ranked = points.select(F.col(key).alias("id"), at.alias("at"), "latitude", "longitude", F.floor(at / 1_000_000).alias("second"))
+    if min_samples <= 2:  # whoever has a neighbour is core, so events are the components of the pairs
+        # what stands at one place within a stretch of eps_s is one stack, all linked; of two stacks the nearest ends decide
+        still = F.isnull("latitude") | F.isnan("latitude") | F.isnull("longitude") | F.isnan("longitude")
+        ranked = ranked.withColumn("stretch", F.when(still, F.col("second")).otherwise(F.floor(F.col("second") / max(eps_s, 1))))
+        spot = ["latitude", "longitude", "stretch"]
+        spots = ranked.groupBy(*spot).agg(F.min(F.struct("at", "id")).alias("first"), F.min("id").alias("spot"), F.min("second").alias("t"), F.max("second").alias("u"))
+        spots = scratch.table(spots, "spots")
+        mean = ranked.agg(F.avg("latitude").alias("mean_lat"))
+        x = F.col("longitude") * (F.cos(F.radians("mean_lat")) * M_PER_DEG)
+        on_plane = spots.join(F.broadcast(mean)).select(F.col("spot").alias("id"), x.alias("x"), (F.col("latitude") * M_PER_DEG).alias("y"), "t", "u")
+        pairs = spans_in_reach(on_plane, eps_m, eps_s, eps_s)
+        region = [F.floor(F.col("x") / (16 * eps_m)), F.floor(F.col("y") / (16 * eps_m)), F.floor(F.col("t") / (64 * eps_s))]
+        comp = connected_components(joined_by_region(pairs, region), scratch)
+        named = spots.join(comp, spots["spot"] == comp["node"], "left").select(*spot, "first", F.coalesce("component", "spot").alias("c"))
+        first = named.groupBy("c").agg(F.min("first").alias("name"))
+        return labelled(ranked, named.join(first, "c"), spot, key, F.col("name.id"))
     # what stands at one place and second is one spot: copies cost no pairs
     spot = ["latitude", "longitude", "second"]
     spots = ranked.groupBy(*spot).agg(F.min(F.struct("at", "id")).alias("first"), F.count(F.lit(1)).alias("n"), F.min("id").alias("spot"))
     spots = scratch.table(spots.withColumn("time", F.timestamp_seconds("second")), "spots")
     pairs = scratch.table(space_time_pairs(spots, eps_m, eps_s, "spot", "time").select("a", "b"), "pairs")
-    if min_samples <= 2:  # whoever has a neighbour is core, so events are the components of the pairs
-        comp = connected_components(pairs, scratch)
-        named = spots.join(comp, spots["spot"] == comp["node"], "left").select(*spot, "first", F.coalesce("component", "spot").alias("c"))
-        first = named.groupBy("c").agg(F.min("first").alias("name"))
-        return labelled(ranked, named.join(first, "c"), spot, key, F.col("name.id"))
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = both.join(spots.select(F.col("spot").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("near"))
     core = spots.join(others, spots["spot"] == others["a"], "left").where(F.col("n") + F.coalesce("near", F.lit(0)) >= min_samples).select(F.col("spot").alias("id"), "first")
