@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pyrelith.functions.scalar import scores
-from pyrelith.operators.ordering import numbered
+from pyrelith.operators.overlay import whole_groups
 from pyrelith.runtime import Scratch
 
 FEATURES = ("b2", "b3", "b4", "b6", "b7", "b8a", "b11", "b12")
@@ -68,34 +73,66 @@ def leave_one_out(df: DataFrame, event: str, label: str, features: tuple[str, ..
     return out
 
 
+#: Rows of an event that are dealt among one another, about; one task holds one such block.
+BLOCK_ROWS = 50_000
+
+
 def dealt_anew(df: DataFrame, event: str, features: tuple[str, ...], key: str, seed: int, repeats: int) -> DataFrame:
     """Each row once for each repeat and feature, with that feature's value taken from another row of its event.
 
-    Two numberings by different hashes, both by event and repeat first, are joined: that deals all rows of an event anew in each repeat, and
-    no task sees an event whole. ``feature`` is null for the rows as they are, once for each repeat.
+    Rows of an event are dealt to blocks of about ``BLOCK_ROWS`` by a hash, so a block is a random part of its event; an event of fewer
+    rows is one block. In each repeat a block's rows get the values of one another in a new order. So rows move once, whatever the
+    repeats, and no task sees a large event whole. ``feature`` is null for the rows as they are, once for each repeat.
     """
-    r = df.select(event, key, "label", *features).withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    a = numbered(r.withColumn("__h", F.xxhash64(key, "repeat", F.lit(seed))), [event, "repeat", "__h", key], "__r").drop("__h")
-    b = numbered(r.select(event, "repeat", key, F.struct(*features).alias("__o"), F.xxhash64(key, "repeat", F.lit(seed + 1)).alias("__h")), [event, "repeat", "__h", key], "__r").select("__r", "__o")
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    sizes = df.groupBy(event).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("__blocks")).withColumnRenamed(event, "__event")
+    r = df.select(event, key, "label", *features).join(sizes, F.col(event).eqNullSafe(F.col("__event"))).drop("__event")
+    r = r.withColumn("__hash", F.xxhash64(key, F.lit(seed))).withColumn("__block", F.xxhash64(event, F.pmod("__hash", "__blocks"), F.lit(seed))).drop("__blocks")
+    together = r.repartition("__block").sortWithinPartitions("__block", "__hash", key, *features, "label")
+    schema = T.StructType([*[T.StructField(c, fields[c]) for c in (event, key, "label")], T.StructField("repeat", T.IntegerType()), *[T.StructField(f, fields[f]) for f in features], *[T.StructField(f"__{f}", fields[f]) for f in features]])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in whole_groups(batches, ["__block"]):
+            cuts = np.flatnonzero(np.diff(g["__block"].to_numpy())) + 1
+            for t in np.split(np.arange(len(g)), cuts):
+                part = g.iloc[t].reset_index(drop=True)
+                for k in range(repeats):
+                    order = np.random.default_rng([seed, k, abs(int(part["__block"][0]))]).permutation(len(part))
+                    others = part[list(features)].iloc[order].reset_index(drop=True).add_prefix("__")
+                    yield pd.concat([part[[event, key, "label"]].assign(repeat=k), part[list(features)], others], axis=1)
+
     which = F.explode(F.array(F.lit(None).cast("string"), *[F.lit(f) for f in features]))
-    j = a.join(b, "__r").withColumn("feature", which)
-    return j.select(event, key, "label", "repeat", "feature", *[F.when(F.col("feature") == f, F.col("__o")[f]).otherwise(F.col(f)).alias(f) for f in features])
+    j = together.mapInPandas(run, schema).withColumn("feature", which)
+    return j.select(event, key, "label", "repeat", "feature", *[F.when(F.col("feature") == f, F.col(f"__{f}")).otherwise(F.col(f)).alias(f) for f in features])
 
 
 def permutation_importance(df: DataFrame, event: str, label: str, features: tuple[str, ...], key: str, models: dict, seed: int = 42, repeats: int = 10) -> DataFrame:
-    """``(event, model, feature, importance)``: the mean loss of balanced accuracy on the event that was held out, over the repeats."""
+    """``(event, model, feature, importance)``: the mean loss of balanced accuracy on the event that was held out, over the repeats.
+
+    Dealt rows are never written: they are made, predicted by all models of their event and counted in one pass an event.
+    """
     from pyspark.ml.feature import VectorAssembler
 
-    rows = dealt_anew(df.withColumn("label", F.col(label).cast("int")), event, features, key, seed, repeats)
-    rows = Scratch(df.sparkSession, "importance").table(VectorAssembler(inputCols=list(features), outputCol="features").transform(rows).select(event, "label", "repeat", "feature", "features"), "rows")
+    rows = df.select(event, key, F.col(label).cast("int").alias("label"), *features)
+    fitted: dict = {}
+    for e, name, model in folds(df, event, label, features, models):
+        fitted.setdefault(e, {})[name] = model
     out = None
-    for e, name, fitted in folds(df, event, label, features, models):
-        p = fitted.transform(rows.where(F.col(event) == e)).select("label", "repeat", "feature", F.col("prediction").cast("int").alias("p"))
-        half = [F.try_divide(F.count_if((F.col("label") == v) & (F.col("p") == v)), F.count_if(F.col("label") == v)) for v in (0, 1)]
-        s = p.groupBy("repeat", "feature").agg(((half[0] + half[1]) / 2).alias("score"))
-        whole = s.where("feature is null").select("repeat", F.col("score").alias("whole"))
-        part = s.where("feature is not null").join(whole, "repeat").groupBy("feature").agg(F.avg(F.col("whole") - F.col("score")).alias("importance"))
-        part = part.select(F.lit(e).alias(event), F.lit(name).alias("model"), "feature", "importance")
+    for e, of in fitted.items():
+        dealt = dealt_anew(rows.where(F.col(event) == e), event, features, key, seed, repeats)
+        # rows as they are have the same score in each repeat
+        p = VectorAssembler(inputCols=list(features), outputCol="features").transform(dealt.where("feature is not null or repeat = 0")).select("label", "repeat", "feature", "features")
+        kept = ["label", "repeat", "feature", "features"]
+        for k, model in enumerate(of.values()):
+            p = model.transform(p).select(*kept, F.col("prediction").cast("int").alias(f"p{k}"))
+            kept.append(f"p{k}")
+        halves = lambda c: [F.try_divide(F.count_if((F.col("label") == v) & (F.col(c) == v)), F.count_if(F.col("label") == v)) for v in (0, 1)]
+        scored = F.array(*[F.struct(F.lit(name).alias("model"), (sum(halves(f"p{k}"), F.lit(0.0)) / 2).alias("score")) for k, name in enumerate(of)])
+        s = p.groupBy("repeat", "feature").agg(scored.alias("s")).select("repeat", "feature", F.explode("s").alias("s")).select("repeat", "feature", "s.model", "s.score")
+        s = Scratch(df.sparkSession, "importance").table(s, "scores")
+        whole = s.where("feature is null").select("model", F.col("score").alias("whole"))
+        part = s.where("feature is not null").join(whole, "model").groupBy("model", "feature").agg(F.avg(F.col("whole") - F.col("score")).alias("importance"))
+        part = part.select(F.lit(e).alias(event), "model", "feature", "importance")
         out = part if out is None else out.unionByName(part)
     return out
 
