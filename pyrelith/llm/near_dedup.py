@@ -193,13 +193,17 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     tokens = classes.select("rep", F.posexplode("sig").alias("pos", "val"))
     tokens = tokens.select("rep", F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("val").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("token"))
-    uses = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1")
-    shared = tokens.join(uses, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("uses", "token"))).alias("ts"), F.sum("uses").alias("weight")).where(F.size("ts") >= least)
+    lists = scratch.table(in_parts(tokens, F.collect_list("rep").alias("reps"), F.count(F.lit(1)).alias("n")), "lists")
+    uses = lists.groupBy("token").agg(F.sum("n").alias("uses")).where("uses > 1")
+    shared = lists.join(uses, "token").select(F.explode("reps").alias("rep"), "uses", "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("uses", "token"))).alias("ts"), F.sum("uses").alias("weight")).where(F.size("ts") >= least)
     posted = scratch.table(shared.select("rep", "weight", F.slice("ts", F.lit(1), F.size("ts") - least + 1)["token"].alias("tokens")), "posted")
+    scratch.drop("lists")
     posts = posted.select("rep", "weight", F.explode("tokens").alias("token"))
-    leaders = posts.groupBy("token").agg(F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    weighed = F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("lead")
+    heads = scratch.table(in_parts(posts, F.collect_list("rep").alias("reps"), F.count(F.lit(1)).alias("n"), weighed), "heads")
+    leaders = heads.groupBy("token").agg(F.max("lead").alias("lead"), F.sum("n").alias("n")).where("n > 1")
     # every class of a list; one that leads all its lists has no leader of its own
-    star = posts.join(leaders, "token").groupBy("rep").agg(F.max(F.when(F.col("rep") != -F.col("lead.minus"), F.col("lead"))).alias("lead")).select(F.col("rep").alias("a"), (-F.col("lead.minus")).alias("b"))
+    star = heads.select("token", "reps").join(leaders, "token").select(F.explode("reps").alias("rep"), "lead").groupBy("rep").agg(F.max(F.when(F.col("rep") != -F.col("lead.minus"), F.col("lead"))).alias("lead")).select(F.col("rep").alias("a"), (-F.col("lead.minus")).alias("b"))
     star = scratch.table(star, "star")
     if star.isEmpty():
         label = spark.createDataFrame([], "node long, component long")
@@ -211,6 +215,15 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return named(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), names, "doc_id", "component_id")
 
 
+#: Parts of a list; a task and a row hold about one of so many of it.
+PARTS = 64
+
+
+def in_parts(posts: DataFrame, *aggregates) -> DataFrame:
+    """Lists of ``posts(token, rep, ...)`` in up to ``PARTS`` rows each; what is known of a list is joined to these, not to every post."""
+    return posts.groupBy("token", F.pmod(F.xxhash64("rep"), F.lit(PARTS)).alias("part")).agg(*aggregates)
+
+
 def linked_components(spark, scratch: Scratch, texts: DataFrame, classes: DataFrame, posted: DataFrame, posts: DataFrame, star: DataFrame, percent: int, width: int, least: int, broadcast_bytes: int, block_rows: int, compared=None) -> DataFrame:
     """``(node, component)`` of the classes that have a confirmed link: to leaders first, then across components."""
     # sets of the classes that may have a link, those that nobody chose as leader too: one pass over the texts they stand for
@@ -235,8 +248,11 @@ def linked_components(spark, scratch: Scratch, texts: DataFrame, classes: DataFr
 
     # lists that still hold several components
     named = posts.join(label, posts["rep"] == label["node"], "left").select("token", "rep", F.coalesce("component", "rep").alias("comp"))
-    mixed_lists = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi").select("token", "n")
-    open_posts = scratch.table(named.join(mixed_lists, "token"), "open")
+    ends = [F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n")]
+    parts = scratch.table(in_parts(named, F.collect_list(F.struct("rep", "comp")).alias("held"), *ends), "parts")
+    mixed_lists = parts.groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n")).where("lo <> hi").select("token", "n")
+    open_posts = parts.select("token", "held").join(mixed_lists, "token").select("token", F.inline("held"), "n").select("token", "rep", "comp", "n")
+    open_posts = scratch.table(open_posts, "open")
     marks = classes.join(posted, "rep").join(sets.select(F.col("id").alias("rep"), "fine"), "rep").select("rep", "sig", "fine", "tokens")
     short = open_posts.where(F.col("n") <= block_rows).withColumn("blocks", F.lit(1)).withColumn("block", F.lit(0))
     cross = cross_pairs(short.join(marks, "rep"), {"sig": least, "fine": fine_matches_needed(percent / 100)}, compared)
@@ -255,7 +271,7 @@ def linked_components(spark, scratch: Scratch, texts: DataFrame, classes: DataFr
         over = scratch.table(connected_components(more, Scratch(spark, "near-dedup-2")).withColumnRenamed("component", "top"), "components2")
         old = label.join(over.withColumnRenamed("node", "component"), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
         label = scratch.table(old.unionByName(over.join(label, over["node"] == label["node"], "left_anti").select("node", F.col("top").alias("component"))), "components")
-    scratch.drop("star", "wanted", "sets", "links1", "links2", "open", "busy", "wide", "merged", "cross", "ids", "posted", "edges0")
+    scratch.drop("heads", "parts", "star", "wanted", "sets", "links1", "links2", "open", "busy", "wide", "merged", "cross", "ids", "posted", "edges0")
     return label
 
 

@@ -606,3 +606,13 @@ def test_pipeline_with_odd_rows(spark, sf):
     for name, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, sf)
         assert empty.count() == 0, name
+
+
+def test_long_lists_join_by_parts(spark):
+    # op7, pipeline: what is known of a list is joined to its parts, whose number doesn't grow with the list
+    from pyrelith.llm import near_dedup as N
+
+    posts = spark.range(5000).selectExpr("id AS rep", "7L AS token").unionByName(spark.sql("SELECT 1L AS rep, 8L AS token"))
+    rows = N.in_parts(posts, F.collect_list("rep").alias("reps"), F.count(F.lit(1)).alias("n")).collect()
+    assert sum(r.token == 7 for r in rows) <= N.PARTS and sum(r.n for r in rows) == 5001
+    assert sorted(x for r in rows if r.token == 7 for x in r.reps) == list(range(5000))
