@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,36 +16,38 @@ from pyrelith.runtime import Scratch
 FEW_EDGES = 200_000
 
 
-def joined_in_memory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Union-find over all edges of a task."""
-    root: dict[int, int] = {}
+def smallest_reached(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of some edges, and the smallest that each reaches: roots of both ends are joined and pointers followed until no edge joins two."""
+    nodes, at = np.unique(np.concatenate([hi, lo]), return_inverse=True)
+    a, b = at[: hi.size], at[hi.size :]
+    root = np.arange(nodes.size)
+    while a.size:
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+        a, b = root[a], root[b]
+        apart = a != b
+        a, b = a[apart], b[apart]
+    return nodes, nodes[root]
 
-    def find(x: int) -> int:
-        top = x
-        while root.setdefault(top, top) != top:
-            top = root[top]
-        while root[x] != top:
-            root[x], x = top, root[x]
-        return top
 
-    for t in batches:
-        for hi, lo in zip(t["hi"].tolist(), t["lo"].tolist(), strict=True):
-            x, y = find(hi), find(lo)
-            if x != y:
-                root[max(x, y)] = min(x, y)
-    nodes = list(root)
-    yield pd.DataFrame({"node": nodes, "component": [find(n) for n in nodes]}, dtype="int64")
+def joined_in_memory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The components of all edges of a task."""
+    held = [(t["hi"].to_numpy(), t["lo"].to_numpy()) for t in batches]
+    if held:
+        nodes, found = smallest_reached(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        yield pd.DataFrame({"node": nodes, "component": found})
 
 
-#: A task that joins the edges of a region gives out what it has found at so many nodes.
-MOST_NODES = 200_000
+#: A task that joins the edges of a region gives out what it has found at so many edges.
+MOST_EDGES = 200_000
 
 
-def joined_by_region(edges: DataFrame, region: list) -> DataFrame:
-    """Edges ``(a, b)`` with the same components as those of ``edges(a, b, ...)``: each node of a region beside the smallest that it reaches there.
+def components_by_region(edges: DataFrame, region: list, scratch: Scratch, rounds: Callable[[DataFrame, Scratch], DataFrame]) -> DataFrame:
+    """``(node, component)`` as ``connected_components`` has it, for edges ``(a, b, ...)`` whose components mostly lie in one ``region`` (columns).
 
-    ``region`` are columns that most ends of a component share. What is linked inside of one is at its root at once, so that few
-    rounds are left; links between regions stay links.
+    The edges of a region are joined where they are. A node that was found in one region only is settled there; one that was found
+    in several links their smallest nodes, and only these links, few if regions are wide, are joined by ``rounds`` (``connected_components``).
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -52,14 +55,19 @@ def joined_by_region(edges: DataFrame, region: list) -> DataFrame:
         for t in batches:
             held.append(t)
             rows += len(t)
-            if rows >= MOST_NODES:
+            if rows >= MOST_EDGES:
                 yield from joined_in_memory(iter(held))
                 held, rows = [], 0
-        if held:
-            yield from joined_in_memory(iter(held))
-
-    e = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"), F.xxhash64(*region).alias("region")).repartition("region").sortWithinPartitions("region")
-    return e.select("hi", "lo").mapInPandas(run, "node long, component long").where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+        yield from joined_in_memory(iter(held))
+
+    e = edges.where("a is not null and b is not null").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"), F.xxhash64(*region).alias("region")).repartition("region").sortWithinPartitions("region")
+    parts = scratch.table(e.select("hi", "lo").mapInPandas(run, "node long, component long"), "parts")
+    nodes = parts.groupBy("node").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    nodes = scratch.table(nodes, "nodes")
+    several = nodes.where("least <> most").select("node", "least")
+    tops = rounds(parts.join(several, "node").where("component <> least").select(F.col("component").alias("a"), F.col("least").alias("b")), scratch)
+    tops = tops.where("node <> component").select(F.col("node").alias("least"), F.col("component").alias("top"))
+    return nodes.join(tops, "least", "left").select("node", F.coalesce("top", "least").alias("component"))
 
 
 def connected_components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b", few: int = FEW_EDGES) -> DataFrame:

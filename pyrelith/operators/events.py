@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyrelith.functions.scalar import M_PER_DEG
-from pyrelith.operators.components import connected_components, joined_by_region
-from pyrelith.operators.geo import space_time_pairs, spans_in_reach
+from pyrelith.operators.components import components_by_region, connected_components
+from pyrelith.operators.geo import space_time_pairs, spans_in_reach, timed_plane
 from pyrelith.operators.ordering import numbered
 from pyrelith.runtime import Scratch
 
@@ -21,23 +21,28 @@ def st_dbscan(points: DataFrame, eps_m: float, eps_s: int, min_samples: int = 2,
     """
     scratch = Scratch(points.sparkSession, "dbscan")
     at = F.unix_micros(F.col(ts).cast("timestamp"))
-    ranked = points.select(F.col(key).alias("id"), at.alias("at"), "latitude", "longitude", F.floor(at / 1_000_000).alias("second"))
+    # adding nothing makes -0.0 the zero that it equals
+    ranked = points.select(F.col(key).alias("id"), at.alias("at"), *[(F.col(c) + F.lit(0)).alias(c) for c in ("latitude", "longitude")], F.floor(at / 1_000_000).alias("second"))
     if min_samples <= 2:  # whoever has a neighbour is core, so events are the components of the pairs
         # what stands at one place within a stretch of eps_s is one stack, all linked; of two stacks the nearest ends decide
         still = F.isnull("latitude") | F.isnan("latitude") | F.isnull("longitude") | F.isnan("longitude")
         ranked = ranked.withColumn("stretch", F.when(still, F.col("second")).otherwise(F.floor(F.col("second") / max(eps_s, 1))))
         spot = ["latitude", "longitude", "stretch"]
-        spots = ranked.groupBy(*spot).agg(F.min(F.struct("at", "id")).alias("first"), F.min("id").alias("spot"), F.min("second").alias("t"), F.max("second").alias("u"))
+        spots = ranked.groupBy(*spot).agg(F.min("id").alias("spot"), F.min("at").alias("at"), F.min("second").alias("t"), F.max("second").alias("u"), F.count(F.lit(1)).alias("n"))
         spots = scratch.table(spots, "spots")
         mean = ranked.agg(F.avg("latitude").alias("mean_lat"))
         x = F.col("longitude") * (F.cos(F.radians("mean_lat")) * M_PER_DEG)
         on_plane = spots.join(F.broadcast(mean)).select(F.col("spot").alias("id"), x.alias("x"), (F.col("latitude") * M_PER_DEG).alias("y"), "t", "u")
-        pairs = spans_in_reach(on_plane, eps_m, eps_s, eps_s)
-        region = [F.floor(F.col("x") / (16 * eps_m)), F.floor(F.col("y") / (16 * eps_m)), F.floor(F.col("t") / (64 * eps_s))]
-        comp = connected_components(joined_by_region(pairs, region), scratch)
-        named = spots.join(comp, spots["spot"] == comp["node"], "left").select(*spot, "first", F.coalesce("component", "spot").alias("c"))
-        first = named.groupBy("c").agg(F.min("first").alias("name"))
-        return labelled(ranked, named.join(first, "c"), spot, key, F.col("name.id"))
+        comp = components_by_region(spans_in_reach(on_plane, eps_m, eps_s, eps_s), region_of(eps_m, eps_s), scratch, connected_components)
+        named = scratch.table(spots.join(comp, spots["spot"] == comp["node"], "left").select(*spot, "spot", "at", "n", "component"), "named")
+        alone = named.where("n = 1 and component is null").select(F.col("spot").alias(key), F.col("spot").alias("event"))
+        # only what is linked or stands with others needs a name; only the latter has rows beyond its spot
+        crowd = named.where("n > 1").select(*[F.col(c).alias(f"s_{c}") for c in spot], F.coalesce("component", "spot").alias("c"), F.xxhash64(*spot).alias("number"))
+        same = [(F.when(F.col(c).eqNullSafe(F.col(f"s_{c}")), 0).otherwise(1) == 0) for c in spot]
+        rows = ranked.withColumn("number", F.xxhash64(*spot)).join(crowd, "number").where(same[0] & same[1] & same[2]).select("id", "at", "c")
+        rows = rows.unionByName(named.where("n = 1 and component is not null").select(F.col("spot").alias("id"), "at", F.col("component").alias("c")))
+        first = rows.groupBy("c").agg(F.min(F.struct("at", "id")).alias("name"))
+        return alone.unionByName(rows.join(first, "c").select(F.col("id").alias(key), F.col("name.id").alias("event")))
     # what stands at one place and second is one spot: copies cost no pairs
     spot = ["latitude", "longitude", "second"]
     spots = ranked.groupBy(*spot).agg(F.min(F.struct("at", "id")).alias("first"), F.count(F.lit(1)).alias("n"), F.min("id").alias("spot"))
@@ -63,6 +68,11 @@ def st_dbscan(points: DataFrame, eps_m: float, eps_s: int, min_samples: int = 2,
     return labelled(ranked, events.unionByName(alone), spot, key, F.col("event"))
 
 
+def region_of(eps_m: float, eps_s: int) -> list[Column]:
+    """Regions of pairs ``(x, y, t)`` that most events lie in whole."""
+    return [F.floor(F.col("x") / (16 * eps_m)), F.floor(F.col("y") / (16 * eps_m)), F.floor(F.col("t") / (64 * eps_s))]
+
+
 def labelled(ranked: DataFrame, spots: DataFrame, spot: list[str], key: str, event: Column) -> DataFrame:
     """Each point with the event of its spot; points of spots without one are events of their own."""
     labels = spots.select(*[F.col(c).alias(f"s_{c}") for c in spot], event.alias("event"))
@@ -110,6 +120,7 @@ def stable_ids(members: DataFrame, prior: DataFrame, next_number: int, prefix: s
     one row a pair, never detections. New numbers follow ``next_number`` in order of the events' first ids; none is used again.
     """
     scratch = Scratch(members.sparkSession, "stable-ids")
+    members = scratch.table(members.select("detection_id", "event"), "members")
     overlap = members.join(prior, "detection_id").groupBy("event", "event_id").agg(F.count(F.lit(1)).alias("n"))
     sizes = members.groupBy("event").agg(F.count(F.lit(1)).alias("size"), F.min("detection_id").alias("seed"))
     pairs = sizes.join(overlap, "event").withColumn("a", F.xxhash64("event")).withColumn("b", F.xxhash64("event_id", F.lit("id")))
@@ -151,7 +162,8 @@ def tune(points: DataFrame, grid: tuple[tuple[float, int], ...], known: list[tup
     """
     scratch = Scratch(points.sparkSession, "tuning")
     widest = max(m for m, _ in grid), max(s for _, s in grid)
-    pairs = scratch.table(space_time_pairs(points, *widest), "pairs")
+    timed = timed_plane(points, "detection_id", "datetime_utc", "latitude", "longitude")
+    pairs = scratch.table(spans_in_reach(timed.withColumn("u", F.col("t")), *widest, 0), "pairs")
     mean = points.agg(F.avg("latitude").alias("mean_lat"))
     p = points.join(F.broadcast(mean)).select("detection_id", "datetime_utc", "date_wit", (F.col("longitude") * (F.cos(F.radians("mean_lat")) * M_PER_DEG)).alias("x"), (F.col("latitude") * M_PER_DEG).alias("y"))
     p = scratch.table(p, "points")
@@ -164,7 +176,8 @@ def tune(points: DataFrame, grid: tuple[tuple[float, int], ...], known: list[tup
     about = ["hours", "extent_km", "first_day", "last_day"]
     out = None
     for k, (metres, seconds) in enumerate(grid):
-        comp = connected_components(pairs.where((F.col("metres") <= metres) & (F.col("seconds") <= seconds)), Scratch(points.sparkSession, f"tuning-{k}"))
+        within = pairs.where((F.col("metres") <= metres) & (F.col("seconds") <= seconds))
+        comp = components_by_region(within, region_of(metres, seconds), Scratch(points.sparkSession, f"tuning-{k}"), connected_components)
         label = p.join(comp, p["detection_id"] == comp["node"], "left").withColumn("event", F.coalesce("component", "detection_id")).drop("node", "component")
         g = label.groupBy("event").agg(F.count(F.lit(1)).alias("n"), hours.alias("hours"), extent.alias("extent_km"), F.min("date_wit").alias("first_day"), F.max("date_wit").alias("last_day"), F.min(F.struct("datetime_utc", "detection_id")).alias("start"))
         g = scratch.table(g.withColumn("place", F.struct(F.col("n"), (-F.col("start.detection_id")).alias("id"))), f"events{k}")

@@ -97,7 +97,7 @@ def j3_stable_ids(det):
     """
     old = det.where("date_wit < DATE'2024-01-25'")
     before = Scratch(det.sparkSession, "earlier-run").table(E.st_dbscan(old, EPS_M, EPS_S), "events")
-    first = E.number_events(E.event_records(old.join(before, "detection_id"))).select("event", "event_id")
+    first = E.number_events(E.event_records(old.join(before, "detection_id")).select("event", "first_seen")).select("event", "event_id")
     return E.stable_ids(E.st_dbscan(det, EPS_M, EPS_S), before.join(first, "event").select("detection_id", "event_id"), 9000)
 
 
