@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyrelith.operators.components import connected_components
@@ -194,16 +194,15 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tokens = classes.select("rep", F.posexplode("sig").alias("pos", "val"))
     tokens = tokens.select("rep", F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("val").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("token"))
     lists = scratch.table(in_parts(tokens, F.collect_list("rep").alias("reps"), F.count(F.lit(1)).alias("n")), "lists")
-    uses = lists.groupBy("token").agg(F.sum("n").alias("uses")).where("uses > 1")
-    shared = lists.join(uses, "token").select(F.explode("reps").alias("rep"), "uses", "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("uses", "token"))).alias("ts"), F.sum("uses").alias("weight")).where(F.size("ts") >= least)
+    shared = lists.withColumn("uses", F.sum("n").over(of_list())).where("uses > 1").select(F.explode("reps").alias("rep"), "uses", "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("uses", "token"))).alias("ts"), F.sum("uses").alias("weight")).where(F.size("ts") >= least)
     posted = scratch.table(shared.select("rep", "weight", F.slice("ts", F.lit(1), F.size("ts") - least + 1)["token"].alias("tokens")), "posted")
     scratch.drop("lists")
     posts = posted.select("rep", "weight", F.explode("tokens").alias("token"))
     weighed = F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("lead")
     heads = scratch.table(in_parts(posts, F.collect_list("rep").alias("reps"), F.count(F.lit(1)).alias("n"), weighed), "heads")
-    leaders = heads.groupBy("token").agg(F.max("lead").alias("lead"), F.sum("n").alias("n")).where("n > 1")
+    led = heads.select("token", "reps", F.max("lead").over(of_list()).alias("lead"), F.sum("n").over(of_list()).alias("n")).where("n > 1")
     # every class of a list; one that leads all its lists has no leader of its own
-    star = heads.select("token", "reps").join(leaders, "token").select(F.explode("reps").alias("rep"), "lead").groupBy("rep").agg(F.max(F.when(F.col("rep") != -F.col("lead.minus"), F.col("lead"))).alias("lead")).select(F.col("rep").alias("a"), (-F.col("lead.minus")).alias("b"))
+    star = led.select(F.explode("reps").alias("rep"), "lead").groupBy("rep").agg(F.max(F.when(F.col("rep") != -F.col("lead.minus"), F.col("lead"))).alias("lead")).select(F.col("rep").alias("a"), (-F.col("lead.minus")).alias("b"))
     star = scratch.table(star, "star")
     if star.isEmpty():
         label = spark.createDataFrame([], "node long, component long")
@@ -220,10 +219,15 @@ PARTS = 64
 
 
 def in_parts(posts: DataFrame, *aggregates) -> DataFrame:
-    """Lists of ``posts(token, rep, ...)`` in up to ``PARTS`` rows each; what is known of a list is joined to these, not to every post."""
+    """Lists of ``posts(token, rep, ...)`` in up to ``PARTS`` rows each; what is known of a list is known from these, by a window."""
     return posts.groupBy("token", F.pmod(F.xxhash64("rep"), F.lit(PARTS)).alias("part")).agg(*aggregates)
 
 
+def of_list():
+    """All parts of a list, ``PARTS`` rows at most."""
+    return Window.partitionBy("token")
+
+
 def linked_components(spark, scratch: Scratch, texts: DataFrame, classes: DataFrame, posted: DataFrame, posts: DataFrame, star: DataFrame, percent: int, width: int, least: int, broadcast_bytes: int, block_rows: int, compared=None) -> DataFrame:
     """``(node, component)`` of the classes that have a confirmed link: to leaders first, then across components."""
     # sets of the classes that may have a link, those that nobody chose as leader too: one pass over the texts they stand for
@@ -250,8 +254,8 @@ def linked_components(spark, scratch: Scratch, texts: DataFrame, classes: DataFr
     named = posts.join(label, posts["rep"] == label["node"], "left").select("token", "rep", F.coalesce("component", "rep").alias("comp"))
     ends = [F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n")]
     parts = scratch.table(in_parts(named, F.collect_list(F.struct("rep", "comp")).alias("held"), *ends), "parts")
-    mixed_lists = parts.groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n")).where("lo <> hi").select("token", "n")
-    open_posts = parts.select("token", "held").join(mixed_lists, "token").select("token", F.inline("held"), "n").select("token", "rep", "comp", "n")
+    known = {c: f(c).over(of_list()) for c, f in (("lo", F.min), ("hi", F.max), ("n", F.sum))}
+    open_posts = parts.select("token", "held", *[v.alias(c) for c, v in known.items()]).where("lo <> hi").select("token", F.inline("held"), "n").select("token", "rep", "comp", "n")
     open_posts = scratch.table(open_posts, "open")
     marks = classes.join(posted, "rep").join(sets.select(F.col("id").alias("rep"), "fine"), "rep").select("rep", "sig", "fine", "tokens")
     short = open_posts.where(F.col("n") <= block_rows).withColumn("blocks", F.lit(1)).withColumn("block", F.lit(0))
@@ -302,11 +306,12 @@ def skipped_pairs(scratch: Scratch, classes: DataFrame, least: int, block_rows:
         release_memory()
 
     tokens = signed.select("rep", "wide").mapInPandas(spread, "rep long, token long")
-    uses = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1")
+    lists = in_parts(tokens, F.collect_list("rep").alias("reps"), F.count(F.lit(1)).alias("n")).withColumn("uses", F.sum("n").over(of_list())).where("uses > 1")
+    tokens = lists.select(F.explode("reps").alias("rep"), "token", "uses")
     long = F.count_if(F.col("uses") > block_rows)
     short = F.sort_array(F.collect_list(F.when(F.col("uses") <= block_rows, F.struct("uses", "token"))))
     hot = F.sort_array(F.collect_list(F.when(F.col("uses") > block_rows, F.struct("uses", "token"))))
-    merged = tokens.join(uses, "token").groupBy("rep").agg(long.alias("l"), short.alias("short"), hot.alias("hot"))
+    merged = tokens.groupBy("rep").agg(long.alias("l"), short.alias("short"), hot.alias("hot"))
     merged = scratch.table(merged.join(signed, "rep"), "merged")
     # a value that only one class has fills a place of the prefix without being posted
     alone = F.lit(FINE) - F.col("l") - F.size("short")
