@@ -14,8 +14,8 @@ from pyrelith.runtime import Scratch
 
 #: Columns of a group's width that its edges' ends are counted in, and how many ends a strip is to have.
 COLUMNS, STRIP_ENDS = 1024, 256
-#: Below this many edges a strip's crossings are found by comparing all of them; above, the strip is halved first.
-FEW = 48
+#: Up to so many edges that change places, all pairs are compared; above, their slab is halved first.
+FEW = 512
 
 
 def leftmost_first(edges: DataFrame, by: list[str]) -> DataFrame:
@@ -54,20 +54,6 @@ def heights(edges: np.ndarray, x: np.ndarray | float) -> np.ndarray:
     return ya + (yb - ya) * ((x - xa) / (xb - xa))
 
 
-def crossings(edges: np.ndarray, lo: float, hi: float) -> list[float]:
-    """Where edges that span from ``lo`` to ``hi`` cross in between: those whose order differs at the two sides."""
-    l, r = heights(edges, lo), heights(edges, hi)
-    order = np.lexsort((r, l))
-    if len(order) < 2 or (np.diff(r[order]) >= 0).all():
-        return []
-    if len(order) > FEW and hi - lo > 1e-9 * max(abs(lo), abs(hi), 1e-300):
-        mid = (lo + hi) / 2
-        return [*crossings(edges, lo, mid), mid, *crossings(edges, mid, hi)]
-    i, j = np.nonzero((l[:, None] < l[None, :]) & (r[:, None] > r[None, :]))
-    t = (l[j] - l[i]) / ((l[j] - l[i]) + (r[i] - r[j]))
-    return sorted(set((lo + t * (hi - lo)).tolist()))
-
-
 def runs(*keys: np.ndarray) -> np.ndarray:
     """Of rows sorted by ``keys``, whether each begins a new run of equal ones; nulls are equal."""
     new = np.ones(len(keys[0]), dtype=bool)
@@ -93,27 +79,74 @@ def slabs(edges: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return edge, slab, at[slab], at[slab + 1]
 
 
-def cut_at_crossings(edges: np.ndarray, edge: np.ndarray, slab: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The slabs in which edges cross, cut there, and the others as they are."""
+def steps(slab: np.ndarray, layers: np.ndarray, shapes: np.ndarray) -> np.ndarray:
+    """Of edges sorted from below in their slabs: 1 if crossing it enters its shape (the shape's first, third, ... edge there), -1 if it leaves."""
+    own = np.lexsort((np.arange(len(slab)), shapes, layers, slab))
+    new = runs(slab[own], layers[own], shapes[own])
+    begin = np.flatnonzero(new)
+    nth = np.empty(len(slab), dtype=np.int64)
+    nth[own] = np.arange(len(slab)) - np.repeat(begin, np.diff(np.append(begin, len(slab))))
+    return np.where(nth % 2 == 0, 1, -1)
+
+
+def cut_at_crossings(edges: np.ndarray, layers: np.ndarray, shapes: np.ndarray, edge: np.ndarray, slab: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The slabs cut so that no two edges cross in one: first apart where nothing is covered from side to side, then at the crossings.
+
+    Sorted from below at the left side, edges fall into blocks that stay above one another up to the right side; only edges of one block cross, so
+    a slab of many small shapes costs about its edges, not their square. Crossings closer than rounding are one cut.
+    """
+    if not len(edge):
+        return edge, slab, lo, hi
     l, r = heights(edges[edge], lo), heights(edges[edge], hi)
     order = np.lexsort((r, l, slab))
-    s, up = slab[order], r[order]
-    crossed = np.unique(s[1:][(s[1:] == s[:-1]) & (up[1:] < up[:-1])])
-    if not crossed.size:
+    edge, slab, lo, hi, l, r = edge[order], slab[order], lo[order], hi[order], l[order], r[order]
+    n = len(edge)
+    rank = np.empty(n, dtype=np.int64)
+    rank[np.lexsort((r, slab))] = np.arange(n)
+    closed = np.maximum.accumulate(rank) == np.arange(n)
+    free = closed & (np.cumsum(steps(slab, layers[edge], shapes[edge])) == 0) | np.append(slab[1:] != slab[:-1], True)
+    slab = np.cumsum(free) - free
+    block = np.cumsum(closed) - closed
+    crowded = (np.bincount(block)[block] > FEW) & (hi - lo > 1e-9 * np.maximum(np.maximum(np.abs(lo), np.abs(hi)), 1e-300))
+    if crowded.any():
+        halved = np.isin(slab, slab[crowded])
+        e, k, a, b = edge[halved], slab[halved], lo[halved], hi[halved]
+        done = [cut_at_crossings(edges, layers, shapes, np.concatenate([e, e]), np.concatenate([2 * k, 2 * k + 1]), np.concatenate([a, (a + b) / 2]), np.concatenate([(a + b) / 2, b]))]
+        if not halved.all():
+            e, k, a, b = cut_at_crossings(edges, layers, shapes, edge[~halved], slab[~halved], lo[~halved], hi[~halved])
+            done.append((e, k + done[0][1].max() + 1, a, b))
+        return tuple(np.concatenate(c) for c in zip(*done, strict=True))
+    x, of = [], []
+    p = np.flatnonzero(block[1:] == block[:-1])
+    d = 1
+    while p.size:
+        i, j = p, p + d
+        cross = (l[i] < l[j]) & (r[i] > r[j])
+        i, j = i[cross], j[cross]
+        x.append(lo[i] + (l[j] - l[i]) / ((l[j] - l[i]) + (r[i] - r[j])) * (hi[i] - lo[i]))
+        of.append(slab[i])
+        d += 1
+        p = p[p + d < n]
+        p = p[block[p + d] == block[p]]
+    if not x or not sum(map(len, x)):
         return edge, slab, lo, hi
-    first, last = np.searchsorted(s, crossed), np.searchsorted(s, crossed, side="right")
-    straight = ~np.isin(slab, crossed)
-    parts = [[edge[straight]], [slab[straight]], [lo[straight]], [hi[straight]]]
-    free = int(slab.max()) + 1
-    for f, t in zip(first.tolist(), last.tolist(), strict=True):
-        own = np.sort(order[f:t])
-        a, b = float(lo[own[0]]), float(hi[own[0]])
-        cuts = np.array([a, *crossings(edges[edge[own]], a, b), b])
-        k, m = len(cuts) - 1, len(own)
-        for part, v in zip(parts, (np.tile(edge[own], k), np.repeat(np.arange(free, free + k), m), np.repeat(cuts[:-1], m), np.repeat(cuts[1:], m)), strict=True):
-            part.append(v)
-        free += k
-    return tuple(np.concatenate(p) for p in parts)
+    x, of = np.concatenate(x), np.concatenate(of)
+    sort = np.lexsort((x, of))
+    x, of = x[sort], of[sort]
+    first, m = np.searchsorted(slab, np.arange(slab[-1] + 1)), np.bincount(slab)
+    new = runs(of)
+    new[1:] |= np.diff(x) > 1e-13 * np.maximum(np.abs(x[1:]), np.abs(x[:-1]))
+    x, of = x[new], of[new]
+    inside = (x > lo[first[of]]) & (x < hi[first[of]])
+    x, of = x[inside], of[inside]
+    # every edge once for each part of its slab, from cut to cut
+    parts = np.bincount(of, minlength=len(m)) + 1
+    west, east = np.insert(x, np.cumsum(parts - 1) - (parts - 1), lo[first]), np.insert(x, np.cumsum(parts - 1), hi[first])
+    begin = np.cumsum(parts) - parts
+    count = parts[slab]
+    again = np.repeat(np.arange(n), count)
+    part = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + begin[slab[again]]
+    return edge[again], part, west[part], east[part]
 
 
 def sweep_groups(edges: np.ndarray, layers: np.ndarray, shapes: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,17 +155,11 @@ def sweep_groups(edges: np.ndarray, layers: np.ndarray, shapes: np.ndarray, grou
     Crossing an edge leaves or enters its shape (``shapes`` are whole numbers); a layer covers what lies in any of its shapes. Within a slab no two
     edges cross, so the height between neighbours at its middle times its width is the area.
     """
-    edge, slab, lo, hi = cut_at_crossings(edges, *slabs(edges, group))
+    edge, slab, lo, hi = cut_at_crossings(edges, layers, shapes, *slabs(edges, group))
     y = heights(edges[edge], (lo + hi) / 2)
     order = np.lexsort((y, slab))
     edge, slab, width, y = edge[order], slab[order], (hi - lo)[order], y[order]
-    # whether an edge enters its shape: it is the first, third, ... of the shape's in its slab
-    own = np.lexsort((np.arange(len(edge)), shapes[edge], layers[edge], slab))
-    new = runs(slab[own], layers[edge][own], shapes[edge][own])
-    begin = np.flatnonzero(new)
-    nth = np.empty(len(edge), dtype=np.int64)
-    nth[own] = np.arange(len(edge)) - np.repeat(begin, np.diff(np.append(begin, len(edge))))
-    step = np.where(nth % 2 == 0, 1, -1)
+    step = steps(slab, layers[edge], shapes[edge])
     mask = np.zeros(len(edge), dtype=np.int64)
     for layer in np.unique(layers).tolist():
         # every shape is left again at the top of a slab, so a layer's sum begins at zero in each
