@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyrelith.operators import overlay
 from pyrelith.operators import polygons as P
 from pyrelith.plans.registry import query
-from pyrelith.runtime import Scratch
+from pyrelith.runtime import Scratch, spread
 
 #: Squares, frames with a hole, frames with an island or a missing corner, pairs of columns; side 3 to 7, five units apart.
 PLACES = "SELECT c_custkey AS id, c_nationkey AS nation, CAST(c_custkey % 30 * 5 AS INTEGER) AS x, CAST(floor(c_custkey / 30) * 5 AS INTEGER) AS y, CAST(3 + c_custkey * 7 % 5 AS INTEGER) AS l, CAST(floor(c_custkey / 2) % 4 AS INTEGER) AS kind FROM customer"
@@ -21,6 +21,11 @@ CELLS = f"""places AS ({PLACES}), sides AS (SELECT *, unnest(range(0, l)) AS i F
     WHEN kind = 2 THEN i < l - 1 OR j < l - 1 ELSE i = 0 OR i = 2 END)"""
 
 
+def places(customer: DataFrame) -> DataFrame:
+    """Where each shape lies, in rows for all cores: a row is text, rings and edges further on."""
+    return spread(customer.sparkSession.sql(PLACES.replace("customer", "{customer}"), customer=customer), "id")
+
+
 def ring(w, s, e, n):
     """A box as a GeoJSON ring, its first point again at the end."""
     return F.array(*[F.array(x.cast("double"), y.cast("double")) for x, y in ((w, s), (e, s), (e, n), (w, n), (w, s))])
@@ -28,7 +33,7 @@ def ring(w, s, e, n):
 
 def features(customer: DataFrame) -> DataFrame:
     """The shapes as lines of GeoJSON text."""
-    p = customer.sparkSession.sql(PLACES.replace("customer", "{customer}"), customer=customer)
+    p = places(customer)
     x, y, l = (F.col(c) for c in ("x", "y", "l"))
     whole, hole, island = ring(x, y, x + l, y + l), ring(x + 1, y + 1, x + l - 1, y + l - 1), ring(x + 2, y + 2, x + l - 2, y + l - 2)
     notched = F.array(*[F.array(a.cast("double"), b.cast("double")) for a, b in ((x, y), (x + l, y), (x + l, y + l - 1), (x + l - 1, y + l - 1), (x + l - 1, y + l), (x, y + l), (x, y))])
@@ -116,7 +121,7 @@ def n16_e32_strata_areas(customer):
   SELECT nation, CAST(mask AS BIGINT) AS mask, count(*) / 2.0e0 AS area FROM m GROUP BY ALL""")
 def j12_overlay_of_slanted_shapes(customer):
     """Overlapping diamonds in three layers: the area under each combination; a twin counts squares of the turned plane."""
-    p = customer.sparkSession.sql(PLACES.replace("customer", "{customer}"), customer=customer)
+    p = places(customer)
     x, y, r = F.col("x").cast("double"), F.col("y").cast("double"), (2 + F.col("id") % 4).cast("double")
     parts = F.array(F.array(F.array(F.array(x + r, y), F.array(x, y + r), F.array(x - r, y), F.array(x, y - r))))
     s = p.select(F.struct("nation", "id").alias("k"), parts.alias("parts"))
