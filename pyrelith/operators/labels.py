@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from pyrelith.functions.scalar import scores
 from pyrelith.operators.overlay import whole_groups
-from pyrelith.runtime import Scratch
+from pyrelith.runtime import Scratch, fresh
 
 FEATURES = ("b2", "b3", "b4", "b6", "b7", "b8a", "b11", "b12")
 
@@ -50,25 +50,48 @@ def classifiers(seed: int = 42, trees: int = 20, rounds: int = 10) -> dict:
 
 
 def folds(df: DataFrame, event: str, label: str, features: tuple[str, ...], models: dict):
-    """For each event and model ``(event, name, fitted on the other events)``. Events that are judged are few and drawn by hand: they are listed on the driver."""
+    """For each event and model ``(event, name, fitted on the other events)``. Events that are judged are few and drawn by hand: they are listed on the driver.
+
+    Boosting goes over its rows some seventy times, so equal rows are one with their number as weight. A model that draws rows gets each of them.
+    """
     from pyspark.ml.feature import VectorAssembler
 
-    data = VectorAssembler(inputCols=list(features), outputCol="features").transform(df).select(event, "features", F.col(label).cast("double").alias("label"))
-    data = Scratch(df.sparkSession, "folds").table(data, "rows")
-    for (e,) in data.select(event).distinct().orderBy(event).collect():
-        train = data.where(F.col(event) != e)
+    scratch = Scratch(df.sparkSession, "folds")
+    vectors = VectorAssembler(inputCols=list(features), outputCol="features")
+    d = df.select(event, F.col(label).cast("double").alias("label"), *features)
+    counted = d.groupBy(*d.columns).agg(F.count(F.lit(1)).cast("double").alias("weight")).sortWithinPartitions(*d.columns)
+    counted = scratch.table(vectors.transform(counted).select(event, "features", "label", "weight"), "counted")
+    rows = None
+    if any(draws_rows(m) for m in models.values()):
+        rows = scratch.table(vectors.transform(d).select(event, "features", "label"), "rows")
+    for (e,) in counted.select(event).distinct().orderBy(event).collect():
         for name, model in models.items():
-            yield e, name, model.fit(train)
+            if draws_rows(model):
+                yield e, name, model.fit(rows.where(F.col(event) != e))
+            else:
+                yield e, name, model.copy({model.weightCol: "weight"}).fit(counted.where(F.col(event) != e))
+
+
+def draws_rows(model) -> bool:
+    """Whether a model is fitted on rows drawn by chance: then equal rows are drawn one by one, not together."""
+    return model.hasParam("bootstrap") or model.hasParam("subsamplingRate") and model.getSubsamplingRate() < 1
 
 
 def leave_one_out(df: DataFrame, event: str, label: str, features: tuple[str, ...], models: dict) -> DataFrame:
-    """The rows of ``df`` once for each model, with ``model`` and ``predicted``, each by a model that never saw the row's event."""
+    """The rows of ``df`` once for each model, with ``model`` and ``predicted``, each by a model that never saw the row's event; one pass an event."""
     from pyspark.ml.feature import VectorAssembler
 
-    data = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
-    out = None
-    for e, name, fitted in folds(df, event, label, features, models):
-        part = fitted.transform(data.where(F.col(event) == e)).select(*df.columns, F.lit(name).alias("model"), F.col("prediction").cast("int").alias("predicted"))
+    fitted: dict = {}
+    for e, name, model in folds(df, event, label, features, models):
+        fitted.setdefault(e, {})[name] = model
+    data = VectorAssembler(inputCols=list(features), outputCol=fresh(df, "features")).transform(df)
+    vector, kept, out = data.columns[-1], list(data.columns), None
+    for e, of in fitted.items():
+        p, guesses = data.where(F.col(event) == e), [fresh(data, f"p{k}") for k in range(len(of))]
+        for k, (guess, model) in enumerate(zip(guesses, of.values(), strict=True)):
+            p = model.copy({model.featuresCol: vector}).transform(p).select(*kept, *guesses[:k], F.col("prediction").cast("int").alias(guess))
+        each = F.explode(F.array(*[F.struct(F.lit(name).alias("model"), F.col(g).alias("predicted")) for g, name in zip(guesses, of, strict=True)]))
+        part = p.select(*df.columns, each.alias(vector)).select(*df.columns, f"{vector}.model", f"{vector}.predicted")
         out = part if out is None else out.unionByName(part)
     return out
 
