@@ -18,16 +18,31 @@ def parsed(obs: DataFrame) -> DataFrame:
     return obs.select("obs_id", F.unix_seconds(F.col("valid_utc").cast("timestamp")).alias("at"), "valid_utc", v.alias("vsby"), S.at_ceiling(v).alias("ceiling"), S.known_direction(d, k).alias("dir"), k.alias("sknt"), S.has_token("wxcodes", "FU").alias("fu"), S.has_token("wxcodes", "HZ").alias("hz"))
 
 
+#: Windows that one cell of ``reports_in_window`` holds, about.
+CELL_WINDOWS = 256
+
+
 def reports_in_window(events: DataFrame, obs: DataFrame, lag_s: int) -> DataFrame:
     """D3: reports from an event's first to its last sighting and ``lag_s`` after, ends included.
 
-    Events (``event, t0, t1``) are listed under each hour that they touch; the join is by hour, then exact. The result has a row for
-    each event and report, so it grows with their product; ``station_records`` sums without it.
+    Events (``event, t0, t1``) are listed under each hour that they touch. The windows that hold a whole hour, and those that hold a part of
+    it, are dealt to cells of about ``CELL_WINDOWS``; a report meets each cell of its hour, then the windows in it exactly. The result has a row
+    for each event and report, so it grows with their product; ``station_records`` sums without it. Cells are small and many, so a
+    crowded hour is spread over all tasks. A cell's reports come one after another, each with the same events in the same order, so
+    Parquet keeps little of a row.
     """
-    until = F.col("t1") + lag_s
-    e = events.withColumn("until", until).where("t0 <= until").withColumn("hour", F.explode(F.sequence(F.floor(F.col("t0") / HOUR), F.floor(F.col("until") / HOUR))))
-    o = obs.withColumn("hour", F.floor(F.col("at") / HOUR))
-    return e.join(o, "hour").where(F.col("at").between(F.col("t0"), F.col("until"))).drop("hour")
+    spark = events.sparkSession
+    parts = max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    e = events.withColumn("until", F.col("t1") + lag_s).where("t0 <= until").withColumn("hour", F.explode(F.sequence(F.floor(F.col("t0") / HOUR), F.floor(F.col("until") / HOUR))))
+    e = e.withColumn("whole", (F.col("t0") <= F.col("hour") * HOUR) & (F.col("until") >= F.col("hour") * HOUR + HOUR - 1))
+    # two rows an hour of the archive at most
+    hours = F.broadcast(e.groupBy("hour", "whole").agg(F.ceil(F.count(F.lit(1)) / CELL_WINDOWS).alias("cells")))
+    e = e.join(hours, ["hour", "whole"]).withColumn("cell", F.pmod(F.xxhash64(*events.columns), "cells"))
+    o = obs.withColumn("hour", F.floor(F.col("at") / HOUR)).join(hours, "hour").withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)))
+    keys = ["hour", "whole", "cell"]
+    o, e = (d.drop("cells").repartition(parts, *keys) for d in (o, e))
+    # sorted and merged: reports on the left are gone through once, each with all windows of its cell
+    return o.join(e.hint("merge"), keys).where(F.col("at").between(F.col("t0"), F.col("until"))).select(*events.columns, "until", *obs.columns)
 
 
 def window_blocks(events: DataFrame, lag_s: int, levels: int, *cols: str) -> DataFrame:

@@ -266,7 +266,8 @@ def event_windows(events: DataFrame) -> DataFrame:
 @query("events", "v_obs", sql=f"WITH {HITS} SELECT event, obs_id FROM h")
 def d3_interval_join(events, obs):
     """Reports in each event's window."""
-    return stations.reports_in_window(event_windows(events), stations.parsed(obs), 7200).select("event", "obs_id")
+    windows = event_windows(events).select("event", "t0", "t1")
+    return stations.reports_in_window(windows, stations.parsed(obs), 7200).select("event", "obs_id")
 
 
 STATION = f"""WITH {HITS}, a AS (SELECT event, count(*) AS n_obs, count(*) FILTER (WHERE fu) AS n_fu, count(*) FILTER (WHERE hz) AS n_hz,
