@@ -49,21 +49,26 @@ def classifiers(seed: int = 42, trees: int = 20, rounds: int = 10) -> dict:
     return {"boosted trees": GBTClassifier(seed=seed, maxIter=rounds, maxDepth=4), "forest": RandomForestClassifier(seed=seed, numTrees=trees), "tree of depth 3": DecisionTreeClassifier(maxDepth=3, seed=seed)}
 
 
-def folds(df: DataFrame, event: str, label: str, features: tuple[str, ...], models: dict):
+def equal_rows(df: DataFrame, event: str, label: str, features: tuple[str, ...]) -> DataFrame:
+    """A table of the distinct rows ``(event, label, *features, weight)``, each with the number of its equals."""
+    d = df.select(event, F.col(label).cast("double").alias("label"), *features)
+    counted = d.groupBy(*d.columns).agg(F.count(F.lit(1)).cast("double").alias("weight")).sortWithinPartitions(*d.columns)
+    return Scratch(df.sparkSession, "equal").table(counted, "rows")
+
+
+def folds(df: DataFrame, counted: DataFrame, event: str, label: str, features: tuple[str, ...], models: dict):
     """For each event and model ``(event, name, fitted on the other events)``. Events that are judged are few and drawn by hand: they are listed on the driver.
 
-    Boosting goes over its rows some seventy times, so equal rows are one with their number as weight. A model that draws rows gets each of them.
+    Boosting goes over its rows some seventy times, so equal rows are one with their number as weight (``counted``). A model that draws rows gets each of them.
     """
     from pyspark.ml.feature import VectorAssembler
 
-    scratch = Scratch(df.sparkSession, "folds")
     vectors = VectorAssembler(inputCols=list(features), outputCol="features")
-    d = df.select(event, F.col(label).cast("double").alias("label"), *features)
-    counted = d.groupBy(*d.columns).agg(F.count(F.lit(1)).cast("double").alias("weight")).sortWithinPartitions(*d.columns)
-    counted = scratch.table(vectors.transform(counted).select(event, "features", "label", "weight"), "counted")
+    counted = vectors.transform(counted).select(event, "features", "label", "weight")
     rows = None
     if any(draws_rows(m) for m in models.values()):
-        rows = scratch.table(vectors.transform(d).select(event, "features", "label"), "rows")
+        d = df.select(event, F.col(label).cast("double").alias("label"), *features)
+        rows = Scratch(df.sparkSession, "folds").table(vectors.transform(d).select(event, "features", "label"), "rows")
     for (e,) in counted.select(event).distinct().orderBy(event).collect():
         for name, model in models.items():
             if draws_rows(model):
@@ -82,7 +87,7 @@ def leave_one_out(df: DataFrame, event: str, label: str, features: tuple[str, ..
     from pyspark.ml.feature import VectorAssembler
 
     fitted: dict = {}
-    for e, name, model in folds(df, event, label, features, models):
+    for e, name, model in folds(df, equal_rows(df, event, label, features), event, label, features, models):
         fitted.setdefault(e, {})[name] = model
     data = VectorAssembler(inputCols=list(features), outputCol=fresh(df, "features")).transform(df)
     vector, kept, out = data.columns[-1], list(data.columns), None
@@ -129,35 +134,95 @@ def dealt_anew(df: DataFrame, event: str, features: tuple[str, ...], key: str, s
     return j.select(event, key, "label", "repeat", "feature", *[F.when(F.col("feature") == f, F.col(f"__{f}")).otherwise(F.col(f)).alias(f) for f in features])
 
 
+#: Pairs of a distinct row and a value of one feature that a task of ``dealt_counts`` counts, at most.
+MOST_PAIRS = 1 << 23
+#: Rows that such a task stands for, at most; numpy's draws end at 10^9.
+MOST_DRAWN = 500_000_000
+
+
+def dealt_counts(counted: DataFrame, features: tuple[str, ...], seed: int, repeats: int, strata: int = 1) -> DataFrame:
+    """What ``dealt_anew`` gives for one event, counted: ``(label, feature, *features, n0, n1, ...)`` with how many rows are such in each repeat.
+
+    ``counted`` has the distinct rows and their numbers (``weight``). Dealing a feature's values anew to all rows gives a distinct row of ``weight`` rows
+    that many draws from the values left by the rows before it, without putting back: a multivariate hypergeometric draw. So the work is that of the pairs
+    of a distinct row and a value, however many rows they stand for. ``feature`` is null for the rows as they are. Rows are dealt within ``strata`` equal parts of each distinct row.
+    """
+    fields = {f.name: f.dataType for f in counted.schema.fields}
+    n = [f"n{k}" for k in range(repeats)]
+    weight, turn = F.col("weight").cast("long"), F.pmod(F.col("stratum") + F.xxhash64("label", *features), F.lit(strata))
+    share = F.floor(weight / strata) + (turn < weight % strata).cast("long")
+    parts = counted.select("label", *features, "weight", F.explode(F.sequence(F.lit(0), F.lit(strata - 1))).alias("stratum")).withColumn("weight", share).where("weight > 0")
+    parts = parts.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
+    keys = ["feature", "stratum"]
+    together = parts.repartition(max(parts.sparkSession.sparkContext.defaultParallelism, len(features) * strata), *keys).sortWithinPartitions(*keys, *features, "label")
+    schema = T.StructType([T.StructField("label", fields["label"]), T.StructField("feature", T.StringType()), *[T.StructField(f, fields[f]) for f in features], *[T.StructField(c, T.LongType()) for c in n]])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in whole_groups(batches, keys):
+            for (feature, stratum), part in g.groupby(keys, sort=False):
+                weights, (code, values) = part["weight"].to_numpy(), pd.factorize(part[feature])
+                left = np.zeros((repeats, len(values)), np.int64)
+                np.add.at(left[0], code, weights)
+                left[1:] = left[0]
+                rngs = [np.random.default_rng([seed, k, features.index(feature), int(stratum)]) for k in range(repeats)]
+                many = max(1, (1 << 17) // len(values))
+                for at in range(0, len(part), many):
+                    drawn = np.zeros((min(many, len(part) - at), repeats, len(values)), np.int64)
+                    for i, row in enumerate(drawn):
+                        for k, rng in enumerate(rngs):
+                            row[k] = rng.multivariate_hypergeometric(left[k], weights[at + i], method="marginals")
+                            left[k] -= row[k]
+                    i, v = np.nonzero(drawn.any(axis=1))
+                    out = part[["label", "feature", *features]].iloc[at + i].reset_index(drop=True)
+                    out[feature] = values.take(v)
+                    yield pd.concat([out, pd.DataFrame(drawn[i, :, v], columns=n)], axis=1)
+
+    as_is = counted.select("label", F.lit(None).cast("string").alias("feature"), *features, *[weight.alias(c) for c in n])
+    return together.mapInPandas(run, schema).unionByName(as_is)
+
+
 def permutation_importance(df: DataFrame, event: str, label: str, features: tuple[str, ...], key: str, models: dict, seed: int = 42, repeats: int = 10) -> DataFrame:
     """``(event, model, feature, importance)``: the mean loss of balanced accuracy on the event that was held out, over the repeats.
 
-    Dealt rows are never written: they are made, predicted by all models of their event and counted in one pass an event.
+    Dealt rows are never written: they are made, predicted by all models of their event and counted in one pass. Where an event has
+    fewer pairs of a distinct row and a value than rows to deal, those are drawn and predicted in place of its rows.
     """
     from pyspark.ml.feature import VectorAssembler
 
     rows = df.select(event, key, F.col(label).cast("int").alias("label"), *features)
+    counted = equal_rows(df, event, label, features)
     fitted: dict = {}
-    for e, name, model in folds(df, event, label, features, models):
+    for e, name, model in folds(df, counted, event, label, features, models):
         fitted.setdefault(e, {})[name] = model
-    out = None
+    values = F.array(*[F.approx_count_distinct(f) for f in features])
+    sizes = {s[event]: s for s in counted.groupBy(event).agg(F.sum("weight").alias("rows"), F.count(F.lit(1)).alias("distinct"), values.alias("values")).collect()}
+    vectors, scored = VectorAssembler(inputCols=list(features), outputCol="features"), None
     for e, of in fitted.items():
-        dealt = dealt_anew(rows.where(F.col(event) == e), event, features, key, seed, repeats)
-        # rows as they are have the same score in each repeat
-        p = VectorAssembler(inputCols=list(features), outputCol="features").transform(dealt.where("feature is not null or repeat = 0")).select("label", "repeat", "feature", "features")
-        kept = ["label", "repeat", "feature", "features"]
+        size, guesses = sizes[e], [f"p{k}" for k in range(len(of))]
+        counts = size["distinct"] * max(size["values"]) <= MOST_PAIRS and size["distinct"] * sum(size["values"]) <= size["rows"] * len(features)
+        if counts:
+            kept = ["label", "feature", "features", *[f"n{k}" for k in range(repeats)]]
+            dealt = dealt_counts(counted.where(F.col(event) == e), features, seed, repeats, int(size["rows"] // MOST_DRAWN) + 1)
+        else:
+            kept = ["label", "feature", "features", "repeat"]
+            # rows as they are have the same score in each repeat
+            dealt = dealt_anew(rows.where(F.col(event) == e), event, features, key, seed, repeats).where("feature is not null or repeat = 0")
+        p = vectors.transform(dealt).select(*kept)
         for k, model in enumerate(of.values()):
-            p = model.transform(p).select(*kept, F.col("prediction").cast("int").alias(f"p{k}"))
-            kept.append(f"p{k}")
-        halves = lambda c: [F.try_divide(F.count_if((F.col("label") == v) & (F.col(c) == v)), F.count_if(F.col("label") == v)) for v in (0, 1)]
-        scored = F.array(*[F.struct(F.lit(name).alias("model"), (sum(halves(f"p{k}"), F.lit(0.0)) / 2).alias("score")) for k, name in enumerate(of)])
-        s = p.groupBy("repeat", "feature").agg(scored.alias("s")).select("repeat", "feature", F.explode("s").alias("s")).select("repeat", "feature", "s.model", "s.score")
-        s = Scratch(df.sparkSession, "importance").table(s, "scores")
-        whole = s.where("feature is null").select("model", F.col("score").alias("whole"))
-        part = s.where("feature is not null").join(whole, "model").groupBy("model", "feature").agg(F.avg(F.col("whole") - F.col("score")).alias("importance"))
-        part = part.select(F.lit(e).alias(event), "model", "feature", "importance")
-        out = part if out is None else out.unionByName(part)
-    return out
+            p = model.transform(p).select(*kept, *guesses[:k], F.col("prediction").cast("int").alias(f"p{k}"))
+        if counts:
+            g = p.groupBy("feature", "label", *guesses).agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(repeats)])
+            g = g.select("feature", "label", *guesses, F.posexplode(F.array(*[f"n{k}" for k in range(repeats)])).alias("repeat", "n")).where("feature is not null or repeat = 0")
+        else:
+            g = p.groupBy("repeat", "feature", "label", *guesses).agg(F.count(F.lit(1)).alias("n"))
+        total = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
+        halves = lambda c: [F.try_divide(total((F.col("label") == v) & (F.col(c) == v)), total(F.col("label") == v)) for v in (0, 1)]
+        each = F.array(*[F.struct(F.lit(name).alias("model"), (sum(halves(c), F.lit(0.0)) / 2).alias("score")) for c, name in zip(guesses, of, strict=True)])
+        s = g.groupBy("repeat", "feature").agg(each.alias("s")).select(F.lit(e).alias(event), "repeat", "feature", F.explode("s").alias("s")).select(event, "repeat", "feature", "s.model", "s.score")
+        scored = s if scored is None else scored.unionByName(s)
+    s = Scratch(df.sparkSession, "importance").table(scored, "scores")
+    whole = s.where("feature is null").select(event, "model", F.col("score").alias("whole"))
+    return s.where("feature is not null").join(whole, [event, "model"]).groupBy(event, "model", "feature").agg(F.avg(F.col("whole") - F.col("score")).alias("importance"))
 
 
 def quality_checks(df: DataFrame) -> DataFrame:
