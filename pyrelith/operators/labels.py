@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
+from pyspark.ml import Model
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param.shared import HasFeaturesCol
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,25 +61,91 @@ def equal_rows(df: DataFrame, event: str, label: str, features: tuple[str, ...])
     return Scratch(df.sparkSession, "equal").table(counted, "rows")
 
 
+#: Rows from which on a forest is fitted on equal rows, if these are a quarter at most. Below, twenty fits cost more than one on all rows.
+MANY_ROWS = 1_000_000
+
+
+def many_equal(counted: DataFrame) -> bool:
+    """Whether a table of equal rows stands for so many rows that work on each of them is worth saving."""
+    distinct, rows = counted.agg(F.count(F.lit(1)), F.sum("weight")).first()
+    return (rows or 0) >= MANY_ROWS and 4 * distinct <= rows
+
+
 def folds(df: DataFrame, counted: DataFrame, event: str, label: str, features: tuple[str, ...], models: dict):
     """For each event and model ``(event, name, fitted on the other events)``. Events that are judged are few and drawn by hand: they are listed on the driver.
 
-    Boosting goes over its rows some seventy times, so equal rows are one with their number as weight (``counted``). A model that draws rows gets each of them.
+    Boosting goes over its rows some seventy times, so equal rows are one with their number as weight (``counted``). A model that draws rows gets each of them,
+    but for a forest on many equal ones, whose trees draw numbers of equal rows.
     """
     from pyspark.ml.feature import VectorAssembler
 
+    scratch, few = Scratch(df.sparkSession, "folds"), many_equal(counted)
     vectors = VectorAssembler(inputCols=list(features), outputCol="features")
-    counted = vectors.transform(counted).select(event, "features", "label", "weight")
-    rows = None
-    if any(draws_rows(m) for m in models.values()):
+    weighted = vectors.transform(counted).select(event, "features", "label", "weight")
+    rows, drawn = None, {}
+    for name, model in models.items():
+        if few and model.hasParam("bootstrap") and model.getBootstrap():
+            t = vectors.transform(bootstrap(counted, model.getSeed(), model.getNumTrees(), model.getSubsamplingRate()))
+            drawn[name] = scratch.table(t.select(event, "features", "label", "draws"), f"drawn{len(drawn)}")
+    if any(draws_rows(m) for name, m in models.items() if name not in drawn):
         d = df.select(event, F.col(label).cast("double").alias("label"), *features)
-        rows = Scratch(df.sparkSession, "folds").table(vectors.transform(d).select(event, "features", "label"), "rows")
+        rows = scratch.table(vectors.transform(d).select(event, "features", "label"), "rows")
     for (e,) in counted.select(event).distinct().orderBy(event).collect():
         for name, model in models.items():
-            if draws_rows(model):
+            if name in drawn:
+                yield e, name, forest_of_draws(model, drawn[name].where(F.col(event) != e))
+            elif draws_rows(model):
                 yield e, name, model.fit(rows.where(F.col(event) != e))
             else:
-                yield e, name, model.copy({model.weightCol: "weight"}).fit(counted.where(F.col(event) != e))
+                yield e, name, model.copy({model.weightCol: "weight"}).fit(weighted.where(F.col(event) != e))
+
+
+def bootstrap(counted: DataFrame, seed: int, trees: int, rate: float) -> DataFrame:
+    """How many of each distinct row's equals every tree draws (``draws``). A row is drawn a Poisson number of times, so ``weight`` equal rows are drawn Poisson(``rate * weight``) times."""
+    keyed = counted.withColumn("__hash", F.xxhash64(*[c for c in counted.columns if c != "weight"], F.lit(seed)))
+    schema = T.StructType([*counted.schema.fields, T.StructField("draws", T.ArrayType(T.LongType()))])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rngs = (np.random.Generator(np.random.Philox(key=int(h) % (1 << 64))) for h in b["__hash"])
+            yield b.drop(columns="__hash").assign(draws=[rng.poisson(rate * w, trees) for rng, w in zip(rngs, b["weight"], strict=True)])
+
+    return keyed.mapInPandas(run, schema)
+
+
+#: Trees of one forest that are fitted at a time: their jobs are small.
+TREES_AT_ONCE = 8
+
+
+def forest_of_draws(model, drawn: DataFrame) -> Forest:
+    """A forest whose trees are fitted one by one, each on the distinct rows with their numbers in its draw as weights."""
+    strategy = model.getFeatureSubsetStrategy()
+    if strategy == "auto" and model.getNumTrees() > 1:
+        strategy = "sqrt"
+
+    def fitted(k: int):
+        one = model.copy({model.numTrees: 1, model.bootstrap: False, model.subsamplingRate: 1.0, model.featureSubsetStrategy: strategy, model.seed: model.getSeed() + k, model.weightCol: "weight"})
+        return one.fit(drawn.select("features", "label", F.col("draws")[k].cast("double").alias("weight")).where("weight > 0"))
+
+    with ThreadPool(TREES_AT_ONCE) as pool:
+        return Forest(pool.map(inheritable_thread_target(drawn.sparkSession)(fitted), range(model.getNumTrees())))
+
+
+class Forest(Model, HasFeaturesCol):
+    """Trees that predict as a forest does: the class of the greatest sum of the trees' shares, the lower one of equals."""
+
+    def __init__(self, trees: list):
+        super().__init__()
+        self.trees = trees
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        out, shares = dataset, []
+        for tree in self.trees:
+            shares.append(fresh(out, f"share{len(shares)}"))
+            out = tree.copy({tree.featuresCol: self.getFeaturesCol(), tree.probabilityCol: shares[-1], tree.rawPredictionCol: "", tree.predictionCol: ""}).transform(out)
+        each = [vector_to_array(F.col(c)) for c in shares]
+        votes = F.array(*[sum((F.coalesce(F.get(a, F.lit(k)), F.lit(0.0)) for a in each), F.lit(0.0)) for k in range(max(t.numClasses for t in self.trees))])
+        return out.withColumn("prediction", (F.array_position(votes, F.array_max(votes)) - 1).cast("double")).drop(*shares)
 
 
 def draws_rows(model) -> bool:
@@ -83,22 +154,29 @@ def draws_rows(model) -> bool:
 
 
 def leave_one_out(df: DataFrame, event: str, label: str, features: tuple[str, ...], models: dict) -> DataFrame:
-    """The rows of ``df`` once for each model, with ``model`` and ``predicted``, each by a model that never saw the row's event; one pass an event."""
+    """The rows of ``df`` once for each model, with ``model`` and ``predicted``, each by a model that never saw the row's event; one pass an event.
+
+    Many equal rows are predicted once, and each row finds its prediction by its event and features.
+    """
     from pyspark.ml.feature import VectorAssembler
 
+    counted = equal_rows(df, event, label, features)
     fitted: dict = {}
-    for e, name, model in folds(df, equal_rows(df, event, label, features), event, label, features, models):
+    for e, name, model in folds(df, counted, event, label, features, models):
         fitted.setdefault(e, {})[name] = model
-    data = VectorAssembler(inputCols=list(features), outputCol=fresh(df, "features")).transform(df)
+    few = many_equal(counted)
+    own = counted.select(event, *features).distinct() if few else df
+    data = VectorAssembler(inputCols=list(features), outputCol=fresh(df, "features")).transform(own)
     vector, kept, out = data.columns[-1], list(data.columns), None
     for e, of in fitted.items():
         p, guesses = data.where(F.col(event) == e), [fresh(data, f"p{k}") for k in range(len(of))]
         for k, (guess, model) in enumerate(zip(guesses, of.values(), strict=True)):
             p = model.copy({model.featuresCol: vector}).transform(p).select(*kept, *guesses[:k], F.col("prediction").cast("int").alias(guess))
-        each = F.explode(F.array(*[F.struct(F.lit(name).alias("model"), F.col(g).alias("predicted")) for g, name in zip(guesses, of, strict=True)]))
-        part = p.select(*df.columns, each.alias(vector)).select(*df.columns, f"{vector}.model", f"{vector}.predicted")
+        part = p.select(*own.columns, F.array(*[F.struct(F.lit(name).alias("model"), F.col(g).alias("predicted")) for g, name in zip(guesses, of, strict=True)]).alias(vector))
         out = part if out is None else out.unionByName(part)
-    return out
+    if few:
+        out = df.join(Scratch(df.sparkSession, "predicted").table(out, "predicted"), [event, *features])
+    return out.select(*df.columns, F.explode(vector).alias(vector)).select(*df.columns, f"{vector}.model", f"{vector}.predicted")
 
 
 #: Rows of an event that are dealt among one another, about; one task holds one such block.
